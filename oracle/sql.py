@@ -8,7 +8,9 @@ from a crossing count over every edge, the geodesic from an unrolled iteration.
 from __future__ import annotations
 
 from tripflow.functions.geo import GEODESIC_ITERATIONS, WGS84_A, WGS84_B, WGS84_F
-from tripflow.queries import TAG_REGIONS, TRIP_REGIONS
+from tripflow.queries import (CATEGORY_COLUMNS, CI_CATEGORIES, DESCRIBE_COLUMNS, HOURLY_NUMERIC, STATS_COLUMNS,
+                              TAG_REGIONS, TRIP_REGIONS)
+from tripflow.schema import TRIP_CATEGORY_DECODINGS
 from tripflow.sources.adapter import TRIPS_FROM_ORDERS_SQL
 
 RAW_TRIPS = TRIPS_FROM_ORDERS_SQL.replace("{orders}", "orders")
@@ -144,12 +146,12 @@ clean AS (SELECT * FROM raw WHERE start_lat IS NOT NULL AND start_lon IS NOT NUL
           AND end_lat IS NOT NULL AND end_lon IS NOT NULL),
 {HOLIDAYS_CTE.strip()},
 tpts AS (SELECT DISTINCT start_lon AS px, start_lat AS py FROM clean),
-tags AS ({region_tags_cte('tpts', regions)}),
+tags AS MATERIALIZED ({region_tags_cte('tpts', regions)}),
 {", ".join(vctes)},
 parsed AS (SELECT c.*, {st} AS sdt, {et} AS edt, t.region, g.dist_m FROM clean c
   LEFT JOIN tags t ON t.px = c.start_lon AND t.py = c.start_lat
   LEFT JOIN {vout} g ON g.lat1 = c.start_lat AND g.lon1 = c.start_lon AND g.lat2 = c.end_lat AND g.lon2 = c.end_lon),
-trips AS (SELECT trip_id, duration, start_station, start_lat, start_lon, end_station, end_lat, end_lon, bike_id,
+trips AS MATERIALIZED (SELECT trip_id, duration, start_station, start_lat, start_lon, end_station, end_lat, end_lon, bike_id,
   plan_duration,
   CAST(CASE trip_route_category WHEN 'One Way' THEN 1 WHEN 'Round Trip' THEN 2 END AS INTEGER) AS trip_route_type,
   CAST(CASE passholder_type WHEN 'Walk-up' THEN 1 WHEN 'One Day Pass' THEN 2 WHEN 'Monthly Pass' THEN 3
@@ -247,6 +249,150 @@ tags AS ({region_tags_cte('pts', TAG_REGIONS)})"""
     return _with(body, tail)
 
 
+Z95 = 1.959963984540054
+RAW_COLUMNS = ["trip_id", "duration", "start_time", "end_time", "start_station", "start_lat", "start_lon",
+               "end_station", "end_lat", "end_lon", "bike_id", "plan_duration", "trip_route_category",
+               "passholder_type", "bike_type", "ptd"]
+
+
+def _union(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def q_partition_counts() -> str:
+    return _with(_enriched_ctes(), "SELECT ptd, count(*) AS row_count FROM trips GROUP BY ptd")
+
+
+def q_partition_stats() -> str:
+    parts = [f"""SELECT ptd, '{c}' AS "column", count(CAST({c} AS DOUBLE)) AS count,
+  round(avg(CAST({c} AS DOUBLE)), 6) AS mean, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev,
+  round(min(CAST({c} AS DOUBLE)), 6) AS min, round(max(CAST({c} AS DOUBLE)), 6) AS max FROM trips GROUP BY ptd"""
+             for c in STATS_COLUMNS]
+    return _with(_enriched_ctes(), _union(parts))
+
+
+def q_partition_quartiles() -> str:
+    parts = []
+    for c in DESCRIBE_COLUMNS:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT ptd, '{c}' AS "column", count({x}) AS count, round(avg({x}), 6) AS mean,
+  round(stddev_samp({x}), 6) AS stddev, round(min({x}), 6) AS min, round(quantile_cont({x}, 0.25), 6) AS p25,
+  round(quantile_cont({x}, 0.5), 6) AS p50, round(quantile_cont({x}, 0.75), 6) AS p75, round(max({x}), 6) AS max
+  FROM trips GROUP BY ptd""")
+    return _with(_enriched_ctes(), _union(parts))
+
+
+def q_null_audit() -> str:
+    parts = [f"""SELECT '{c}' AS "column", CAST(count(*) - count({c}) AS BIGINT) AS nulls, count(*) AS rows FROM raw"""
+             for c in RAW_COLUMNS]
+    return _with(f"raw AS MATERIALIZED ({RAW_TRIPS})", _union(parts))
+
+
+def q_category_counts() -> str:
+    parts = [f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value, count(*) AS count FROM trips GROUP BY {c}"""
+             for c in CATEGORY_COLUMNS]
+    return _with(_enriched_ctes(), _union(parts))
+
+
+def q_category_decode() -> str:
+    sel, names = [], []
+    for c, mapping in TRIP_CATEGORY_DECODINGS.items():
+        whens = " ".join(f"WHEN {code} THEN '{label}'" for label, code in mapping.items())
+        sel.append(f"CASE {c} {whens} END AS {c}_label")
+        names.append(f"{c}_label")
+    tail = (f"SELECT {', '.join(names)}, count(*) AS trips FROM (SELECT {', '.join(sel)} FROM trips) d "
+            f"GROUP BY {', '.join(names)}")
+    return _with(_enriched_ctes(), tail)
+
+
+def _hourly_ctes() -> str:
+    hf = hour_flags('CAST(substr(start_hour, 12, 2) AS INTEGER)')
+    return _enriched_ctes() + f",\nh AS MATERIALIZED (SELECT *, {hf} FROM ({_hourly_select()}) x)"
+
+
+def _pair_list():
+    return [(a, b) for i, a in enumerate(HOURLY_NUMERIC) for b in HOURLY_NUMERIC[i + 1:]]
+
+
+def q_corr_matrix() -> str:
+    parts = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS value FROM h"
+             for a, b in _pair_list()]
+    return _with(_hourly_ctes(), _union(parts))
+
+
+def q_cov_matrix() -> str:
+    parts = [f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 4) AS value FROM h"
+             for a, b in _pair_list()]
+    return _with(_hourly_ctes(), _union(parts))
+
+
+def q_mean_ci_by_category() -> str:
+    parts = []
+    for c in CI_CATEGORIES:
+        m, sd, n = "avg(CAST(used_count AS DOUBLE))", "stddev_samp(CAST(used_count AS DOUBLE))", "count(used_count)"
+        parts.append(f"""SELECT '{c}' AS category, CAST({c} AS VARCHAR) AS level, {n} AS n, round({m}, 6) AS mean,
+  round({sd}, 6) AS stddev, round({m} - {Z95} * {sd} / sqrt({n}), 6) AS ci_low,
+  round({m} + {Z95} * {sd} / sqrt({n}), 6) AS ci_high FROM h GROUP BY {c}""")
+    return _with(_hourly_ctes(), _union(parts))
+
+
+def q_station_dim() -> str:
+    tail = """SELECT start_station AS station, 'start' AS side, arg_min(start_lat, trip_id) AS lat,
+  arg_min(start_lon, trip_id) AS lon FROM trips WHERE start_station IS NOT NULL GROUP BY start_station
+UNION ALL
+SELECT end_station AS station, 'end' AS side, arg_min(end_lat, trip_id) AS lat,
+  arg_min(end_lon, trip_id) AS lon FROM trips WHERE end_station IS NOT NULL GROUP BY end_station"""
+    return _with(_enriched_ctes(), tail)
+
+
+def q_station_activity() -> str:
+    fmt = "'%Y-%m-%d %H:%M:%S'"
+    tail = f"""SELECT coalesce(d.station, a.station) AS station, coalesce(d.departures, 0) AS departures,
+  coalesce(a.arrivals, 0) AS arrivals, strftime(d.fd, {fmt}) AS first_departure, strftime(d.ld, {fmt}) AS last_departure,
+  strftime(a.fa, {fmt}) AS first_arrival, strftime(a.la, {fmt}) AS last_arrival
+FROM (SELECT start_station AS station, min(start_datetime) AS fd, max(start_datetime) AS ld, count(*) AS departures
+      FROM trips WHERE start_station IS NOT NULL GROUP BY start_station) d
+FULL OUTER JOIN (SELECT end_station AS station, min(start_datetime) AS fa, max(start_datetime) AS la, count(*) AS arrivals
+      FROM trips WHERE end_station IS NOT NULL GROUP BY end_station) a ON d.station = a.station"""
+    return _with(_enriched_ctes(), tail)
+
+
+def q_od_counts() -> str:
+    return _with(_enriched_ctes(),
+                 "SELECT start_station, end_station, count(*) AS trips FROM trips GROUP BY start_station, end_station")
+
+
+def q_station_share() -> str:
+    tail = """SELECT station, starts, ends, round_trips, starts + ends - round_trips AS touching,
+  round((starts + ends - round_trips) / (SELECT count(*) FROM trips), 8) AS share,
+  round(round_trips / nullif(starts, 0), 8) AS self_loop_share
+FROM (SELECT station, CAST(sum(s) AS BIGINT) AS starts, CAST(sum(e) AS BIGINT) AS ends, CAST(sum(r) AS BIGINT) AS round_trips
+      FROM (SELECT start_station AS station, 1 AS s, 0 AS e, CASE WHEN start_station = end_station THEN 1 ELSE 0 END AS r
+            FROM trips UNION ALL SELECT end_station, 0, 1, 0 FROM trips) u
+      WHERE station IS NOT NULL GROUP BY station) p"""
+    return _with(_enriched_ctes(), tail)
+
+
+def q_station_set_diff() -> str:
+    tail = """(SELECT DISTINCT start_station AS value, 'start_station' AS only_in FROM raw WHERE start_station IS NOT NULL
+   AND start_station NOT IN (SELECT end_station FROM raw WHERE end_station IS NOT NULL))
+UNION ALL
+(SELECT DISTINCT end_station AS value, 'end_station' AS only_in FROM raw WHERE end_station IS NOT NULL
+   AND end_station NOT IN (SELECT start_station FROM raw WHERE start_station IS NOT NULL))"""
+    return _with(f"raw AS MATERIALIZED ({RAW_TRIPS})", tail)
+
+
+def q_json_conformance() -> str:
+    ok = "json_valid(props)"
+    k = "json_extract(props, '$.k')"
+    kval = f"TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)"
+    return f"""SELECT count(*) AS rows, count(*) - count(props) AS nulls,
+  count(*) FILTER (WHERE props IS NOT NULL AND NOT {ok}) AS invalid,
+  count(*) FILTER (WHERE props IS NOT NULL AND {ok} AND ({k} IS NULL OR {kval} IS NULL)) AS missing_required,
+  count(*) FILTER (WHERE props IS NOT NULL AND {ok} AND {kval} IS NOT NULL) AS valid
+FROM events"""
+
+
 ORACLE = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -255,6 +401,21 @@ ORACLE = {
     "distance_by_bike": q_distance_by_bike,
     "geodesic_by_trip": q_geodesic_by_trip,
     "region_tag": q_region_tag,
+    "partition_counts": q_partition_counts,
+    "partition_stats": q_partition_stats,
+    "partition_quartiles": q_partition_quartiles,
+    "null_audit": q_null_audit,
+    "category_counts": q_category_counts,
+    "category_decode": q_category_decode,
+    "corr_matrix": q_corr_matrix,
+    "cov_matrix": q_cov_matrix,
+    "mean_ci_by_category": q_mean_ci_by_category,
+    "station_dim": q_station_dim,
+    "station_activity": q_station_activity,
+    "od_counts": q_od_counts,
+    "station_share": q_station_share,
+    "station_set_diff": q_station_set_diff,
+    "json_conformance": q_json_conformance,
 }
 
 

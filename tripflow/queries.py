@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions import calendar, geo, timefn
+from tripflow.functions.categories import decode
+from tripflow.operators import profile, stations
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.region import tag_points
-from tripflow.operators.rollup import fill_hour_gaps, hourly_usage, sum_by
+from tripflow.operators.rollup import HOURLY_COLUMNS, count_by_partition, fill_hour_gaps, hourly_usage
 from tripflow.sources.adapter import load_raw_trips
 from tripflow.sources.regions import regions_from_rows
 
@@ -31,6 +33,15 @@ PASADENA_REGION = (
     [[[[-118.225, 33.925], [-118.125, 33.925], [-118.125, 34.125], [-118.225, 34.125], [-118.225, 33.925]]]],
 )
 TRIP_REGIONS = [LA_REGION]
+# Column lists of the statistics reports.
+STATS_COLUMNS = ["duration", "plan_duration", "trip_route_type", "passholder_type", "bike_type", "distance",
+                 "season", "holiday", "workingday"]
+DESCRIBE_COLUMNS = ["duration", "start_lat", "start_lon", "end_lat", "end_lon", "plan_duration", "trip_route_type",
+                    "passholder_type", "bike_type", "distance", "season", "holiday", "workingday"]
+CATEGORY_COLUMNS = ["plan_duration", "trip_route_type", "passholder_type", "bike_type", "season", "holiday",
+                    "workingday"]
+CI_CATEGORIES = ["workingday", "season", "holiday", "hour_is_morning_evening"]
+HOURLY_NUMERIC = [c for c in HOURLY_COLUMNS if c != "start_hour"]
 TAG_REGIONS = [LA_REGION, PASADENA_REGION]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +111,87 @@ def q_region_tag(spark, sf_dir):
     return out.select("lon", "lat", F.coalesce("region", F.lit("UNKNOWN")).alias("city_name"))
 
 
+def q_partition_counts(spark, sf_dir):
+    return count_by_partition(trips(spark, sf_dir), "ptd")
+
+
+def q_partition_stats(spark, sf_dir):
+    d = profile.describe_by(trips(spark, sf_dir), STATS_COLUMNS, by="ptd")
+    return d.select("ptd", "column", "count", *[_round(F.col(c)).alias(c) for c in ("mean", "stddev", "min", "max")])
+
+
+def q_partition_quartiles(spark, sf_dir):
+    d = profile.describe_quartiles(trips(spark, sf_dir), DESCRIBE_COLUMNS, by="ptd")
+    stats = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
+    return d.select("ptd", "column", "count", *[_round(F.col(c)).alias(c) for c in stats])
+
+
+def q_null_audit(spark, sf_dir):
+    return profile.null_audit(load_raw_trips(spark, sf_dir))
+
+
+def q_category_counts(spark, sf_dir):
+    return profile.category_counts(trips(spark, sf_dir), CATEGORY_COLUMNS)
+
+
+def q_category_decode(spark, sf_dir):
+    """Trips per decoded label combination (codes -> labels, unknown code -> NULL)."""
+    from tripflow.schema import TRIP_CATEGORY_DECODINGS
+    t = trips(spark, sf_dir)
+    labels = [decode(c, m).alias(f"{c}_label") for c, m in TRIP_CATEGORY_DECODINGS.items()]
+    return t.select(*labels).groupBy(*[f"{c}_label" for c in TRIP_CATEGORY_DECODINGS]).agg(
+        F.count(F.lit(1)).alias("trips"))
+
+
+def _hourly(spark, sf_dir):
+    return hourly_usage(trips(spark, sf_dir))
+
+
+def q_corr_matrix(spark, sf_dir):
+    c = profile.corr_long(_hourly(spark, sf_dir), HOURLY_NUMERIC)
+    return c.select("col_a", "col_b", _round(F.col("value")).alias("value"))
+
+
+def q_cov_matrix(spark, sf_dir):
+    c = profile.cov_long(_hourly(spark, sf_dir), HOURLY_NUMERIC)
+    return c.select("col_a", "col_b", _round(F.col("value"), 4).alias("value"))
+
+
+def q_mean_ci_by_category(spark, sf_dir):
+    m = profile.mean_ci(_hourly(spark, sf_dir), "used_count", CI_CATEGORIES)
+    return m.select("category", "level", "n", *[_round(F.col(c)).alias(c)
+                                                for c in ("mean", "stddev", "ci_low", "ci_high")])
+
+
+def q_station_dim(spark, sf_dir):
+    return stations.station_dim(trips(spark, sf_dir))
+
+
+def q_station_activity(spark, sf_dir):
+    return stations.station_activity(trips(spark, sf_dir))
+
+
+def q_od_counts(spark, sf_dir):
+    return stations.od_counts(trips(spark, sf_dir))
+
+
+def q_station_share(spark, sf_dir):
+    s = stations.station_share(trips(spark, sf_dir))
+    return s.select("station", "starts", "ends", "round_trips", "touching",
+                    _round(F.col("share"), 8).alias("share"), _round(F.col("self_loop_share"), 8).alias("self_loop_share"))
+
+
+def q_station_set_diff(spark, sf_dir):
+    """Origin-only and destination-only stations (raw trips, so even rows without
+    coordinates take part)."""
+    return stations.set_diff(load_raw_trips(spark, sf_dir), "start_station", "end_station")
+
+
+def q_json_conformance(spark, sf_dir):
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return profile.json_conformance(ev, "props", "k INT, ref STRING", required=["k"])
+
+
 QUERIES: dict[str, QueryFn] = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -108,4 +200,19 @@ QUERIES: dict[str, QueryFn] = {
     "distance_by_bike": q_distance_by_bike,
     "geodesic_by_trip": q_geodesic_by_trip,
     "region_tag": q_region_tag,
+    "partition_counts": q_partition_counts,
+    "partition_stats": q_partition_stats,
+    "partition_quartiles": q_partition_quartiles,
+    "null_audit": q_null_audit,
+    "category_counts": q_category_counts,
+    "category_decode": q_category_decode,
+    "corr_matrix": q_corr_matrix,
+    "cov_matrix": q_cov_matrix,
+    "mean_ci_by_category": q_mean_ci_by_category,
+    "station_dim": q_station_dim,
+    "station_activity": q_station_activity,
+    "od_counts": q_od_counts,
+    "station_share": q_station_share,
+    "station_set_diff": q_station_set_diff,
+    "json_conformance": q_json_conformance,
 }
