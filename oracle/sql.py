@@ -8,7 +8,8 @@ from a crossing count over every edge, the geodesic from an unrolled iteration.
 from __future__ import annotations
 
 from tripflow.functions.geo import GEODESIC_ITERATIONS, WGS84_A, WGS84_B, WGS84_F
-from tripflow.queries import (CATEGORY_COLUMNS, CI_CATEGORIES, DESCRIBE_COLUMNS, HOURLY_NUMERIC, STATS_COLUMNS,
+from tripflow.queries import (DBSCAN_EPS, DBSCAN_MIN_SAMPLES, DBSCAN_SWEEP, K_DISTANCE_K,
+                              QUALITY_LABEL_MOD, CATEGORY_COLUMNS, CI_CATEGORIES, DESCRIBE_COLUMNS, HOURLY_NUMERIC, STATS_COLUMNS,
                               TAG_REGIONS, TRIP_REGIONS)
 from tripflow.schema import TRIP_CATEGORY_DECODINGS
 from tripflow.sources.adapter import TRIPS_FROM_ORDERS_SQL
@@ -393,6 +394,156 @@ def q_json_conformance() -> str:
 FROM events"""
 
 
+def q_time_functions() -> str:
+    st, et = parse_time("start_time"), parse_time("end_time")
+    fmts = [("%Y-%m-%d %H:%M:%S.%f", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}"),
+            ("%Y-%m-%d %H:%M:%S", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}:\d{1,2}"),
+            ("%Y-%m-%d %H:%M", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}"),
+            ("%Y-%m-%d", r"\d{4}-\d{1,2}-\d{1,2}")]
+    fmt = "CASE " + " ".join(f"WHEN regexp_matches(start_time, '{rx}') THEN '{name}'" for name, rx in fmts) + " END"
+    d = "split_part(start_time, ' ', 1)"
+    slash = f"contains({d}, '/')"
+    yy = f"TRY_CAST(CASE WHEN {slash} THEN split_part({d}, '/', 3) ELSE split_part({d}, '-', 1) END AS INTEGER)"
+    mm = f"TRY_CAST(CASE WHEN {slash} THEN split_part({d}, '/', 1) ELSE split_part({d}, '-', 2) END AS INTEGER)"
+    dd = f"TRY_CAST(CASE WHEN {slash} THEN split_part({d}, '/', 2) ELSE split_part({d}, '-', 3) END AS INTEGER)"
+    sec = "(epoch(et) - epoch(st))"
+    tail = f"""SELECT trip_id, {fmt} AS start_format, {d} AS date_token,
+  CASE WHEN contains(start_time, ' ') AND contains(start_time, ':')
+       THEN TRY_CAST(split_part(split_part(start_time, ' ', 2), ':', 1) AS INTEGER) END AS hour_token,
+  CASE WHEN contains(start_time, '/') THEN split_part(start_time, '/', 3) ELSE 'UnknownYear' END AS year_token,
+  {yy} AS part_year, {mm} AS part_month, {dd} AS part_day,
+  CAST(trunc({sec} / 60) AS INTEGER) AS used_minutes,
+  CAST(floor(((-{sec}) % 86400 + 86400) % 86400 / 60) AS INTEGER) AS used_minutes_wrapped,
+  epoch_ms(st) AS epoch_ms, CAST(epoch(st) AS BIGINT) AS epoch_s,
+  strftime(st, '%Y-%m-%d %H:%M:%S') AS from_epoch,
+  strftime(st - INTERVAL 1 DAY, '%Y-%m-%d') AS prev_day, strftime(st + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day,
+  CAST(year(CAST(st AS DATE) - INTERVAL 1 MONTH) AS VARCHAR) || '-' || CAST(month(CAST(st AS DATE) - INTERVAL 1 MONTH) AS VARCHAR) AS last_month,
+  strftime(st, '%Y-%m-%d') AS day_str, strftime(st, '%H') AS hour_str, strftime(st, '%Y-%m') AS month_str,
+  CAST(sign(epoch(st) - epoch(et)) AS INTEGER) AS cmp_time,
+  CAST(sign(CAST(st AS DATE) - CAST(et AS DATE)) AS INTEGER) AS cmp_date,
+  (CAST(et AS DATE) - CAST(st AS DATE)) BETWEEN 0 AND 1 AS within_a_day
+FROM (SELECT trip_id, start_time, {st} AS st, {et} AS et FROM raw) x"""
+    return _with(f"raw AS ({RAW_TRIPS})", tail)
+
+
+def q_date_spine() -> str:
+    tail = """SELECT strftime(s.day, '%Y-%m-%d') AS day, coalesce(d.trips, 0) AS trips, CAST(isodow(s.day) AS INTEGER) AS iso_weekday
+FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM daily) s
+LEFT JOIN daily d ON d.day = s.day"""
+    body = _enriched_ctes() + ",\ndaily AS (SELECT CAST(start_datetime AS DATE) AS day, count(*) AS trips FROM trips " \
+        "WHERE start_datetime IS NOT NULL GROUP BY 1)"
+    return _with(body, tail)
+
+
+def q_month_shift() -> str:
+    cols = ["strftime(d, '%Y-%m-%d') AS day"]
+    for n in (1, -1, -13, 12):
+        tag = f"p{n}" if n >= 0 else f"m{-n}"
+        shifted = f"CAST(d + INTERVAL ({n}) MONTH AS DATE)"
+        cols.append(f"strftime({shifted}, '%Y-%m-%d') AS shift_{tag}")
+        cols.append(f"CASE WHEN day({shifted}) = day(d) THEN strftime({shifted}, '%Y-%m-%d') END AS strict_{tag}")
+    tail = f"SELECT {', '.join(cols)} FROM (SELECT DISTINCT CAST(start_datetime AS DATE) AS d FROM trips WHERE start_datetime IS NOT NULL) x"
+    return _with(_enriched_ctes(), tail)
+
+
+START_POINTS = f"""raw AS ({RAW_TRIPS}),
+sp AS MATERIALIZED (SELECT trip_id, start_station, start_lon AS x, start_lat AS y FROM raw
+                    WHERE start_lon IS NOT NULL AND start_lat IS NOT NULL),
+pts AS MATERIALIZED (SELECT x, y, count(*) AS w, row_number() OVER (ORDER BY x, y) AS id FROM sp GROUP BY x, y)"""
+
+
+def q_standard_scale() -> str:
+    tail = """SELECT trip_id, round((x - avg(x) OVER ()) / stddev_pop(x) OVER (), 9) AS x_scaled,
+  round((y - avg(y) OVER ()) / stddev_pop(y) OVER (), 9) AS y_scaled FROM sp"""
+    return _with(START_POINTS, tail)
+
+
+def _pair_cte(eps: float | None = None) -> str:
+    cond = f"WHERE d <= {eps!r}" if eps is not None else ""
+    return f"""pairs AS MATERIALIZED (SELECT * FROM (SELECT a.id AS id_a, b.id AS id_b, b.w AS w_b,
+  sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d FROM pts a CROSS JOIN pts b) q {cond})"""
+
+
+def q_k_distance() -> str:
+    body = START_POINTS + ",\n" + _pair_cte() + f""",
+cum AS (SELECT id_a, d, sum(w_b) OVER (PARTITION BY id_a ORDER BY d RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+        FROM pairs)"""
+    tail = f"""SELECT p.x, p.y, p.w, round(k.kdist, 9) AS kdist FROM pts p JOIN
+  (SELECT id_a, min(d) AS kdist FROM cum WHERE c >= {K_DISTANCE_K} GROUP BY id_a) k ON k.id_a = p.id"""
+    return _with(body, tail)
+
+
+def _dbscan_body(settings) -> str:
+    ms = ", ".join(f"({m})" for m in settings)
+    return START_POINTS + ",\n" + _pair_cte(DBSCAN_EPS) + f""",
+deg AS (SELECT id_a AS id, sum(w_b) AS degree FROM pairs GROUP BY id_a),
+settings AS (SELECT * FROM (VALUES {ms}) s(ms)),
+nodes AS MATERIALIZED (SELECT s.ms, p.id, p.x, p.y, p.w, d.degree, d.degree >= s.ms AS is_core
+        FROM pts p JOIN deg d ON d.id = p.id CROSS JOIN settings s),
+core_edges AS (SELECT a.ms, pr.id_a AS src, pr.id_b AS dst FROM pairs pr
+        JOIN nodes a ON a.id = pr.id_a JOIN nodes b ON b.id = pr.id_b AND b.ms = a.ms
+        WHERE a.is_core AND b.is_core AND pr.id_a <> pr.id_b),
+cc AS (WITH RECURSIVE walk(ms, id, comp) AS (
+          SELECT ms, id, id FROM nodes WHERE is_core
+          UNION
+          SELECT e.ms, e.dst, w.comp FROM walk w JOIN core_edges e ON e.ms = w.ms AND e.src = w.id)
+       SELECT ms, id, min(comp) AS comp FROM walk GROUP BY ms, id),
+border AS (SELECT a.ms, pr.id_a AS id, min(c.comp) AS comp FROM pairs pr
+        JOIN nodes a ON a.id = pr.id_a AND NOT a.is_core
+        JOIN cc c ON c.id = pr.id_b AND c.ms = a.ms GROUP BY a.ms, pr.id_a),
+member AS (SELECT * FROM cc UNION ALL SELECT * FROM border),
+ranks AS (SELECT ms, comp, dense_rank() OVER (PARTITION BY ms ORDER BY comp) - 1 AS label
+          FROM (SELECT DISTINCT ms, comp FROM member) u),
+labelled AS (SELECT n.ms, n.x, n.y, n.w, n.degree, n.is_core, CAST(coalesce(r.label, -1) AS BIGINT) AS label
+        FROM nodes n LEFT JOIN member m ON m.ms = n.ms AND m.id = n.id
+        LEFT JOIN ranks r ON r.ms = m.ms AND r.comp = m.comp)"""
+
+
+def q_dbscan() -> str:
+    return _with(_dbscan_body([DBSCAN_MIN_SAMPLES]), "SELECT x, y, w, degree, is_core, label FROM labelled")
+
+
+def q_dbscan_sweep() -> str:
+    tail = """SELECT ms AS min_samples, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS clusters,
+  count(*) FILTER (WHERE label = -1) AS noise_points, count(*) FILTER (WHERE is_core) AS core_points,
+  count(*) FILTER (WHERE label <> -1 AND NOT is_core) AS border_points,
+  CAST(coalesce(sum(CASE WHEN label = -1 THEN w END), 0) AS BIGINT) AS noise_weight
+FROM labelled GROUP BY ms"""
+    return _with(_dbscan_body(DBSCAN_SWEEP), tail)
+
+
+def _labelled_sp() -> str:
+    return START_POINTS + f",\nlp AS MATERIALIZED (SELECT x, y, CAST(start_station % {QUALITY_LABEL_MOD} AS BIGINT) AS label FROM sp)"
+
+
+def q_davies_bouldin() -> str:
+    body = _labelled_sp() + """,
+cent AS (SELECT label, avg(x) AS cx, avg(y) AS cy FROM lp GROUP BY label),
+sc AS (SELECT lp.label, avg(sqrt(pow(lp.x - c.cx, 2) + pow(lp.y - c.cy, 2))) AS s FROM lp JOIN cent c USING (label)
+       GROUP BY lp.label),
+info AS (SELECT c.label, c.cx, c.cy, s.s FROM cent c JOIN sc s USING (label))"""
+    tail = """SELECT round(avg(r), 9) AS davies_bouldin FROM (
+  SELECT a.label, max((a.s + b.s) / sqrt(pow(a.cx - b.cx, 2) + pow(a.cy - b.cy, 2))) AS r
+  FROM info a JOIN info b ON a.label <> b.label GROUP BY a.label) t"""
+    return _with(body, tail)
+
+
+def q_silhouette() -> str:
+    body = _labelled_sp() + """,
+lpts AS (SELECT x, y, label, count(*) AS w FROM lp GROUP BY x, y, label),
+csz AS (SELECT label, sum(w) AS W FROM lpts GROUP BY label),
+dist AS (SELECT a.x, a.y, a.label, a.w, b.label AS lb, sum(b.w * (pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS ssum
+         FROM lpts a CROSS JOIN lpts b GROUP BY a.x, a.y, a.label, a.w, b.label),
+per AS (SELECT d.x, d.y, d.label, d.w,
+          max(CASE WHEN d.lb = d.label THEN d.ssum / nullif(c.W - 1, 0) END) AS a,
+          min(CASE WHEN d.lb <> d.label THEN d.ssum / c.W END) AS b,
+          max(CASE WHEN d.lb = d.label THEN c.W END) AS own_w
+        FROM dist d JOIN csz c ON c.label = d.lb GROUP BY d.x, d.y, d.label, d.w)"""
+    tail = """SELECT round(sum(w * CASE WHEN own_w <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END) / sum(w), 9) AS silhouette
+FROM per"""
+    return _with(body, tail)
+
+
 ORACLE = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -416,6 +567,15 @@ ORACLE = {
     "station_share": q_station_share,
     "station_set_diff": q_station_set_diff,
     "json_conformance": q_json_conformance,
+    "time_functions": q_time_functions,
+    "date_spine": q_date_spine,
+    "month_shift": q_month_shift,
+    "standard_scale": q_standard_scale,
+    "k_distance": q_k_distance,
+    "dbscan": q_dbscan,
+    "dbscan_sweep": q_dbscan_sweep,
+    "davies_bouldin": q_davies_bouldin,
+    "silhouette": q_silhouette,
 }
 
 

@@ -88,7 +88,7 @@ def _pad(c: Column, n: int) -> Column:
 def date_label(ts: Column | str) -> Column:
     """``yyyy-MM-dd`` of a timestamp or date."""
     d = F.to_date(_col(ts))
-    return F.concat_ws("-", _pad(F.year(d), 4), _pad(F.month(d), 2), _pad(F.dayofmonth(d), 2))
+    return F.concat(_pad(F.year(d), 4), F.lit("-"), _pad(F.month(d), 2), F.lit("-"), _pad(F.dayofmonth(d), 2))
 
 
 def hour_label(ts: Column | str) -> Column:
@@ -107,7 +107,7 @@ def datetime_label(ts: Column | str) -> Column:
 def month_label(ts: Column | str) -> Column:
     """``yyyy-MM``."""
     d = F.to_date(_col(ts))
-    return F.concat_ws("-", _pad(F.year(d), 4), _pad(F.month(d), 2))
+    return F.concat(_pad(F.year(d), 4), F.lit("-"), _pad(F.month(d), 2))
 
 
 def date_token(c: Column | str) -> Column:
@@ -233,7 +233,7 @@ def next_day_label(d: Column | str) -> Column:
 def last_month_label(as_of: Column | str, deli: str = "-") -> Column:
     """``Y{deli}M`` of the month before ``as_of``; month not padded."""
     prev = F.add_months(F.to_date(_col(as_of)), -1)
-    return F.concat_ws(deli, F.year(prev).cast("string"), F.month(prev).cast("string"))
+    return F.concat(F.year(prev).cast("string"), F.lit(deli), F.month(prev).cast("string"))
 
 
 def compare_times(a: Column | str, b: Column | str) -> Column:

@@ -96,3 +96,18 @@ def sum_by(df: DataFrame, key: str, value: str, where: Column | None = None, out
 def count_by_partition(df: DataFrame, part_col: str = "ptd") -> DataFrame:
     """Row count per partition value, all partitions in one aggregation."""
     return df.groupBy(part_col).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def fill_gaps(df: DataFrame, key: str, unit: str = "D", step: int = 1,
+              zero_cols: Sequence[str] | None = None) -> DataFrame:
+    """Left-join ``df`` onto the spine of ``key`` values (a date or timestamp column) from its
+    minimum to its maximum every ``step`` ``unit``; missing keys get 0 in ``zero_cols`` and
+    NULL elsewhere.  The spine length is the calendar span, not the data volume."""
+    key_type = dict(df.dtypes)[key]
+    bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    pts = bounds.select(F.explode(F.when(F.col("lo") == F.col("hi"), F.array(F.col("lo").cast("timestamp_ntz")))
+                                  .otherwise(spine_column(F.col("lo"), F.col("hi"), unit, step))).alias("__k"))
+    spine = pts.select(F.col("__k").cast(key_type).alias(key))
+    out = spine.join(df, key, "left")
+    zero_cols = list(zero_cols or [])
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero_cols}).select(*df.columns)

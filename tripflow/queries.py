@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions import calendar, geo, timefn
 from tripflow.functions.categories import decode
-from tripflow.operators import profile, stations
+from tripflow.operators import cluster, profile, stations
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.region import tag_points
 from tripflow.operators.rollup import HOURLY_COLUMNS, count_by_partition, fill_hour_gaps, hourly_usage
@@ -42,6 +42,14 @@ CATEGORY_COLUMNS = ["plan_duration", "trip_route_type", "passholder_type", "bike
                     "workingday"]
 CI_CATEGORIES = ["workingday", "season", "holiday", "hour_is_morning_evening"]
 HOURLY_NUMERIC = [c for c in HOURLY_COLUMNS if c != "start_hour"]
+# Clustering parameters (degrees, unscaled coordinates; weights = trips per coordinate).
+DBSCAN_EPS = 0.06
+DBSCAN_MIN_SAMPLES = 1100
+DBSCAN_SWEEP = [900, 1100, 1150, 1200]
+K_DISTANCE_K = 1000
+KMEANS_K = 3
+# Label rule for the quality metrics (a given clustering, so metrics are tested on their own).
+QUALITY_LABEL_MOD = 3
 TAG_REGIONS = [LA_REGION, PASADENA_REGION]
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +200,119 @@ def q_json_conformance(spark, sf_dir):
     return profile.json_conformance(ev, "props", "k INT, ref STRING", required=["k"])
 
 
+def q_time_functions(spark, sf_dir):
+    """Every per-row date/time helper over the whole raw trip feed."""
+    raw = load_raw_trips(spark, sf_dir)
+    st = timefn.parse_trip_time("start_time")
+    et = timefn.parse_trip_time("end_time")
+    t = raw.select("trip_id", "start_time", st.alias("st"), et.alias("et"))
+    parts = timefn.date_parts("start_time")
+    return t.select(
+        "trip_id",
+        timefn.time_format("start_time").alias("start_format"),
+        timefn.date_token("start_time").alias("date_token"),
+        timefn.hour_token("start_time").alias("hour_token"),
+        timefn.year_token("start_time").alias("year_token"),
+        parts["year"].alias("part_year"), parts["month"].alias("part_month"), parts["day"].alias("part_day"),
+        timefn.minutes_between("st", "et").alias("used_minutes"),
+        timefn.minutes_between("et", "st", wrap_days=True).alias("used_minutes_wrapped"),
+        timefn.epoch_millis("st").alias("epoch_ms"),
+        timefn.epoch_seconds("st").alias("epoch_s"),
+        timefn.datetime_label(timefn.from_epoch_seconds(timefn.epoch_seconds("st"))).alias("from_epoch"),
+        timefn.prev_day("st").alias("prev_day"),
+        timefn.next_day_label("st").alias("next_day"),
+        timefn.last_month_label("st").alias("last_month"),
+        timefn.date_label("st").alias("day_str"),
+        timefn._pad(F.hour("st"), 2).alias("hour_str"),
+        timefn.month_label("st").alias("month_str"),
+        timefn.compare_times("st", "et").alias("cmp_time"),
+        timefn.compare_dates("st", "et").alias("cmp_date"),
+        timefn.days_within("st", "et", 0, 1).alias("within_a_day"),
+    )
+
+
+def q_date_spine(spark, sf_dir):
+    """Trips per calendar day from the first to the last trip day, zero-filled."""
+    from tripflow.operators.rollup import fill_gaps
+    t = trips(spark, sf_dir)
+    daily = t.groupBy(F.to_date("start_datetime").alias("day")).agg(F.count(F.lit(1)).alias("trips"))
+    daily = daily.where(F.col("day").isNotNull())
+    filled = fill_gaps(daily, "day", "D", zero_cols=["trips"])
+    return filled.select(timefn.date_label("day").alias("day"), "trips",
+                         (F.weekday("day") + 1).cast("int").alias("iso_weekday"))
+
+
+def q_month_shift(spark, sf_dir):
+    """Month shifts of every distinct trip day: clamped and strict forms."""
+    days = trips(spark, sf_dir).select(F.to_date("start_datetime").alias("d")).where(F.col("d").isNotNull()).distinct()
+    cols = [timefn.date_label("d").alias("day")]
+    for n in (1, -1, -13, 12):
+        tag = f"p{n}" if n >= 0 else f"m{-n}"
+        cols.append(timefn.date_label(timefn.shift_months("d", n)).alias(f"shift_{tag}"))
+        cols.append(timefn.date_label(timefn.shift_months("d", n, strict=True)).alias(f"strict_{tag}"))
+    return days.select(*cols)
+
+
+def start_points(spark, sf_dir):
+    """Trip start coordinates (x = lon, y = lat) of every trip with a start point."""
+    raw = load_raw_trips(spark, sf_dir)
+    return raw.select("trip_id", "start_station", F.col("start_lon").alias("x"), F.col("start_lat").alias("y")).dropna(
+        subset=["x", "y"])
+
+
+def weighted_start_points(spark, sf_dir):
+    return cluster.with_point_ids(cluster.weighted_points(start_points(spark, sf_dir), ["x", "y"]), ["x", "y"])
+
+
+def q_standard_scale(spark, sf_dir):
+    s = cluster.standard_scale(start_points(spark, sf_dir), ["x", "y"], suffix="_scaled")
+    return s.select("trip_id", _round(F.col("x_scaled"), 9).alias("x_scaled"), _round(F.col("y_scaled"), 9).alias("y_scaled"))
+
+
+def q_k_distance(spark, sf_dir):
+    kd = cluster.k_distance(weighted_start_points(spark, sf_dir), K_DISTANCE_K)
+    return kd.select("x", "y", "w", _round(F.col("kdist"), 9).alias("kdist"))
+
+
+def q_dbscan(spark, sf_dir):
+    lab = cluster.dbscan(weighted_start_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_MIN_SAMPLES)
+    return lab.select("x", "y", "w", "degree", "is_core", "label")
+
+
+def q_dbscan_sweep(spark, sf_dir):
+    lab = cluster.dbscan_sweep(weighted_start_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_SWEEP)
+    return cluster.dbscan_summary(lab)
+
+
+def _labelled_points(spark, sf_dir):
+    return start_points(spark, sf_dir).withColumn("label", (F.col("start_station") % QUALITY_LABEL_MOD).cast("long"))
+
+
+def q_davies_bouldin(spark, sf_dir):
+    d = cluster.davies_bouldin_df(_labelled_points(spark, sf_dir), ["x", "y"], "label")
+    return d.select(_round(F.col("davies_bouldin"), 9).alias("davies_bouldin"))
+
+
+def q_silhouette(spark, sf_dir):
+    s = cluster.silhouette_df(_labelled_points(spark, sf_dir), ["x", "y"], "label")
+    return s.select(_round(F.col("silhouette"), 9).alias("silhouette"))
+
+
+def _kmeans(spark, sf_dir):
+    pts = cluster.weighted_points(start_points(spark, sf_dir), ["x", "y"]).withColumn("w", F.col("w").cast("double"))
+    return cluster.kmeans(pts, ["x", "y"], k=KMEANS_K, seed=42, weight="w")
+
+
+def q_kmeans_sizes(spark, sf_dir):
+    labels, centers = _kmeans(spark, sf_dir)
+    return cluster.top_clusters(labels, centers, n=KMEANS_K, weight="w")
+
+
+def q_kmeans_centers(spark, sf_dir):
+    labels, centers = _kmeans(spark, sf_dir)
+    return labels.select("x", "y", "w", "label")
+
+
 QUERIES: dict[str, QueryFn] = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -215,4 +336,15 @@ QUERIES: dict[str, QueryFn] = {
     "station_share": q_station_share,
     "station_set_diff": q_station_set_diff,
     "json_conformance": q_json_conformance,
+    "time_functions": q_time_functions,
+    "date_spine": q_date_spine,
+    "month_shift": q_month_shift,
+    "standard_scale": q_standard_scale,
+    "k_distance": q_k_distance,
+    "dbscan": q_dbscan,
+    "dbscan_sweep": q_dbscan_sweep,
+    "davies_bouldin": q_davies_bouldin,
+    "silhouette": q_silhouette,
+    "kmeans_sizes": q_kmeans_sizes,
+    "kmeans_centers": q_kmeans_centers,
 }
