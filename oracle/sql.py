@@ -544,6 +544,18 @@ FROM per"""
     return _with(body, tail)
 
 
+def q_csv_roundtrip() -> str:
+    st = parse_time("start_time")
+    cols = ", ".join(RAW_COLUMNS[:-1])
+    tail = f"""SELECT {cols}, period, split_part(period, '-', 1) AS ptd FROM (
+  SELECT *, CAST(year({st}) AS VARCHAR) || '-q' || CAST(quarter({st}) AS VARCHAR) AS period FROM raw) x"""
+    return _with(f"raw AS ({RAW_TRIPS})", tail)
+
+
+def q_partition_reload() -> str:
+    return q_trip_enrich()
+
+
 ORACLE = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -576,6 +588,8 @@ ORACLE = {
     "dbscan_sweep": q_dbscan_sweep,
     "davies_bouldin": q_davies_bouldin,
     "silhouette": q_silhouette,
+    "csv_roundtrip": q_csv_roundtrip,
+    "partition_reload": q_partition_reload,
 }
 
 

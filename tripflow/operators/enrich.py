@@ -24,8 +24,9 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     """Raw trips -> enriched trips (``ENRICHED_COLUMNS`` order).
 
     * rows with a NULL coordinate are dropped;
-    * ``distance`` = WGS-84 geodesic metres, ``distance_cal`` = haversine km (3 dp), both
-      0.0 when a coordinate is missing;
+    * ``distance`` = WGS-84 geodesic metres (Arrow-batched kernel, evaluated only when the
+      column is used), ``distance_cal`` = haversine km (3 dp), both 0.0 when a coordinate
+      is missing;
     * ``city_name`` = containing region of (``region_lon``, ``region_lat``) or the default;
     * ``used_date`` (yyyy-MM-dd), ``used_hour``, ``season``, ``holiday``, ``workingday``,
       ``start_hour`` (yyyy-MM-dd HH:00:00) all derive from one parse of ``start_time``;
@@ -42,11 +43,10 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     st = timefn.parse_trip_time("start_time", strict=strict_time)
     et = timefn.parse_trip_time("end_time", strict=False)
     df = df.withColumns({"start_datetime": st, "end_datetime": et})
-    df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
     s = F.col("start_datetime")
     coords = [F.col(c) for c in COORDS]
     derived = {
-        "distance": geo.null_safe(F.col("__geodesic_m"), *coords).cast("float"),
+        "distance": geo.null_safe(geo.geodesic_batch(*coords, unit="m"), *coords).cast("float"),
         "distance_cal": geo.null_safe(geo.haversine_km(*coords), *coords).cast("float"),
         "used_date": timefn.date_label(s),
         "used_hour": F.hour(s).cast("int"),

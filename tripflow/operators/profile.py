@@ -148,22 +148,20 @@ def _pairs(cols: Sequence[str], lower: bool):
 
 
 def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: str = "corr") -> DataFrame:
-    """Pearson correlation (pairwise-complete rows) of every column pair i < j in one
-    aggregate; long output (col_a, col_b, value).  ``lower=True`` adds the mirrored half."""
+    """Pearson correlation (pairwise-complete rows) of every column pair i < j; long output
+    (col_a, col_b, value).  Each row is unpivoted to one (pair, x, y) record per pair and a
+    single grouped aggregate (partial, then final per pair) does all pairs at once.
+    ``lower=True`` adds the mirrored half."""
     fn = {"corr": F.corr, "covar_samp": F.covar_samp, "covar_pop": F.covar_pop}[method]
     pairs = _pairs(cols, False)
-    aggs = []
-    for a, b in pairs:
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        aggs.append(fn(F.when(both, x), F.when(both, y)).alias(f"{a}__{b}"))
-    wide = df.agg(*aggs)
-    structs = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}__{b}`").alias("value"))
-               for a, b in pairs]
+    recs = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                              F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                     for a, b in pairs])
+    long = df.select(F.explode(recs).alias("__p")).select("__p.*")
+    out = long.groupBy("col_a", "col_b").agg(fn("x", "y").alias("value"))
     if lower:
-        structs += [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"`{a}__{b}`").alias("value"))
-                    for a, b in pairs]
-    return wide.select(F.explode(F.array(*structs)).alias("__p")).select("__p.*")
+        out = out.unionByName(out.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))
+    return out
 
 
 def cov_long(df: DataFrame, cols: Sequence[str], lower: bool = False) -> DataFrame:

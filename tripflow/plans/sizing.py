@@ -25,3 +25,12 @@ def bounded_rows(df: DataFrame, max_rows: int, what: str) -> int:
     if n > max_rows:
         raise ValueError(f"{what}: {n} rows exceeds the bound {max_rows}")
     return n
+
+
+def ensure_min_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-partitioned scan (e.g. one large unsplittable file) over at least
+    ``min_partitions`` tasks (default: the cluster's default parallelism).  Reads the planned
+    partition count only (no job); inputs that already have enough splits pass unchanged."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(target) if n < target else df

@@ -313,6 +313,33 @@ def q_kmeans_centers(spark, sf_dir):
     return labels.select("x", "y", "w", "label")
 
 
+def q_csv_roundtrip(spark, sf_dir):
+    """Raw trips written as period-named CSV files (one set per quarter) and read back
+    through the period CSV source."""
+    from tripflow.sources.sinks import scratch_path, write_period_csv
+    from tripflow.sources.trips_csv import read_period_csv, trips_with_period
+    raw = load_raw_trips(spark, sf_dir).drop("ptd")
+    st = timefn.parse_trip_time("start_time")
+    with_period = raw.withColumn("period", F.concat(F.year(st).cast("string"), F.lit("-q"),
+                                                    F.quarter(st).cast("string")))
+    path = scratch_path(spark, "csv")
+    write_period_csv(with_period, path)
+    back = trips_with_period(read_period_csv(spark, path))
+    return back.drop("_corrupt_record", "source_file")
+
+
+def q_partition_reload(spark, sf_dir):
+    """Enriched trips loaded into a year-partitioned table (dynamic overwrite, run twice to
+    show it is idempotent) and read back."""
+    from tripflow.plans.batch_job import load_trip_table
+    from tripflow.sources.sinks import scratch_path, write_partitioned
+    path = scratch_path(spark, "dw")
+    t = trips(spark, sf_dir)
+    write_partitioned(t, path, "ptd")
+    write_partitioned(t, path, "ptd")
+    return load_trip_table(spark, path)
+
+
 QUERIES: dict[str, QueryFn] = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -347,4 +374,6 @@ QUERIES: dict[str, QueryFn] = {
     "silhouette": q_silhouette,
     "kmeans_sizes": q_kmeans_sizes,
     "kmeans_centers": q_kmeans_centers,
+    "csv_roundtrip": q_csv_roundtrip,
+    "partition_reload": q_partition_reload,
 }

@@ -51,5 +51,6 @@ def raw_trips_from_orders(spark: SparkSession, orders: DataFrame) -> DataFrame:
 
 def load_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips from ``{sf_dir}/orders.parquet`` (only the six order columns are read)."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    from tripflow.plans.sizing import ensure_min_partitions
+    orders = ensure_min_partitions(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     return raw_trips_from_orders(spark, orders)
