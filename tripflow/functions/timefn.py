@@ -33,7 +33,8 @@ def _col(c: Column | str) -> Column:
 
 
 def _int_token(tokens: Column, i: int) -> Column:
-    return tokens.getItem(i).cast("int")
+    # get() gives NULL past the end instead of failing under ANSI mode.
+    return F.get(tokens, F.lit(i)).try_cast("int")
 
 
 def parse_trip_time(c: Column | str, strict: bool = False) -> Column:
@@ -74,7 +75,7 @@ def parse_any_time(c: Column | str) -> Column:
     m = F.regexp_extract(s, r"(\d{4})-(\d{1,2})-(\d{1,2})(?:\s(\d{1,2}):(\d{1,2})(?::(\d{1,2})(\.\d{1,6})?)?)?", 0)
     tok = F.split(F.regexp_replace(m, r"\.", ":"), r"[ :\-]")
     frac = F.coalesce(F.regexp_extract(m, r"(\.\d{1,6})$", 1), F.lit(""))
-    secs = (F.coalesce(F.try_to_number(F.concat(F.coalesce(tok.getItem(5), F.lit("0")), frac),
+    secs = (F.coalesce(F.try_to_number(F.concat(F.coalesce(F.get(tok, F.lit(5)), F.lit("0")), frac),
                                        F.lit("99D999999")), F.lit(0)))
     ymd = F.try_make_timestamp_ntz(
         _int_token(tok, 0), _int_token(tok, 1), _int_token(tok, 2),
@@ -119,14 +120,14 @@ def date_token(c: Column | str) -> Column:
 def hour_token(c: Column | str) -> Column:
     """Integer hour between the first space and the next colon; NULL when either is missing."""
     s = _col(c)
-    h = F.split(F.split(s, " ").getItem(1), ":").getItem(0)
+    h = F.get(F.split(F.get(F.split(s, " "), F.lit(1)), ":"), F.lit(0))
     return F.when(s.contains(" ") & s.contains(":"), F.try_to_number(h, F.lit("999999999")).cast("int"))
 
 
 def year_token(c: Column | str) -> Column:
     """Third ``/`` field of a ``m/d/y`` text, else ``UnknownYear``."""
     s = _col(c)
-    return F.when(s.contains("/"), F.split(s, "/").getItem(2)).otherwise(F.lit("UnknownYear"))
+    return F.when(s.contains("/"), F.get(F.split(s, "/"), F.lit(2))).otherwise(F.lit("UnknownYear"))
 
 
 def date_parts(c: Column | str) -> Column:
@@ -134,9 +135,9 @@ def date_parts(c: Column | str) -> Column:
     d = date_token(c)
     p = F.split(d, "[/-]")
     slash = d.contains("/")
-    y = F.when(slash, p.getItem(2)).otherwise(p.getItem(0))
-    m = F.when(slash, p.getItem(0)).otherwise(p.getItem(1))
-    dd = F.when(slash, p.getItem(1)).otherwise(p.getItem(2))
+    y = F.when(slash, F.get(p, F.lit(2))).otherwise(F.get(p, F.lit(0)))
+    m = F.when(slash, F.get(p, F.lit(0))).otherwise(F.get(p, F.lit(1)))
+    dd = F.when(slash, F.get(p, F.lit(1))).otherwise(F.get(p, F.lit(2)))
     num = lambda x: F.try_to_number(x, F.lit("9999")).cast("int")
     return F.struct(num(y).alias("year"), num(m).alias("month"), num(dd).alias("day"))
 

@@ -185,10 +185,12 @@ def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200,
                       seed: int = 7) -> DataFrame:
     """Poisson-bootstrap percentile CI of the mean per category.
 
-    Each row gets a Poisson(1) weight per replicate from a hash of (row, replicate, seed), so
+    Each row gets a Poisson(1) weight per replicate from a hash of (row id, replicate, seed), so
     replicates are computed in one distributed aggregation, with no resampling pass and no
     group gathered in one task.  Output: (level, mean, ci_low, ci_high)."""
-    rid = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+    # Row identity: position id (stable for a deterministic scan), so duplicate rows draw
+    # independent weights.
+    rid = F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))
     reps = F.sequence(F.lit(1), F.lit(replicates))
     u = lambda r: (F.abs(F.xxhash64(rid, r)) % 1000000007) / F.lit(1000000007.0)
     # Poisson(1) by inversion of its CDF on a uniform draw (support truncated at 7).
@@ -201,8 +203,11 @@ def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200,
             w = F.when(x < cdf[k], F.lit(k)).otherwise(w)
         return w
 
-    long = df.select(F.col(by).cast("string").alias("level"), F.col(value).cast("double").alias("v"),
-                     F.explode(F.transform(reps, lambda r: F.struct(r.alias("rep"), weight(r).alias("w")))).alias("b"))
+    base = df.select(F.col(by).cast("string").alias("level"), F.col(value).cast("double").alias("v"),
+                     rid.alias("__rid"))
+    rid = F.col("__rid")
+    long = base.select("level", "v", F.explode(F.transform(
+        reps, lambda r: F.struct(r.alias("rep"), weight(r).alias("w")))).alias("b"))
     per_rep = long.groupBy("level", "b.rep").agg(
         (F.sum(F.col("v") * F.col("b.w")) / F.nullif(F.sum("b.w"), F.lit(0))).alias("m"))
     ci = per_rep.groupBy("level").agg(

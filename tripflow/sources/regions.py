@@ -62,4 +62,6 @@ def regions_from_records(spark: SparkSession, path: str, default_name: str | Non
 
 def regions_from_rows(spark: SparkSession, rows: Sequence[tuple[str, list]]) -> DataFrame:
     """Region table from in-memory (name, multipolygon coordinates) pairs (small parameters)."""
-    return spark.createDataFrame(list(rows), f"name string, coordinates {MULTIPOLYGON}")
+    def as_float(x):
+        return [as_float(v) for v in x] if isinstance(x, (list, tuple)) else float(x)
+    return spark.createDataFrame([(n, as_float(c)) for n, c in rows], f"name string, coordinates {MULTIPOLYGON}")
