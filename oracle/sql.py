@@ -11,7 +11,7 @@ from tripflow.functions.geo import GEODESIC_ITERATIONS, WGS84_A, WGS84_B, WGS84_
 from tripflow.queries import (DBSCAN_EPS, DBSCAN_MIN_SAMPLES, DBSCAN_SWEEP, K_DISTANCE_K,
                               QUALITY_LABEL_MOD, CATEGORY_COLUMNS, CI_CATEGORIES, DESCRIBE_COLUMNS, HOURLY_NUMERIC, STATS_COLUMNS,
                               TAG_REGIONS, TRIP_REGIONS)
-from tripflow.schema import TRIP_CATEGORY_DECODINGS
+from tripflow.schema import TRIP_CATEGORY_DECODINGS, TRIP_CATEGORY_ENCODINGS
 from tripflow.sources.adapter import TRIPS_FROM_ORDERS_SQL
 
 RAW_TRIPS = TRIPS_FROM_ORDERS_SQL.replace("{orders}", "orders")
@@ -556,6 +556,30 @@ def q_partition_reload() -> str:
     return q_trip_enrich()
 
 
+def q_top_od_pairs() -> str:
+    return _with(_enriched_ctes(), """SELECT start_station, end_station, count(*) AS trips FROM trips
+GROUP BY start_station, end_station ORDER BY trips DESC, start_station, end_station LIMIT 10""")
+
+
+def q_unmapped_categories() -> str:
+    parts = []
+    for src, (_dst, mapping) in TRIP_CATEGORY_ENCODINGS.items():
+        labels = ", ".join(f"'{k}'" for k in mapping)
+        parts.append(f"""SELECT '{src}' AS "column", count(*) FILTER (WHERE {src} IS NOT NULL AND {src} NOT IN ({labels})) AS unmapped FROM raw""")
+    return _with(f"raw AS MATERIALIZED ({RAW_TRIPS})", _union(parts))
+
+
+def q_complete_rows() -> str:
+    cond = " AND ".join(f"{c} IS NOT NULL" for c in RAW_COLUMNS)
+    return _with(f"raw AS ({RAW_TRIPS})", f"""SELECT ptd, count(*) AS rows,
+  count(*) FILTER (WHERE {cond}) AS complete_rows FROM raw GROUP BY ptd""")
+
+
+def q_k_distance_curve() -> str:
+    inner = q_k_distance()
+    return f"SELECT kdist, sum(w) AS weight FROM ({inner}) k GROUP BY kdist"
+
+
 ORACLE = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -590,6 +614,10 @@ ORACLE = {
     "silhouette": q_silhouette,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
+    "top_od_pairs": q_top_od_pairs,
+    "unmapped_categories": q_unmapped_categories,
+    "complete_rows": q_complete_rows,
+    "k_distance_curve": q_k_distance_curve,
 }
 
 

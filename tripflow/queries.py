@@ -340,6 +340,35 @@ def q_partition_reload(spark, sf_dir):
     return load_trip_table(spark, path)
 
 
+def q_top_od_pairs(spark, sf_dir):
+    """The 10 busiest origin-destination pairs (a top-k report: the limit is the feature)."""
+    od = stations.od_counts(trips(spark, sf_dir))
+    return od.orderBy(F.desc("trips"), F.asc("start_station"), F.asc("end_station")).limit(10)
+
+
+def q_unmapped_categories(spark, sf_dir):
+    """Non-NULL labels per raw category column that do not map to a code."""
+    from tripflow.functions.categories import unmapped_report
+    from tripflow.schema import TRIP_CATEGORY_ENCODINGS
+    return unmapped_report(load_raw_trips(spark, sf_dir), TRIP_CATEGORY_ENCODINGS)
+
+
+def q_complete_rows(spark, sf_dir):
+    """Rows per year before and after dropping rows with any NULL."""
+    raw = load_raw_trips(spark, sf_dir)
+    complete = raw.na.drop("any").groupBy("ptd").agg(F.count(F.lit(1)).alias("complete_rows"))
+    total = raw.groupBy("ptd").agg(F.count(F.lit(1)).alias("rows"))
+    return total.join(complete, "ptd", "left").select(
+        "ptd", "rows", F.coalesce("complete_rows", F.lit(0)).alias("complete_rows"))
+
+
+def q_k_distance_curve(spark, sf_dir):
+    """k-distance curve: total weight per distinct k-th neighbour distance (sorted)."""
+    kd = cluster.k_distance(weighted_start_points(spark, sf_dir), K_DISTANCE_K)
+    return (kd.groupBy(_round(F.col("kdist"), 9).alias("kdist")).agg(F.sum("w").alias("weight"))
+            .orderBy("kdist"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -376,4 +405,8 @@ QUERIES: dict[str, QueryFn] = {
     "kmeans_centers": q_kmeans_centers,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
+    "top_od_pairs": q_top_od_pairs,
+    "unmapped_categories": q_unmapped_categories,
+    "complete_rows": q_complete_rows,
+    "k_distance_curve": q_k_distance_curve,
 }
