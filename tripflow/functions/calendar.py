@@ -32,45 +32,38 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def _fixed_set(year: Column):
-    pairs = list(FIXED_HOLIDAYS)
-    out = [(m, d, None) for m, d in pairs]
-    out.append((JUNETEENTH[0], JUNETEENTH[1], year >= JUNETEENTH_FROM))
-    return out
+def _md(d: Column) -> Column:
+    return F.month(d) * 100 + F.dayofmonth(d)
 
 
 def is_us_holiday(d: Column | str) -> Column:
-    """True when the date is a US federal holiday or an observed substitute day."""
+    """True when the date is a US federal holiday or an observed substitute day.
+
+    Evaluated as a handful of membership tests on integer codes (month*100+day for fixed
+    dates; month, weekday and week-of-month for floating ones), so each date field is
+    derived only a few times per row.
+    """
     dt = F.to_date(_col(d))
-    y, m, dd = F.year(dt), F.month(dt), F.dayofmonth(dt)
+    y = F.year(dt)
+    md = _md(dt)
     iso = F.weekday(dt) + 1  # 1 = Monday .. 7 = Sunday
-
-    conds = []
-    for fm, fd, guard in _fixed_set(y):
-        hit = (m == fm) & (dd == fd)
-        conds.append(hit if guard is None else (hit & guard))
-    for fm, wd, nth in FLOATING_HOLIDAYS:
-        if nth > 0:
-            lo, hi = 7 * (nth - 1) + 1, 7 * nth
-            conds.append((m == fm) & (iso == wd) & dd.between(lo, hi))
-        else:
-            last = _DAYS_IN_MONTH[fm]
-            conds.append((m == fm) & (iso == wd) & (dd > last - 7))
-    # Observed substitutes: Friday before a Saturday holiday, Monday after a Sunday one.
-    nxt = F.date_add(dt, 1)
-    prv = F.date_add(dt, -1)
-    for fm, fd, _guard in _fixed_set(y):
-        fri = (iso == 5) & (F.month(nxt) == fm) & (F.dayofmonth(nxt) == fd)
-        mon = (iso == 1) & (F.month(prv) == fm) & (F.dayofmonth(prv) == fd)
-        if (fm, fd) == JUNETEENTH:
-            fri = fri & (F.year(nxt) >= JUNETEENTH_FROM)
-            mon = mon & (F.year(prv) >= JUNETEENTH_FROM)
-        conds.append(fri)
-        conds.append(mon)
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return F.when(dt.isNotNull(), out)
+    dd = F.dayofmonth(dt)
+    fixed = [m * 100 + day for m, day in FIXED_HOLIDAYS]
+    june = JUNETEENTH[0] * 100 + JUNETEENTH[1]
+
+    def fixed_hit(code: Column, year: Column) -> Column:
+        return F.array_contains(F.array(*[F.lit(c) for c in fixed]), code) | ((code == june) & (year >= JUNETEENTH_FROM))
+
+    nth = F.floor((dd - 1) / 7).cast("int") + 1
+    nth_codes = [m * 100 + wd * 10 + n for m, wd, n in FLOATING_HOLIDAYS if n > 0]
+    floating = F.array_contains(F.array(*[F.lit(c) for c in nth_codes]), F.month(dt) * 100 + iso * 10 + nth)
+    for m, wd, n in FLOATING_HOLIDAYS:
+        if n < 0:  # last <weekday> of the month: within the month's final seven days
+            floating = floating | ((F.month(dt) == m) & (iso == wd) & (dd > _DAYS_IN_MONTH[m] - 7))
+    nxt, prv = F.date_add(dt, 1), F.date_add(dt, -1)
+    observed = (((iso == 5) & fixed_hit(_md(nxt), F.year(nxt)))
+                | ((iso == 1) & fixed_hit(_md(prv), F.year(prv))))
+    return F.when(dt.isNotNull(), fixed_hit(md, y) | floating | observed)
 
 
 def holiday_flag(d: Column | str) -> Column:

@@ -37,21 +37,31 @@ def _int_token(tokens: Column, i: int) -> Column:
     return F.get(tokens, F.lit(i)).try_cast("int")
 
 
+def _num(c: Column) -> Column:
+    return c.try_cast("int")
+
+
 def parse_trip_time(c: Column | str, strict: bool = False) -> Column:
     """Parse ``M/d/yyyy H:mm`` or ``yyyy-M-d H:mm:ss`` (padded or not) to TIMESTAMP_NTZ.
 
     Anything else, impossible dates (Feb 30) included, gives NULL; with ``strict=True`` a
-    non-NULL input that does not parse raises instead.
+    non-NULL input that does not parse raises instead.  The layout is validated by an
+    anchored pattern, then fields are cut with plain substring operations.
     """
     s = _col(c)
-    # Separators become spaces so the split takes the single-character fast path.
-    tok = F.split(F.translate(s, "/:-", "   "), " ")
+    date_part = F.substring_index(s, " ", 1)
+    time_part = F.substring_index(s, " ", -1)
     mdy = F.try_make_timestamp_ntz(
-        _int_token(tok, 2), _int_token(tok, 0), _int_token(tok, 1),
-        _int_token(tok, 3), _int_token(tok, 4), F.lit(0))
+        _num(F.substring_index(date_part, "/", -1)), _num(F.substring_index(date_part, "/", 1)),
+        _num(F.substring_index(F.substring_index(date_part, "/", 2), "/", -1)),
+        _num(F.substring_index(time_part, ":", 1)), _num(F.substring_index(time_part, ":", -1)), F.lit(0))
     ymd = F.try_make_timestamp_ntz(
-        _int_token(tok, 0), _int_token(tok, 1), _int_token(tok, 2),
-        _int_token(tok, 3), _int_token(tok, 4), _int_token(tok, 5))
+        _num(F.substring_index(date_part, "-", 1)),
+        _num(F.substring_index(F.substring_index(date_part, "-", 2), "-", -1)),
+        _num(F.substring_index(date_part, "-", -1)),
+        _num(F.substring_index(time_part, ":", 1)),
+        _num(F.substring_index(F.substring_index(time_part, ":", 2), ":", -1)),
+        _num(F.substring_index(time_part, ":", -1)))
     ts = F.when(s.rlike(MDY_HM_RE), mdy).when(s.rlike(YMD_HMS_RE), ymd)
     if strict:
         ts = F.when(s.isNotNull() & ts.isNull(),

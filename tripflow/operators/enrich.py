@@ -43,6 +43,8 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     st = timefn.parse_trip_time("start_time", strict=strict_time)
     et = timefn.parse_trip_time("end_time", strict=False)
     df = df.withColumns({"start_datetime": st, "end_datetime": et})
+    # Holiday once per row; working day reuses it.
+    df = df.withColumn("holiday", calendar.holiday_flag("start_datetime"))
     s = F.col("start_datetime")
     coords = [F.col(c) for c in COORDS]
     derived = {
@@ -51,8 +53,7 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
         "used_date": timefn.date_label(s),
         "used_hour": F.hour(s).cast("int"),
         "season": timefn.season(s),
-        "holiday": calendar.holiday_flag(s),
-        "workingday": calendar.workingday_flag(s),
+        "workingday": F.when(s.isNotNull(), ((F.weekday(s) < 5) & (F.col("holiday") == 0)).cast("int")),
         "start_hour": timefn.hour_label(s),
     }
     for src, (dst, mapping) in TRIP_CATEGORY_ENCODINGS.items():

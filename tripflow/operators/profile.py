@@ -14,8 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tripflow.plans.sizing import broadcast_if_small
-from tripflow.session import ensure_checkpoint_dir
+from tripflow.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, materialize, persist_counted
 
 BASIC_STATS = ["count", "mean", "stddev", "min", "max"]
 
@@ -49,35 +48,30 @@ def describe_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | No
     return _stack(wide, keys, cols, BASIC_STATS)
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None,
-                    probs: Sequence[float] = (0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation between order statistics (the common
-    ``describe`` definition: position p * (n - 1)).
-
-    Values of every (group, column) are range-partitioned and sorted across the cluster;
-    each row learns its global rank from per-partition block counts (a table of at most
-    partitions x groups rows), and only rows sitting at a target rank are kept.  A hot group
-    spreads over many partitions instead of landing in one task.
-
-    Output: (by..., column, q, value) with q in ``probs``.
-    """
-    keys = [by] if isinstance(by, str) else list(by or [])
+def _sorted_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """(keys..., column, v, pid, local) range-partitioned by (keys, column, v), sorted within
+    partitions, checkpointed so every later use sees the same partitioning."""
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__x"))
     long = long.select(*keys, "__x.column", "__x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
-    gkeys = keys + ["column"]
+    gkeys = list(keys) + ["column"]
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = long.repartitionByRange(n_parts, *gkeys, "v").sortWithinPartitions(*gkeys, "v")
     ordered = ordered.select(*gkeys, "v", F.spark_partition_id().alias("pid"),
                              F.monotonically_increasing_id().alias("mid"))
     # Row index within its partition (mid = pid << 33 | index).
-    ordered = ordered.withColumn("local", F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33))
-    # Both the block counts and the ranked rows must see the same partitioning: cut the
-    # lineage with a reliable checkpoint in the shared checkpoint folder.
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = ordered.checkpoint(eager=True)
+    ordered = ordered.select(*gkeys, "v", "pid",
+                             (F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33)).alias("local"))
+    # The block counts and the ranked rows must see the same partitioning: store the rows
+    # with their (pid, local) positions in the shared checkpoint folder, cutting the lineage.
+    return materialize(ordered, "sorted")
+
+
+def _quantiles_from_sorted(ordered: DataFrame, gkeys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    gkeys = list(gkeys)
     blocks = ordered.groupBy(*gkeys, "pid").agg(F.count(F.lit(1)).alias("cnt"), F.min("local").alias("start"))
     from pyspark.sql.window import Window
+    # One row per (group, partition): the window sees at most `partitions` rows per group.
     w = Window.partitionBy(*gkeys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
     totals = blocks.groupBy(*gkeys).agg(F.sum("cnt").alias("n"))
@@ -86,10 +80,13 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str
     targets = targets.withColumn("pos", F.col("q") * (F.col("n") - 1))
     targets = targets.withColumn("lo", F.floor("pos").cast("long")).withColumn("hi", F.ceil("pos").cast("long"))
     wanted = targets.select(*gkeys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank")).distinct()
-    blocks_b = broadcast_if_small(blocks.select(*gkeys, "pid", "start", "offset"))
-    ranked = ordered.join(blocks_b, gkeys + ["pid"]).select(
+    blocks_b, n_blocks = persist_counted(blocks.select(*gkeys, "pid", "start", "offset"))
+    small = n_blocks <= DEFAULT_MAX_BROADCAST_ROWS
+    ranked = ordered.join(F.broadcast(blocks_b) if small else blocks_b, gkeys + ["pid"]).select(
         *gkeys, "v", (F.col("offset") + F.col("local") - F.col("start")).alias("rank"))
-    hits = ranked.join(broadcast_if_small(wanted), gkeys + ["rank"])
+    # At most 2 target ranks per probability per group, and groups <= blocks: bounded.
+    wanted_small = 2 * len(probs) * n_blocks <= DEFAULT_MAX_BROADCAST_ROWS
+    hits = ranked.join(F.broadcast(wanted) if wanted_small else wanted, gkeys + ["rank"])
     lo = hits.withColumnsRenamed({"rank": "lo", "v": "v_lo"})
     hi = hits.withColumnsRenamed({"rank": "hi", "v": "v_hi"})
     out = targets.join(lo, gkeys + ["lo"]).join(hi, gkeys + ["hi"])
@@ -97,16 +94,40 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str
     return out.select(*gkeys, "q", value.alias("value"))
 
 
-def describe_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None) -> DataFrame:
-    """The 8 ``describe`` statistics: count, mean, std, min, 25%, 50%, 75%, max."""
+def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None,
+                    probs: Sequence[float] = (0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation between order statistics (the common
+    ``describe`` definition: position p * (n - 1)).
+
+    Values of every (group, column) are range-partitioned and sorted across the cluster;
+    each row learns its global rank from per-partition block counts (a table of at most
+    partitions x groups rows), and only rows sitting at a target rank are kept.  A hot group
+    spreads over many partitions instead of landing in one task.
+
+    Output: (by..., column, q, value) with q in ``probs``.
+    """
     keys = [by] if isinstance(by, str) else list(by or [])
-    basic = describe_by(df, cols, keys)
-    q = exact_quantiles(df, cols, keys)
-    wide_q = q.groupBy(*keys, "column").agg(
+    ordered = _sorted_long(df, cols, keys, partitions)
+    return _quantiles_from_sorted(ordered, keys + ["column"], probs)
+
+
+def describe_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None,
+                       partitions: int | None = None) -> DataFrame:
+    """The 8 ``describe`` statistics: count, mean, std, min, 25%, 50%, 75%, max.  Basic
+    statistics and quartiles both come from one checkpointed, sorted long table, so the
+    input is read once."""
+    keys = [by] if isinstance(by, str) else list(by or [])
+    gkeys = keys + ["column"]
+    ordered = _sorted_long(df, cols, keys, partitions)
+    basic = ordered.groupBy(*gkeys).agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("stddev"),
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    q = _quantiles_from_sorted(ordered, gkeys, (0.25, 0.5, 0.75))
+    wide_q = q.groupBy(*gkeys).agg(
         F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
         F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("p75"))
-    out = basic.join(wide_q, keys + ["column"], "left")
+    out = basic.join(wide_q, gkeys, "left")
     return out.select(*keys, "column", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max")
 
 
@@ -149,16 +170,19 @@ def _pairs(cols: Sequence[str], lower: bool):
 
 def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: str = "corr") -> DataFrame:
     """Pearson correlation (pairwise-complete rows) of every column pair i < j; long output
-    (col_a, col_b, value).  Each row is unpivoted to one (pair, x, y) record per pair and a
-    single grouped aggregate (partial, then final per pair) does all pairs at once.
-    ``lower=True`` adds the mirrored half."""
+    (col_a, col_b, value).  Each row is unpivoted to one (pair id, x, y) record per pair and
+    a single grouped aggregate (partial, then final per pair id) handles all pairs; names are
+    attached to the one-row-per-pair result.  ``lower=True`` adds the mirrored half."""
     fn = {"corr": F.corr, "covar_samp": F.covar_samp, "covar_pop": F.covar_pop}[method]
     pairs = _pairs(cols, False)
-    recs = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                              F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                     for a, b in pairs])
-    long = df.select(F.explode(recs).alias("__p")).select("__p.*")
-    out = long.groupBy("col_a", "col_b").agg(fn("x", "y").alias("value"))
+    recs = F.array(*[F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                     for i, (a, b) in enumerate(pairs)])
+    agg = df.select(F.explode(recs).alias("__p")).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(
+        fn("x", "y").alias("value"))
+    names_a = F.array(*[F.lit(a) for a, _ in pairs])
+    names_b = F.array(*[F.lit(b) for _, b in pairs])
+    out = agg.select(F.element_at(names_a, F.col("k") + 1).alias("col_a"),
+                     F.element_at(names_b, F.col("k") + 1).alias("col_b"), "value")
     if lower:
         out = out.unionByName(out.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))
     return out

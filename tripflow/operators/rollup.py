@@ -62,24 +62,28 @@ def hourly_usage(trips: DataFrame, region: str | None = "LA", region_col: str =
 
 
 def fill_hour_gaps(rollup: DataFrame, hour_col: str = "start_hour", zero_cols: Sequence[str] | None = None) -> DataFrame:
-    """Left-join the rollup onto the hour spine from its first to its last hour, so hours
-    without trips appear with zero counts.  The spine is generated by Spark from the
-    rollup's own bounds (one small aggregate), exploded per day so no row holds it whole."""
-    ts = F.to_timestamp_ntz(F.col(hour_col), F.lit("yyyy-MM-dd HH:mm:ss"))
-    bounds = rollup.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    days = bounds.select(F.explode(spine_column(F.to_date("lo").cast("timestamp_ntz"),
-                                                F.to_date("hi").cast("timestamp_ntz"), "D")).alias("day"),
-                         "lo", "hi")
-    # A single-day range gives an empty day sequence: fall back to the one day.
-    days = days.unionByName(bounds.where(F.to_date("lo") == F.to_date("hi"))
-                            .select(F.to_date("lo").cast("timestamp_ntz").alias("day"), "lo", "hi"))
-    hours = days.select(F.explode(F.transform(F.sequence(F.lit(0), F.lit(23)),
-                                              lambda h: F.timestamp_add("HOUR", h, F.col("day")))).alias("ts"),
-                        "lo", "hi").where(F.col("ts").between(F.col("lo"), F.col("hi")))
+    """Left-join the rollup onto every clock hour from its first to its last hour, so hours
+    without trips appear with zero counts.
+
+    The rollup (one row per hour with trips, bounded by the time span) is persisted because
+    it is read twice: once for its bounds (two scalars) and once for the join.  The spine is
+    generated by ``spark.range`` - split across tasks, never one array in one row.
+    """
     from tripflow.functions.timefn import hour_label
-    spine = hours.select(hour_label("ts").alias(hour_col))
+    from pyspark import StorageLevel
+
+    rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
+    ts = F.to_timestamp_ntz(F.col(hour_col), F.lit("yyyy-MM-dd HH:mm:ss"))
+    lo, hi = rollup.agg(F.min(ts), F.max(ts)).first()
+    spark = rollup.sparkSession
     zero_cols = list(zero_cols) if zero_cols is not None else [
         c for c in rollup.columns if c.endswith("_count") or c == "total_duration"]
+    if lo is None:
+        return rollup
+    hours = int((hi - lo).total_seconds() // 3600) + 1
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), hours // 10000 + 1))
+    spine = spark.range(0, hours, 1, parts).select(
+        hour_label(F.timestamp_add("HOUR", F.col("id"), F.lit(lo).cast("timestamp_ntz"))).alias(hour_col))
     out = spine.join(rollup, hour_col, "left")
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast("long")) for c in zero_cols})
     hour = F.substring(F.col(hour_col), 12, 2).cast("int")

@@ -13,11 +13,26 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     """Persist ``df`` (a derived, usually small table), count it, and mark it for broadcast
     only when it has at most ``max_rows`` rows.  Larger inputs stay a normal join side, so
     the join becomes a shuffle join instead of an oversized broadcast."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.count()
+    kept, n = persist_counted(df)
     return F.broadcast(kept) if n <= max_rows else kept
 
 
+def persist_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Persist (memory, spilling to disk) and count in one job."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count()
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet into the shared checkpoint folder and reading
+    it back (columnar and compact; survives executor loss like ``checkpoint()``)."""
+    from tripflow.sources.sinks import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded_rows(df: DataFrame, max_rows: int, what: str) -> int:
     """Count ``df`` and fail when it exceeds ``max_rows`` (for steps whose result is a
     summary table that must stay small, e.g. one row per cluster)."""
