@@ -476,7 +476,7 @@ cum AS (SELECT id_a, d, sum(w_b) OVER (PARTITION BY id_a ORDER BY d RANGE BETWEE
 def _dbscan_body(settings) -> str:
     ms = ", ".join(f"({m})" for m in settings)
     return START_POINTS + ",\n" + _pair_cte(DBSCAN_EPS) + f""",
-deg AS (SELECT id_a AS id, sum(w_b) AS degree FROM pairs GROUP BY id_a),
+deg AS (SELECT id_a AS id, CAST(sum(w_b) AS BIGINT) AS degree FROM pairs GROUP BY id_a),
 settings AS (SELECT * FROM (VALUES {ms}) s(ms)),
 nodes AS MATERIALIZED (SELECT s.ms, p.id, p.x, p.y, p.w, d.degree, d.degree >= s.ms AS is_core
         FROM pts p JOIN deg d ON d.id = p.id CROSS JOIN settings s),
@@ -504,7 +504,7 @@ def q_dbscan() -> str:
 
 
 def q_dbscan_sweep() -> str:
-    tail = """SELECT ms AS min_samples, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS clusters,
+    tail = """SELECT CAST(ms AS BIGINT) AS min_samples, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS clusters,
   count(*) FILTER (WHERE label = -1) AS noise_points, count(*) FILTER (WHERE is_core) AS core_points,
   count(*) FILTER (WHERE label <> -1 AND NOT is_core) AS border_points,
   CAST(coalesce(sum(CASE WHEN label = -1 THEN w END), 0) AS BIGINT) AS noise_weight
@@ -577,7 +577,7 @@ def q_complete_rows() -> str:
 
 def q_k_distance_curve() -> str:
     inner = q_k_distance()
-    return f"SELECT kdist, sum(w) AS weight FROM ({inner}) k GROUP BY kdist"
+    return f"SELECT kdist, CAST(sum(w) AS BIGINT) AS weight FROM ({inner}) k GROUP BY kdist"
 
 
 ORACLE = {
