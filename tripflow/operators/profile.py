@@ -177,7 +177,11 @@ def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: s
     pairs = _pairs(cols, False)
     recs = F.array(*[F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
                      for i, (a, b) in enumerate(pairs)])
-    agg = df.select(F.explode(recs).alias("__p")).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(
+    # Spread rows before the pairs-fold expansion: the input shuffle is small next to the
+    # work it parallelises, and an explicit count is not coalesced away by AQE.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = df.select(*[F.col(c) for c in cols]).repartition(n)
+    agg = src.select(F.explode(recs).alias("__p")).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(
         fn("x", "y").alias("value"))
     names_a = F.array(*[F.lit(a) for a, _ in pairs])
     names_b = F.array(*[F.lit(b) for _, b in pairs])
