@@ -98,3 +98,17 @@ def test_station_operators(spark):
     diff = sorted(tuple(r) for r in stations.set_diff(t, "start_station", "end_station").collect())
     assert diff == [(30, "end_station")]
     assert not stations.sets_equal(t, "start_station", "end_station")
+
+
+def test_quantiles_hot_value_spreads(spark):
+    import pyspark.sql.functions as F
+    from tripflow.operators.profile import _sorted_long
+    # 90% of rows share one value: the salted range partitioning still spreads them.
+    df = spark.range(20000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).cast("double").alias("v"))
+    o = _sorted_long(df, ["v"], [], 8)
+    per_part = [r["n"] for r in o.groupBy("pid").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(per_part) < 0.5 * 20000
+    got = {r["q"]: r["value"] for r in profile.exact_quantiles(df, ["v"], partitions=8).collect()}
+    vals = np.array([i if i % 10 == 0 else 5 for i in range(20000)], dtype=float)
+    for q, v in got.items():
+        assert abs(v - np.percentile(vals, q * 100)) < 1e-9

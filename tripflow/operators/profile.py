@@ -56,7 +56,10 @@ def _sorted_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partit
     long = long.select(*keys, "__x.column", "__x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
     gkeys = list(keys) + ["column"]
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = long.repartitionByRange(n_parts, *gkeys, "v").sortWithinPartitions(*gkeys, "v")
+    # A deterministic salt breaks ties, so a value repeated in a third of all rows can still
+    # be split across range partitions (equal values have equal ranks' values anyway).
+    long = long.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = long.repartitionByRange(n_parts, *gkeys, "v", "__salt").sortWithinPartitions(*gkeys, "v", "__salt")
     ordered = ordered.select(*gkeys, "v", F.spark_partition_id().alias("pid"),
                              F.monotonically_increasing_id().alias("mid"))
     # Row index within its partition (mid = pid << 33 | index).
@@ -102,7 +105,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str
     Values of every (group, column) are range-partitioned and sorted across the cluster;
     each row learns its global rank from per-partition block counts (a table of at most
     partitions x groups rows), and only rows sitting at a target rank are kept.  A hot group
-    spreads over many partitions instead of landing in one task.
+    spreads over many partitions instead of landing in one task, and a salted sort key
+    splits even a single value repeated across a third of all rows.
 
     Output: (by..., column, q, value) with q in ``probs``.
     """
