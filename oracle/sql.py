@@ -522,7 +522,7 @@ cent AS (SELECT label, avg(x) AS cx, avg(y) AS cy FROM lp GROUP BY label),
 sc AS (SELECT lp.label, avg(sqrt(pow(lp.x - c.cx, 2) + pow(lp.y - c.cy, 2))) AS s FROM lp JOIN cent c USING (label)
        GROUP BY lp.label),
 info AS (SELECT c.label, c.cx, c.cy, s.s FROM cent c JOIN sc s USING (label))"""
-    tail = """SELECT round(avg(r), 9) AS davies_bouldin FROM (
+    tail = """SELECT round(avg(r), 6) AS davies_bouldin FROM (
   SELECT a.label, max((a.s + b.s) / sqrt(pow(a.cx - b.cx, 2) + pow(a.cy - b.cy, 2))) AS r
   FROM info a JOIN info b ON a.label <> b.label GROUP BY a.label) t"""
     return _with(body, tail)
@@ -539,7 +539,7 @@ per AS (SELECT d.x, d.y, d.label, d.w,
           min(CASE WHEN d.lb <> d.label THEN d.ssum / c.W END) AS b,
           max(CASE WHEN d.lb = d.label THEN c.W END) AS own_w
         FROM dist d JOIN csz c ON c.label = d.lb GROUP BY d.x, d.y, d.label, d.w)"""
-    tail = """SELECT round(sum(w * CASE WHEN own_w <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END) / sum(w), 9) AS silhouette
+    tail = """SELECT round(sum(w * CASE WHEN own_w <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END) / sum(w), 6) AS silhouette
 FROM per"""
     return _with(body, tail)
 

@@ -290,12 +290,12 @@ def _labelled_points(spark, sf_dir):
 
 def q_davies_bouldin(spark, sf_dir):
     d = cluster.davies_bouldin_df(_labelled_points(spark, sf_dir), ["x", "y"], "label")
-    return d.select(_round(F.col("davies_bouldin"), 9).alias("davies_bouldin"))
+    return d.select(_round(F.col("davies_bouldin"), 6).alias("davies_bouldin"))
 
 
 def q_silhouette(spark, sf_dir):
     s = cluster.silhouette_df(_labelled_points(spark, sf_dir), ["x", "y"], "label")
-    return s.select(_round(F.col("silhouette"), 9).alias("silhouette"))
+    return s.select(_round(F.col("silhouette"), 6).alias("silhouette"))
 
 
 def _kmeans(spark, sf_dir):
