@@ -41,20 +41,26 @@ def main() -> None:
 
     spark = build_local_session(cpus, app="tripflow-bench", shuffle_partitions=int(cpus) * 2)
     times = {}
+    failed: list[str] = []
     for name in only or HEADLINE:
         fn = QUERIES[name]
         samples = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i > 0:
-                samples.append(dt)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i > 0:
+                    samples.append(dt)
+        except Exception as e:  # noqa: BLE001 - record the failure, keep benchmarking the rest
+            print(f"# {name}: FAILED {type(e).__name__}: {str(e)[:200]}", file=sys.stderr, flush=True)
+            failed.append(name)
+            continue
         times[name] = round(statistics.median(samples), 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs, "failed": failed}))
     spark.stop()
 
 

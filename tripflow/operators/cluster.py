@@ -178,8 +178,10 @@ def k_distance(points: DataFrame, k: int, x: str = "x", y: str = "y", radius: fl
     every point within that radius is found, so a point whose cumulative neighbour weight
     reaches k inside the radius has its exact answer.  Only unresolved points go on.
     Output: (id, x, y, w, kdist)."""
+    b = points.agg(F.max(x) - F.min(x), F.max(y) - F.min(y), F.count(F.lit(1)), F.sum("w")).first()
+    if b[3] is None or b[3] < k:
+        raise ValueError(f"k_distance: total weight {b[3]} is below k={k}")
     if radius is None:
-        b = points.agg(F.max(x) - F.min(x), F.max(y) - F.min(y), F.count(F.lit(1))).first()
         extent = max(float(b[0] or 0.0), float(b[1] or 0.0), 1e-12)
         radius = extent / max(1.0, float(b[2]) ** 0.5)
     todo = points.select("id", x, y, "w")

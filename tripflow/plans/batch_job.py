@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.profile import describe_by
 from tripflow.operators.rollup import hourly_usage, sum_by
+from tripflow.plans.sizing import release_persisted
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA
 from tripflow.sources.sinks import export_csv, write_partitioned
 from tripflow.sources.trips_csv import read_period_csv, trips_with_period
@@ -36,6 +37,7 @@ def build_trip_table(spark: SparkSession, src_dir: str, dw_path: str, regions: D
         enriched.write.mode("overwrite").partitionBy("ptd").parquet(dw_path)
     else:
         write_partitioned(enriched, dw_path, "ptd")
+    release_persisted()
     return load_trip_table(spark, dw_path)
 
 

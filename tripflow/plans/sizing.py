@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+# Frames persisted by the size checks, so a job can release them when it is done
+# (a long-running stream must not keep one per micro-batch).
+_PERSISTED: list[DataFrame] = []
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Persist ``df`` (a derived, usually small table), count it, and mark it for broadcast
@@ -20,9 +24,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 def persist_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Persist (memory, spilling to disk) and count in one job."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(kept)
     return kept, kept.count()
 
 
+def release_persisted() -> int:
+    """Unpersist every frame persisted by the size checks so far; returns how many."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+    return n
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet into the shared checkpoint folder and reading
     it back (columnar and compact; survives executor loss like ``checkpoint()``)."""

@@ -369,6 +369,12 @@ def q_k_distance_curve(spark, sf_dir):
             .orderBy("kdist"))
 
 
+def q_mean_ci_bootstrap(spark, sf_dir):
+    """Poisson-bootstrap CI of hourly usage per working-day flag (hash-seeded weights)."""
+    m = profile.mean_ci_bootstrap(_hourly(spark, sf_dir), "used_count", "workingday", replicates=100)
+    return m.select("level", *[_round(F.col(c)).alias(c) for c in ("mean", "ci_low", "ci_high")])
+
+
 QUERIES: dict[str, QueryFn] = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -409,4 +415,5 @@ QUERIES: dict[str, QueryFn] = {
     "unmapped_categories": q_unmapped_categories,
     "complete_rows": q_complete_rows,
     "k_distance_curve": q_k_distance_curve,
+    "mean_ci_bootstrap": q_mean_ci_bootstrap,
 }

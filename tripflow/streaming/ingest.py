@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.operators.enrich import enrich_trips
+from tripflow.plans.sizing import release_persisted
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA
 from tripflow.sources.trips_csv import PERIOD_REGEX, TRIP_FILE_PREFIX
@@ -40,6 +41,7 @@ def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoin
         rows = batch.where(F.col("period").isNotNull()).select(*raw_cols, "ptd")
         enriched = enrich_trips(rows, regions)
         (enriched.write.mode("overwrite").partitionBy("ptd").parquet(f"{dw_path.rstrip('/')}/batch={batch_id}"))
+        release_persisted()  # the batch's size-checked lookup tables are no longer needed
 
     w = (trip_file_stream(spark, src_dir, max_files_per_trigger).writeStream
          .option("checkpointLocation", checkpoint_location).foreachBatch(load))
