@@ -78,10 +78,13 @@ def workingday_flag(d: Column | str) -> Column:
 
 
 def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """One row per holiday date (incl. observed days) in [first_year, last_year]."""
-    days = spark.range(1).select(F.explode(F.sequence(
-        F.make_date(F.lit(first_year), F.lit(1), F.lit(1)),
-        F.make_date(F.lit(last_year), F.lit(12), F.lit(31)))).alias("date"))
+    """One row per holiday date (incl. observed days) in [first_year, last_year]; the days
+    come from a distributed ``spark.range``."""
+    import datetime as _dt
+
+    start, end = _dt.date(first_year, 1, 1), _dt.date(last_year, 12, 31)
+    n = (end - start).days + 1
+    days = spark.range(0, n).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("date"))
     return days.filter(is_us_holiday("date"))
 
 

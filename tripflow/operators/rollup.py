@@ -106,12 +106,21 @@ def fill_gaps(df: DataFrame, key: str, unit: str = "D", step: int = 1,
               zero_cols: Sequence[str] | None = None) -> DataFrame:
     """Left-join ``df`` onto the spine of ``key`` values (a date or timestamp column) from its
     minimum to its maximum every ``step`` ``unit``; missing keys get 0 in ``zero_cols`` and
-    NULL elsewhere.  The spine length is the calendar span, not the data volume."""
+    NULL elsewhere.  ``df`` (an aggregate, bounded by the calendar span) is persisted since it
+    is read for its bounds and for the join; the spine is a distributed ``spark.range``."""
+    from pyspark import StorageLevel
+
+    from tripflow.functions.timefn import spine_frame
+
     key_type = dict(df.dtypes)[key]
-    bounds = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    pts = bounds.select(F.explode(F.when(F.col("lo") == F.col("hi"), F.array(F.col("lo").cast("timestamp_ntz")))
-                                  .otherwise(spine_column(F.col("lo"), F.col("hi"), unit, step))).alias("__k"))
-    spine = pts.select(F.col("__k").cast(key_type).alias(key))
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return df
+    if lo == hi:
+        spine = df.sparkSession.range(1).select(F.lit(lo).cast(key_type).alias(key))
+    else:
+        spine = spine_frame(df.sparkSession, lo, hi, unit, step).select(F.col("ts").cast(key_type).alias(key))
     out = spine.join(df, key, "left")
     zero_cols = list(zero_cols or [])
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero_cols}).select(*df.columns)

@@ -59,9 +59,12 @@ def _round(c, n=6):
     return F.round(c, n)
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched trips over the whole ``orders``-derived trip feed."""
-    return enrich_trips(load_raw_trips(spark, sf_dir), regions_from_rows(spark, TRIP_REGIONS))
+def trips(spark: SparkSession, sf_dir: str, with_region: bool = True) -> DataFrame:
+    """Enriched trips over the whole ``orders``-derived trip feed.  Queries whose result does
+    not read ``city_name`` pass ``with_region=False`` and skip the region-tagging job (the
+    column is then the default label) - the same outcome as pruning an unused column."""
+    regions = regions_from_rows(spark, TRIP_REGIONS) if with_region else None
+    return enrich_trips(load_raw_trips(spark, sf_dir), regions)
 
 
 def q_trip_enrich(spark, sf_dir):
@@ -70,7 +73,7 @@ def q_trip_enrich(spark, sf_dir):
 
 def q_calendar_flags(spark, sf_dir):
     """Calendar flags of every distinct trip start date."""
-    t = trips(spark, sf_dir).select(F.to_date("start_datetime").alias("d")).where(F.col("d").isNotNull()).distinct()
+    t = trips(spark, sf_dir, with_region=False).select(F.to_date("start_datetime").alias("d")).where(F.col("d").isNotNull()).distinct()
     return t.select(
         timefn.date_label("d").alias("used_date"),
         (F.weekday("d") + 1).cast("int").alias("iso_weekday"),
@@ -89,7 +92,7 @@ def q_hour_rollup_filled(spark, sf_dir):
 
 
 def q_distance_by_bike(spark, sf_dir):
-    t = trips(spark, sf_dir).where(F.col("trip_route_type") == 1)
+    t = trips(spark, sf_dir, with_region=False).where(F.col("trip_route_type") == 1)
     return t.groupBy("bike_id").agg(
         _round(F.sum("distance"), 1).alias("sum_distance_m"),
         _round(F.sum("distance_cal"), 3).alias("sum_distance_km"),
@@ -120,16 +123,16 @@ def q_region_tag(spark, sf_dir):
 
 
 def q_partition_counts(spark, sf_dir):
-    return count_by_partition(trips(spark, sf_dir), "ptd")
+    return count_by_partition(trips(spark, sf_dir, with_region=False), "ptd")
 
 
 def q_partition_stats(spark, sf_dir):
-    d = profile.describe_by(trips(spark, sf_dir), STATS_COLUMNS, by="ptd")
+    d = profile.describe_by(trips(spark, sf_dir, with_region=False), STATS_COLUMNS, by="ptd")
     return d.select("ptd", "column", "count", *[_round(F.col(c)).alias(c) for c in ("mean", "stddev", "min", "max")])
 
 
 def q_partition_quartiles(spark, sf_dir):
-    d = profile.describe_quartiles(trips(spark, sf_dir), DESCRIBE_COLUMNS, by="ptd")
+    d = profile.describe_quartiles(trips(spark, sf_dir, with_region=False), DESCRIBE_COLUMNS, by="ptd")
     stats = ("mean", "stddev", "min", "p25", "p50", "p75", "max")
     return d.select("ptd", "column", "count", *[_round(F.col(c)).alias(c) for c in stats])
 
@@ -139,13 +142,13 @@ def q_null_audit(spark, sf_dir):
 
 
 def q_category_counts(spark, sf_dir):
-    return profile.category_counts(trips(spark, sf_dir), CATEGORY_COLUMNS)
+    return profile.category_counts(trips(spark, sf_dir, with_region=False), CATEGORY_COLUMNS)
 
 
 def q_category_decode(spark, sf_dir):
     """Trips per decoded label combination (codes -> labels, unknown code -> NULL)."""
     from tripflow.schema import TRIP_CATEGORY_DECODINGS
-    t = trips(spark, sf_dir)
+    t = trips(spark, sf_dir, with_region=False)
     labels = [decode(c, m).alias(f"{c}_label") for c, m in TRIP_CATEGORY_DECODINGS.items()]
     return t.select(*labels).groupBy(*[f"{c}_label" for c in TRIP_CATEGORY_DECODINGS]).agg(
         F.count(F.lit(1)).alias("trips"))
@@ -172,19 +175,19 @@ def q_mean_ci_by_category(spark, sf_dir):
 
 
 def q_station_dim(spark, sf_dir):
-    return stations.station_dim(trips(spark, sf_dir))
+    return stations.station_dim(trips(spark, sf_dir, with_region=False))
 
 
 def q_station_activity(spark, sf_dir):
-    return stations.station_activity(trips(spark, sf_dir))
+    return stations.station_activity(trips(spark, sf_dir, with_region=False))
 
 
 def q_od_counts(spark, sf_dir):
-    return stations.od_counts(trips(spark, sf_dir))
+    return stations.od_counts(trips(spark, sf_dir, with_region=False))
 
 
 def q_station_share(spark, sf_dir):
-    s = stations.station_share(trips(spark, sf_dir))
+    s = stations.station_share(trips(spark, sf_dir, with_region=False))
     return s.select("station", "starts", "ends", "round_trips", "touching",
                     _round(F.col("share"), 8).alias("share"), _round(F.col("self_loop_share"), 8).alias("self_loop_share"))
 
@@ -234,7 +237,7 @@ def q_time_functions(spark, sf_dir):
 def q_date_spine(spark, sf_dir):
     """Trips per calendar day from the first to the last trip day, zero-filled."""
     from tripflow.operators.rollup import fill_gaps
-    t = trips(spark, sf_dir)
+    t = trips(spark, sf_dir, with_region=False)
     daily = t.groupBy(F.to_date("start_datetime").alias("day")).agg(F.count(F.lit(1)).alias("trips"))
     daily = daily.where(F.col("day").isNotNull())
     filled = fill_gaps(daily, "day", "D", zero_cols=["trips"])
@@ -244,7 +247,7 @@ def q_date_spine(spark, sf_dir):
 
 def q_month_shift(spark, sf_dir):
     """Month shifts of every distinct trip day: clamped and strict forms."""
-    days = trips(spark, sf_dir).select(F.to_date("start_datetime").alias("d")).where(F.col("d").isNotNull()).distinct()
+    days = trips(spark, sf_dir, with_region=False).select(F.to_date("start_datetime").alias("d")).where(F.col("d").isNotNull()).distinct()
     cols = [timefn.date_label("d").alias("day")]
     for n in (1, -1, -13, 12):
         tag = f"p{n}" if n >= 0 else f"m{-n}"
@@ -342,7 +345,7 @@ def q_partition_reload(spark, sf_dir):
 
 def q_top_od_pairs(spark, sf_dir):
     """The 10 busiest origin-destination pairs (a top-k report: the limit is the feature)."""
-    od = stations.od_counts(trips(spark, sf_dir))
+    od = stations.od_counts(trips(spark, sf_dir, with_region=False))
     return od.orderBy(F.desc("trips"), F.asc("start_station"), F.asc("end_station")).limit(10)
 
 
