@@ -152,3 +152,15 @@ def test_components_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(n - 1)] + [(i + 1, i) for i in range(n - 1)], "src long, dst long")
     comps = cluster.connected_components(nodes, edges)
     assert {r["comp"] for r in comps.collect()} == {0}
+
+
+def test_dense_rank_distributed(spark):
+    from tripflow.plans.ranking import dense_rank_distributed
+    rng = np.random.default_rng(8)
+    g = rng.choice([1, 2], 500, p=[0.9, 0.1])
+    v = rng.integers(0, 300, 500)
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(g, v)], "g long, v long")
+    got = {(r["g"], r["v"]): r["rank"] for r in dense_rank_distributed(df, ["g"], ["v"], partitions=7).collect()}
+    for grp in (1, 2):
+        vals = sorted(set(int(b) for a, b in zip(g, v) if a == grp))
+        assert [got[(grp, x)] for x in vals] == list(range(len(vals)))

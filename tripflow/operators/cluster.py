@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripflow.plans.ranking import dense_rank_distributed
 from tripflow.session import ensure_checkpoint_dir
 
 DEFAULT_MAX_CLUSTERS = 100_000
@@ -142,8 +143,7 @@ def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: s
               .groupBy("ms", F.col("id_a").alias("id")).agg(F.min("comp").alias("comp")))
     member = comps.unionByName(border)
     # Number clusters 0.. per setting by their smallest member (a table of one row per cluster).
-    ranks = member.select("ms", "comp").distinct().withColumn(
-        "label", (F.dense_rank().over(Window.partitionBy("ms").orderBy("comp")) - 1).cast("long"))
+    ranks = dense_rank_distributed(member, ["ms"], ["comp"], "label")
     labelled = member.join(ranks, ["ms", "comp"]).select("ms", "id", "label")
     out = nodes.join(labelled, ["ms", "id"], "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
     return out.select(F.col("ms").alias("min_samples"), "id", x, y, "w", "degree", "is_core", "label")
