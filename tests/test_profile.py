@@ -112,3 +112,10 @@ def test_quantiles_hot_value_spreads(spark):
     vals = np.array([i if i % 10 == 0 else 5 for i in range(20000)], dtype=float)
     for q, v in got.items():
         assert abs(v - np.percentile(vals, q * 100)) < 1e-9
+
+
+def test_preview_and_sweep_filter(spark):
+    from tripflow.operators.cluster import settings_with_clusters
+    assert [r["id"] for r in profile.preview(spark.range(100), 3, ["id"]).collect()] == [0, 1, 2]
+    summ = spark.createDataFrame([(900, 5), (1100, 3), (1150, 3)], "min_samples long, clusters long")
+    assert sorted(r[0] for r in settings_with_clusters(summ, 3).collect()) == [1100, 1150]

@@ -165,6 +165,11 @@ def dbscan_summary(labels: DataFrame, by: Sequence[str] = ("min_samples",)) -> D
         F.coalesce(F.sum(F.when(noise, F.col("w"))), F.lit(0)).alias("noise_weight"))
 
 
+def settings_with_clusters(summary: DataFrame, clusters: int) -> DataFrame:
+    """Sweep settings (rows of ``dbscan_summary``) that produced exactly ``clusters`` clusters."""
+    return summary.where(F.col("clusters") == clusters)
+
+
 # --------------------------------------------------------------------------------------
 # k-distance
 # --------------------------------------------------------------------------------------

@@ -248,6 +248,12 @@ def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200,
     return means.join(ci, "level")
 
 
+def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """First ``n`` rows in an explicit order (a deterministic ``head``; the limit is the
+    feature: a top-n sort keeps n rows per task, never the whole input)."""
+    return df.orderBy(*order_by).limit(n)
+
+
 def shape(df: DataFrame) -> tuple[int, int]:
     """(rows, columns) with one job."""
     return df.count(), len(df.columns)
