@@ -49,3 +49,12 @@ def test_dbscan_has_no_cartesian_product(spark):
 def test_region_tag_has_no_cartesian_product(spark):
     p = plan_text(QUERIES["region_tag"](spark, SF))
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_distance_modes_agree(spark):
+    from tripflow.operators.enrich import enrich_trips
+    from tripflow.sources.adapter import load_raw_trips
+    raw = load_raw_trips(spark, SF)
+    a = {r["trip_id"]: r["distance"] for r in enrich_trips(raw, distance_mode="rows").select("trip_id", "distance").collect()}
+    b = {r["trip_id"]: r["distance"] for r in enrich_trips(raw, distance_mode="pairs").select("trip_id", "distance").collect()}
+    assert a == b and len(a) > 0

@@ -20,13 +20,15 @@ def drop_missing_coordinates(raw: DataFrame, cols=COORDS) -> DataFrame:
 
 def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_name_default: str = "UNKNOWN",
                  region_lon: str = "start_lon", region_lat: str = "start_lat", region_band: float = 0.01,
-                 strict_time: bool = False, period_col: str = "ptd") -> DataFrame:
+                 strict_time: bool = False, period_col: str = "ptd", distance_mode: str = "rows") -> DataFrame:
     """Raw trips -> enriched trips (``ENRICHED_COLUMNS`` order).
 
     * rows with a NULL coordinate are dropped;
-    * ``distance`` = WGS-84 geodesic metres (Arrow-batched kernel, evaluated only when the
-      column is used), ``distance_cal`` = haversine km (3 dp), both 0.0 when a coordinate
-      is missing;
+    * ``distance`` = WGS-84 geodesic metres, ``distance_cal`` = haversine km (3 dp), both
+      0.0 when a coordinate is missing.  ``distance_mode='rows'`` runs the Arrow-batched
+      kernel per row (lazy: skipped when the column is not used); ``'pairs'`` runs it once
+      per distinct coordinate pair and joins back behind a size check - cheaper for
+      station-based feeds where pairs repeat millions of times;
     * ``city_name`` = containing region of (``region_lon``, ``region_lat``) or the default;
     * ``used_date`` (yyyy-MM-dd), ``used_hour``, ``season``, ``holiday``, ``workingday``,
       ``start_hour`` (yyyy-MM-dd HH:00:00) all derive from one parse of ``start_time``;
@@ -43,12 +45,19 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     st = timefn.parse_trip_time("start_time", strict=strict_time)
     et = timefn.parse_trip_time("end_time", strict=False)
     df = df.withColumns({"start_datetime": st, "end_datetime": et})
+    if distance_mode == "pairs":
+        df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
+        geodesic_m = F.col("__geodesic_m")
+    elif distance_mode == "rows":
+        geodesic_m = geo.geodesic_batch(*COORDS, unit="m")
+    else:
+        raise ValueError("distance_mode must be 'rows' or 'pairs'")
     # Holiday once per row; working day reuses it.
     df = df.withColumn("holiday", calendar.holiday_flag("start_datetime"))
     s = F.col("start_datetime")
     coords = [F.col(c) for c in COORDS]
     derived = {
-        "distance": geo.null_safe(geo.geodesic_batch(*coords, unit="m"), *coords).cast("float"),
+        "distance": geo.null_safe(geodesic_m, *coords).cast("float"),
         "distance_cal": geo.null_safe(geo.haversine_km(*coords), *coords).cast("float"),
         "used_date": timefn.date_label(s),
         "used_hour": F.hour(s).cast("int"),
