@@ -44,7 +44,8 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
 
     st = timefn.parse_trip_time("start_time", strict=strict_time)
     et = timefn.parse_trip_time("end_time", strict=False)
-    df = df.withColumns({"start_datetime": st, "end_datetime": et})
+    # Holiday once per row (working day reuses it); one projection for the parsed times.
+    df = df.withColumns({"start_datetime": st, "end_datetime": et, "holiday": calendar.holiday_flag(st)})
     if distance_mode == "pairs":
         df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
         geodesic_m = F.col("__geodesic_m")
@@ -52,8 +53,6 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
         geodesic_m = geo.geodesic_batch(*COORDS, unit="m")
     else:
         raise ValueError("distance_mode must be 'rows' or 'pairs'")
-    # Holiday once per row; working day reuses it.
-    df = df.withColumn("holiday", calendar.holiday_flag("start_datetime"))
     s = F.col("start_datetime")
     coords = [F.col(c) for c in COORDS]
     derived = {

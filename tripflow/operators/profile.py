@@ -179,18 +179,25 @@ def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: s
     attached to the one-row-per-pair result.  ``lower=True`` adds the mirrored half."""
     fn = {"corr": F.corr, "covar_samp": F.covar_samp, "covar_pop": F.covar_pop}[method]
     pairs = _pairs(cols, False)
-    recs = F.array(*[F.struct(F.lit(i).alias("k"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-                     for i, (a, b) in enumerate(pairs)])
+
+    def q(c):
+        return "`" + c.replace("`", "``") + "`"
+
+    def s_lit(v):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    # One SQL text for the p*(p-1)/2 records (parsed once on the JVM, not built call by call).
+    recs = "explode(array(" + ", ".join(
+        f"named_struct('k', {i}, 'x', CAST({q(a)} AS DOUBLE), 'y', CAST({q(b)} AS DOUBLE))"
+        for i, (a, b) in enumerate(pairs)) + ")) AS __p"
     # Spread rows before the pairs-fold expansion: the input shuffle is small next to the
     # work it parallelises, and an explicit count is not coalesced away by AQE.
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = df.select(*[F.col(c) for c in cols]).repartition(n)
-    agg = src.select(F.explode(recs).alias("__p")).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(
-        fn("x", "y").alias("value"))
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    out = agg.select(F.element_at(names_a, F.col("k") + 1).alias("col_a"),
-                     F.element_at(names_b, F.col("k") + 1).alias("col_b"), "value")
+    agg = src.selectExpr(recs).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(fn("x", "y").alias("value"))
+    names_a = "array(" + ", ".join(s_lit(a) for a, _ in pairs) + ")"
+    names_b = "array(" + ", ".join(s_lit(b) for _, b in pairs) + ")"
+    out = agg.selectExpr(f"element_at({names_a}, k + 1) AS col_a", f"element_at({names_b}, k + 1) AS col_b", "value")
     if lower:
         out = out.unionByName(out.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))
     return out
