@@ -44,8 +44,10 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
 
     st = timefn.parse_trip_time("start_time", strict=strict_time)
     et = timefn.parse_trip_time("end_time", strict=False)
-    # Holiday once per row (working day reuses it); one projection for the parsed times.
-    df = df.withColumns({"start_datetime": st, "end_datetime": et, "holiday": calendar.holiday_flag(st)})
+    df = df.withColumns({"start_datetime": st, "end_datetime": et})
+    # Holiday once per row from the parsed column (working day reuses it).  A separate
+    # projection: written against the parse expression, the parse would run twice.
+    df = df.withColumn("holiday", calendar.holiday_flag("start_datetime"))
     if distance_mode == "pairs":
         df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
         geodesic_m = F.col("__geodesic_m")
