@@ -72,3 +72,8 @@ def test_streaming_ingest_and_hourly(spark, tmp_dir):
     n = spark.sql("SELECT sum(used_count) FROM tf_hourly").first()[0]
     la = table.where("city_name = 'LA'").count()
     assert n is not None and 0 < n <= la
+    # Every emitted window equals the batch rollup of the same hour.
+    from tripflow.operators.rollup import hourly_usage
+    batch = {r["start_hour"]: (r["used_count"], r["total_duration"]) for r in hourly_usage(table).collect()}
+    for r in spark.sql("SELECT start_hour, used_count, total_duration FROM tf_hourly").collect():
+        assert batch[r["start_hour"]] == (r["used_count"], r["total_duration"])

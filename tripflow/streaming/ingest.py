@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tripflow.functions.timefn import hour_label
+from tripflow.functions.timefn import epoch_seconds, from_epoch_seconds, hour_label
 from tripflow.operators.enrich import enrich_trips
 from tripflow.plans.sizing import release_persisted
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
@@ -59,10 +59,13 @@ def enriched_table_stream(spark: SparkSession, dw_path: str) -> DataFrame:
 def hourly_usage_stream(enriched: DataFrame, region: str = "LA", watermark: str = "2 hours") -> DataFrame:
     """Hourly usage counts per clock-hour window; a window is emitted once the watermark
     passes its end, trips later than the watermark are dropped by the engine."""
-    # TIMESTAMP_NTZ windows and watermarks: wall-clock hours, independent of the session zone.
-    src = (enriched.where(F.col("city_name") == region).withColumn("__ts", F.col("start_datetime"))
+    # Streaming event time must be TIMESTAMP: read the wall clock as a UTC instant (epoch
+    # seconds), so hour windows and labels do not depend on the session zone.
+    instant = F.timestamp_seconds(epoch_seconds("start_datetime"))
+    src = (enriched.where(F.col("city_name") == region).withColumn("__ts", instant)
            .withWatermark("__ts", watermark))
     aggs = [F.count(F.lit(1)).alias("used_count"), F.sum("duration").cast("long").alias("total_duration")]
     aggs += [F.count_if(F.col(c) == v).alias(n) for n, (c, v) in HOURLY_CONDITIONAL_COUNTS.items()]
     g = src.groupBy(F.window("__ts", "1 hour").alias("w")).agg(*aggs)
-    return g.select(hour_label(F.col("w.start")).alias("start_hour"), *[a for a in g.columns if a != "w"])
+    start = from_epoch_seconds(F.unix_seconds(F.col("w.start")))
+    return g.select(hour_label(start).alias("start_hour"), *[a for a in g.columns if a != "w"])
