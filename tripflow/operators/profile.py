@@ -49,47 +49,51 @@ def describe_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | No
 
 
 def _sorted_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partitions: int | None) -> DataFrame:
-    """(keys..., column, v, pid, local) range-partitioned by (keys, column, v), sorted within
-    partitions, checkpointed so every later use sees the same partitioning."""
+    """Distinct values per (keys..., column) with their counts, range-partitioned and sorted
+    across tasks, with each value's first 0-based rank: (keys..., column, v, c, first).
+
+    Values are collapsed before the shuffle (partial aggregation), so a value repeated in a
+    third of all rows is one row; distinct keys range-split evenly, so a hot group spans many
+    tasks.  A value's rank is the count of its group's rows in earlier tasks (a table of at
+    most tasks x groups rows) plus the running count before it inside its task.
+    """
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__x"))
     long = long.select(*keys, "__x.column", "__x.v").where(F.col("v").isNotNull() & ~F.isnan("v"))
     gkeys = list(keys) + ["column"]
+    counts = long.groupBy(*gkeys, "v").agg(F.count(F.lit(1)).alias("c"))
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # A deterministic salt breaks ties, so a value repeated in a third of all rows can still
-    # be split across range partitions (equal values have equal ranks' values anyway).
-    long = long.withColumn("__salt", F.xxhash64(F.monotonically_increasing_id()))
-    ordered = long.repartitionByRange(n_parts, *gkeys, "v", "__salt").sortWithinPartitions(*gkeys, "v", "__salt")
-    ordered = ordered.select(*gkeys, "v", F.spark_partition_id().alias("pid"),
-                             F.monotonically_increasing_id().alias("mid"))
-    # Row index within its partition (mid = pid << 33 | index).
-    ordered = ordered.select(*gkeys, "v", "pid",
-                             (F.col("mid") - F.shiftleft(F.col("pid").cast("long"), 33)).alias("local"))
-    # The block counts and the ranked rows must see the same partitioning: store the rows
-    # with their (pid, local) positions in the shared checkpoint folder, cutting the lineage.
-    return materialize(ordered, "sorted")
-
-
-def _quantiles_from_sorted(ordered: DataFrame, gkeys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    gkeys = list(gkeys)
-    blocks = ordered.groupBy(*gkeys, "pid").agg(F.count(F.lit(1)).alias("cnt"), F.min("local").alias("start"))
+    ordered = (counts.repartitionByRange(n_parts, *gkeys, "v").sortWithinPartitions(*gkeys, "v")
+               .withColumn("pid", F.spark_partition_id()))
+    # Store each value with its task id in the shared checkpoint folder (cuts the lineage, so
+    # the block totals and the per-value ranks below agree on the partitioning).
+    ordered = materialize(ordered, "sorted")
     from pyspark.sql.window import Window
-    # One row per (group, partition): the window sees at most `partitions` rows per group.
+    # Running count before each value inside its (task, group) block: at most one task's rows.
+    inner = Window.partitionBy("pid", *gkeys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = ordered.withColumn("before", F.coalesce(F.sum("c").over(inner), F.lit(0)))
+    blocks = ordered.groupBy(*gkeys, "pid").agg(F.sum("c").alias("cnt"))
+    # Rows of the same group in earlier tasks: one row per (group, task).
     w = Window.partitionBy(*gkeys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    totals = blocks.groupBy(*gkeys).agg(F.sum("cnt").alias("n"))
+    blocks_b, n_blocks = persist_counted(blocks.select(*gkeys, "pid", "offset"))
+    side = F.broadcast(blocks_b) if n_blocks <= DEFAULT_MAX_BROADCAST_ROWS else blocks_b
+    return ordered.join(side, gkeys + ["pid"]).select(
+        *gkeys, "v", "c", (F.col("offset") + F.col("before")).alias("first"))
+
+
+def _quantiles_from_sorted(ranked: DataFrame, gkeys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    gkeys = list(gkeys)
+    totals = ranked.groupBy(*gkeys).agg(F.sum("c").alias("n"))
     # Target ranks per group: floor and ceil of p * (n - 1).
     targets = totals.select(*gkeys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     targets = targets.withColumn("pos", F.col("q") * (F.col("n") - 1))
     targets = targets.withColumn("lo", F.floor("pos").cast("long")).withColumn("hi", F.ceil("pos").cast("long"))
     wanted = targets.select(*gkeys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank")).distinct()
-    blocks_b, n_blocks = persist_counted(blocks.select(*gkeys, "pid", "start", "offset"))
-    small = n_blocks <= DEFAULT_MAX_BROADCAST_ROWS
-    ranked = ordered.join(F.broadcast(blocks_b) if small else blocks_b, gkeys + ["pid"]).select(
-        *gkeys, "v", (F.col("offset") + F.col("local") - F.col("start")).alias("rank"))
-    # At most 2 target ranks per probability per group, and groups <= blocks: bounded.
-    wanted_small = 2 * len(probs) * n_blocks <= DEFAULT_MAX_BROADCAST_ROWS
-    hits = ranked.join(F.broadcast(wanted) if wanted_small else wanted, gkeys + ["rank"])
+    # The value holding rank r satisfies first <= r < first + c; targets per group are few
+    # (2 per probability), so the equi-join on the group emits at most that many per value.
+    hits = ranked.join(wanted, gkeys).where(
+        (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("c"))).select(*gkeys, "rank", "v")
     lo = hits.withColumnsRenamed({"rank": "lo", "v": "v_lo"})
     hi = hits.withColumnsRenamed({"rank": "hi", "v": "v_hi"})
     out = targets.join(lo, gkeys + ["lo"]).join(hi, gkeys + ["hi"])
@@ -102,31 +106,36 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str
     """Exact quantiles with linear interpolation between order statistics (the common
     ``describe`` definition: position p * (n - 1)).
 
-    Values of every (group, column) are range-partitioned and sorted across the cluster;
-    each row learns its global rank from per-partition block counts (a table of at most
-    partitions x groups rows), and only rows sitting at a target rank are kept.  A hot group
-    spreads over many partitions instead of landing in one task, and a salted sort key
-    splits even a single value repeated across a third of all rows.
+    Values of every (group, column) are first collapsed to (value, count) - a hot value is
+    one row - then range-partitioned and sorted across the cluster; each value learns its
+    rank from per-task block counts, and only values covering a target rank are kept.  A
+    hot group spreads over many tasks instead of landing in one.
 
     Output: (by..., column, q, value) with q in ``probs``.
     """
     keys = [by] if isinstance(by, str) else list(by or [])
-    ordered = _sorted_long(df, cols, keys, partitions)
-    return _quantiles_from_sorted(ordered, keys + ["column"], probs)
+    ranked = _sorted_long(df, cols, keys, partitions)
+    return _quantiles_from_sorted(ranked, keys + ["column"], probs)
 
 
 def describe_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None,
                        partitions: int | None = None) -> DataFrame:
-    """The 8 ``describe`` statistics: count, mean, std, min, 25%, 50%, 75%, max.  Basic
-    statistics and quartiles both come from one checkpointed, sorted long table, so the
-    input is read once."""
+    """The 8 ``describe`` statistics: count, mean, std, min, 25%, 50%, 75%, max.
+
+    The input is read once: everything is derived from the per-group (value, count) table
+    (count, weighted mean, min, max, then the sample sd from centred squares, then the
+    quartiles).  NULL and NaN values are skipped, as in a pandas ``describe``."""
     keys = [by] if isinstance(by, str) else list(by or [])
     gkeys = keys + ["column"]
-    ordered = _sorted_long(df, cols, keys, partitions)
-    basic = ordered.groupBy(*gkeys).agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("stddev"),
+    ranked = _sorted_long(df, cols, keys, partitions)
+    tot = ranked.groupBy(*gkeys).agg(
+        F.sum("c").alias("count"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
         F.min("v").alias("min"), F.max("v").alias("max"))
-    q = _quantiles_from_sorted(ordered, gkeys, (0.25, 0.5, 0.75))
+    ss = ranked.join(tot.select(*gkeys, F.col("mean").alias("__m")), gkeys).groupBy(*gkeys).agg(
+        F.sum(F.col("c") * F.pow(F.col("v") - F.col("__m"), 2)).alias("__ss"))
+    basic = tot.join(ss, gkeys).withColumn(
+        "stddev", F.when(F.col("count") > 1, F.sqrt(F.col("__ss") / (F.col("count") - 1))))
+    q = _quantiles_from_sorted(ranked, gkeys, (0.25, 0.5, 0.75))
     wide_q = q.groupBy(*gkeys).agg(
         F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
