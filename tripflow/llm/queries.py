@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import exact_dedup, line_dedup, mixing, sharding
 from tripflow.llm.common import read_table
+from tripflow.llm.sql import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
