@@ -1,0 +1,43 @@
+"""Connected components of an edge table, by alternating large-star and small-star rounds.
+
+Every round is a few shuffles with map-side minima, ends in a table in the shared folder, and
+replaces the one before it.  Rounds go on until a round changes nothing; their number grows with
+the logarithm of the longest chain.  No task holds a component: a vertex with very many neighbours
+is a key whose minimum is formed map-side first, and whose join partition Spark may split.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tripflow.llm.common import forget, stored
+
+
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Link each vertex's larger neighbours (or, small star, its smaller ones and itself) to the smallest."""
+    if large:
+        near = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        return near.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    linked = edges.join(low, "a")
+    return linked.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(low.select("a", F.col("low").alias("b")))
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, root) of every node with an edge to another; root is the smallest node it reaches."""
+    spark = edges.sparkSession
+    e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
+    e, path = stored(e, "edges")
+    # Done when every vertex points at one root that points nowhere: a star forest is a fixed point.
+    while True:
+        nxt = _star(_star(e, large=True), large=False).distinct()
+        nxt, nxt_path = stored(nxt, "edges")
+        old, new = (t.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first() for t in (e, nxt))
+        forget(spark, path)
+        e, path = nxt, nxt_path
+        if old == new:
+            break
+    roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return roots.unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
