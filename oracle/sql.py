@@ -2,16 +2,21 @@
 
 Each text runs on DuckDB with the driver's parquet tables registered as views.  The SQL is
 written independently of the Spark code: holidays come from a generated date table, regions
-from a crossing count over every edge, the geodesic from an unrolled iteration.
+from a crossing count over every edge, the geodesic from an unrolled iteration (the stations lie
+close together, where it always settles).
 """
 
 from __future__ import annotations
 
-from tripflow.functions.geo import GEODESIC_ITERATIONS, WGS84_A, WGS84_B, WGS84_F
-from tripflow.queries import (DBSCAN_EPS, DBSCAN_MIN_SAMPLES, DBSCAN_SWEEP, K_DISTANCE_K,
-                              QUALITY_LABEL_MOD, CATEGORY_COLUMNS, CI_CATEGORIES, DESCRIBE_COLUMNS, HOURLY_NUMERIC, STATS_COLUMNS,
+from tripflow.functions.geo import WGS84_A, WGS84_B, WGS84_F
+from tripflow.functions.timefn import DETECT_FORMATS
+from tripflow.operators.profile import poisson_cuts
+from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
+from tripflow.queries import (BOOTSTRAP_REPLICATES, CHAIN_EPS, CHAIN_MIN_SAMPLES, CHAIN_YEAR, DBSCAN_EPS, DBSCAN_MIN_SAMPLES,
+                              DBSCAN_SWEEP, EVENT_DOC, K_DISTANCE_K, KMEANS_ROUNDS, KMEANS_START, PASADENA_REGION,
+                              QUALITY_LABEL_MOD, CATEGORY_COLUMNS, CI_CATEGORIES, HOURLY_NUMERIC,
                               TAG_REGIONS, TRIP_REGIONS)
-from tripflow.schema import TRIP_CATEGORY_DECODINGS, TRIP_CATEGORY_ENCODINGS
+from tripflow.schema import DESCRIBE_COLUMNS, STATS_COLUMNS, TRIP_CATEGORY_DECODINGS, TRIP_CATEGORY_ENCODINGS
 from tripflow.sources.adapter import TRIPS_FROM_ORDERS_SQL
 
 RAW_TRIPS = TRIPS_FROM_ORDERS_SQL.replace("{orders}", "orders")
@@ -112,7 +117,7 @@ def vincenty_ctes(src: str, prefix: str = "v") -> tuple[list[str], str]:
     c2sm = f"(CASE WHEN {c2a} = 0 THEN 0.0 ELSE cs - 2 * su1 * su2 / {c2a} END)"
     cc = f"({f} / 16 * {c2a} * (4 + {f} * (4 - 3 * {c2a})))"
     prev = f"{prefix}1"
-    for i in range(GEODESIC_ITERATIONS):
+    for i in range(20):
         x, y = f"{prefix}x{i}", f"{prefix}y{i}"
         ctes.append(f"{x} AS (SELECT *, sqrt(pow(cu2 * sin(lam), 2) + pow(cu1 * su2 - su1 * cu2 * cos(lam), 2)) AS ss, "
                     f"su1 * su2 + cu1 * cu2 * cos(lam) AS cs FROM {prev})")
@@ -139,7 +144,7 @@ def _enriched_ctes(regions=TRIP_REGIONS) -> str:
     pairs = "(SELECT DISTINCT start_lat AS lat1, start_lon AS lon1, end_lat AS lat2, end_lon AS lon2 FROM clean)"
     vctes, vout = vincenty_ctes(pairs, "g")
     hav = ("round(2 * asin(sqrt(pow(sin((radians(end_lat) - radians(start_lat)) / 2), 2) + cos(radians(start_lat)) "
-           "* cos(radians(end_lat)) * pow(sin((radians(end_lon) - radians(start_lon)) / 2), 2))) * 6371.0 * 1000 / 1000, 3)")
+           "* cos(radians(end_lat)) * pow(sin((radians(end_lon) - radians(start_lon)) / 2), 2))) * 6371.0, 3)")
     st, et = parse_time("start_time"), parse_time("end_time")
     return f"""
 raw AS ({RAW_TRIPS}),
@@ -171,15 +176,7 @@ def _with(body: str, tail: str) -> str:
     return f"WITH {body.strip()}\n{tail}"
 
 
-COUNT_COLS = [
-    ("plan_duration_day_count", "plan_duration", 1), ("plan_duration_month_count", "plan_duration", 30),
-    ("plan_duration_year_count", "plan_duration", 365), ("trip_route_type_one_way_count", "trip_route_type", 1),
-    ("trip_route_type_round_trip_count", "trip_route_type", 2),
-    ("passholder_type_walk_up_count", "passholder_type", 1), ("passholder_type_one_day_count", "passholder_type", 2),
-    ("passholder_type_monthly_count", "passholder_type", 3), ("passholder_type_annual_count", "passholder_type", 4),
-    ("bike_type_standard_count", "bike_type", 1), ("bike_type_electric_count", "bike_type", 2),
-    ("bike_type_smart_count", "bike_type", 3),
-]
+COUNT_COLS = [(n, c, v) for n, (c, v) in HOURLY_CONDITIONAL_COUNTS.items()]
 
 
 def _hourly_select(src: str = "trips") -> str:
@@ -231,7 +228,7 @@ def q_geodesic_by_trip() -> str:
              "WHERE start_lat IS NOT NULL AND start_lon IS NOT NULL AND end_lat IS NOT NULL AND end_lon IS NOT NULL)")
     vctes, vout = vincenty_ctes(pairs, "g")
     hav = ("round(2 * asin(sqrt(pow(sin((radians(lat2) - radians(lat1)) / 2), 2) + cos(radians(lat1)) "
-           "* cos(radians(lat2)) * pow(sin((radians(lon2) - radians(lon1)) / 2), 2))) * 6371.0 * 1000 / 1000, 3)")
+           "* cos(radians(lat2)) * pow(sin((radians(lon2) - radians(lon1)) / 2), 2))) * 6371.0, 3)")
     body = f"raw AS ({RAW_TRIPS}),\n" + ",\n".join(vctes)
     tail = (f"SELECT lat1 AS start_lat, lon1 AS start_lon, lat2 AS end_lat, lon2 AS end_lon, "
             f"round(dist_m, 3) AS geodesic_m, round(dist_m / 1609.344, 6) AS geodesic_mi, {hav} AS haversine_km "
@@ -283,6 +280,28 @@ def q_partition_quartiles() -> str:
     return _with(_enriched_ctes(), _union(parts))
 
 
+def _describe(src: str, cols, group: str = "") -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"""SELECT '{c}' AS "column", count({x}) AS count, round(avg({x}), 6) AS mean,
+  round(stddev_samp({x}), 6) AS stddev, round(min({x}), 6) AS min, round(quantile_cont({x}, 0.25), 6) AS p25,
+  round(quantile_cont({x}, 0.5), 6) AS p50, round(quantile_cont({x}, 0.75), 6) AS p75, round(max({x}), 6) AS max FROM {src}""")
+    return _union(parts)
+
+
+def q_describe_all() -> str:
+    return _with(_enriched_ctes(), _describe("trips", DESCRIBE_COLUMNS))
+
+
+def q_hourly_describe() -> str:
+    return _with(_hourly_ctes(), _describe("h", HOURLY_NUMERIC))
+
+
+def q_year_trips() -> str:
+    return _with(_enriched_ctes(), f"SELECT * EXCLUDE (city_name) FROM trips WHERE ptd = '{CHAIN_YEAR}'")
+
+
 def q_null_audit() -> str:
     parts = [f"""SELECT '{c}' AS "column", CAST(count(*) - count({c}) AS BIGINT) AS nulls, count(*) AS rows FROM raw"""
              for c in RAW_COLUMNS]
@@ -384,22 +403,21 @@ UNION ALL
 
 
 def q_json_conformance() -> str:
-    ok = "json_valid(props)"
-    k = "json_extract(props, '$.k')"
-    kval = f"TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)"
-    return f"""SELECT count(*) AS rows, count(*) - count(props) AS nulls,
-  count(*) FILTER (WHERE props IS NOT NULL AND NOT {ok}) AS invalid,
-  count(*) FILTER (WHERE props IS NOT NULL AND {ok} AND ({k} IS NULL OR {kval} IS NULL)) AS missing_required,
-  count(*) FILTER (WHERE props IS NOT NULL AND {ok} AND {kval} IS NOT NULL) AS valid
-FROM events"""
+    docs = f"SELECT {EVENT_DOC} AS doc FROM events"
+    good = ("(coalesce(json_valid(doc), false) AND json_type(doc) = 'OBJECT' "
+            "AND coalesce(json_type(doc, '$.k'), 'NULL') IN ('NULL', 'UBIGINT', 'BIGINT'))")
+    there = "coalesce(json_type(doc, '$.k'), 'NULL') <> 'NULL'"
+    return f"""WITH docs AS ({docs})
+SELECT count(*) AS rows, count(*) - count(doc) AS nulls,
+  count(*) FILTER (WHERE doc IS NOT NULL AND NOT CASE WHEN json_valid(doc) THEN {good} ELSE false END) AS invalid,
+  count(*) FILTER (WHERE CASE WHEN json_valid(doc) THEN {good} AND NOT {there} ELSE false END) AS missing_required,
+  count(*) FILTER (WHERE CASE WHEN json_valid(doc) THEN {good} AND {there} ELSE false END) AS valid
+FROM docs"""
 
 
 def q_time_functions() -> str:
     st, et = parse_time("start_time"), parse_time("end_time")
-    fmts = [("%Y-%m-%d %H:%M:%S.%f", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}"),
-            ("%Y-%m-%d %H:%M:%S", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}:\d{1,2}"),
-            ("%Y-%m-%d %H:%M", r"\d{4}-\d{1,2}-\d{1,2}\s\d{1,2}:\d{1,2}"),
-            ("%Y-%m-%d", r"\d{4}-\d{1,2}-\d{1,2}")]
+    fmts = DETECT_FORMATS
     fmt = "CASE " + " ".join(f"WHEN regexp_matches(start_time, '{rx}') THEN '{name}'" for name, rx in fmts) + " END"
     d = "split_part(start_time, ' ', 1)"
     slash = f"contains({d}, '/')"
@@ -473,9 +491,9 @@ cum AS (SELECT id_a, d, sum(w_b) OVER (PARTITION BY id_a ORDER BY d RANGE BETWEE
     return _with(body, tail)
 
 
-def _dbscan_body(settings) -> str:
+def _dbscan_body(settings, eps: float = DBSCAN_EPS, points: str | None = None) -> str:
     ms = ", ".join(f"({m})" for m in settings)
-    return START_POINTS + ",\n" + _pair_cte(DBSCAN_EPS) + f""",
+    return (points or START_POINTS) + ",\n" + _pair_cte(eps) + f""",
 deg AS (SELECT id_a AS id, CAST(sum(w_b) AS BIGINT) AS degree FROM pairs GROUP BY id_a),
 settings AS (SELECT * FROM (VALUES {ms}) s(ms)),
 nodes AS MATERIALIZED (SELECT s.ms, p.id, p.x, p.y, p.w, d.degree, d.degree >= s.ms AS is_core
@@ -580,6 +598,112 @@ def q_k_distance_curve() -> str:
     return f"SELECT kdist, CAST(sum(w) AS BIGINT) AS weight FROM ({inner}) k GROUP BY kdist"
 
 
+def q_mean_ci_bootstrap() -> str:
+    draw = "CAST('0x' || substr(md5(concat_ws('|', start_hour, '7', CAST(rep AS VARCHAR))), 1, 8) AS BIGINT)"
+    weight = " + ".join(f"CASE WHEN draw >= {c} THEN 1.0 ELSE 0.0 END" for c in poisson_cuts())
+    body = _hourly_ctes() + f""",
+drawn AS (SELECT CAST(workingday AS VARCHAR) AS level, CAST(used_count AS DOUBLE) AS v, rep, {draw} AS draw
+          FROM h, range(1, {BOOTSTRAP_REPLICATES + 1}) r(rep)),
+weighed AS (SELECT level, v, rep, {weight} AS w FROM drawn),
+reps AS (SELECT level, rep, sum(v * w) / nullif(sum(CASE WHEN v IS NOT NULL THEN w END), 0) AS m FROM weighed GROUP BY level, rep)"""
+    tail = """SELECT a.level, round(a.mean, 6) AS mean, round(b.lo, 6) AS ci_low, round(b.hi, 6) AS ci_high
+FROM (SELECT CAST(workingday AS VARCHAR) AS level, avg(CAST(used_count AS DOUBLE)) AS mean FROM h GROUP BY 1) a
+JOIN (SELECT level, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM reps GROUP BY level) b
+  ON a.level IS NOT DISTINCT FROM b.level"""
+    return _with(body, tail)
+
+
+def _kmeans_body() -> str:
+    rows = ", ".join(f"({i}, CAST({x!r} AS DOUBLE), CAST({y!r} AS DOUBLE))" for i, (x, y) in enumerate(KMEANS_START))
+    out = START_POINTS + f",\nkc0 AS (SELECT * FROM (VALUES {rows}) c(label, cx, cy))"
+    near = """SELECT x, y, w, label FROM (SELECT p.x, p.y, p.w, c.label, row_number() OVER (PARTITION BY p.x, p.y
+  ORDER BY (p.x - c.cx) * (p.x - c.cx) + (p.y - c.cy) * (p.y - c.cy), c.label) AS rn FROM pts p CROSS JOIN {c} c) q WHERE rn = 1"""
+    for i in range(KMEANS_ROUNDS):
+        out += f""",\nka{i} AS MATERIALIZED ({near.format(c=f'kc{i}')}),
+kc{i + 1} AS MATERIALIZED (SELECT c.label, coalesce(m.cx, c.cx) AS cx, coalesce(m.cy, c.cy) AS cy FROM kc{i} c
+  LEFT JOIN (SELECT label, sum(w * x) / sum(w) AS cx, sum(w * y) / sum(w) AS cy FROM ka{i} GROUP BY label) m USING (label))"""
+    return out + f",\nkl AS MATERIALIZED ({near.format(c=f'kc{KMEANS_ROUNDS}')})"
+
+
+def q_kmeans_centers() -> str:
+    return _with(_kmeans_body(), f"""SELECT CAST(label AS BIGINT) AS label, round(cx, 9) AS center_x, round(cy, 9) AS center_y
+FROM kc{KMEANS_ROUNDS}""")
+
+
+def q_kmeans_labels() -> str:
+    return _with(_kmeans_body(), "SELECT x, y, w, CAST(label AS BIGINT) AS label FROM kl")
+
+
+def q_kmeans_sizes() -> str:
+    return _with(_kmeans_body(), f"""SELECT CAST(label AS BIGINT) AS label, CAST(sum(w) AS BIGINT) AS size, round(any_value(cx), 9) AS center_x,
+  round(any_value(cy), 9) AS center_y FROM kl JOIN kc{KMEANS_ROUNDS} USING (label) GROUP BY label""")
+
+
+def _chain_body() -> str:
+    body = _dbscan_body([CHAIN_MIN_SAMPLES], CHAIN_EPS, f"""raw AS ({RAW_TRIPS}),
+one AS MATERIALIZED (SELECT start_lon AS rx, start_lat AS ry FROM raw WHERE ptd = '{CHAIN_YEAR}' AND start_lon IS NOT NULL AND start_lat IS NOT NULL),
+stat AS (SELECT avg(rx) AS mx, stddev_pop(rx) AS sx, avg(ry) AS my, stddev_pop(ry) AS sy FROM one),
+pts AS MATERIALIZED (SELECT x, y, rx, ry, w, row_number() OVER (ORDER BY x, y) AS id FROM (
+  SELECT (rx - mx) / sx AS x, (ry - my) / sy AS y, rx, ry, count(*) AS w FROM one, stat GROUP BY ALL) g)""")
+    return body + """,
+chain AS MATERIALIZED (SELECT p.rx AS x, p.ry AS y, p.w, l.is_core, l.label FROM pts p JOIN labelled l ON l.x = p.x AND l.y = p.y)"""
+
+
+def q_dbscan_scaled() -> str:
+    return _with(_chain_body(), "SELECT x, y, w, is_core, label FROM chain")
+
+
+def q_davies_bouldin_dbscan() -> str:
+    body = _chain_body() + """,
+cent AS (SELECT label, sum(w * x) / sum(w) AS cx, sum(w * y) / sum(w) AS cy FROM chain GROUP BY label),
+sc AS (SELECT c.label, sum(w * sqrt(pow(c.x - t.cx, 2) + pow(c.y - t.cy, 2))) / sum(w) AS s FROM chain c JOIN cent t USING (label) GROUP BY c.label),
+info AS (SELECT c.label, c.cx, c.cy, s.s FROM cent c JOIN sc s USING (label))"""
+    tail = """SELECT round(avg(r), 6) AS davies_bouldin FROM (
+  SELECT a.label, max((a.s + b.s) / sqrt(pow(a.cx - b.cx, 2) + pow(a.cy - b.cy, 2))) AS r
+  FROM info a JOIN info b ON a.label <> b.label GROUP BY a.label) t"""
+    return _with(body, tail)
+
+
+def q_dbscan_cluster_sizes() -> str:
+    return _with(_dbscan_body(DBSCAN_SWEEP), """SELECT CAST(ms AS BIGINT) AS min_samples, label, count(*) AS points, CAST(sum(w) AS BIGINT) AS size
+FROM labelled GROUP BY ms, label""")
+
+
+def q_rejected_rows() -> str:
+    st = parse_time("start_time")
+    missing = "(start_lat IS NULL OR start_lon IS NULL OR end_lat IS NULL OR end_lon IS NULL)"
+    return _with(f"""raw AS ({RAW_TRIPS}),
+named AS (SELECT *, CASE WHEN trip_id % 10 = 0 THEN 'latest' ELSE CAST(year({st}) AS VARCHAR) || '-q' || CAST(quarter({st}) AS VARCHAR) END AS p,
+  {st} AS sdt FROM raw),
+why AS (SELECT 'metro-trips-' || p || '.csv' AS source_file, 'no period' AS reason FROM named WHERE p = 'latest'
+  UNION ALL SELECT 'metro-trips-' || p || '.csv', 'no coordinates' FROM named WHERE {missing}
+  UNION ALL SELECT 'metro-trips-' || p || '.csv', 'no start time' FROM named WHERE sdt IS NULL)""",
+                 "SELECT source_file, reason, count(*) AS rows FROM why GROUP BY source_file, reason")
+
+
+def q_export_roundtrip() -> str:
+    return _with(_hourly_ctes(), "SELECT start_hour, used_count, total_duration, used_count AS json_count, total_duration AS json_duration FROM h")
+
+
+def q_region_document() -> str:
+    x1, y1, x2, y2 = (PASADENA_REGION[1][0][0][i][j] for i in (0, 2) for j in (0, 1))
+    return _with(START_POINTS, f"""SELECT CASE WHEN x BETWEEN {x1!r} AND {x2!r} AND y BETWEEN {y1!r} AND {y2!r} THEN 'PASADENA' END AS region,
+  count(*) AS points, CAST(sum(w) AS BIGINT) AS trips FROM pts GROUP BY 1""")
+
+
+def q_month_spine() -> str:
+    parts = []
+    for unit, step, cut, closed in (("M", "INTERVAL 2 MONTH", "month", True), ("W", "INTERVAL 7 DAY", "week", False), ("Y", "INTERVAL 1 YEAR", "year", True)):
+        ends = "" if closed else " WHERE ts <> lo AND ts <> hi"
+        parts.append(f"""SELECT '{unit}' AS unit, strftime(s.ts, '%Y-%m-%d') AS day, coalesce(c.trips, 0) AS trips
+FROM (SELECT ts FROM (SELECT lo, hi, unnest(generate_series(lo, hi, {step})) AS ts FROM span) g{ends}) s
+LEFT JOIN (SELECT date_trunc('{cut}', start_datetime) AS at, count(*) AS trips FROM t GROUP BY 1) c ON c.at = date_trunc('{cut}', s.ts)""")
+    body = _enriched_ctes() + """,
+t AS MATERIALIZED (SELECT start_datetime FROM trips WHERE start_datetime IS NOT NULL),
+span AS (SELECT CAST(date_trunc('month', min(start_datetime)) AS TIMESTAMP) AS lo, CAST(date_trunc('month', max(start_datetime)) AS TIMESTAMP) AS hi FROM t)"""
+    return _with(body, _union(parts))
+
+
 ORACLE = {
     "trip_enrich": q_trip_enrich,
     "calendar_flags": q_calendar_flags,
@@ -597,6 +721,20 @@ ORACLE = {
     "corr_matrix": q_corr_matrix,
     "cov_matrix": q_cov_matrix,
     "mean_ci_by_category": q_mean_ci_by_category,
+    "mean_ci_bootstrap": q_mean_ci_bootstrap,
+    "describe_all": q_describe_all,
+    "hourly_describe": q_hourly_describe,
+    "year_trips": q_year_trips,
+    "kmeans_sizes": q_kmeans_sizes,
+    "kmeans_centers": q_kmeans_centers,
+    "kmeans_labels": q_kmeans_labels,
+    "dbscan_scaled": q_dbscan_scaled,
+    "davies_bouldin_dbscan": q_davies_bouldin_dbscan,
+    "dbscan_cluster_sizes": q_dbscan_cluster_sizes,
+    "rejected_rows": q_rejected_rows,
+    "export_roundtrip": q_export_roundtrip,
+    "region_document": q_region_document,
+    "month_spine": q_month_spine,
     "station_dim": q_station_dim,
     "station_activity": q_station_activity,
     "od_counts": q_od_counts,

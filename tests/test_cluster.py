@@ -164,3 +164,87 @@ def test_dense_rank_distributed(spark):
     for grp in (1, 2):
         vals = sorted(set(int(b) for a, b in zip(g, v) if a == grp))
         assert [got[(grp, x)] for x in vals] == list(range(len(vals)))
+
+
+def test_sweep_settings_and_sizes(spark):
+    pts = cluster.with_point_ids(spark.createDataFrame([(0.0, 0.0, 3), (0.1, 0.0, 1), (5.0, 5.0, 2), (9.0, 9.0, 1)], "x double, y double, w long"), ["x", "y"])
+    lab = cluster.dbscan_sweep(pts, 0.5, [2, 4])
+    summary = cluster.dbscan_summary(lab)
+    assert [r["min_samples"] for r in cluster.settings_with_clusters(summary, 2).collect()] == [2]
+    sizes = {(r["min_samples"], r["label"]): (r["points"], r["size"]) for r in cluster.cluster_sizes(lab).collect()}
+    assert sizes == {(2, 0): (2, 4), (2, 1): (1, 2), (2, -1): (1, 1), (4, 0): (2, 4), (4, -1): (2, 3)}
+
+
+def test_k_distance_with_a_stray_point(spark):
+    """One point far away does not set the search radius: it stays near the others' spacing."""
+    rng = np.random.default_rng(0)
+    pts = np.concatenate([np.round(rng.uniform(0, 1, (400, 2)), 4), [[1000.0, 1000.0]]])
+    df = spark.createDataFrame([(float(x), float(y), 1) for x, y in pts], "x double, y double, w long")
+    p = cluster.with_point_ids(cluster.weighted_points(df, ["x", "y"], weight="w"), ["x", "y"])
+    assert cluster.grid_radius(p, ["x", "y"]) < 1
+    got = {(r["x"], r["y"]): r["kdist"] for r in cluster.k_distance(p, 5).collect()}
+    for x, y in (pts[0], pts[17], pts[-1]):
+        d = np.sort(np.sqrt(((np.unique(pts, axis=0) - [x, y]) ** 2).sum(1)))
+        assert abs(got[(float(x), float(y))] - d[4]) < 1e-12
+
+
+def test_quality_of_awkward_clusters(spark):
+    def frame(rows):
+        return spark.createDataFrame([(float(x), float(y), int(c)) for x, y, c in rows], "x double, y double, l long")
+
+    same = frame([(0, 0, 0), (2, 0, 0), (1, 1, 1), (1, -1, 1)])  # one centre
+    assert cluster.davies_bouldin(same, ["x", "y"], "l") == 0.0
+    assert cluster.davies_bouldin(frame([(0, 0, 0), (2, 0, 0), (1, 1, 1), (1, -1, 1), (9, 0, 2)]), ["x", "y"], "l") > 0
+    piled = frame([(1, 1, 0)] * 3 + [(1, 1, 1)] * 2)  # all points in one place
+    assert cluster.silhouette(piled, ["x", "y"], "l") == 0.0
+    assert cluster.silhouette(frame([(0, 0, 0), (1, 0, 0)]), ["x", "y"], "l") is None
+    assert cluster.davies_bouldin(frame([(0, 0, 0), (1, 0, 0)]), ["x", "y"], "l") is None
+    assert cluster.silhouette(frame([]), ["x", "y"], "l") is None and cluster.davies_bouldin(frame([]), ["x", "y"], "l") is None
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_quality_bruteforce_many_clusters(spark, seed):
+    """Clusters of very different spreads and weights, some on one spot, against all pairs."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for c in range(40):
+        at = rng.uniform(0, 10, 2) if c % 5 else np.array([3.0, 3.0])
+        rows += [(*np.round(at + rng.normal(0, 10.0 ** rng.integers(-3, 1), 2), 6), c, int(rng.integers(1, 4))) for _ in range(int(rng.integers(1, 8)))]
+    rows.append((500.0, 500.0, 99, 1))
+    df = spark.createDataFrame([(float(x), float(y), int(c), int(w)) for x, y, c, w in rows], "x double, y double, l long, w long")
+    xy, lab, w = np.array([r[:2] for r in rows], dtype=float), np.array([r[2] for r in rows]), np.array([r[3] for r in rows], dtype=float)
+    d2 = ((xy[:, None] - xy[None]) ** 2).sum(-1)
+    total = {c: w[lab == c].sum() for c in set(lab)}
+    s = []
+    for i in range(len(rows)):
+        if total[lab[i]] <= 1:
+            s.append(0.0)
+            continue
+        a = (d2[i] * w)[lab == lab[i]].sum() / (total[lab[i]] - 1)
+        b = min((d2[i] * w)[lab == c].sum() / total[c] for c in total if c != lab[i])
+        s.append(0.0 if max(a, b) == 0 else (b - a) / max(a, b))
+    assert abs(cluster.silhouette(df, ["x", "y"], "l", weight="w") - np.average(s, weights=w)) < 1e-6
+    cent = {c: np.average(xy[lab == c], axis=0, weights=w[lab == c]) for c in total}
+    sc = {c: np.average(np.sqrt(((xy[lab == c] - cent[c]) ** 2).sum(1)), weights=w[lab == c]) for c in total}
+    r = [max((sc[i] + sc[j]) / np.linalg.norm(cent[i] - cent[j]) if np.linalg.norm(cent[i] - cent[j]) else 0.0 for j in total if j != i) for i in total]
+    assert abs(cluster.davies_bouldin(df, ["x", "y"], "l", weight="w") - np.mean(r)) < 1e-9
+
+
+def test_quality_of_very_many_clusters(spark):
+    """200,000 clusters of two points each: no cap, no table of clusters on the driver."""
+    n = 200_000
+    ids = spark.range(2 * n).selectExpr("CAST(id DIV 2 AS LONG) AS l", "id % 2 AS side")
+    pts = ids.selectExpr("l", "CAST(l % 500 AS DOUBLE) AS x", "CAST(l DIV 500 AS DOUBLE) + 0.1 * side AS y")
+    assert abs(cluster.davies_bouldin(pts, ["x", "y"], "l") - 0.1) < 1e-9
+    assert 0.98 < cluster.silhouette(pts, ["x", "y"], "l") < 1
+
+
+def test_lloyd_and_assign(spark):
+    rng = np.random.default_rng(2)
+    pts = np.concatenate([rng.normal(0, 0.1, (20, 2)), rng.normal(5, 0.1, (10, 2))])
+    df = spark.createDataFrame([(float(x), float(y), 2) for x, y in pts], "x double, y double, w long")
+    labels, centers = cluster.lloyd(df, ["x", "y"], [(1, 1), (4, 4), (100, 100)], rounds=3, weight="w")
+    assert np.allclose(centers[0], pts[:20].mean(0)) and np.allclose(centers[1], pts[20:].mean(0)) and centers[2] == [100.0, 100.0]
+    assert sorted(r["label"] for r in labels.collect()) == [0] * 20 + [1] * 10
+    tie = spark.createDataFrame([(1.0, 0.0)], "x double, y double")
+    assert cluster.assign(tie, ["x", "y"], [(0, 0), (2, 0)]).first()["label"] == 0

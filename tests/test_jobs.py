@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from tripflow.plans import catalog
-from tripflow.plans.batch_job import run_trip_job
+from tripflow.plans.batch_job import build_trip_table, run_trip_job
 from tripflow.queries import TRIP_REGIONS
 from tripflow.sources.adapter import load_raw_trips
 from tripflow.sources.regions import regions_from_rows
@@ -17,20 +17,45 @@ def trip_csvs(spark, path):
     raw = load_raw_trips(spark, SF).drop("ptd")
     st = F.to_timestamp(F.col("start_time"), "M/d/yyyy H:mm")
     raw = raw.withColumn("period", F.concat(F.lit("1998-q"), (F.col("trip_id") % 4 + 1).cast("string")))
-    return write_period_csv(raw, path), raw
+    write_period_csv(raw, path)
+    return raw
 
 
 def test_run_trip_job(spark, tmp_dir):
-    names, raw = trip_csvs(spark, f"{tmp_dir}/src")
-    assert names
+    raw = trip_csvs(spark, f"{tmp_dir}/src")
     out = run_trip_job(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", regions_from_rows(spark, TRIP_REGIONS),
-                       export_dir=f"{tmp_dir}/app")
+                       export_dir=f"{tmp_dir}/app", table="tf_job_db.trip_details")
     kept = raw.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"]).count()
     assert out["trip_details"].count() == kept
     assert [r["ptd"] for r in out["trip_details"].select("ptd").distinct().collect()] == ["1998"]
     assert out["app_trip_cnt_by_hour"].count() > 0
     assert {r["column"] for r in out["statistics"].collect()} >= {"duration", "distance"}
     assert any(f.endswith(".csv") for f in os.listdir(f"{tmp_dir}/app/app_trip_cnt_by_hour"))
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/app/trip_details").count() == kept
+    assert spark.table("tf_job_db.trip_details").count() == kept
+    assert {(r["reason"], r["rows"]) for r in out["rejected"].groupBy("reason").agg(F.sum("rows").alias("rows")).collect()} == {("no coordinates", raw.count() - kept)}
+    catalog.drop_database(spark, "tf_job_db", cascade=True)
+
+
+def test_a_later_quarter_keeps_the_earlier_ones(spark, tmp_dir):
+    raw = trip_csvs(spark, f"{tmp_dir}/all")
+    have = raw.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"])
+    for q in (1, 2, 3, 4, 2):
+        write_period_csv(raw.where(F.col("period") == f"1998-q{q}"), f"{tmp_dir}/src{q}")
+        table = build_trip_table(spark, f"{tmp_dir}/src{q}", f"{tmp_dir}/dw")
+    assert table.count() == have.count()
+    # A quarter that changed replaces itself alone.
+    write_period_csv(raw.where((F.col("period") == "1998-q2") & (F.col("trip_id") % 8 == 1)), f"{tmp_dir}/new")
+    table = build_trip_table(spark, f"{tmp_dir}/new", f"{tmp_dir}/dw")
+    assert table.count() == have.where("period <> '1998-q2' OR trip_id % 8 = 1").count()
+
+
+def test_load_without_files_gives_an_empty_table(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/none")
+    with open(f"{tmp_dir}/none/metro-trips-2021-q1.csv", "w") as f:
+        f.write("")
+    out = run_trip_job(spark, f"{tmp_dir}/none", f"{tmp_dir}/dw")
+    assert out["app_trip_cnt_by_hour"].count() == 0 and out["rejected"].count() == 0
 
 
 def test_catalog_helpers(spark):
@@ -38,8 +63,10 @@ def test_catalog_helpers(spark):
     assert "tf_test_db" in catalog.list_databases(spark)
     from tripflow.sources.sinks import write_table
     df = spark.range(6).select(F.col("id").alias("v"), (F.col("id") % 3 + 2019).cast("string").alias("ptd"))
-    write_table(df, "tf_test_db.trips")
-    write_table(df.where("ptd = '2019'").withColumn("v", F.col("v") * 10), "tf_test_db.trips")
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    write_table(df, "tf_test_db.trips", "ptd")
+    write_table(df.where("ptd = '2019'").withColumn("v", F.col("v") * 10), "tf_test_db.trips", "ptd")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
     assert sorted(r["v"] for r in spark.table("tf_test_db.trips").where("ptd = '2019'").collect()) == [0, 30]
     assert "trips" in catalog.list_tables(spark, "tf_test_db")
     parts = sorted(r[0] for r in catalog.list_partitions(spark, "tf_test_db.trips").collect())
@@ -58,7 +85,7 @@ def test_catalog_helpers(spark):
 
 
 def test_streaming_ingest_and_hourly(spark, tmp_dir):
-    names, raw = trip_csvs(spark, f"{tmp_dir}/src")
+    raw = trip_csvs(spark, f"{tmp_dir}/src")
     q = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", f"{tmp_dir}/ck",
                           regions_from_rows(spark, TRIP_REGIONS), max_files_per_trigger=2)
     q.awaitTermination(300)
@@ -66,6 +93,16 @@ def test_streaming_ingest_and_hourly(spark, tmp_dir):
     table = spark.read.parquet(f"{tmp_dir}/dw")
     assert table.count() == kept
     assert table.select("batch").distinct().count() >= 2
+    # The same checkpoint adds nothing; a new one is a run of its own beside the first.
+    again = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", f"{tmp_dir}/ck", regions_from_rows(spark, TRIP_REGIONS))
+    again.awaitTermination(300)
+    assert spark.read.parquet(f"{tmp_dir}/dw").count() == kept
+    fresh = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw2", f"{tmp_dir}/ck2")
+    fresh.awaitTermination(300)
+    fresh = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw2", f"{tmp_dir}/ck3")
+    fresh.awaitTermination(300)
+    both = spark.read.parquet(f"{tmp_dir}/dw2")
+    assert both.select("run").distinct().count() == 2 and both.count() == 2 * kept
     hs = hourly_usage_stream(enriched_table_stream(spark, f"{tmp_dir}/dw"), watermark="1 hour")
     sq = hs.writeStream.format("memory").queryName("tf_hourly").outputMode("append").trigger(availableNow=True).start()
     sq.awaitTermination(300)

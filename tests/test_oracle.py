@@ -18,8 +18,7 @@ def con():
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     if key not in SQL:
-        assert QUERIES[key](spark, SF).count() >= 0
-        return
+        pytest.skip("no SQL form: tested against brute force elsewhere")
     ok, msg = compare(spark, con, key, QUERIES[key], SQL[key], SF)
     assert ok, msg
 

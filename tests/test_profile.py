@@ -64,15 +64,33 @@ def test_mean_ci(spark):
     a = got[("k", "a")]
     half = 1.959963984540054 * np.std([1, 2, 3, 4], ddof=1) / 2
     assert a["mean"] == 2.5 and abs(a["ci_low"] - (2.5 - half)) < 1e-12
-    boot = {r["level"]: r for r in profile.mean_ci_bootstrap(spark.createDataFrame(pdf), "v", "k", replicates=50).collect()}
+    boot = {r["level"]: r for r in profile.mean_ci_bootstrap(spark.createDataFrame(pdf), "v", "k", key="v", replicates=50).collect()}
     assert boot["a"]["ci_low"] <= 2.5 <= boot["a"]["ci_high"]
 
 
+def test_bootstrap_does_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, str(i % 3), float(v)) for i, v in enumerate(rng.normal(10, 3, 300))] + [(300, None, 5.0), (301, "0", None)]
+    df = spark.createDataFrame(rows, "id int, k string, v double")
+    one, two = ({r["level"]: tuple(r) for r in profile.mean_ci_bootstrap(df.repartition(n), "v", "k", key="id", replicates=40).collect()} for n in (2, 7))
+    assert one.keys() == two.keys() == {"0", "1", "2", None}
+    for k in one:
+        assert np.allclose(one[k][1:], two[k][1:]) and one[k][2] <= one[k][1] <= one[k][3]
+
+
 def test_json_conformance(spark):
-    df = spark.createDataFrame([('{"k": 1}',), ('{"k": "x"}',), ("{bad",), ('{"ref": "r"}',), (None,)], "p string")
+    docs = ['{"k": 1}', '{"k": "x"}', "{bad", '{"ref": "r"}', None, "[1,2]", "7", '{"k": null}', '[{"k": 1}]', '{"k": 2} tail']
+    df = spark.createDataFrame([(d,) for d in docs], "p string")
     r = profile.json_conformance(df, "p", "k INT, ref STRING", required=["k"]).first()
-    assert (r["rows"], r["nulls"], r["valid"]) == (5, 1, 1)
-    assert r["invalid"] + r["missing_required"] == 3 and r["invalid"] >= 1
+    assert tuple(r[c] for c in ("rows", "nulls", "invalid", "missing_required", "valid")) == (10, 1, 6, 2, 1)
+    r = profile.json_conformance(df, "p", "k INT, ref STRING").first()
+    assert (r["invalid"], r["missing_required"], r["valid"]) == (6, 0, 3)
+
+
+def test_preview_and_shape(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "i int, s string")
+    assert [r["s"] for r in profile.preview(df, 2, ["i"]).collect()] == ["a", "b"]
+    assert profile.shape(df) == (3, 2)
 
 
 def test_observe_counts(spark):
@@ -100,16 +118,42 @@ def test_station_operators(spark):
     assert not stations.sets_equal(t, "start_station", "end_station")
 
 
-def test_quantiles_hot_value_collapses(spark):
+def test_quantiles_hot_value_collapses_and_a_hot_group_spreads(spark):
     import pyspark.sql.functions as F
-    from tripflow.operators.profile import _sorted_long
+    from tripflow.operators.profile import _sorted_values
     # 90% of rows share one value: it becomes one (value, count) row before the sort.
     df = spark.range(20000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.lit(5)).cast("double").alias("v"))
-    ranked = _sorted_long(df, ["v"], [], 8)
-    assert ranked.count() == 2001
-    hot = ranked.where("v = 5").first()
-    assert hot["c"] == 18000 and hot["first"] == 1
+    ordered = _sorted_values(df, ["v"], [], 8)
+    assert ordered.count() == 2001 and ordered.where("v = 5").first()["c"] == 18000
+    # The one group's values lie in several tasks, none of which holds most of them.
+    held = [r["count"] for r in ordered.groupBy("pid").count().collect()]
+    assert len(held) >= 6 and max(held) < 0.4 * 2001
     got = {r["q"]: r["value"] for r in profile.exact_quantiles(df, ["v"], partitions=8).collect()}
     vals = np.array([i if i % 10 == 0 else 5 for i in range(20000)], dtype=float)
     for q, v in got.items():
         assert abs(v - np.percentile(vals, q * 100)) < 1e-9
+
+
+def test_describe_keeps_groups_without_values(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 2.0, None), ("b", None, 3.0), (None, 4.0, float("nan"))], "g string, x double, y double")
+    got = {(r["g"], r["column"]): r for r in profile.describe_quartiles(df, ["x", "y"], by="g").collect()}
+    assert set(got) == {(g, c) for g in ("a", "b", None) for c in ("x", "y")}
+    assert got[("a", "y")]["count"] == 0 and got[("a", "y")]["p50"] is None and got[("a", "x")]["p50"] == 1.5
+    assert got[(None, "x")]["p50"] == 4.0 and got[(None, "y")]["count"] == 0 and got[("b", "y")]["max"] == 3.0
+
+
+def test_quantile_values_are_never_shuffled_by_their_group(spark):
+    from tripflow.plans.catalog import plan_text
+    df = spark.createDataFrame([("a", float(i)) for i in range(50)], "g string, v double")
+    text = plan_text(profile.exact_quantiles(df, ["v"], by="g", partitions=4))
+    import re
+    for m in re.finditer(r"Exchange\s+Input[^\n]*\n?[^\n]*hashpartitioning\(([^)]*)\)", text):
+        if re.search(r"\bv#", m[0]):
+            assert "pid" in m[1]
+
+
+def test_corr_plan_has_no_expansion(spark):
+    from tripflow.plans.catalog import plan_text
+    df = spark.range(9).selectExpr("id AS a", "id * 2 AS b", "id % 3 AS c")
+    text = plan_text(profile.corr_long(df, ["a", "b", "c"]))
+    assert "RoundRobin" not in text and "hashpartitioning" not in text and text.count("Exchange SinglePartition") <= 2

@@ -89,17 +89,11 @@ def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> Da
 
 
 def flag_with_calendar(df: DataFrame, date_col: str, calendar: DataFrame, *,
-                       calendar_date_col: str = "date", max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Add ``holiday`` / ``workingday`` from a caller-supplied calendar table.
-
-    The calendar is broadcast only when its distinct date count is within
-    ``max_broadcast_rows``; otherwise a shuffle join is used.
-    """
-    from tripflow.plans.sizing import broadcast_if_small
-
+                       calendar_date_col: str = "date") -> DataFrame:
+    """Add ``holiday`` / ``workingday`` from a caller-supplied calendar table (a plain join: Spark
+    broadcasts the calendar if its size allows)."""
     cal = (calendar.select(F.to_date(F.col(calendar_date_col)).alias("__hdate"))
            .distinct().withColumn("__is_holiday", F.lit(1)))
-    cal = broadcast_if_small(cal, max_broadcast_rows)
     dcol = F.to_date(F.col(date_col))
     out = df.withColumn("__d", dcol).join(cal, F.col("__d") == F.col("__hdate"), "left")
     hol = F.when(F.col("__d").isNotNull(), F.coalesce(F.col("__is_holiday"), F.lit(0)))

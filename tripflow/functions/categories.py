@@ -34,30 +34,6 @@ def decode(c: Column | str, mapping: Mapping[str, int], on_unknown: str = "null"
     return out
 
 
-def encode_categories(df: DataFrame, encodings: Mapping[str, tuple[str, Mapping[str, int]]]) -> DataFrame:
-    """Replace each source column by its encoded column: {src: (dst, mapping)}."""
-    cols = []
-    done = set()
-    for name in df.columns:
-        if name in encodings:
-            dst, mapping = encodings[name]
-            cols.append(encode(name, mapping).alias(dst))
-            done.add(dst)
-        elif name not in done:
-            cols.append(F.col(name))
-    return df.select(*cols)
-
-
-def decode_categories(df: DataFrame, decodings: Mapping[str, Mapping[str, int]],
-                      on_unknown: str = "null", suffix: str = "") -> DataFrame:
-    """Decode code columns to labels, in place (or into ``col + suffix``)."""
-    out = df
-    for name, mapping in decodings.items():
-        if name in df.columns:
-            out = out.withColumn(name + suffix, decode(name, mapping, on_unknown))
-    return out
-
-
 def unmapped_report(df: DataFrame, encodings: Mapping[str, tuple[str, Mapping[str, int]]]) -> DataFrame:
     """Per source column: non-NULL labels that do not encode, counted in one pass."""
     aggs = []

@@ -1,9 +1,9 @@
 """Distance Column functions: haversine (sphere) and the ellipsoidal geodesic (WGS-84).
 
-The haversine is a native Column expression.  The geodesic (Vincenty's inverse) exists as a
-native Column (``geodesic``: one ``aggregate`` higher-order function, JVM-side but
-interpreted) and as an Arrow-batched numpy kernel (``geodesic_batch``); ``with_geodesic``
-runs the kernel once per distinct coordinate pair and joins the result back.
+The haversine is a native Column expression.  The geodesic is an Arrow-batched numpy kernel
+(Vincenty's inverse; pairs on which it does not settle, near-antipodal ones, are solved by
+bisection of the azimuth), so every pair of points has a distance.  ``with_geodesic`` runs it once
+per distinct coordinate pair and joins the result back.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ METRES_PER_KM = 1000.0
 # --- end of fixed values ------------------------------------------------------------------
 
 WGS84_B = (1 - WGS84_F) * WGS84_A
-GEODESIC_ITERATIONS = 20
 GEODESIC_TOLERANCE = 1e-12
+#: Vincenty settles within a few steps or not at all; the rest is bisected.
+VINCENTY_STEPS, BISECTIONS = 20, 200
 
 _UNITS = {"m": 1.0, "km": METRES_PER_KM, "miles": METRES_PER_MILE, "mi": METRES_PER_MILE}
 
@@ -34,162 +35,126 @@ def haversine_km(lat1, lon1, lat2, lon2, ndigits: int | None = 3) -> Column:
     """Great-circle distance in km on a 6371 km sphere, rounded to ``ndigits`` decimals."""
     p1, l1, p2, l2 = (F.radians(_col(c)) for c in (lat1, lon1, lat2, lon2))
     a = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2), 2)
-    d = 2 * F.asin(F.sqrt(a)) * F.lit(EARTH_RADIUS_KM) * 1000
-    d = d / 1000
+    d = 2 * F.asin(F.sqrt(a)) * F.lit(EARTH_RADIUS_KM)
     return F.round(d, ndigits) if ndigits is not None else d
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` (a one-element lambda binding)."""
-    return F.transform(F.array(value), body).getItem(0)
+def _series(f, cos2a):
+    """Vincenty's C: the part of the longitude that the flattening takes."""
+    return f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
 
 
-def _vincenty_terms(k, lam, body):
-    """Bind the per-iteration terms of Vincenty's inverse once each and call ``body``."""
-    def with_sc(t):
-        sin_s, cos_s = t["ss"], t["cs"]
-        return _let(F.struct(
-            F.atan2(sin_s, cos_s).alias("sig"),
-            F.when(sin_s == 0, F.lit(0.0)).otherwise(k.cu1 * k.cu2 * F.sin(lam) / sin_s).alias("sa")),
-            lambda u: _let(F.struct(u["sig"].alias("sig"), u["sa"].alias("sa"),
-                                    (1 - u["sa"] * u["sa"]).alias("c2a")),
-                           lambda w: _let(F.struct(
-                               w["sig"].alias("sig"), w["sa"].alias("sa"), w["c2a"].alias("c2a"),
-                               F.when(w["c2a"] == 0, F.lit(0.0))
-                               .otherwise(cos_s - 2 * k.su1 * k.su2 / w["c2a"]).alias("c2sm")),
-                               lambda z: body(sin_s, cos_s, z["sig"], z["sa"], z["c2a"], z["c2sm"]))))
-
-    sc = F.struct(
-        F.sqrt(F.pow(k.cu2 * F.sin(lam), 2) + F.pow(k.cu1 * k.su2 - k.su1 * k.cu2 * F.cos(lam), 2)).alias("ss"),
-        (k.su1 * k.su2 + k.cu1 * k.cu2 * F.cos(lam)).alias("cs"))
-    return _let(sc, with_sc)
-
-
-def _lambda_step(f, L, sin_s, cos_s, sigma, sin_a, cos2a, cos2sm, lam):
-    c = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
-    new_lam = L + (1 - c) * f * sin_a * (sigma + c * sin_s * (cos2sm + c * cos_s * (-1 + 2 * cos2sm * cos2sm)))
-    return F.when(sin_s == 0, lam).otherwise(new_lam)
-
-
-def _distance(a, b, sin_s, cos_s, sigma, cos2a, cos2sm):
-    usq = cos2a * (a * a - b * b) / (b * b)
+def _arc_metres(a, b, ss, cs, sig, c2a, c2sm):
+    """The length of an arc ``sig`` of the auxiliary sphere, in metres."""
+    usq = c2a * (a * a - b * b) / (b * b)
     big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
     big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-    d_sigma = big_b * sin_s * (cos2sm + big_b / 4 * (
-        cos_s * (-1 + 2 * cos2sm * cos2sm)
-        - big_b / 6 * cos2sm * (-3 + 4 * sin_s * sin_s) * (-3 + 4 * cos2sm * cos2sm)))
-    return b * big_a * (sigma - d_sigma)
+    turn = c2sm + big_b / 4 * (cs * (-1 + 2 * c2sm * c2sm) - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm))
+    return b * big_a * (sig - big_b * ss * turn)
 
 
-def geodesic(lat1, lon1, lat2, lon2, unit: str = "m") -> Column:
-    """Ellipsoidal (WGS-84) distance by Vincenty's inverse formula, as one Column.
-
-    Coordinates in degrees.  Coincident points give 0; a non-converging (near-antipodal)
-    pair gives NULL.  ``unit`` is one of m, km, miles.  The iteration runs in an
-    ``aggregate`` (interpreted); for large tables ``with_geodesic`` is the faster form.
-    """
-    if unit not in _UNITS:
-        raise ValueError(f"unit must be one of {sorted(_UNITS)}")
-    a, b, f = WGS84_A, WGS84_B, WGS84_F
-    phi1, phi2 = F.radians(_col(lat1)), F.radians(_col(lat2))
-    L = F.radians(_col(lon2)) - F.radians(_col(lon1))
-    u1 = F.atan((1 - f) * F.tan(phi1))
-    u2 = F.atan((1 - f) * F.tan(phi2))
-    consts = F.struct(
-        F.sin(u1).alias("su1"), F.cos(u1).alias("cu1"),
-        F.sin(u2).alias("su2"), F.cos(u2).alias("cu2"), L.alias("L"))
-
-    def step(acc, _i):
-        k = acc.k
-        nxt = _vincenty_terms(k, acc.lam, lambda ss, cs, sig, sa, c2a, c2sm:
-                              _lambda_step(f, k.L, ss, cs, sig, sa, c2a, c2sm, acc.lam))
-        return F.struct(k.alias("k"), nxt.alias("lam"), acc.lam.alias("prev"))
-
-    def finish(acc):
-        k = acc.k
-        converged = F.abs(acc.lam - acc.prev) < GEODESIC_TOLERANCE
-        return _vincenty_terms(k, acc.lam, lambda ss, cs, sig, sa, c2a, c2sm: F.when(ss == 0, F.lit(0.0)).when(
-            converged, _distance(a, b, ss, cs, sig, c2a, c2sm) / _UNITS[unit]))
-
-    init = F.struct(consts.alias("k"), L.alias("lam"), (L + 1.0).alias("prev"))
-    out = F.aggregate(F.sequence(F.lit(1), F.lit(GEODESIC_ITERATIONS)), init, step, finish)
-    anynull = _col(lat1).isNull() | _col(lon1).isNull() | _col(lat2).isNull() | _col(lon2).isNull()
-    return F.when(~anynull, out)
-
-
-def vincenty_np(lat1, lon1, lat2, lon2, max_iter: int = 200):
-    """Vectorised Vincenty inverse (numpy arrays in degrees) -> metres; NaN when a coordinate
-    is missing or the iteration does not converge.  Only unconverged rows keep iterating."""
+def geodesic_np(lat1, lon1, lat2, lon2):
+    """WGS-84 distance in metres of numpy arrays of degrees; NaN where a coordinate is missing.
+    Vincenty's inverse first, bisection for the pairs on which it has not settled."""
     import numpy as np
 
     a, b, f = WGS84_A, WGS84_B, WGS84_F
     lat1, lon1, lat2, lon2 = (np.asarray(x, dtype="float64") for x in (lat1, lon1, lat2, lon2))
-    L = np.radians(lon2) - np.radians(lon1)
-    u1 = np.arctan((1 - f) * np.tan(np.radians(lat1)))
-    u2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
+    out = np.full(lat1.shape, np.nan)
+    there = np.nonzero(~np.isnan(lat1 + lon1 + lat2 + lon2))[0]
+    u1, u2 = (np.arctan((1 - f) * np.tan(np.radians(x[there]))) for x in (lat1, lat2))
+    # The longitude difference in [-pi, pi].
+    L = np.radians((lon2[there] - lon1[there] + 180.0) % 360.0 - 180.0)
     su1, cu1, su2, cu2 = np.sin(u1), np.cos(u1), np.sin(u2), np.cos(u2)
-    lam = L.copy()
-    out = np.full(L.shape, np.nan)
-    active = ~np.isnan(L + lat1 + lat2)
-
-    def terms(ix, lm):
-        ss = np.sqrt((cu2[ix] * np.sin(lm)) ** 2 + (cu1[ix] * su2[ix] - su1[ix] * cu2[ix] * np.cos(lm)) ** 2)
-        cs = su1[ix] * su2[ix] + cu1[ix] * cu2[ix] * np.cos(lm)
+    lam, settled, metres = L.copy(), np.zeros(L.shape, dtype=bool), np.zeros(L.shape)
+    for _ in range(VINCENTY_STEPS):
+        i = np.nonzero(~settled)[0]
+        if not i.size:
+            break
+        lm = lam[i]
+        ss = np.hypot(cu2[i] * np.sin(lm), cu1[i] * su2[i] - su1[i] * cu2[i] * np.cos(lm))
+        cs = su1[i] * su2[i] + cu1[i] * cu2[i] * np.cos(lm)
         sig = np.arctan2(ss, cs)
         with np.errstate(divide="ignore", invalid="ignore"):
-            sa = np.where(ss == 0, 0.0, cu1[ix] * cu2[ix] * np.sin(lm) / ss)
+            sa = np.where(ss == 0, 0.0, cu1[i] * cu2[i] * np.sin(lm) / ss)
             c2a = 1 - sa * sa
-            c2sm = np.where(c2a == 0, 0.0, cs - 2 * su1[ix] * su2[ix] / c2a)
-        return ss, cs, sig, sa, c2a, c2sm
-
-    done = np.zeros(L.shape, dtype=bool)
-    for _ in range(max_iter):
-        ix = np.nonzero(active & ~done)[0]
-        if ix.size == 0:
-            break
-        lm = lam[ix]
-        ss, cs, sig, sa, c2a, c2sm = terms(ix, lm)
-        c = f / 16 * c2a * (4 + f * (4 - 3 * c2a))
-        new = L[ix] + (1 - c) * f * sa * (sig + c * ss * (c2sm + c * cs * (-1 + 2 * c2sm * c2sm)))
-        new = np.where(ss == 0, lm, new)
-        lam[ix] = new
-        done[ix] = np.abs(new - lm) < GEODESIC_TOLERANCE
-    ix = np.nonzero(active & done)[0]
-    ss, cs, sig, _sa, c2a, c2sm = terms(ix, lam[ix])
-    usq = c2a * (a * a - b * b) / (b * b)
-    big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
-    big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-    d_sigma = big_b * ss * (c2sm + big_b / 4 * (cs * (-1 + 2 * c2sm * c2sm)
-                                                - big_b / 6 * c2sm * (-3 + 4 * ss * ss) * (-3 + 4 * c2sm * c2sm)))
-    out[ix] = np.where(ss == 0, 0.0, b * big_a * (sig - d_sigma))
+            c2sm = np.where(c2a == 0, 0.0, cs - 2 * su1[i] * su2[i] / c2a)
+        c = _series(f, c2a)
+        new = L[i] + (1 - c) * f * sa * (sig + c * ss * (c2sm + c * cs * (-1 + 2 * c2sm * c2sm)))
+        same = (ss == 0) & (cs > 0)  # one point
+        ok = same | ((np.abs(new - lm) < GEODESIC_TOLERANCE) & (np.abs(new) <= np.pi) & (ss > 0))
+        metres[i[ok]] = np.where(same[ok], 0.0, _arc_metres(a, b, ss, cs, sig, c2a, c2sm)[ok])
+        settled[i[ok]] = True
+        lam[i] = new
+    i = np.nonzero(~settled)[0]
+    if i.size:
+        metres[i] = _bisected(a, b, f, u1[i], u2[i], np.abs(L[i]))
+    out[there] = metres
     return out
 
 
-def geodesic_batch(lat1, lon1, lat2, lon2, unit: str = "m") -> Column:
-    """Arrow-batched (pandas UDF) geodesic: numpy over whole batches, for large pair sets."""
+def _bisected(a, b, f, u1, u2, L):
+    """Distances of pairs (reduced latitudes, longitude difference in [0, pi]) whose geodesic goes
+    nearly half way round.  Turned so that point 1 is the farther one from the equator and not
+    north of it, a geodesic that leaves it at azimuth 0 reaches latitude 2 at longitude 0, one at
+    azimuth pi reaches it at longitude pi, and the longitude grows between: it is bisected."""
+    import numpy as np
+
+    swap = np.abs(u1) < np.abs(u2)
+    u1, u2 = np.where(swap, u2, u1), np.where(swap, u1, u2)
+    flip = np.where(u1 > 0, -1.0, 1.0)
+    su1, cu1, su2, cu2 = np.sin(u1 * flip), np.cos(u1), np.sin(u2 * flip), np.cos(u2)
+
+    def between(s1, c1, s2, c2):
+        """The angle from (c1, s1) on to (c2, s2), in [0, pi]."""
+        return np.arctan2(np.abs(np.maximum(0.0, c1 * s2 - s1 * c2)), c1 * c2 + s1 * s2)
+
+    def reach(azimuth):
+        sa, c1 = np.sin(azimuth) * cu1, np.cos(azimuth) * cu1  # sa: sine of the azimuth at the equator
+        c2 = np.sqrt(np.maximum(0.0, c1 * c1 + (cu2 - cu1) * (cu2 + cu1)))
+        sig = between(su1, c1, su2, c2)
+        w = between(sa * su1, c1, sa * su2, c2)
+        c2a = 1 - sa * sa
+        n1, n2 = np.hypot(su1, c1), np.hypot(su2, c2)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            c2sm = np.where((n1 == 0) | (n2 == 0), 0.0, (c1 * c2 - su1 * su2) / (n1 * n2))
+        ss, cs = np.sin(sig), np.cos(sig)
+        c = _series(f, c2a)
+        lam = w - (1 - c) * f * sa * (sig + c * ss * (c2sm + c * cs * (-1 + 2 * c2sm * c2sm)))
+        return lam, _arc_metres(a, b, ss, cs, sig, c2a, c2sm)
+
+    lo, hi = np.zeros_like(L), np.full_like(L, np.pi)
+    for _ in range(BISECTIONS):  # beyond the last bit of the azimuth
+        mid = (lo + hi) / 2
+        beyond = reach(mid)[0] > L
+        lo, hi = np.where(beyond, lo, mid), np.where(beyond, mid, hi)
+    return reach((lo + hi) / 2)[1]
+
+
+def geodesic(lat1, lon1, lat2, lon2, unit: str = "m") -> Column:
+    """Ellipsoidal (WGS-84) distance of every row, NULL where a coordinate is NULL; ``unit`` is one
+    of m, km, miles.  Arrow-batched; ``with_geodesic`` spares repeated pairs."""
     from tripflow.functions.kernels import geodesic_m_udf
 
+    if unit not in _UNITS:
+        raise ValueError(f"unit must be one of {sorted(_UNITS)}")
     d = geodesic_m_udf(_col(lat1), _col(lon1), _col(lat2), _col(lon2)) / _UNITS[unit]
     return F.when(~F.isnan(d), d)
 
 
 def with_geodesic(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str,
-                  unit: str = "m", max_broadcast_rows: int | None = None) -> DataFrame:
+                  unit: str = "m") -> DataFrame:
     """Add ``out`` = WGS-84 geodesic distance, evaluated once per distinct coordinate pair.
 
-    Trips repeat station coordinates, so the iteration runs over the distinct
-    (lat1, lon1, lat2, lon2) set (partial aggregation before the shuffle) in Arrow batches,
-    and the result joins back: broadcast when the pair table is within
-    ``max_broadcast_rows`` (measured), a shuffle join beyond that.  Rows with a NULL
-    coordinate get NULL.
+    Trips repeat station coordinates, so the kernel runs over the distinct
+    (lat1, lon1, lat2, lon2) set (partial aggregation before the shuffle) in Arrow batches, and the
+    result joins back; whether that is a broadcast is left to the size Spark measures.  Rows with a
+    NULL coordinate get NULL.
     """
-    from tripflow.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
-
     cols = [lat1, lon1, lat2, lon2]
     keys = ["__gk_lat1", "__gk_lon1", "__gk_lat2", "__gk_lon2"]
     pairs = (df.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).dropna().distinct()
-             .withColumn("__gk_dist", geodesic_batch(*keys, unit=unit)))
-    pairs = broadcast_if_small(pairs, max_broadcast_rows or DEFAULT_MAX_BROADCAST_ROWS)
+             .withColumn("__gk_dist", geodesic(*keys, unit=unit)))
     cond = None
     for c, k in zip(cols, keys):
         e = df[c] == pairs[k]

@@ -8,12 +8,12 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.functions import pandas_udf
 
-import tripflow
-from tripflow.functions.geo import vincenty_np
+import tripflow.functions
+from tripflow.functions.geo import geodesic_np
 
 # Ship the kernels with the task (pickled by value): executors need not have the package
 # installed or on their path.
-cloudpickle.register_pickle_by_value(tripflow)
+cloudpickle.register_pickle_by_value(tripflow.functions)
 
 
 def _arr(s: pd.Series):
@@ -22,5 +22,5 @@ def _arr(s: pd.Series):
 
 @pandas_udf("double")
 def geodesic_m_udf(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
-    """WGS-84 geodesic metres for each row of the batch (NaN: missing or no convergence)."""
-    return pd.Series(vincenty_np(_arr(lat1), _arr(lon1), _arr(lat2), _arr(lon2)))
+    """WGS-84 geodesic metres for each row of the batch (NaN: a coordinate is missing)."""
+    return pd.Series(geodesic_np(_arr(lat1), _arr(lon1), _arr(lat2), _arr(lon2)))

@@ -153,15 +153,10 @@ def date_parts(c: Column | str) -> Column:
 
 
 def season(d: Column | str) -> Column:
-    """1 winter, 2 spring, 3 summer, 4 autumn; season turns on day 21 of months 3, 6, 9, 12."""
+    """1 winter, 2 spring, 3 summer, 4 autumn: the quarter of the year, which a date from the 21st
+    on takes from the month after its own."""
     dt = F.to_date(_col(d))
-    m, day = F.month(dt), F.dayofmonth(dt)
-    turn = (m % 3 == 0) & (day >= 21)
-    # Months 1-2 -> 1, 3-5 -> 2, 6-8 -> 3, 9-11 -> 4, 12 -> 1 (after the turn day).
-    base = F.when(m == 12, F.lit(4)).otherwise((m / 3).cast("int") + 1)
-    before = F.when(m % 3 == 0, (m / 3).cast("int")).otherwise(base)
-    s = F.when(turn, F.when(m == 12, F.lit(1)).otherwise((m / 3).cast("int") + 1)).otherwise(before)
-    return s.cast("int")
+    return F.quarter(F.when(F.dayofmonth(dt) < 21, dt).otherwise(F.add_months(dt, 1))).cast("int")
 
 
 def is_business_day(d: Column | str) -> Column:
@@ -277,29 +272,6 @@ def shift_months(d: Column | str, n: int | Column, strict: bool = False) -> Colu
 _UNIT_INTERVAL = {"H": "HOUR", "D": "DAY", "W": "WEEK", "M": "MONTH", "Y": "YEAR"}
 
 
-def spine_column(begin: Column, end: Column, unit: str = "D", step: int = 1,
-                 year_as_365: bool = False) -> Column:
-    """Array of TIMESTAMP_NTZ points from begin to end (inclusive) every ``step`` units."""
-    u = unit.upper()
-    if u not in _UNIT_INTERVAL:
-        raise ValueError(f"unit must be one of {sorted(_UNIT_INTERVAL)}")
-    if u == "Y" and year_as_365:
-        interval = F.expr(f"make_dt_interval({365 * step}, 0, 0, 0)")
-    elif u == "W":
-        interval = F.expr(f"make_dt_interval({7 * step}, 0, 0, 0)")
-    elif u == "D":
-        interval = F.expr(f"make_dt_interval({step}, 0, 0, 0)")
-    elif u == "H":
-        interval = F.expr(f"make_dt_interval(0, {step}, 0, 0)")
-    elif u == "M":
-        interval = F.expr(f"make_ym_interval(0, {step})")
-    else:
-        interval = F.expr(f"make_ym_interval({step}, 0)")
-    b = begin.cast("timestamp_ntz")
-    e = end.cast("timestamp_ntz")
-    return F.when(b < e, F.sequence(b, e, interval)).otherwise(F.array().cast("array<timestamp_ntz>"))
-
-
 def _steps(unit: str, step: int, year_as_365: bool):
     """(Column -> Column) mapping a step index to an offset from the start."""
     u = unit.upper()

@@ -2,23 +2,26 @@
 
 Trips repeat station coordinates, so every operator first collapses rows to *distinct
 weighted points* (partial aggregation before the shuffle).  Neighbourhoods come from a grid
-equi-join (cells of side eps, each point meets the 3x3 cells around it) - never a cartesian
-product.  Iterative steps (connected components, k-distance radius growth) cut lineage with
-reliable ``checkpoint()`` into the session's checkpoint folder.
+equi-join (each point meets the 3x3 cells around it) - never a cartesian product.  Iterative
+steps (connected components, searches with a growing radius) cut lineage with reliable
+``checkpoint()`` into the session's checkpoint folder and end by their own stop condition.
 
-* ``standard_scale``: (x - mean) / population sd, stats as scalar subqueries.
+* ``standard_scale``: (x - mean) / population sd, all statistics from one aggregation.
 * ``eps_pairs`` / ``dbscan`` / ``dbscan_sweep``: DBSCAN (Euclidean, ``<= eps``,
   ``min_samples`` counts the point itself and weights); the eps-pairs are computed once and
   shared by every ``min_samples`` of a sweep.
 * ``k_distance``: exact weighted k-th neighbour distance by growing the search radius only
-  for points not yet resolved.
-* ``davies_bouldin``, ``silhouette`` (squared Euclidean, exact from per-cluster sums),
-  ``kmeans`` (``pyspark.ml``), ``top_clusters``.
+  for points not yet resolved; the first radius comes from cell counts.
+* ``davies_bouldin``, ``silhouette`` (squared Euclidean): exact, from per-cluster sums that stay
+  distributed; the nearest other cluster and the worst partner come from growing searches.
+* ``lloyd`` (k-means rounds from given centres), ``assign``, ``kmeans`` (``pyspark.ml``),
+  ``top_clusters``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +30,8 @@ from pyspark.sql.window import Window
 from tripflow.plans.ranking import dense_rank_distributed
 from tripflow.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_CLUSTERS = 100_000
+#: A search grid is made finer until a point shares its cell with so many others on average.
+CELL_SHARE = 16.0
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
@@ -56,13 +60,12 @@ def with_point_ids(points: DataFrame, cols: Sequence[str], partitions: int | Non
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Zero mean, unit *population* sd per column (stats via merged scalar subqueries)."""
-    out = {}
-    for c in cols:
-        mean = df.select(F.avg(F.col(c).cast("double"))).scalar()
-        sd = df.select(F.stddev_pop(F.col(c).cast("double"))).scalar()
-        out[c + suffix] = (F.col(c).cast("double") - mean) / F.nullif(sd, F.lit(0.0))
-    return df.withColumns(out)
+    """Zero mean, unit *population* sd per column; one aggregation gives all statistics.  A column
+    without spread gives NULL."""
+    stats = df.agg(F.struct(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols)
+                              for n, f in (("m", F.avg), ("s", F.stddev_pop))]).alias("__stats"))
+    st = stats.scalar()  # one and the same subquery for all columns
+    return df.withColumns({c + suffix: (F.col(c).cast("double") - st[f"m{i}"]) / F.nullif(st[f"s{i}"], F.lit(0.0)) for i, c in enumerate(cols)})
 
 
 # --------------------------------------------------------------------------------------
@@ -89,8 +92,7 @@ def eps_pairs(points: DataFrame, eps: float, x: str = "x", y: str = "y") -> Data
     return a.join(b, ["cx", "cy"]).select("id_a", "id_b", "w_b", d.alias("d")).where(F.col("d") <= F.lit(eps))
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = (),
-                         max_rounds: int = 200) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Connected components by min-label propagation with pointer jumping.
 
     ``nodes``: (keys..., id); ``edges``: (keys..., src, dst), both directions present.
@@ -100,7 +102,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     k = list(keys)
     labels = _checkpoint(nodes.select(*k, "id", F.col("id").alias("comp")))
     edges = _checkpoint(edges.select(*k, "src", "dst"))
-    for _ in range(max_rounds):
+    while True:  # labels only ever fall, so the rounds end
         via = edges.join(labels.withColumnRenamed("id", "src"), k + ["src"]).select(
             *k, F.col("dst").alias("id"), "comp")
         best = via.unionByName(labels).groupBy(*k, "id").agg(F.min("comp").alias("comp"))
@@ -113,7 +115,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
         labels = jumped
         if changed == 0:
             return labels
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: str = "x", y: str = "y",
@@ -165,6 +166,11 @@ def dbscan_summary(labels: DataFrame, by: Sequence[str] = ("min_samples",)) -> D
         F.coalesce(F.sum(F.when(noise, F.col("w"))), F.lit(0)).alias("noise_weight"))
 
 
+def cluster_sizes(labels: DataFrame, by: Sequence[str] = ("min_samples",), label: str = "label") -> DataFrame:
+    """Distinct points and weight of every cluster of every setting (noise is cluster -1)."""
+    return labels.groupBy(*by, label).agg(F.count(F.lit(1)).alias("points"), F.sum("w").alias("size"))
+
+
 def settings_with_clusters(summary: DataFrame, clusters: int) -> DataFrame:
     """Sweep settings (rows of ``dbscan_summary``) that produced exactly ``clusters`` clusters."""
     return summary.where(F.col("clusters") == clusters)
@@ -174,25 +180,43 @@ def settings_with_clusters(summary: DataFrame, clusters: int) -> DataFrame:
 # k-distance
 # --------------------------------------------------------------------------------------
 
-def k_distance(points: DataFrame, k: int, x: str = "x", y: str = "y", radius: float | None = None,
-               max_rounds: int = 64) -> DataFrame:
+def grid_radius(points: DataFrame, cols: Sequence[str], share: float = CELL_SHARE) -> float:
+    """A cell side at which a point shares its cell with at most ``share`` points on average.
+
+    Starts from the extent and looks at cell counts (one small aggregation a step), so one stray
+    point far away does not set the scale.  Equal points cannot be parted; the side then ends at
+    the resolution of the coordinates."""
+    b = points.agg(F.count(F.lit(1)), *[F.max(c) - F.min(c) for c in cols]).first()
+    extent = max([float(x or 0.0) for x in b[1:]])
+    if not b[0] or extent <= 0:
+        return 1.0
+    r = extent / max(1.0, float(b[0]) ** 0.5)
+    while r > extent * 2.0**-48:
+        cells = points.groupBy(*[F.floor(F.col(c) / F.lit(r)).alias(c) for c in cols]).agg(F.count(F.lit(1)).cast("double").alias("n"))
+        if cells.agg(F.sum(F.col("n") * F.col("n")) / F.sum("n")).first()[0] <= share:
+            break
+        r /= 4
+    return r
+
+
+def k_distance(points: DataFrame, k: int, x: str = "x", y: str = "y", radius: float | None = None) -> DataFrame:
     """Exact weighted k-th nearest-neighbour distance of every distinct point (the point
     itself counts as its first neighbour, its weight as that many neighbours).
 
     Round r searches the 3x3 cells of side ``radius * 2**r`` around each unresolved point:
     every point within that radius is found, so a point whose cumulative neighbour weight
-    reaches k inside the radius has its exact answer.  Only unresolved points go on.
+    reaches k inside the radius has its exact answer.  Only unresolved points go on; the total
+    weight is checked first, so every point is resolved at last.
     Output: (id, x, y, w, kdist)."""
-    b = points.agg(F.max(x) - F.min(x), F.max(y) - F.min(y), F.count(F.lit(1)), F.sum("w")).first()
-    if b[3] is None or b[3] < k:
-        raise ValueError(f"k_distance: total weight {b[3]} is below k={k}")
+    total = points.agg(F.sum("w")).first()[0]
+    if total is None or total < k:
+        raise ValueError(f"k_distance: total weight {total} is below k={k}")
     if radius is None:
-        extent = max(float(b[0] or 0.0), float(b[1] or 0.0), 1e-12)
-        radius = extent / max(1.0, float(b[2]) ** 0.5)
+        radius = grid_radius(points, [x, y])
     todo = points.select("id", x, y, "w")
     done = []
     r = radius
-    for _ in range(max_rounds):
+    while True:
         cx, cy = _cells(F.col(x), F.col(y), r)
         a = todo.select(F.col("id").alias("id_a"), F.col(x).alias("xa"), F.col(y).alias("ya"),
                         cx.alias("cx"), cy.alias("cy"))
@@ -214,8 +238,6 @@ def k_distance(points: DataFrame, k: int, x: str = "x", y: str = "y", radius: fl
         if todo.limit(1).count() == 0:
             break
         r *= 2
-    else:
-        raise RuntimeError("k_distance did not resolve every point (total weight below k?)")
     res = done[0]
     for h in done[1:]:
         res = res.unionByName(h)
@@ -226,104 +248,135 @@ def k_distance(points: DataFrame, k: int, x: str = "x", y: str = "y", radius: fl
 # cluster quality
 # --------------------------------------------------------------------------------------
 
-def _bounded_collect(summary: DataFrame, max_rows: int, what: str):
-    """Collect a per-cluster summary (one row per cluster), failing past ``max_rows``; the
-    summary then travels inside the plan as a literal, the way cluster statistics are
-    broadcast by an evaluator."""
-    rows = summary.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"{what}: more than {max_rows} clusters")
-    return rows
+def _sum(cols: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, cols)
 
 
-def _cluster_sums(df: DataFrame, feats: Sequence[str], label: str, weight: str | None) -> DataFrame:
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    aggs = [F.sum(w).alias("W")]
-    aggs += [F.sum(w * F.col(f)).alias(f"S_{f}") for f in feats]
-    sq = None
-    for f in feats:
-        t = F.col(f) * F.col(f)
-        sq = t if sq is None else sq + t
-    aggs.append(F.sum(w * sq).alias("Q"))
-    return df.groupBy(label).agg(*aggs)
-
-
-def silhouette_df(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None,
-                  max_clusters: int = DEFAULT_MAX_CLUSTERS) -> DataFrame:
+def _labelled(df: DataFrame, feats: Sequence[str], label: str, weight: str | None) -> DataFrame:
+    """Distinct (features, label) with their weight ``w``; the label is ``l``, features f0, f1, ..."""
+    w = F.sum(F.col(weight).cast("double")) if weight else F.count(F.lit(1)).cast("double")
+    named = df.select(F.col(label).alias("l"), *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(feats)],
+                      *([F.col(weight).alias("__w")] if weight else []))
+    if weight:
+        w = F.sum(F.col("__w").cast("double"))
+    return named.dropna().groupBy("l", *[f"f{i}" for i in range(len(feats))]).agg(w.alias("w"))
+
+
+def _near(todo: DataFrame, targets: DataFrame, axes: Sequence[tuple[str, str]], r: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Pairs whose coordinates differ by at most a cell of side ``r`` on every axis: an equi-join on
+    cells (and ``keys``).  Targets are copied to the cells around theirs."""
+    cells = [f"c{i}" for i in range(len(axes))]
+    a = todo.withColumns({c: F.floor(F.col(q) / F.lit(r)).cast("long") for c, (q, _) in zip(cells, axes)})
+    b = targets.withColumns({c: F.floor(F.col(t) / F.lit(r)).cast("long") for c, (_, t) in zip(cells, axes)})
+    for c in cells:
+        b = b.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+    return a.join(b, [*keys, *cells]).drop(*cells)
+
+
+def silhouette_df(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance, exact.
 
-    Sum of squared distances from a point to all members of a cluster follows from the
-    cluster's weight W, coordinate sums S and squared-norm sum Q:
-    W*|p|^2 - 2 p.S + Q.  The cluster table (one row per cluster, size checked) is folded
-    into every row through a scalar subquery - no pairs, no join of points with points.
-    A point whose cluster has total weight 1 scores 0.  Weights act as multiplicities.
+    The mean squared distance from a point p to a cluster's members is |p - centre|^2 + scatter
+    (scatter: the members' mean squared distance to their centre).  So the own cluster's part needs
+    one join on the label, and the nearest other cluster is the nearest point to (p, 0) among
+    (centre, sqrt(scatter)): a growing grid search over the centres, in which a point is done as
+    soon as what it has found is nearer than the radius searched.  Nothing goes through the driver
+    and no two points are paired.  Weights act as multiplicities; a point whose cluster has weight
+    1, or whose distances are all 0, scores 0; with a single cluster the result is NULL.
     """
-    sums = _cluster_sums(df, feats, label, weight)
-    rows = _bounded_collect(sums, max_clusters, "silhouette clusters")
-    table = F.array(*[F.struct(F.lit(r[label]).alias("l"), F.lit(float(r["W"])).alias("W"),
-                               F.lit(float(r["Q"])).alias("Q"),
-                               F.array(*[F.lit(float(r[f"S_{f}"])) for f in feats]).alias("S")) for r in rows])
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    p = F.array(*[F.col(f).cast("double") for f in feats])
-    pn = None
-    for f in feats:
-        t = F.col(f) * F.col(f)
-        pn = t if pn is None else pn + t
-
-    def ssum(c):
-        dot = F.aggregate(F.arrays_zip(p.alias("p"), c["S"].alias("s")), F.lit(0.0),
-                          lambda acc, z: acc + z["p"] * z["s"])
-        return c["W"] * pn - 2 * dot + c["Q"]
-
-    own = F.filter(table, lambda c: c["l"] == F.col(label))[0]
-    others = F.transform(F.filter(table, lambda c: c["l"] != F.col(label)), lambda c: ssum(c) / c["W"])
-    a = F.when(own["W"] > 1, ssum(own) / (own["W"] - 1))
-    b = F.array_min(others)
-    s = F.when(own["W"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return df.select((w * s).alias("ws"), w.alias("w")).agg((F.sum("ws") / F.sum("w")).alias("silhouette"))
-
-
-def silhouette(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None,
-               max_clusters: int = DEFAULT_MAX_CLUSTERS) -> float | None:
+    n = len(feats)
+    f = [f"f{i}" for i in range(n)]
+    pts = _labelled(df, feats, label, weight)
+    centre = pts.groupBy("l").agg(F.sum("w").alias("total"), *[(F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(f"m_{c}") for c in f])
+    off = _sum([F.pow(F.col(c) - F.col(f"m_{c}"), 2) for c in f])
+    near = _checkpoint(pts.join(centre, "l").withColumn("off", off))
+    scatter = near.groupBy("l").agg((F.sum(F.col("w") * F.col("off")) / F.sum("w")).alias("v"))
+    clusters = _checkpoint(centre.join(scatter, "l"))
+    if clusters.limit(2).count() < 2:
+        return clusters.agg(F.max(F.lit(None).cast("double")).alias("silhouette"))
+    # Of clusters with one centre only the two of least scatter can be a nearest other one.
+    order = Window.partitionBy(*[f"m_{c}" for c in f]).orderBy("v", "l")
+    low = clusters.withColumn("k", F.row_number().over(order)).where("k <= 2").withColumn("h", F.sqrt("v"))
+    low = _checkpoint(low.select(F.col("l").alias("o"), *[F.col(f"m_{c}").alias(f"t_{c}") for c in f], F.col("v").alias("o_v"), F.col("h").alias("o_h")))
+    # a: mean squared distance to the own cluster without the point itself.
+    own = near.join(scatter, "l").select("l", *f, "w", "total", F.when(F.col("total") > 1, (F.col("off") + F.col("v")) * F.col("total") / (F.col("total") - 1)).alias("a"))
+    todo = _checkpoint(own.withColumn("pid", F.monotonically_increasing_id()).withColumn("zero", F.lit(0.0)))
+    base, done, best = todo, [], None
+    axes = [(c, f"t_{c}") for c in f[:2]] + [("zero", "o_h")]
+    r = grid_radius(low, [t for _, t in axes])
+    while True:
+        d = _sum([F.pow(F.col(c) - F.col(f"t_{c}"), 2) for c in f]) + F.col("o_v")
+        found = _near(todo, low, axes, r).where(F.col("l") != F.col("o")).groupBy("pid").agg(F.min(d).alias("b"))
+        found = _checkpoint(found.where(F.col("b") <= F.lit(r * r)))  # nothing outside can be nearer
+        done.append(found)
+        todo = _checkpoint(todo.join(found, "pid", "left_anti"))
+        if todo.limit(1).count() == 0:
+            break
+        r *= 2
+    best = reduce(DataFrame.unionByName, done)
+    top = F.greatest("a", "b")
+    s = F.when((F.col("total") <= 1) | (top == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.nullif(top, F.lit(0.0)))
+    return base.join(best, "pid").agg((F.sum(F.col("w") * s) / F.sum("w")).alias("silhouette"))
+
+
+def silhouette(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None) -> float | None:
     """``silhouette_df`` as a number."""
-    res = silhouette_df(df, feats, label, weight, max_clusters).first()[0]
+    res = silhouette_df(df, feats, label, weight).first()[0]
     return None if res is None else float(res)
 
 
 def davies_bouldin_df(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None,
-                      include_noise: bool = False, noise_label: int = -1,
-                      max_clusters: int = DEFAULT_MAX_CLUSTERS) -> DataFrame:
-    """Davies-Bouldin index (Euclidean): mean over clusters of the worst
-    (s_i + s_j) / d(c_i, c_j).  Noise (``noise_label``) is left out unless
-    ``include_noise``; then it counts as one more cluster."""
+                      include_noise: bool = False, noise_label: int = -1) -> DataFrame:
+    """Davies-Bouldin index (Euclidean): mean over clusters of the worst (s_i + s_j) / d(c_i, c_j).
+
+    Noise (``noise_label``) is left out unless ``include_noise``; then it counts as one more
+    cluster.  The worst partner comes from growing grid searches, one for every power-of-two class
+    of scatter s_j: a cluster is done with a class as soon as its worst ratio so far is at least
+    what any centre beyond the radius could give.  Two clusters with the same centre have the ratio
+    0; with fewer than two clusters the result is NULL.
+    """
+    n = len(feats)
+    f = [f"f{i}" for i in range(n)]
     src = df if include_noise else df.where(F.col(label) != noise_label)
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    cent = src.groupBy(label).agg(*[(F.sum(w * F.col(f)) / F.sum(w)).alias(f"c_{f}") for f in feats])
-    d = None
-    for f in feats:
-        t = F.pow(F.col(f) - F.col(f"c_{f}"), 2)
-        d = t if d is None else d + t
-    scatter = src.join(cent, label).groupBy(label).agg((F.sum(w * F.sqrt(d)) / F.sum(w)).alias("s"))
-    info = cent.join(scatter, label)
-    rows = _bounded_collect(info, max_clusters, "davies_bouldin clusters")
-    table = F.array(*[F.struct(F.lit(r[label]).alias("l"), F.lit(float(r["s"])).alias("s"),
-                               F.array(*[F.lit(float(r[f"c_{f}"])) for f in feats]).alias("c")) for r in rows])
-    me = F.array(*[F.col(f"c_{f}") for f in feats])
-
-    def ratio(o):
-        dist = F.sqrt(F.aggregate(F.arrays_zip(me.alias("a"), o["c"].alias("b")), F.lit(0.0),
-                                  lambda acc, z: acc + (z["a"] - z["b"]) * (z["a"] - z["b"])))
-        return (F.col("s") + o["s"]) / dist
-
-    worst = F.array_max(F.transform(F.filter(table, lambda o: o["l"] != F.col(label)), ratio))
-    return info.select(worst.alias("r")).agg(F.avg("r").alias("davies_bouldin"))
+    pts = _labelled(src, feats, label, weight)
+    centre = _checkpoint(pts.groupBy("l").agg(*[(F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(f"m_{c}") for c in f]))
+    off = F.sqrt(_sum([F.pow(F.col(c) - F.col(f"m_{c}"), 2) for c in f]))
+    scatter = pts.join(centre, "l").groupBy("l").agg((F.sum(F.col("w") * off) / F.sum("w")).alias("s"))
+    info = _checkpoint(centre.join(scatter, "l").withColumn("cls", F.when(F.col("s") > 0, F.floor(F.log2("s"))).otherwise(-1100).cast("int")))
+    # One row per power of two: at most 2,200, whatever the data.
+    classes = info.groupBy("cls").agg(F.max("s").alias("top")).collect()
+    if not classes:
+        return info.agg(F.max(F.lit(None).cast("double")).alias("davies_bouldin"))
+    # Of clusters with one centre and class only the two of most scatter can be a worst partner.
+    order = Window.partitionBy("cls", *[f"m_{c}" for c in f]).orderBy(F.desc("s"), "l")
+    high = info.withColumn("k", F.row_number().over(order)).where("k <= 2")
+    high = _checkpoint(high.select(F.col("l").alias("o"), "cls", *[F.col(f"m_{c}").alias(f"t_{c}") for c in f], F.col("s").alias("o_s")))
+    each = F.explode(F.array(*[F.struct(F.lit(c["cls"]).alias("cls"), F.lit(c["top"]).alias("top")) for c in classes]))
+    todo = _checkpoint(info.select("l", "s", *[f"m_{c}" for c in f], each.alias("c")).select("*", "c.*").drop("c"))
+    axes = [(f"m_{c}", f"t_{c}") for c in f[:2]]
+    b = info.agg(*[F.max(f"m_{c}") - F.min(f"m_{c}") for c in f]).first()
+    reach = 2 * sum(float(x or 0.0) for x in b)  # beyond the farthest pair
+    r = grid_radius(high, [t for _, t in axes])
+    worst = _checkpoint(info.select("l", F.lit(None).cast("double").alias("r")))
+    while True:
+        d = F.sqrt(_sum([F.pow(F.col(f"m_{c}") - F.col(f"t_{c}"), 2) for c in f]))
+        ratio = F.when(d > 0, (F.col("s") + F.col("o_s")) / F.nullif(d, F.lit(0.0))).otherwise(0.0)
+        found = _near(todo, high, axes, r, ["cls"]).where(F.col("l") != F.col("o")).groupBy("l").agg(F.max(ratio).alias("r"))
+        worst = _checkpoint(worst.unionByName(found).groupBy("l").agg(F.max("r").alias("r")))
+        if r > reach:
+            break
+        far = (F.col("s") + F.col("top")) / F.lit(r)
+        todo = _checkpoint(todo.join(worst, "l").where(F.col("r").isNull() | (F.col("r") < far)).drop("r"))
+        if todo.limit(1).count() == 0:
+            break
+        r *= 2
+    return worst.agg(F.avg("r").alias("davies_bouldin"))
 
 
 def davies_bouldin(df: DataFrame, feats: Sequence[str], label: str, weight: str | None = None,
-                   include_noise: bool = False, noise_label: int = -1,
-                   max_clusters: int = DEFAULT_MAX_CLUSTERS) -> float | None:
+                   include_noise: bool = False, noise_label: int = -1) -> float | None:
     """``davies_bouldin_df`` as a number."""
-    res = davies_bouldin_df(df, feats, label, weight, include_noise, noise_label, max_clusters).first()[0]
+    res = davies_bouldin_df(df, feats, label, weight, include_noise, noise_label).first()[0]
     return None if res is None else float(res)
 
 
@@ -331,6 +384,28 @@ def davies_bouldin(df: DataFrame, feats: Sequence[str], label: str, weight: str
 # k-means
 # --------------------------------------------------------------------------------------
 
+def assign(points: DataFrame, feats: Sequence[str], centers: Sequence[Sequence[float]], label: str = "label") -> DataFrame:
+    """``points`` with the number of the nearest of the given centres (ties: the smallest number)."""
+    d = [_sum([(F.col(f) - F.lit(float(v))) * (F.col(f) - F.lit(float(v))) for f, v in zip(feats, c)]) for c in centers]
+    best = F.array_min(F.array(*[F.struct(x.alias("d"), F.lit(i).cast("long").alias("i")) for i, x in enumerate(d)]))
+    return points.withColumn(label, best["i"])
+
+
+def lloyd(points: DataFrame, feats: Sequence[str], centers: Sequence[Sequence[float]], rounds: int,
+          weight: str | None = None) -> tuple[DataFrame, list[list[float]]]:
+    """K-means from given start centres, a given number of rounds: (labelled points, centres).
+
+    A round is one aggregation of the points by their nearest centre; only the centres, one row for
+    each of the k that the caller gave, come back.  A centre that no point is nearest to stays."""
+    centers = [[float(v) for v in c] for c in centers]
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    for _ in range(rounds):
+        g = assign(points, feats, centers, "__l").groupBy("__l").agg(*[(F.sum(w * F.col(f)) / F.sum(w)).alias(f"m{i}") for i, f in enumerate(feats)])
+        for row in g.collect():
+            centers[row["__l"]] = [row[f"m{i}"] for i in range(len(feats))]
+    return assign(points, feats, centers), centers
+
+
 def kmeans(df: DataFrame, feats: Sequence[str], k: int = 3, seed: int = 1, weight: str | None = None,
            max_iter: int = 50):
     """``pyspark.ml`` k-means (k-means|| init).  Returns (labels df with ``label``, centers

@@ -20,20 +20,22 @@ def drop_missing_coordinates(raw: DataFrame, cols=COORDS) -> DataFrame:
 
 def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_name_default: str = "UNKNOWN",
                  region_lon: str = "start_lon", region_lat: str = "start_lat", region_band: float = 0.01,
-                 strict_time: bool = False, period_col: str = "ptd", distance_mode: str = "rows") -> DataFrame:
+                 strict_time: bool = False, period_col: str = "ptd", distance_mode: str = "pairs",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw trips -> enriched trips (``ENRICHED_COLUMNS`` order).
 
     * rows with a NULL coordinate are dropped;
     * ``distance`` = WGS-84 geodesic metres, ``distance_cal`` = haversine km (3 dp), both
-      0.0 when a coordinate is missing.  ``distance_mode='rows'`` runs the Arrow-batched
-      kernel per row (lazy: skipped when the column is not used); ``'pairs'`` runs it once
-      per distinct coordinate pair and joins back behind a size check - cheaper for
-      station-based feeds where pairs repeat millions of times;
+      0.0 when a coordinate is missing.  ``distance_mode='pairs'`` (the default) runs the
+      geodesic once per distinct coordinate pair and joins it back: trips between stations
+      repeat their pairs millions of times.  ``'rows'`` runs it per row, for free-floating
+      feeds whose pairs hardly repeat;
     * ``city_name`` = containing region of (``region_lon``, ``region_lat``) or the default;
     * ``used_date`` (yyyy-MM-dd), ``used_hour``, ``season``, ``holiday``, ``workingday``,
       ``start_hour`` (yyyy-MM-dd HH:00:00) all derive from one parse of ``start_time``;
     * route / pass / bike labels become integer codes (unlisted label -> NULL);
-    * ``ptd`` is kept from the input when present, else the start year.
+    * ``ptd`` is kept from the input when present, else the start year; ``keep`` names more input
+      columns to carry along.
     """
     df = drop_missing_coordinates(raw)
     if regions is not None:
@@ -52,7 +54,7 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
         df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
         geodesic_m = F.col("__geodesic_m")
     elif distance_mode == "rows":
-        geodesic_m = geo.geodesic_batch(*COORDS, unit="m")
+        geodesic_m = geo.geodesic(*COORDS, unit="m")
     else:
         raise ValueError("distance_mode must be 'rows' or 'pairs'")
     s = F.col("start_datetime")
@@ -75,4 +77,4 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     cols = []
     for c in ENRICHED_COLUMNS:
         cols.append(derived[c].alias(c) if c in derived else F.col(c))
-    return df.select(*cols)
+    return df.select(*cols, *keep)

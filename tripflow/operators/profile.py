@@ -3,7 +3,7 @@ correlation / covariance matrices, means with confidence intervals, JSON conform
 
 Every statistic over many columns is computed in one aggregation pass (one partial +
 final aggregate), then reshaped to long form.  Exact quantiles use a range-partitioned
-distributed sort, so no group is ever gathered into one task.
+distributed sort, in which a hot group spans many tasks.
 """
 
 from __future__ import annotations
@@ -13,8 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tripflow.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, materialize, persist_counted
+from tripflow.plans.sizing import materialize
 
 BASIC_STATS = ["count", "mean", "stddev", "min", "max"]
 
@@ -48,14 +50,13 @@ def describe_by(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | No
     return _stack(wide, keys, cols, BASIC_STATS)
 
 
-def _sorted_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partitions: int | None) -> DataFrame:
-    """Distinct values per (keys..., column) with their counts, range-partitioned and sorted
-    across tasks, with each value's first 0-based rank: (keys..., column, v, c, first).
+def _sorted_values(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """Distinct values per (keys..., column) with their counts, range-partitioned and sorted over
+    the tasks and stored: (keys..., column, v, c, pid).
 
     Values are collapsed before the shuffle (partial aggregation), so a value repeated in a
-    third of all rows is one row; distinct keys range-split evenly, so a hot group spans many
-    tasks.  A value's rank is the count of its group's rows in earlier tasks (a table of at
-    most tasks x groups rows) plus the running count before it inside its task.
+    third of all rows is one row; distinct values range-split evenly, so a hot group spans many
+    tasks.  Storing cuts the lineage, so all later reads agree on which task holds what.
     """
     long = df.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("__x"))
@@ -65,38 +66,43 @@ def _sorted_long(df: DataFrame, cols: Sequence[str], keys: Sequence[str], partit
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (counts.repartitionByRange(n_parts, *gkeys, "v").sortWithinPartitions(*gkeys, "v")
                .withColumn("pid", F.spark_partition_id()))
-    # Store each value with its task id in the shared checkpoint folder (cuts the lineage, so
-    # the block totals and the per-value ranks below agree on the partitioning).
-    ordered = materialize(ordered, "sorted")
-    from pyspark.sql.window import Window
-    # Running count before each value inside its (task, group) block: at most one task's rows.
-    inner = Window.partitionBy("pid", *gkeys).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = ordered.withColumn("before", F.coalesce(F.sum("c").over(inner), F.lit(0)))
-    blocks = ordered.groupBy(*gkeys, "pid").agg(F.sum("c").alias("cnt"))
-    # Rows of the same group in earlier tasks: one row per (group, task).
-    w = Window.partitionBy(*gkeys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    blocks_b, n_blocks = persist_counted(blocks.select(*gkeys, "pid", "offset"))
-    side = F.broadcast(blocks_b) if n_blocks <= DEFAULT_MAX_BROADCAST_ROWS else blocks_b
-    return ordered.join(side, gkeys + ["pid"]).select(
-        *gkeys, "v", "c", (F.col("offset") + F.col("before")).alias("first"))
+    return materialize(ordered, "sorted")
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys come from the left."""
+    right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        e = left[k].eqNullSafe(right[f"__r_{k}"])
+        cond = e if cond is None else cond & e
+    return left.join(right, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def _quantiles_from_sorted(ranked: DataFrame, gkeys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def _quantiles(ordered: DataFrame, gkeys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles from ``_sorted_values``: the block table (one row per task and group) tells which
+    block holds each target rank; only those blocks are read again and counted through."""
     gkeys = list(gkeys)
-    totals = ranked.groupBy(*gkeys).agg(F.sum("c").alias("n"))
-    # Target ranks per group: floor and ceil of p * (n - 1).
-    targets = totals.select(*gkeys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+    blocks = ordered.groupBy(*gkeys, "pid").agg(F.sum("c").alias("cnt"))
+    before = Window.partitionBy(*gkeys).orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("offset", F.coalesce(F.sum("cnt").over(before), F.lit(0)))
+    blocks = materialize(blocks, "blocks")
+    targets = blocks.groupBy(*gkeys).agg(F.sum("cnt").alias("n"))
+    targets = targets.select(*gkeys, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"), "n")
     targets = targets.withColumn("pos", F.col("q") * (F.col("n") - 1))
     targets = targets.withColumn("lo", F.floor("pos").cast("long")).withColumn("hi", F.ceil("pos").cast("long"))
-    wanted = targets.select(*gkeys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank")).distinct()
-    # The value holding rank r satisfies first <= r < first + c; targets per group are few
-    # (2 per probability), so the equi-join on the group emits at most that many per value.
-    hits = ranked.join(wanted, gkeys).where(
+    ranks = targets.select(*gkeys, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("rank")).distinct()
+    found = _same(blocks, ranks, gkeys).where((F.col("rank") >= F.col("offset")) & (F.col("rank") < F.col("offset") + F.col("cnt")))
+    # At most two ranks per group and probability: a small table, keyed by the task as well, so the
+    # values are never shuffled by their group alone.
+    found = found.groupBy(*gkeys, "pid", "offset").agg(F.collect_set("rank").alias("ranks"))
+    hit = _same(ordered, found, [*gkeys, "pid"])
+    inner = Window.partitionBy(*gkeys, "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    hit = hit.withColumn("first", F.col("offset") + F.coalesce(F.sum("c").over(inner), F.lit(0)))
+    hit = hit.select(*gkeys, "v", "first", "c", F.explode("ranks").alias("rank")).where(
         (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("c"))).select(*gkeys, "rank", "v")
-    lo = hits.withColumnsRenamed({"rank": "lo", "v": "v_lo"})
-    hi = hits.withColumnsRenamed({"rank": "hi", "v": "v_hi"})
-    out = targets.join(lo, gkeys + ["lo"]).join(hi, gkeys + ["hi"])
+    out = _same(targets, hit.withColumnsRenamed({"rank": "lo", "v": "v_lo"}), [*gkeys, "lo"])
+    out = _same(out, hit.withColumnsRenamed({"rank": "hi", "v": "v_hi"}), [*gkeys, "hi"])
     value = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("lo"))
     return out.select(*gkeys, "q", value.alias("value"))
 
@@ -107,40 +113,34 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str
     ``describe`` definition: position p * (n - 1)).
 
     Values of every (group, column) are first collapsed to (value, count) - a hot value is
-    one row - then range-partitioned and sorted across the cluster; each value learns its
-    rank from per-task block counts, and only values covering a target rank are kept.  A
-    hot group spreads over many tasks instead of landing in one.
+    one row - then range-partitioned and sorted across the cluster.  Per-task block counts tell
+    which block holds a target rank, and only those blocks are counted through.  A hot group
+    spreads over many tasks instead of landing in one.
 
-    Output: (by..., column, q, value) with q in ``probs``.
+    Output: (by..., column, q, value) with q in ``probs``; a (group, column) without values has
+    no row.
     """
     keys = [by] if isinstance(by, str) else list(by or [])
-    ranked = _sorted_long(df, cols, keys, partitions)
-    return _quantiles_from_sorted(ranked, keys + ["column"], probs)
+    return _quantiles(_sorted_values(df, cols, keys, partitions), keys + ["column"], probs)
 
 
 def describe_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] | str | None = None,
                        partitions: int | None = None) -> DataFrame:
     """The 8 ``describe`` statistics: count, mean, std, min, 25%, 50%, 75%, max.
 
-    The input is read once: everything is derived from the per-group (value, count) table
-    (count, weighted mean, min, max, then the sample sd from centred squares, then the
-    quartiles).  NULL and NaN values are skipped, as in a pandas ``describe``."""
+    Count, mean, sd, min and max come from one aggregation (``describe_by``), the quartiles from
+    ``exact_quantiles``.  NULL and NaN values are skipped, as in a pandas ``describe``; a (group,
+    column) without values keeps its row, with count 0."""
     keys = [by] if isinstance(by, str) else list(by or [])
     gkeys = keys + ["column"]
-    ranked = _sorted_long(df, cols, keys, partitions)
-    tot = ranked.groupBy(*gkeys).agg(
-        F.sum("c").alias("count"), (F.sum(F.col("v") * F.col("c")) / F.sum("c")).alias("mean"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    ss = ranked.join(tot.select(*gkeys, F.col("mean").alias("__m")), gkeys).groupBy(*gkeys).agg(
-        F.sum(F.col("c") * F.pow(F.col("v") - F.col("__m"), 2)).alias("__ss"))
-    basic = tot.join(ss, gkeys).withColumn(
-        "stddev", F.when(F.col("count") > 1, F.sqrt(F.col("__ss") / (F.col("count") - 1))))
-    q = _quantiles_from_sorted(ranked, gkeys, (0.25, 0.5, 0.75))
+    numbers = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    basic = describe_by(numbers, cols, keys)
+    q = exact_quantiles(df, cols, keys, (0.25, 0.5, 0.75), partitions)
     wide_q = q.groupBy(*gkeys).agg(
         F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
         F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("p75"))
-    out = basic.join(wide_q, gkeys, "left")
+    out = _same(basic, wide_q, gkeys, "left")
     return out.select(*keys, "column", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max")
 
 
@@ -172,43 +172,20 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc(col))
 
 
-def _pairs(cols: Sequence[str], lower: bool):
-    out = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i < j or (lower and i > j):
-                out.append((a, b))
-    return out
-
-
 def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: str = "corr") -> DataFrame:
     """Pearson correlation (pairwise-complete rows) of every column pair i < j; long output
-    (col_a, col_b, value).  Each row is unpivoted to one (pair id, x, y) record per pair and
-    a single grouped aggregate (partial, then final per pair id) handles all pairs; names are
-    attached to the one-row-per-pair result.  ``lower=True`` adds the mirrored half."""
+    (col_a, col_b, value).  One aggregation with one function per pair: rows are read once, each
+    task sends one row of partial moments, and the one-row result is turned to long form.
+    ``lower=True`` adds the mirrored half."""
     fn = {"corr": F.corr, "covar_samp": F.covar_samp, "covar_pop": F.covar_pop}[method]
-    pairs = _pairs(cols, False)
-
-    def q(c):
-        return "`" + c.replace("`", "``") + "`"
-
-    def s_lit(v):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    # One SQL text for the p*(p-1)/2 records (parsed once on the JVM, not built call by call).
-    recs = "explode(array(" + ", ".join(
-        f"named_struct('k', {i}, 'x', CAST({q(a)} AS DOUBLE), 'y', CAST({q(b)} AS DOUBLE))"
-        for i, (a, b) in enumerate(pairs)) + ")) AS __p"
-    # Spread rows before the pairs-fold expansion: the input shuffle is small next to the
-    # work it parallelises, and an explicit count is not coalesced away by AQE.
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = df.select(*[F.col(c) for c in cols]).repartition(n)
-    agg = src.selectExpr(recs).select("__p.k", "__p.x", "__p.y").groupBy("k").agg(fn("x", "y").alias("value"))
-    names_a = "array(" + ", ".join(s_lit(a) for a, _ in pairs) + ")"
-    names_b = "array(" + ", ".join(s_lit(b) for _, b in pairs) + ")"
-    out = agg.selectExpr(f"element_at({names_a}, k + 1) AS col_a", f"element_at({names_b}, k + 1) AS col_b", "value")
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    wide = doubles.agg(F.array(*[fn(F.col(a), F.col(b)) for a, b in pairs]).alias("values"))
+    names = F.array(*[F.lit(a) for a, _ in pairs]), F.array(*[F.lit(b) for _, b in pairs])
+    out = wide.select(F.explode(F.arrays_zip(names[0].alias("col_a"), names[1].alias("col_b"), F.col("values").alias("value"))).alias("p")).select("p.*")
     if lower:
-        out = out.unionByName(out.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))
+        out = out.select(F.explode(F.array(
+            F.struct("col_a", "col_b", "value"), F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))).alias("p")).select("p.*")
     return out
 
 
@@ -229,39 +206,31 @@ def mean_ci(df: DataFrame, value: str, by: Sequence[str] | str, z: float = 1.959
     return g.withColumns({"ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
 
 
-def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200, alpha: float = 0.05,
-                      seed: int = 7) -> DataFrame:
+def poisson_cuts() -> list[int]:
+    """The Poisson(1) distribution function as thresholds of a 32-bit draw (up to 7 events)."""
+    return [int(2**32 * sum(math.exp(-1) / math.factorial(k) for k in range(i + 1))) for i in range(8)]
+
+
+def mean_ci_bootstrap(df: DataFrame, value: str, by: str, key: Sequence[str] | str, replicates: int = 200,
+                      alpha: float = 0.05, seed: int = 7) -> DataFrame:
     """Poisson-bootstrap percentile CI of the mean per category.
 
-    Each row gets a Poisson(1) weight per replicate from a hash of (row id, replicate, seed), so
-    replicates are computed in one distributed aggregation, with no resampling pass and no
-    group gathered in one task.  Output: (level, mean, ci_low, ci_high)."""
-    # Row identity: position id (stable for a deterministic scan), so duplicate rows draw
-    # independent weights.
-    rid = F.xxhash64(F.monotonically_increasing_id(), F.lit(seed))
-    reps = F.sequence(F.lit(1), F.lit(replicates))
-    u = lambda r: (F.abs(F.xxhash64(rid, r)) % 1000000007) / F.lit(1000000007.0)
-    # Poisson(1) by inversion of its CDF on a uniform draw (support truncated at 7).
-    cdf = [sum(math.exp(-1) / math.factorial(k) for k in range(i + 1)) for i in range(8)]
-
-    def weight(r):
-        x = u(r)
-        w = F.lit(8)
-        for k in range(7, -1, -1):
-            w = F.when(x < cdf[k], F.lit(k)).otherwise(w)
-        return w
-
-    base = df.select(F.col(by).cast("string").alias("level"), F.col(value).cast("double").alias("v"),
-                     rid.alias("__rid"))
-    rid = F.col("__rid")
-    long = base.select("level", "v", F.explode(F.transform(
-        reps, lambda r: F.struct(r.alias("rep"), weight(r).alias("w")))).alias("b"))
-    per_rep = long.groupBy("level", "b.rep").agg(
-        (F.sum(F.col("v") * F.col("b.w")) / F.nullif(F.sum("b.w"), F.lit(0))).alias("m"))
+    Each row gets a Poisson(1) weight per replicate from the first 32 bits of an md5 over (``key``
+    columns, replicate, seed), so the result depends on the rows alone, not on their partitions.
+    ``key`` names the rows; rows that share a key share their draws.  All replicates run in one
+    aggregation.  Output: (level, mean, ci_low, ci_high)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    name = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    base = df.select(F.col(by).cast("string").alias("level"), F.col(value).cast("double").alias("v"), name.alias("name"))
+    long = base.select("level", "v", "name", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.col("rep").cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    long = long.select("level", "v", "rep", draw.alias("draw"))
+    weight = F.size(F.filter(F.array(*[F.lit(c) for c in poisson_cuts()]), lambda c: F.col("draw") >= c)).cast("double")
+    per_rep = long.withColumn("w", weight).groupBy("level", "rep").agg(
+        (F.sum(F.col("v") * F.col("w")) / F.nullif(F.sum(F.when(F.col("v").isNotNull(), F.col("w"))), F.lit(0.0))).alias("m"))
     ci = per_rep.groupBy("level").agg(
         F.percentile("m", alpha / 2).alias("ci_low"), F.percentile("m", 1 - alpha / 2).alias("ci_high"))
-    means = df.groupBy(F.col(by).cast("string").alias("level")).agg(F.avg(F.col(value).cast("double")).alias("mean"))
-    return means.join(ci, "level")
+    return _same(base.groupBy("level").agg(F.avg("v").alias("mean")), ci, ["level"])
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
@@ -285,21 +254,25 @@ def observe_counts(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observ
 def json_conformance(df: DataFrame, col: str, ddl: str, required: Sequence[str] = ()) -> DataFrame:
     """Validate a JSON text column against a schema in one pass.
 
-    Output one row: rows, nulls (no document), invalid (not parseable as the schema),
-    missing_required (parsed but a required field absent or NULL), valid.
+    A valid document is a JSON object whose fields have the schema's types and whose ``required``
+    fields are there and not NULL.  Output one row: rows, nulls (no document), invalid (not JSON, no
+    object, or a field of another type), missing_required, valid.
     """
-    parsed = F.from_json(F.col(col), ddl, {"mode": "PERMISSIVE"})
-    raw_ok = F.try_parse_json(F.col(col)).isNotNull()
-    struct_ok = parsed.isNotNull()
+    bad = "__corrupt"
+    schema = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField(bad, T.StringType())])
+    parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    d = df.select(F.col(col).alias("doc"), parsed.alias("p"))
+    doc = F.col("doc").isNotNull()
+    # One value and nothing after it: it also has to be the one element of an array and of an object.
+    alone = [F.try_parse_json(F.concat(F.lit(a), F.col("doc"), F.lit(b))).isNotNull() for a, b in (("[", "]"), ('{"a":', "}"))]
+    is_object = alone[0] & alone[1] & F.ltrim("doc").startswith("{")
+    good = is_object & F.col("p").isNotNull() & F.col(f"p.{bad}").isNull()
     has_all = F.lit(True)
     for r in required:
-        has_all = has_all & parsed[r].isNotNull()
-    doc = F.col(col).isNotNull()
-    invalid = doc & ~(raw_ok & struct_ok)
-    missing = doc & raw_ok & struct_ok & ~has_all
-    return df.agg(
+        has_all = has_all & F.col("p")[r].isNotNull()
+    return d.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~doc).alias("nulls"),
-        F.count_if(invalid).alias("invalid"),
-        F.count_if(missing).alias("missing_required"),
-        F.count_if(doc & raw_ok & struct_ok & has_all).alias("valid"))
+        F.count_if(doc & ~good).alias("invalid"),
+        F.count_if(doc & good & ~has_all).alias("missing_required"),
+        F.count_if(doc & good & has_all).alias("valid"))

@@ -3,8 +3,10 @@
 Work is done on *distinct* points only: trips collapse to their coordinates (partial
 aggregation before the shuffle), points meet polygon edges through an equi-join on latitude
 bands (never a cartesian product), crossings are counted per (point, region) with even-odd
-parity over all rings, and the small tag table goes back to the trips through a join that is
-broadcast only when its measured size allows.
+parity over all rings.  The edges are the broadcast side as long as their counted number allows
+(only the regions are read for that, never the points), so points stay where they are; beyond
+that the join shuffles.  The tags go back to the trips by a join on the coordinates, whose
+smaller side Spark broadcasts by its measured size.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+#: Region edges (times the bands they cross) that may be broadcast; about 100 bytes each.
+MAX_BROADCAST_EDGES = 200_000
 
 
 def region_edges(regions: DataFrame, name_col: str = "name", coords_col: str = "coordinates") -> DataFrame:
@@ -53,6 +56,8 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "x", y: str = "y"
     pts = (points.select(F.col(x).alias("px"), F.col(y).alias("py"))
            .where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
            .withColumn("band", _band(F.col("py"), band)))
+    if e.limit(MAX_BROADCAST_EDGES + 1).count() <= MAX_BROADCAST_EDGES:
+        e = F.broadcast(e)
     j = pts.join(e, "band").where(F.col("py").between(F.col("ylo"), F.col("yhi")))
     px, py = F.col("px"), F.col("py")
     x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
@@ -68,12 +73,10 @@ def tag_points(points: DataFrame, regions: DataFrame, x: str = "x", y: str = "y"
 
 
 def region_of(df: DataFrame, lon: str, lat: str, regions: DataFrame, out: str = "city_name", *,
-              boundary: bool = False, default: str | None = "UNKNOWN", band: float = 0.01,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              boundary: bool = False, default: str | None = "UNKNOWN", band: float = 0.01) -> DataFrame:
     """Add ``out`` = name of the region containing (lon, lat), else ``default``."""
     tags = tag_points(df.select(lon, lat), regions, lon, lat, boundary=boundary, band=band)
     tags = tags.withColumnsRenamed({lon: "__tag_x", lat: "__tag_y"})
-    tags = broadcast_if_small(tags, max_broadcast_rows)
     joined = df.join(tags, (df[lon] == tags["__tag_x"]) & (df[lat] == tags["__tag_y"]), "left")
     name = F.coalesce(F.col("region"), F.lit(default)) if default is not None else F.col("region")
     cols = [F.col(c) for c in df.columns if c != out] + [name.alias(out)]

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.functions.timefn import hour_mode_flags, spine_column
+from tripflow.functions.timefn import hour_mode_flags
+from tripflow.plans.sizing import materialize
 from tripflow.schema import PLAN_DAY, PLAN_MONTH, PLAN_YEAR
 
-# Output column -> (enriched column, code) for the hourly usage rollup.
+# --- Fixed values: output column -> (enriched column, code) of the hourly usage rollup. ---
 HOURLY_CONDITIONAL_COUNTS = {
     "plan_duration_day_count": ("plan_duration", PLAN_DAY),
     "plan_duration_month_count": ("plan_duration", PLAN_MONTH),
@@ -26,6 +27,8 @@ HOURLY_CONDITIONAL_COUNTS = {
     "bike_type_smart_count": ("bike_type", 3),
 }
 
+# --- end of fixed values ---
+
 HOURLY_COLUMNS = (["start_hour", "used_count", "total_duration"] + list(HOURLY_CONDITIONAL_COUNTS)
                   + ["season", "holiday", "workingday",
                      "hour_is_morning_evening", "hour_is_noon", "hour_is_idle"])
@@ -65,14 +68,13 @@ def fill_hour_gaps(rollup: DataFrame, hour_col: str = "start_hour", zero_cols: S
     """Left-join the rollup onto every clock hour from its first to its last hour, so hours
     without trips appear with zero counts.
 
-    The rollup (one row per hour with trips, bounded by the time span) is persisted because
-    it is read twice: once for its bounds (two scalars) and once for the join.  The spine is
+    The rollup (one row per hour with trips, bounded by the time span) is stored because it is
+    read twice: once for its bounds (two scalars) and once for the join.  The spine is
     generated by ``spark.range`` - split across tasks, never one array in one row.
     """
     from tripflow.functions.timefn import hour_label
-    from pyspark import StorageLevel
 
-    rollup = rollup.persist(StorageLevel.MEMORY_AND_DISK)
+    rollup = materialize(rollup, "rollup")
     ts = F.to_timestamp_ntz(F.col(hour_col), F.lit("yyyy-MM-dd HH:mm:ss"))
     lo, hi = rollup.agg(F.min(ts), F.max(ts)).first()
     spark = rollup.sparkSession
@@ -106,14 +108,12 @@ def fill_gaps(df: DataFrame, key: str, unit: str = "D", step: int = 1,
               zero_cols: Sequence[str] | None = None) -> DataFrame:
     """Left-join ``df`` onto the spine of ``key`` values (a date or timestamp column) from its
     minimum to its maximum every ``step`` ``unit``; missing keys get 0 in ``zero_cols`` and
-    NULL elsewhere.  ``df`` (an aggregate, bounded by the calendar span) is persisted since it
+    NULL elsewhere.  ``df`` (an aggregate, bounded by the calendar span) is stored since it
     is read for its bounds and for the join; the spine is a distributed ``spark.range``."""
-    from pyspark import StorageLevel
-
     from tripflow.functions.timefn import spine_frame
 
     key_type = dict(df.dtypes)[key]
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = materialize(df, "keyed")
     lo, hi = df.agg(F.min(key), F.max(key)).first()
     if lo is None:
         return df

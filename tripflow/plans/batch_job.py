@@ -8,36 +8,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.profile import describe_by
 from tripflow.operators.rollup import hourly_usage, sum_by
-from tripflow.plans.sizing import release_persisted
-from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA
-from tripflow.sources.sinks import export_csv, write_partitioned
-from tripflow.sources.trips_csv import read_period_csv, trips_with_period
+from tripflow.plans.catalog import create_database
+from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA, STATS_COLUMNS
+from tripflow.sources.sinks import export_csv, write_partitioned, write_table
+from tripflow.sources.trips_csv import read_period_csv, rejected_rows, trips_with_period
 
-STATS_COLUMNS = ["duration", "plan_duration", "trip_route_type", "passholder_type", "bike_type", "distance",
-                 "season", "holiday", "workingday"]
+#: The stored table: the enriched columns and the period, which is a partition beside the year.
+TABLE_SCHEMA = StructType([*ENRICHED_TRIP_SCHEMA.fields, StructField("period", StringType(), True)])
 
 
 def load_trip_table(spark: SparkSession, path: str) -> DataFrame:
-    """The enriched table with its declared schema (``ptd`` stays a string)."""
-    return spark.read.schema(ENRICHED_TRIP_SCHEMA).parquet(path)
+    """The enriched table with its declared schema (``ptd`` and ``period`` stay strings)."""
+    return spark.read.schema(TABLE_SCHEMA).parquet(path)
+
+
+def load_trips(trips: DataFrame, regions: DataFrame | None, path: str | None = None, table: str | None = None,
+               rebuild: bool = False) -> None:
+    """Enrich raw trips (with ``ptd`` and ``period``) and load them into the table at ``path`` and / or
+    the catalog table ``table`` (``db.name``, the database is created).
+
+    Partitions are (year, period): loading a period again replaces that period alone.
+    ``rebuild=True`` replaces the whole table."""
+    enriched = enrich_trips(trips, regions, keep=("period",))
+    if path:
+        if rebuild:
+            enriched.write.mode("overwrite").partitionBy("ptd", "period").parquet(path)
+        else:
+            write_partitioned(enriched, path)
+    if table:
+        if "." in table:
+            create_database(trips.sparkSession, table.split(".")[0])
+        if rebuild:
+            trips.sparkSession.sql("DROP TABLE IF EXISTS " + table)
+        write_table(enriched, table)
 
 
 def build_trip_table(spark: SparkSession, src_dir: str, dw_path: str, regions: DataFrame | None = None,
-                     rebuild: bool = False) -> DataFrame:
-    """Read every period file, enrich, and load by year partition.  ``rebuild=True``
-    replaces the whole table; otherwise only the years present in the input are replaced
-    (dynamic overwrite), so re-running a period is idempotent."""
+                     rebuild: bool = False, table: str | None = None) -> DataFrame:
+    """Read every period file, enrich, and load by year and period (see ``load_trips``)."""
     raw = trips_with_period(read_period_csv(spark, src_dir))
-    enriched = enrich_trips(raw.select(*[f.name for f in RAW_TRIP_SCHEMA.fields], "ptd"), regions)
-    if rebuild:
-        enriched.write.mode("overwrite").partitionBy("ptd").parquet(dw_path)
-    else:
-        write_partitioned(enriched, dw_path, "ptd")
-    release_persisted()
+    load_trips(raw.select(*[f.name for f in RAW_TRIP_SCHEMA.fields], "ptd", "period"), regions, dw_path, table, rebuild)
     return load_trip_table(spark, dw_path)
 
 
@@ -50,12 +65,16 @@ def build_app_tables(trips: DataFrame, region: str = "LA") -> dict[str, DataFram
 
 
 def run_trip_job(spark: SparkSession, src_dir: str, dw_path: str, regions: DataFrame | None = None, *,
-                 rebuild: bool = True, export_dir: str | None = None) -> dict[str, DataFrame]:
-    """Whole job: table load, app tables, per-year statistics, optional CSV exports."""
-    trips = build_trip_table(spark, src_dir, dw_path, regions, rebuild)
+                 rebuild: bool = True, export_dir: str | None = None, table: str | None = None) -> dict[str, DataFrame]:
+    """Whole job: table load, app tables, per-year statistics, the report of rejected rows, and the
+    optional CSV exports (the middle table, both app tables)."""
+    trips = build_trip_table(spark, src_dir, dw_path, regions, rebuild, table)
     out = {"trip_details": trips, **build_app_tables(trips)}
     out["statistics"] = describe_by(trips, STATS_COLUMNS, by="ptd")
+    out["rejected"] = rejected_rows(read_period_csv(spark, src_dir))
     if export_dir:
+        export_csv(trips, f"{export_dir}/trip_details")
         export_csv(out["app_trip_cnt_by_hour"], f"{export_dir}/app_trip_cnt_by_hour", sort=["start_hour"])
         export_csv(out["bike_distance"], f"{export_dir}/bike_distance")
     return out
+

@@ -1,39 +1,8 @@
-"""Broadcast only behind a measured size bound; otherwise fall back to a shuffle join."""
+"""Intermediate tables in the shared checkpoint folder, and a floor under scan parallelism."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-# Frames persisted by the size checks, so a job can release them when it is done
-# (a long-running stream must not keep one per micro-batch).
-_PERSISTED: list[DataFrame] = []
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``df`` (a derived, usually small table), count it, and mark it for broadcast
-    only when it has at most ``max_rows`` rows.  Larger inputs stay a normal join side, so
-    the join becomes a shuffle join instead of an oversized broadcast."""
-    kept, n = persist_counted(df)
-    return F.broadcast(kept) if n <= max_rows else kept
-
-
-def persist_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """Persist (memory, spilling to disk) and count in one job."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(kept)
-    return kept, kept.count()
-
-
-def release_persisted() -> int:
-    """Unpersist every frame persisted by the size checks so far; returns how many."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-    return n
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -43,16 +12,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def bounded_rows(df: DataFrame, max_rows: int, what: str) -> int:
-    """Count ``df`` and fail when it exceeds ``max_rows`` (for steps whose result is a
-    summary table that must stay small, e.g. one row per cluster)."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{what}: {n} rows exceeds the bound {max_rows}")
-    return n
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ensure_min_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from tripflow.operators import cluster, profile, stations
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.region import tag_points
 from tripflow.operators.rollup import HOURLY_COLUMNS, count_by_partition, fill_hour_gaps, hourly_usage
+from tripflow.schema import DESCRIBE_COLUMNS, STATS_COLUMNS
 from tripflow.sources.adapter import load_raw_trips
 from tripflow.sources.regions import regions_from_rows
 
@@ -33,11 +34,6 @@ PASADENA_REGION = (
     [[[[-118.225, 33.925], [-118.125, 33.925], [-118.125, 34.125], [-118.225, 34.125], [-118.225, 33.925]]]],
 )
 TRIP_REGIONS = [LA_REGION]
-# Column lists of the statistics reports.
-STATS_COLUMNS = ["duration", "plan_duration", "trip_route_type", "passholder_type", "bike_type", "distance",
-                 "season", "holiday", "workingday"]
-DESCRIBE_COLUMNS = ["duration", "start_lat", "start_lon", "end_lat", "end_lon", "plan_duration", "trip_route_type",
-                    "passholder_type", "bike_type", "distance", "season", "holiday", "workingday"]
 CATEGORY_COLUMNS = ["plan_duration", "trip_route_type", "passholder_type", "bike_type", "season", "holiday",
                     "workingday"]
 CI_CATEGORIES = ["workingday", "season", "holiday", "hour_is_morning_evening"]
@@ -47,7 +43,12 @@ DBSCAN_EPS = 0.06
 DBSCAN_MIN_SAMPLES = 1100
 DBSCAN_SWEEP = [900, 1100, 1150, 1200]
 K_DISTANCE_K = 1000
-KMEANS_K = 3
+# The clustering chain: one year, scaled coordinates (units: standard deviations).
+CHAIN_YEAR, CHAIN_EPS, CHAIN_MIN_SAMPLES = "1997", 0.5, 170
+# Start centres (lon, lat) and rounds of the k-means queries.
+KMEANS_START = [(-118.57, 33.93), (-118.41, 34.11), (-118.23, 34.22)]
+KMEANS_ROUNDS = 6
+BOOTSTRAP_REPLICATES = 100
 # Label rule for the quality metrics (a given clustering, so metrics are tested on their own).
 QUALITY_LABEL_MOD = 3
 TAG_REGIONS = [LA_REGION, PASADENA_REGION]
@@ -84,7 +85,7 @@ def q_calendar_flags(spark, sf_dir):
 
 
 def q_hour_rollup(spark, sf_dir):
-    return hourly_usage(trips(spark, sf_dir))
+    return hourly_usage(trips(spark, sf_dir)).orderBy("start_hour")
 
 
 def q_hour_rollup_filled(spark, sf_dir):
@@ -103,7 +104,7 @@ def q_geodesic_by_trip(spark, sf_dir):
     """Geodesic and haversine distance of every distinct (start, end) coordinate pair."""
     raw = load_raw_trips(spark, sf_dir)
     pairs = raw.select("start_lat", "start_lon", "end_lat", "end_lon").dropna().distinct()
-    g = geo.geodesic_batch("start_lat", "start_lon", "end_lat", "end_lon", "m")
+    g = geo.geodesic("start_lat", "start_lon", "end_lat", "end_lon", "m")
     return pairs.withColumn("__m", g).select(
         "start_lat", "start_lon", "end_lat", "end_lon",
         _round(F.col("__m"), 3).alias("geodesic_m"),
@@ -137,6 +138,23 @@ def q_partition_quartiles(spark, sf_dir):
     return d.select("ptd", "column", "count", *[_round(F.col(c)).alias(c) for c in stats])
 
 
+def q_describe_all(spark, sf_dir):
+    """The 8 describe statistics over all partitions together."""
+    d = profile.describe_quartiles(trips(spark, sf_dir, with_region=False), DESCRIBE_COLUMNS)
+    return d.select("column", "count", *[_round(F.col(c)).alias(c) for c in ("mean", "stddev", "min", "p25", "p50", "p75", "max")])
+
+
+def q_hourly_describe(spark, sf_dir):
+    """The 8 describe statistics of the hourly table."""
+    d = profile.describe_quartiles(_hourly(spark, sf_dir), HOURLY_NUMERIC)
+    return d.select("column", "count", *[_round(F.col(c)).alias(c) for c in ("mean", "stddev", "min", "p25", "p50", "p75", "max")])
+
+
+def q_year_trips(spark, sf_dir):
+    """One year of the enriched trips (a partition filter)."""
+    return trips(spark, sf_dir, with_region=False).where(F.col("ptd") == CHAIN_YEAR).drop("city_name")
+
+
 def q_null_audit(spark, sf_dir):
     return profile.null_audit(load_raw_trips(spark, sf_dir))
 
@@ -198,9 +216,14 @@ def q_station_set_diff(spark, sf_dir):
     return stations.set_diff(load_raw_trips(spark, sf_dir), "start_station", "end_station")
 
 
+# Event documents and, in between, ones that are missing, broken, of another type or incomplete.
+EVENT_DOC = """CASE event_id % 13 WHEN 1 THEN NULL WHEN 2 THEN '{"k":"x"}' WHEN 3 THEN '[1,2]' WHEN 4 THEN 'bad' WHEN 5 THEN '7'
+  WHEN 6 THEN '{"ref":"r"}' WHEN 7 THEN '{"k":null}' WHEN 8 THEN '{"k":' ELSE props END"""
+
+
 def q_json_conformance(spark, sf_dir):
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return profile.json_conformance(ev, "props", "k INT, ref STRING", required=["k"])
+    return profile.json_conformance(ev.selectExpr(f"{EVENT_DOC} AS doc"), "doc", "k INT, ref STRING", required=["k"])
 
 
 def q_time_functions(spark, sf_dir):
@@ -301,19 +324,59 @@ def q_silhouette(spark, sf_dir):
     return s.select(_round(F.col("silhouette"), 6).alias("silhouette"))
 
 
+def _chain(spark, sf_dir):
+    """One year's start points, scaled, and their DBSCAN labels: (x, y raw), (sx, sy scaled), label."""
+    raw = load_raw_trips(spark, sf_dir).where(F.col("ptd") == CHAIN_YEAR)
+    pts = raw.select(F.col("start_lon").alias("x"), F.col("start_lat").alias("y")).dropna()
+    scaled = cluster.standard_scale(pts, ["x", "y"], suffix="_scaled").withColumnsRenamed({"x_scaled": "sx", "y_scaled": "sy"})
+    w = cluster.with_point_ids(cluster.weighted_points(scaled, ["sx", "sy", "x", "y"]), ["sx", "sy"])
+    lab = cluster.dbscan(w, CHAIN_EPS, CHAIN_MIN_SAMPLES, x="sx", y="sy")
+    return w.join(lab.select("id", "label", "is_core"), "id")
+
+
+def q_dbscan_scaled(spark, sf_dir):
+    """DBSCAN of one year's start points on scaled coordinates."""
+    return _chain(spark, sf_dir).select("x", "y", "w", "is_core", "label")
+
+
+def q_davies_bouldin_dbscan(spark, sf_dir):
+    """Davies-Bouldin of those labels on the raw coordinates, noise as a cluster of its own."""
+    d = cluster.davies_bouldin_df(_chain(spark, sf_dir), ["x", "y"], "label", weight="w", include_noise=True)
+    return d.select(_round(F.col("davies_bouldin"), 6).alias("davies_bouldin"))
+
+
+def q_dbscan_cluster_sizes(spark, sf_dir):
+    """Points and trips of every cluster of every sweep setting."""
+    lab = cluster.dbscan_sweep(weighted_start_points(spark, sf_dir), DBSCAN_EPS, DBSCAN_SWEEP)
+    return cluster.cluster_sizes(lab)
+
+
 def _kmeans(spark, sf_dir):
-    pts = cluster.weighted_points(start_points(spark, sf_dir), ["x", "y"]).withColumn("w", F.col("w").cast("double"))
-    return cluster.kmeans(pts, ["x", "y"], k=KMEANS_K, seed=42, weight="w")
+    pts = cluster.weighted_points(start_points(spark, sf_dir), ["x", "y"])
+    labels, centers = cluster.lloyd(pts, ["x", "y"], KMEANS_START, KMEANS_ROUNDS, weight="w")
+    table = spark.createDataFrame([(i, *c) for i, c in enumerate(centers)], "label long, center_x double, center_y double")
+    return labels, table.select("label", _round(F.col("center_x"), 9).alias("center_x"), _round(F.col("center_y"), 9).alias("center_y"))
 
 
 def q_kmeans_sizes(spark, sf_dir):
+    """The largest clusters with their centres (k-means rounds from given centres)."""
     labels, centers = _kmeans(spark, sf_dir)
-    return cluster.top_clusters(labels, centers, n=KMEANS_K, weight="w")
+    return cluster.top_clusters(labels, centers, n=len(KMEANS_START), weight="w")
 
 
 def q_kmeans_centers(spark, sf_dir):
-    labels, centers = _kmeans(spark, sf_dir)
-    return labels.select("x", "y", "w", "label")
+    return _kmeans(spark, sf_dir)[1]
+
+
+def q_kmeans_labels(spark, sf_dir):
+    """Every distinct start point with the number of its nearest centre."""
+    return _kmeans(spark, sf_dir)[0].select("x", "y", "w", "label")
+
+
+def _with_period(spark, sf_dir):
+    raw = load_raw_trips(spark, sf_dir)
+    st = timefn.parse_trip_time("start_time")
+    return raw.withColumn("period", F.concat(F.year(st).cast("string"), F.lit("-q"), F.quarter(st).cast("string")))
 
 
 def q_csv_roundtrip(spark, sf_dir):
@@ -321,26 +384,80 @@ def q_csv_roundtrip(spark, sf_dir):
     through the period CSV source."""
     from tripflow.sources.sinks import scratch_path, write_period_csv
     from tripflow.sources.trips_csv import read_period_csv, trips_with_period
-    raw = load_raw_trips(spark, sf_dir).drop("ptd")
-    st = timefn.parse_trip_time("start_time")
-    with_period = raw.withColumn("period", F.concat(F.year(st).cast("string"), F.lit("-q"),
-                                                    F.quarter(st).cast("string")))
     path = scratch_path(spark, "csv")
-    write_period_csv(with_period, path)
+    write_period_csv(_with_period(spark, sf_dir).drop("ptd"), path)
     back = trips_with_period(read_period_csv(spark, path))
     return back.drop("_corrupt_record", "source_file")
 
 
+def q_rejected_rows(spark, sf_dir):
+    """The load's report over period files, some of whose rows lack coordinates; rows of odd days
+    come in a file without a period."""
+    from tripflow.sources.sinks import scratch_path, write_period_csv
+    from tripflow.sources.trips_csv import read_period_csv, rejected_rows
+    path = scratch_path(spark, "csv")
+    raw = _with_period(spark, sf_dir)
+    odd = raw.withColumn("period", F.when(F.col("trip_id") % 10 == 0, F.lit("latest")).otherwise(F.col("period")))
+    write_period_csv(odd.drop("ptd"), path)
+    return rejected_rows(read_period_csv(spark, path)).select("source_file", "reason", "rows")
+
+
 def q_partition_reload(spark, sf_dir):
-    """Enriched trips loaded into a year-partitioned table (dynamic overwrite, run twice to
-    show it is idempotent) and read back."""
-    from tripflow.plans.batch_job import load_trip_table
-    from tripflow.sources.sinks import scratch_path, write_partitioned
+    """Enriched trips loaded quarter by quarter into the partitioned table: the odd quarters first,
+    then the even ones, then one quarter again after it had been loaded with a part of its rows;
+    and read back."""
+    from tripflow.plans.batch_job import load_trip_table, load_trips
+    from tripflow.sources.sinks import scratch_path
     path = scratch_path(spark, "dw")
-    t = trips(spark, sf_dir)
-    write_partitioned(t, path, "ptd")
-    write_partitioned(t, path, "ptd")
-    return load_trip_table(spark, path)
+    raw, regions = _with_period(spark, sf_dir), regions_from_rows(spark, TRIP_REGIONS)
+    quarter = F.substring("period", 7, 1).cast("int")
+    load_trips(raw.where(quarter.isin(1, 3)), regions, path)
+    load_trips(raw.where((quarter == 2) & (F.col("trip_id") % 2 == 0)), regions, path)
+    load_trips(raw.where(quarter.isin(2, 4)), regions, path)
+    return load_trip_table(spark, path).drop("period")
+
+
+def q_export_roundtrip(spark, sf_dir):
+    """The hourly table written as sorted CSV and as JSON lines, both read back and compared by hour."""
+    from tripflow.sources.sinks import export_csv, export_json, scratch_path
+    hourly = _hourly(spark, sf_dir).select("start_hour", "used_count", "total_duration")
+    csv, json = scratch_path(spark, "export-csv"), scratch_path(spark, "export-json")
+    export_csv(hourly, csv, max_rows=1000, sort=["start_hour"])
+    export_json(hourly, json)
+    ddl = "start_hour string, used_count long, total_duration long"
+    a = spark.read.schema(ddl).option("header", True).csv(csv)
+    b = spark.read.schema(ddl).json(json)
+    return a.join(b.withColumnsRenamed({"used_count": "json_count", "total_duration": "json_duration"}), "start_hour")
+
+
+def q_region_document(spark, sf_dir):
+    """Start points inside (boundary included) the regions of a GeoJSON document that is written and
+    read by name."""
+    import json
+
+    from tripflow.sources.regions import regions_from_geojson
+    from tripflow.sources.sinks import scratch_path
+    path = scratch_path(spark, "regions")
+    doc = json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"name": n}, "geometry": {"type": "MultiPolygon", "coordinates": c}} for n, c in TAG_REGIONS]})
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    pts = weighted_start_points(spark, sf_dir).select("x", "y", "w")
+    tags = tag_points(pts, regions_from_geojson(spark, path, names=["PASADENA"]), "x", "y", boundary=True)
+    return pts.join(tags, ["x", "y"], "left").groupBy("region").agg(F.count(F.lit(1)).alias("points"), F.sum("w").alias("trips"))
+
+
+def q_month_spine(spark, sf_dir):
+    """Trips per month on a month spine of step 2, and per week on an open spine, zero-filled."""
+    t = trips(spark, sf_dir, with_region=False).where(F.col("start_datetime").isNotNull())
+    lo, hi = t.agg(F.date_trunc("month", F.min("start_datetime")), F.date_trunc("month", F.max("start_datetime"))).first()
+    out = None
+    for unit, step, closed, cut in (("M", 2, True, "month"), ("W", 1, False, "week"), ("Y", 1, True, "year")):
+        points = timefn.date_spine(spark, str(lo), str(hi), unit, step, closed)
+        counted = t.groupBy(F.date_trunc(cut, "start_datetime").cast("timestamp_ntz").alias("at")).agg(F.count(F.lit(1)).alias("trips"))
+        keyed = points.withColumn("at", F.date_trunc(cut, "ts").cast("timestamp_ntz"))
+        part = keyed.join(counted, "at", "left").select(F.lit(unit).alias("unit"), timefn.date_label("ts").alias("day"), F.coalesce("trips", F.lit(0)).cast("long").alias("trips"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_top_od_pairs(spark, sf_dir):
@@ -357,12 +474,12 @@ def q_unmapped_categories(spark, sf_dir):
 
 
 def q_complete_rows(spark, sf_dir):
-    """Rows per year before and after dropping rows with any NULL."""
+    """Rows per year, and how many of them have no NULL (one conditional count)."""
     raw = load_raw_trips(spark, sf_dir)
-    complete = raw.na.drop("any").groupBy("ptd").agg(F.count(F.lit(1)).alias("complete_rows"))
-    total = raw.groupBy("ptd").agg(F.count(F.lit(1)).alias("rows"))
-    return total.join(complete, "ptd", "left").select(
-        "ptd", "rows", F.coalesce("complete_rows", F.lit(0)).alias("complete_rows"))
+    full = F.lit(True)
+    for c in raw.columns:
+        full = full & F.col(c).isNotNull()
+    return raw.groupBy("ptd").agg(F.count(F.lit(1)).alias("rows"), F.count_if(full).alias("complete_rows"))
 
 
 def q_k_distance_curve(spark, sf_dir):
@@ -373,8 +490,8 @@ def q_k_distance_curve(spark, sf_dir):
 
 
 def q_mean_ci_bootstrap(spark, sf_dir):
-    """Poisson-bootstrap CI of hourly usage per working-day flag (hash-seeded weights)."""
-    m = profile.mean_ci_bootstrap(_hourly(spark, sf_dir), "used_count", "workingday", replicates=100)
+    """Poisson-bootstrap CI of hourly usage per working-day flag (weights drawn from md5)."""
+    m = profile.mean_ci_bootstrap(_hourly(spark, sf_dir), "used_count", "workingday", key="start_hour", replicates=BOOTSTRAP_REPLICATES)
     return m.select("level", *[_round(F.col(c)).alias(c) for c in ("mean", "ci_low", "ci_high")])
 
 
@@ -389,6 +506,9 @@ QUERIES: dict[str, QueryFn] = {
     "partition_counts": q_partition_counts,
     "partition_stats": q_partition_stats,
     "partition_quartiles": q_partition_quartiles,
+    "describe_all": q_describe_all,
+    "hourly_describe": q_hourly_describe,
+    "year_trips": q_year_trips,
     "null_audit": q_null_audit,
     "category_counts": q_category_counts,
     "category_decode": q_category_decode,
@@ -412,8 +532,16 @@ QUERIES: dict[str, QueryFn] = {
     "silhouette": q_silhouette,
     "kmeans_sizes": q_kmeans_sizes,
     "kmeans_centers": q_kmeans_centers,
+    "kmeans_labels": q_kmeans_labels,
+    "dbscan_scaled": q_dbscan_scaled,
+    "davies_bouldin_dbscan": q_davies_bouldin_dbscan,
+    "dbscan_cluster_sizes": q_dbscan_cluster_sizes,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
+    "rejected_rows": q_rejected_rows,
+    "export_roundtrip": q_export_roundtrip,
+    "region_document": q_region_document,
+    "month_spine": q_month_spine,
     "top_od_pairs": q_top_od_pairs,
     "unmapped_categories": q_unmapped_categories,
     "complete_rows": q_complete_rows,

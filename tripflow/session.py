@@ -45,11 +45,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
-    """Return the checkpoint folder; only tests/local runs may fall back to a temp folder."""
+    """Return the checkpoint folder.  A machine-local one is made up only for a local master (tests,
+    bench); on a cluster ``spark.checkpoint.dir`` has to name a shared one."""
     d = checkpoint_dir(spark)
     if d:
         return d
-    if not allow_local_default:
+    if not (allow_local_default and spark.sparkContext.master.startswith("local[")):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators cut lineage with checkpoint() "
             "and need a shared folder (HDFS/S3/ABFS) named there"

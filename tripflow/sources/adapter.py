@@ -26,11 +26,11 @@ SELECT CAST(k AS INT) AS trip_id, CAST(1 + k % 120 AS INT) AS duration,
        ELSE concat(y, '-', lpad(m, 2, '0'), '-', lpad(d, 2, '0'), ' ', lpad(hh, 2, '0'), ':',
                    lpad(mi, 2, '0'), ':00') END AS start_time,
   CASE WHEN k % 97 = 0 THEN NULL ELSE concat(m, '/', d, '/', y, ' ', hh, ':59') END AS end_time,
-  CAST(s AS INT) AS start_station,
+  CAST(CASE WHEN s = 11 AND k % 5 = 0 THEN 211 ELSE s END AS INT) AS start_station,
   CASE WHEN k % 50 = 0 THEN NULL
        ELSE CAST(33.9 AS DOUBLE) + (s % 8) * CAST(0.05 AS DOUBLE) END AS start_lat,
   CAST(-118.6 AS DOUBLE) + (s % 5) * CAST(0.1 AS DOUBLE) AS start_lon,
-  CAST(e AS INT) AS end_station,
+  CAST(CASE WHEN e = 7 AND k % 3 = 0 THEN 107 ELSE e END AS INT) AS end_station,
   CAST(33.9 AS DOUBLE) + (e % 8) * CAST(0.05 AS DOUBLE) AS end_lat,
   CAST(-118.6 AS DOUBLE) + (e % 5) * CAST(0.1 AS DOUBLE) AS end_lon,
   CAST(c AS INT) AS bike_id,

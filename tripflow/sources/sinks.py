@@ -11,25 +11,28 @@ from pyspark.sql import functions as F
 from tripflow.session import ensure_checkpoint_dir
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str = "ptd", fmt: str = "parquet",
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str = ("ptd", "period"), fmt: str = "parquet",
                       mode: str = "overwrite") -> None:
     """Write ``df`` partitioned by ``by``.  Overwrite is *dynamic*: only partitions present in
-    ``df`` are replaced, so re-running a period is idempotent and other periods stay."""
+    ``df`` are replaced.  With year and period as partitions, a period loaded again replaces
+    itself, and other periods of its year stay."""
     cols = [by] if isinstance(by, str) else list(by)
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*cols).format(fmt).save(path))
 
 
-def write_table(df: DataFrame, table: str, by: Sequence[str] | str = "ptd") -> None:
-    """Create the partitioned table on first use, else dynamic-overwrite its partitions
-    (columns matched by name, not position)."""
+def write_table(df: DataFrame, table: str, by: Sequence[str] | str = ("ptd", "period")) -> None:
+    """Create the partitioned table on first use, else dynamic-overwrite its partitions (columns
+    matched by name, not position).  The session's settings stay as they are."""
     spark = df.sparkSession
     cols = [by] if isinstance(by, str) else list(by)
     if not spark.catalog.tableExists(table):
         df.write.partitionBy(*cols).format("parquet").saveAsTable(table)
         return
-    target = spark.table(table).columns
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*target).write.insertInto(table, overwrite=True)
+    # Dynamic overwrite is an option of file writers alone: write the table's files, then tell the catalog.
+    where = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
+    write_partitioned(df.select(*spark.table(table).columns), where, cols)
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
 
 
 def export_csv(df: DataFrame, path: str, files: int | None = None, max_rows: int = 200_000,
@@ -66,35 +69,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tripflow-{name}-{uuid.uuid4().hex}"
 
 
-def write_period_csv(df: DataFrame, path: str, period_col: str = "period", prefix: str = "metro-trips-") -> list[str]:
-    """Write one or more ``{prefix}{period}-NNNNN.csv`` files per period into ``path``.
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder once nothing reads it any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
-    Spark writes ``period=.../part-*.csv`` files; they are then renamed (file-system
-    metadata only, nothing read on the driver) into the flat period-named layout that
-    ``read_period_csv`` consumes.  Returns the new file names.
-    """
-    spark = df.sparkSession
-    staging = path.rstrip("/") + "/_staging"
+
+def write_period_csv(df: DataFrame, path: str, period_col: str = "period", prefix: str = "metro-trips-") -> None:
+    """CSV files by period: ``{path}/{prefix}{period}.csv/part-*.csv``, one folder per period.
+
+    Every task writes its own files for the periods it holds, so a period with a third of all
+    rows is still written by many tasks, and nothing is renamed afterwards; ``read_period_csv``
+    takes the period from the folder's name."""
+    folder = F.concat(F.lit(prefix), F.col(period_col), F.lit(".csv"))
     cols = [c for c in df.columns if c != period_col]
-    # No repartition by period: every task writes its own files for the periods it holds, so
-    # a period with a third of all rows is still written by many tasks.
-    (df.select(*cols, period_col).write.mode("overwrite").option("header", True)
-     .partitionBy(period_col).csv(staging))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(staging)
-    fs = root.getFileSystem(conf)
-    names = []
-    for st in fs.listStatus(root):
-        dname = st.getPath().getName()
-        if not st.isDirectory() or not dname.startswith(f"{period_col}="):
-            continue
-        period = dname.split("=", 1)[1]
-        parts = sorted(p.getPath().toString() for p in fs.listStatus(st.getPath())
-                       if p.getPath().getName().endswith(".csv"))
-        for i, src in enumerate(parts):
-            name = f"{prefix}{period}-{i:05d}.csv"
-            fs.rename(jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}"))
-            names.append(name)
-    fs.delete(root, True)
-    return names
+    (df.select(*cols, folder.alias("file")).write.mode("overwrite").option("header", True).partitionBy("file").csv(path))

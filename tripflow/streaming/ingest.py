@@ -1,13 +1,16 @@
 """Structured Streaming ingest of period CSV files.
 
 New ``metro-trips-*.csv`` files are picked up by a file stream; each micro-batch is enriched
-with the batch operator (``foreachBatch``) and written into its own ``batch=<id>`` folder, so
-a retried batch overwrites itself (idempotent) and the table is the union of batches.
+with the batch operator (``foreachBatch``) and written into its own ``run=<query>/batch=<id>``
+folder.  A new checkpoint is a new run and never touches an older run's folders; a batch that is
+retried after its commit is not written again, so a reader of the folders sees it once.
 A second query rolls the enriched stream up per clock hour with a watermark for late trips.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,21 +18,18 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tripflow.functions.timefn import epoch_seconds, from_epoch_seconds, hour_label
 from tripflow.operators.enrich import enrich_trips
-from tripflow.plans.sizing import release_persisted
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA
-from tripflow.sources.trips_csv import PERIOD_REGEX, TRIP_FILE_PREFIX
+from tripflow.sources.trips_csv import with_file_period
 
 
 def trip_file_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming raw trips (+ ``period`` and ``ptd`` from the file name)."""
     r = (spark.readStream.schema(RAW_TRIP_SCHEMA).option("header", True)
-         .option("pathGlobFilter", f"{TRIP_FILE_PREFIX}*.csv"))
+         .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(src_dir)
-    period = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), PERIOD_REGEX, 1), F.lit(""))
-    return df.withColumns({"period": period, "ptd": F.split(period, "-").getItem(0)})
+    return with_file_period(r.csv(src_dir))
 
 
 def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoint_location: str,
@@ -39,10 +39,14 @@ def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoin
     raw_cols = [f.name for f in RAW_TRIP_SCHEMA.fields]
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        # The query's id, as its checkpoint keeps it from the first start on.
+        run = json.loads(spark.read.text(f"{checkpoint_location.rstrip('/')}/metadata").first()[0])["id"]
+        folder = f"{dw_path.rstrip('/')}/run={run}/batch={batch_id}"
+        done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder + "/_SUCCESS")
+        if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            return
         rows = batch.where(F.col("period").isNotNull()).select(*raw_cols, "ptd")
-        enriched = enrich_trips(rows, regions)
-        (enriched.write.mode("overwrite").partitionBy("ptd").parquet(f"{dw_path.rstrip('/')}/batch={batch_id}"))
-        release_persisted()  # the batch's size-checked lookup tables are no longer needed
+        enrich_trips(rows, regions).write.mode("overwrite").partitionBy("ptd").parquet(folder)
 
     w = (trip_file_stream(spark, src_dir, max_files_per_trigger).writeStream
          .option("checkpointLocation", checkpoint_location).foreachBatch(load))
@@ -52,7 +56,7 @@ def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoin
 
 def enriched_table_stream(spark: SparkSession, dw_path: str) -> DataFrame:
     """The ingested table as a stream (new batch folders arrive as new files)."""
-    schema = StructType(list(ENRICHED_TRIP_SCHEMA.fields) + [StructField("batch", StringType(), True)])
+    schema = StructType(list(ENRICHED_TRIP_SCHEMA.fields) + [StructField("run", StringType(), True), StructField("batch", StringType(), True)])
     return spark.readStream.schema(schema).option("recursiveFileLookup", False).parquet(dw_path)
 
 
