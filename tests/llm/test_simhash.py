@@ -67,11 +67,11 @@ def test_components_of_documents(frame):
     for i, t, *_ in rows:
         if i is not None:
             low[root[plain(t)]].append(i)
-    want = sorted((str(i), f"{plain(t):016x}", min(low[root[plain(t)]])) for i, t, *_ in rows)
-    assert sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in got) == want
+    want = sorted((str(i), f"{plain(t):016x}", str(min(low[root[plain(t)]], default=None))) for i, t, *_ in rows)
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got) == want
     kept = simhash.keep_one(frame(rows))
     assert kept.columns == frame([]).columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(min(v) for v in low.values())
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(min(v, default=None)) for v in (low[r] for r in set(root.values())))
     assert simhash.with_component(frame([])).count() == 0 and simhash.keep_one(frame([])).count() == 0
     assert simhash.keep_one(frame([(1, "a b"), (1, "a b"), (None, "c"), (None, "c")])).count() == 2
 
