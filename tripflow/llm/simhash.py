@@ -154,8 +154,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -
         keys = [*keys, f"v{level}"]
         rows = rows.select("fp", F.col("k.at").alias("at"), *keys[:-1], F.col("k.v").alias(keys[-1]))
         shared = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        shared, path = stored(shared, f"variants{level}")
-        small = rows.join(shared.filter(F.col("n") <= bucket).drop("n"), keys, "left_semi").select(*keys, "fp")
+        shared, _ = stored(shared, f"variants{level}")  # grows with the corpus: never broadcast
+        small = rows.join(shared.filter(F.col("n") <= bucket).drop("n").hint("merge"), keys, "left_semi").select(*keys, "fp")
         found = (small.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys)
                  .mapInPandas(_bucket_links(max_bits), "a long, b long").distinct())
         found, _ = stored(found, f"links{level}")
