@@ -55,9 +55,10 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     for more in done[1:]:
         closed = closed.unionByName(more)
     # One row of each group stays: of the rows with the largest id, the first written.
-    first = (closed.filter("n IS NOT NULL AND id <=> top").groupBy("level", "grp").agg(F.min("rid").alias("keep_rid")))
-    marked = closed.join(first, ["level", "grp"], "left")
+    first = closed.filter("n IS NOT NULL AND id <=> top").groupBy("level", "grp").agg(F.min("rid").alias("rid"))
+    # Joined by the row's own number, so that a large group is no key.
+    marked = closed.join(first.select("level", "rid", F.lit(True).alias("stays")), ["level", "rid"], "left")
     alone = F.col("n").isNull()
     return marked.select(F.col("id").alias(id_col), F.when(alone, F.col("id")).otherwise(F.col("top")).alias("keep_id"),
                          F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-                         (alone | (F.col("rid") == F.col("keep_rid"))).alias("kept"), F.col("sha").alias("text_sha256"))
+                         (alone | F.col("stays").isNotNull()).alias("kept"), F.col("sha").alias("text_sha256"))
