@@ -152,34 +152,36 @@ class Mix:
         d = d.join(per, (F.col("rank") == F.col("t_rank")) & (F.col("at") == F.col("t_start")), "left")
         return d.select(F.col("id").alias(self.id_col), "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
-    def _picked(self, *keys: str) -> tuple[DataFrame, Column]:
-        """Texts' words joined with the ranges ``keys`` names; one text's ranges are one array."""
+    def _picked(self, *keys: str) -> DataFrame:
+        """Texts joined with the ranges ``keys`` names (one array a text), as the pieces they take:
+        structs of ``keys`` and words.  Repeated rows (same id and text) are one document here."""
         parts = self.ranges.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct(*keys, "skip", "n"))).alias("parts"))
         parts = parts.select(F.col("id").alias("p_id"), F.col("text_hash").alias("p_hash"), "parts")
         text = text_of(self.text_col)
-        d = self.df.select(F.struct(*[F.col(f"`{c}`") for c in self.df.columns]).alias("row"), F.col(self.id_col).alias("k_id"), F.xxhash64(text).alias("k_hash"), text.alias("k_text"))
-        return d.join(parts, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash"))), words(F.col("k_text"))
+        d = self.df.select(F.struct(*[F.col(f"`{c}`") for c in self.df.columns]).alias("row"), F.col(self.id_col).alias("k_id"), F.xxhash64(text).alias("k_hash"))
+        if self.docs.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+            d = d.groupBy("k_id", "k_hash").agg(F.first("row").alias("row"))
+        d = d.join(parts, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")))
+
+        def taken(w: Column) -> Column:
+            return F.transform("parts", lambda p: F.struct(*[p[k].alias(k) for k in keys], F.slice(w, (p["skip"] + 1).cast("int"), p["n"].cast("int")).alias("words")))
+
+        # The words are bound once for all parts: as a lambda's variable they are not computed again.
+        pieces = F.transform(F.array(words(text_of(F.col("row")[self.text_col]))), taken)[0]
+        return d.select("row", F.col("k_id").alias("doc_id"), pieces.alias("pieces"))
 
     def documents(self) -> DataFrame:
         """The input's columns, one row per document that the mix takes words of: its text is those
         words in the mix's order (pass by pass), joined by spaces; n_chars follows, if there is one.
         Repeated rows (same id and text) become one document with all that they give."""
-        d, w = self._picked("pass", "start")
-        d = d.groupBy("k_id", "k_hash").agg(F.first("row").alias("row"), F.first("k_text").alias("k_text"), F.first("parts").alias("parts"))
-        text = F.array_join(F.flatten(F.transform("parts", lambda p: F.slice(F.col("k_words"), (p["skip"] + 1).cast("int"), p["n"].cast("int")))), " ")
-        d = d.withColumn("k_words", w).withColumn("k_new", text)
-        new = {self.text_col: F.col("k_new"), "n_chars": F.length("k_new").cast("long")}
+        d = self._picked("pass", "start").withColumn("new", F.array_join(F.flatten(F.col("pieces.words")), " "))
+        new = {self.text_col: F.col("new"), "n_chars": F.length("new").cast("long")}
         return d.select(*[new.get(c, F.col("row")[c]).alias(c) for c in self.df.columns])
 
     def blocks(self) -> DataFrame:
         """The mix itself: shard, slot, source, doc_ids and the words of every output block (at most
         ``block_words`` of them)."""
-        seg = self.ranges.select("id", "text_hash", "source", "start", "shard", "slot", "skip", "n")
-        text = text_of(self.text_col)
-        d = self.df.select(F.col(self.id_col).alias("k_id"), F.xxhash64(text).alias("k_hash"), text.alias("k_text")).dropDuplicates(["k_id", "k_hash"])
-        d = d.withColumn("k_words", words(F.col("k_text"))).drop("k_text")
-        j = seg.join(d, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("text_hash") == F.col("k_hash")))
-        piece = F.slice("k_words", (F.col("skip") + 1).cast("int"), F.col("n").cast("int"))
-        j = j.select("shard", "slot", "source", F.struct("start", F.col("id").alias("doc_id"), piece.alias("words")).alias("piece"))
+        d = self._picked("shard", "slot", "source", "start").select("doc_id", F.explode("pieces").alias("p"))
+        j = d.select("p.shard", "p.slot", "p.source", F.struct("p.start", "doc_id", "p.words").alias("piece"))
         b = j.groupBy("shard", "slot").agg(F.first("source").alias("source"), F.sort_array(F.collect_list("piece")).alias("pieces"))
         return b.select("shard", "slot", "source", F.col("pieces.doc_id").alias("doc_ids"), F.flatten(F.col("pieces.words")).alias("words"))
