@@ -8,11 +8,14 @@ a lost executor costs a reread and no lineage.  Whole input rows travel as one s
 from __future__ import annotations
 
 import bisect
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tripflow.sources.sinks import scratch_path
 
@@ -59,6 +62,29 @@ def forget(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Texts that are Python strings at a time; the rest of a batch stays in Arrow's memory.
+TEXTS = 128
+
+
+def map_texts(df: DataFrame, keep: Sequence[str], make: Callable[[], Callable[[str], tuple[Any, ...]]], ddl: str, text: str = "text") -> DataFrame:
+    """The ``keep`` columns, as they are, and what the function that ``make`` gives in a task says of
+    every whole text, as the columns of ``ddl``."""
+    new = T.StructType.fromDDL(ddl)
+    schema = T.StructType([*(df.schema[k] for k in keep), *new.fields])
+    kinds, names = [to_arrow_type(f.dataType) for f in new.fields], schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = make()
+        for b in batches:
+            for lo in range(0, b.num_rows, TEXTS):
+                part = b.slice(lo, TEXTS)
+                rows = [of(t) for t in part.column(text).to_pylist()]
+                made = [pa.array([r[i] for r in rows], type=k) for i, k in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *made], names)
+
+    return df.select(*keep, text).mapInArrow(run, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

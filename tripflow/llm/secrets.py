@@ -22,14 +22,12 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
 from itertools import accumulate
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import text_of
+from tripflow.llm.common import map_texts, text_of
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.7
@@ -130,17 +128,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """(doc_id, n_assign, n_access, n_hex, n_literal, base, spans) of every row; ``base`` and
     ``spans`` are lists of kind:start:end."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for key, text in zip(f["key"], f["text"]):
-                base, spans = spans_of(text)
-                kinds = Counter(k for _, k, _ in spans)
-                rows.append((key, *(kinds[k] for k in range(4)), written(base), written(spans)))
-            yield pd.DataFrame(rows, columns=["key", "n_assign", "n_access", "n_hex", "n_literal", "base", "spans"]).astype({"key": "string"})
-
-    kind = df.schema[id_col].dataType.simpleString()
-    d = df.select(F.col(id_col).cast("string").alias("key"), text_of(text_col).alias("text"))
-    got = d.mapInPandas(run, "key string, n_assign long, n_access long, n_hex long, n_literal long, base string, spans string")
-    return got.select(F.col("key").cast(kind).alias(id_col), "n_assign", "n_access", "n_hex", "n_literal", "base", "spans")
+    def of(text: str) -> tuple:
+        base, spans = spans_of(text)
+        kinds = Counter(k for _, k, _ in spans)
+        return (*(kinds[k] for k in range(4)), written(base), written(spans))
 
+    d = df.select(F.col(id_col), text_of(text_col).alias("whole_text"))
+    return map_texts(d, [id_col], lambda: of, "n_assign long, n_access long, n_hex long, n_literal long, base string, spans string", "whole_text")

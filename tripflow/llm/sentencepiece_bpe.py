@@ -25,19 +25,18 @@ import hashlib
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import text_of
+from tripflow.llm.common import map_texts, text_of
 
 SPACE = "▁"
-CACHE = 400_000
+CACHE = 300_000
 _ALONE = 1 << 60
 
 
@@ -283,34 +282,23 @@ def _codec(vocabulary: Vocabulary) -> Codec:
     return _CODECS[key]
 
 
-def _small_parts(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        for lo in range(0, len(f), 256):
-            yield f.iloc[lo:lo + 256]
-
-
 def encoded(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of every row; without ``ids``, digests of the two instead."""
-    spark: SparkSession = df.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable[[str], tuple]:
         codec = _codec(shared.value)
-        for f in _small_parts(frames):
-            rows = []
-            for key, text in zip(f["key"], f["text"]):
-                raw = codec.encode(text)
-                numbers = np.frombuffer(raw, dtype="<u4")
-                decoded = codec.decode(numbers)
-                if ids:
-                    rows.append((key, len(numbers), numbers.astype(np.int64), decoded))
-                else:
-                    rows.append((key, len(numbers), hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()))
-            out = pd.DataFrame(rows, columns=["key", "n_tokens", "a", "b"])
-            yield out.astype({"key": "string"})
-
-    kind = df.schema[id_col].dataType.simpleString()
-    d = df.select(F.col(id_col).cast("string").alias("key"), text_of(text_col).alias("text"))
-    got = d.mapInPandas(run, "key string, n_tokens long, a " + ("array<long>" if ids else "string") + ", b string")
-    names = ("ids", "decoded") if ids else ("ids_sha256", "decoded_sha256")
-    return got.select(F.col("key").cast(kind).alias(id_col), "n_tokens", F.col("a").alias(names[0]), F.col("b").alias(names[1]))
+
+        def of(text: str) -> tuple:
+            raw = codec.encode(text)
+            numbers = np.frombuffer(raw, dtype="<u4")
+            decoded = codec.decode(numbers)
+            if ids:
+                return len(numbers), numbers.astype(np.int32), decoded
+            return len(numbers), hashlib.sha256(raw).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+
+        return of
+
+    d = df.select(F.col(id_col), text_of(text_col).alias("whole_text"))
+    ddl = "n_tokens long, ids array<int>, decoded string" if ids else "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_texts(d, [id_col], make, ddl, "whole_text")

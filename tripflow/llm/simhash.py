@@ -30,9 +30,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripflow.llm.common import WORD, packed, shuffle_partitions, stored, text_of, unpacked
+from tripflow.llm.common import WORD, map_texts, packed, shuffle_partitions, stored, text_of, unpacked
 from tripflow.llm.components import components
 
 SHINGLE, MAX_BITS, BUCKET = 3, 3, 4096
@@ -56,12 +55,14 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
-    @F.pandas_udf(T.LongType())
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint_of(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))
+def fingerprints(df: DataFrame, keep: list[str], text: str, shingle: int = SHINGLE) -> DataFrame:
+    """The ``keep`` columns and the fingerprint ``fp`` (as a signed long) of every row's whole text."""
 
-    return run(text)
+    def of(t: str) -> tuple[int]:
+        fp = fingerprint_of(t, shingle)
+        return (fp - (1 << 64) if fp >> 63 else fp,)
+
+    return map_texts(df, keep, lambda: of, "fp long", text)
 
 
 def as_hex(fp: Column) -> Column:
@@ -171,7 +172,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -
 
 def near_groups(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(id, fp) of every row, and (fp, component_id) of every distinct fingerprint."""
-    docs, _ = stored(df.select(F.col(id_col).alias("id"), fingerprint(text_of(text_col), shingle).alias("fp")), "fingerprints")
+    docs, _ = stored(fingerprints(df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")), ["id"], "text", shingle), "fingerprints")
     distinct, _ = stored(docs.groupBy("fp").agg(F.min("id").alias("low")), "fingerprints-distinct")
     linked, _ = stored(components(links(distinct, max_bits)), "fingerprint-components")
     both = distinct.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
@@ -191,7 +192,8 @@ def keep_one(df: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id
     ids the one with the smallest text hash, of rows equal in both one."""
     spark = df.sparkSession
     text = text_of(text_col)
-    docs, _ = stored(df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), fingerprint(text, shingle).alias("fp")), "fingerprints")
+    slim = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    docs, _ = stored(fingerprints(slim, ["id", "text_hash"], "text", shingle), "fingerprints")
     distinct, _ = stored(docs.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")).alias("low")), "fingerprints-distinct")
     linked, _ = stored(components(links(distinct, max_bits)), "fingerprint-components")
     both = distinct.join(linked, F.col("fp") == F.col("node"), "left").select("low", F.coalesce("root", "fp").alias("root"))

@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD, text_of
+from tripflow.llm.common import WORD, map_texts, text_of
 
 CACHE = 200_000
 
@@ -125,17 +124,11 @@ def token_counts(df: DataFrame, first: tuple[str, ...], more: tuple[str, ...], i
     shared = df.sparkSession.sparkContext.broadcast((first, more))
     key = hash((first, more))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make() -> Callable[[str], tuple[int, int, int]]:
         if key not in _COUNTERS:
             _COUNTERS.clear()
             _COUNTERS[key] = Counter(Automaton(*shared.value))
-        counter = _COUNTERS[key]
-        for f in frames:
-            out = pd.DataFrame([counter.text(t) for t in f["text"]], columns=["n_words", "n_tokens", "n_unknown"])
-            out.insert(0, "key", f["key"].to_numpy())
-            yield out.astype({"key": "string"})
-
-    kind = df.schema[id_col].dataType.simpleString()
-    d = df.select(F.col(id_col).cast("string").alias("key"), text_of(text_col).alias("text"))
-    got = d.mapInPandas(run, "key string, n_words long, n_tokens long, n_unknown long")
-    return got.select(F.col("key").cast(kind).alias(id_col), "n_words", "n_tokens", "n_unknown")
+        return _COUNTERS[key].text
+
+    d = df.select(F.col(id_col), text_of(text_col).alias("whole_text"))
+    return map_texts(d, [id_col], make, "n_words long, n_tokens long, n_unknown long", "whole_text")

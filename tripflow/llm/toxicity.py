@@ -26,17 +26,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripflow.llm.common import forget, stored, text_of
+from tripflow.llm.common import TEXTS, forget, map_texts, stored, text_of
 
 BITS, STEM, TRAIN_ROWS, EPOCHS = 20, 4, 16_000, 8
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 6.0, 0.1
-CACHE = 200_000
+CACHE = 100_000
 _WORDS = re.compile(r"[^\W_]+")
 _M1, _M2, _M3, _M4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
@@ -117,26 +116,24 @@ def train(df: DataFrame, labels: DataFrame, eligible: Column | None = None, trai
     sample = named.join(present, "id").orderBy(order, "id").limit(train_rows)
     sample, sample_path = stored(sample, "toxicity-sample")  # at most train_rows ids
 
-    def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for lo in range(0, len(f), 64):
-                part = f.iloc[lo:lo + 64]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "label": part["label"].to_numpy(), "at": [features(t, bits) for t in part["text"]]}).astype({"id": "string"})
-
     texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(F.broadcast(sample), "id")
-    texts = texts.groupBy("id", "label").agg(F.min("text").alias("text")).select(F.col("id").cast("string").alias("id"), "label", "text")
-    made, made_path = stored(texts.mapInPandas(make, "id string, label int, at array<long>"), "toxicity-features")
-
-    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(np.asarray(a, dtype=np.int32), int(y)) for f in frames for a, y in zip(f["at"], f["label"])]
+    texts = texts.groupBy("id", "label").agg(F.min("text").alias("text"))
+    made, made_path = stored(map_texts(texts, ["id", "label"], lambda: lambda t: (features(t, bits).astype(np.int32),), "at array<int>"), "toxicity-features")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for b in batches:
+            at = b.column("at")
+            places, ends = at.values.to_numpy(), at.offsets.to_numpy()
+            rows += [(places[lo:hi].copy(), y) for lo, hi, y in zip(ends, ends[1:], b.column("label").to_pylist())]
         classes = {y for _, y in rows}
         w = ftrl(rows, bits) if len(classes) == 2 else _constant(classes.pop() if classes else None, bits)
         if rows:
-            yield pd.DataFrame({"place": [-1, *w.places.tolist()], "value": [w.bias, *w.values.tolist()]})
+            yield pa.RecordBatch.from_pydict({"place": [-1, *w.places.tolist()], "value": [w.bias, *w.values.tolist()]})
 
     # One task, over the bounded sample alone: the updates depend on one another.
-    ordered = made.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("label", "at")
-    got = ordered.mapInPandas(fit, "place long, value double").collect()  # at most 2**bits + 1 rows
+    ordered = made.repartition(1).sortWithinPartitions(F.xxhash64(F.col("id").cast("string")), "id").select("label", "at")
+    got = ordered.mapInArrow(fit, "place long, value double").collect()  # at most 2**bits + 1 rows
     forget(df.sparkSession, sample_path, made_path)
     if not got:
         return None
@@ -150,13 +147,15 @@ def score(text: Column, spark, weights: Weights | None) -> Column:
         return F.lit(0.0)
     shared = spark.sparkContext.broadcast(weights)
 
-    @F.pandas_udf(T.DoubleType())
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = shared.value.dense()
         bias, bits = shared.value.bias, shared.value.bits
         for texts in parts:
-            logits = np.array([bias + w[features(t, bits)].sum() for t in texts], dtype=float)
-            yield pd.Series(1.0 / (1.0 + np.exp(-np.clip(logits, -35, 35))))
+            logits = np.zeros(len(texts))
+            for lo in range(0, len(texts), TEXTS):
+                logits[lo:lo + TEXTS] = [bias + w[features(t, bits)].sum() for t in texts.slice(lo, TEXTS).to_pylist()]
+            yield pa.array(1.0 / (1.0 + np.exp(-np.clip(logits, -35, 35))))
 
     return run(text)
 
