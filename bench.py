@@ -27,6 +27,13 @@ HEADLINE = [
     "region_tag",
     "dbscan_sweep",
     "k_distance",
+    "dbscan",
+    "davies_bouldin",
+    "silhouette",
+    "partition_reload",
+    "csv_roundtrip",
+    "mean_ci_bootstrap",
+    "hourly_describe",
 ]
 
 

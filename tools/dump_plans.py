@@ -13,17 +13,21 @@ sys.path.insert(0, ROOT)
 
 NOTES = {
     "hour_rollup": "Flagship. One parquet scan with pruned columns; the enrichment is one codegen'd projection "
-                   "(no Python). Region tags arrive through a broadcast hash join whose build side was "
-                   "measured first (the InMemoryRelation). Partial HashAggregate before the exchange on start_hour, "
-                   "so a hot hour is pre-aggregated per task.",
+                   "(no Python). Region tags are worked out on distinct points, against broadcast polygon edges, and "
+                   "joined back on the coordinates; AQE picks the join. Partial HashAggregate before the exchange on "
+                   "start_hour, so a hot hour is pre-aggregated per task.",
+    "trip_enrich": "The geodesic kernel (the one ArrowEvalPython) runs above the aggregation to distinct coordinate "
+                   "pairs, never per trip.",
     "region_tag": "Distinct points are tagged by an equi-join on latitude band with the exploded polygon edges; "
                   "crossings are summed per (point, region). No CartesianProduct or NestedLoopJoin.",
     "partition_stats": "All 9 columns x 5 statistics in one partial + final aggregation keyed by ptd, then "
                        "an explode to long form.",
+    "partition_quartiles": "Last step only: the sorted (value, count) table and its block table are stored by then. The "
+                           "values meet the few wanted blocks by (group, task), never by their group alone.",
+    "dbscan_sweep": "Last step only: cells, degrees, thresholds and components of cells are stored by then.",
     "station_share": "Per-side counts are pre-aggregated before the union; the total arrives through a scalar "
                      "subquery (no cross join).",
-    "corr_matrix": "Rows are spread (fixed-count repartition) and unpivoted to one record per column pair; "
-                   "one grouped aggregate keyed by the pair id computes all 190 correlations.",
+    "corr_matrix": "One aggregation with one function per pair: no expansion of rows, one row per task to the end.",
 }
 
 

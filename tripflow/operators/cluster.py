@@ -7,9 +7,9 @@ steps (connected components, searches with a growing radius) cut lineage with re
 ``checkpoint()`` into the session's checkpoint folder and end by their own stop condition.
 
 * ``standard_scale``: (x - mean) / population sd, all statistics from one aggregation.
-* ``eps_pairs`` / ``dbscan`` / ``dbscan_sweep``: DBSCAN (Euclidean, ``<= eps``,
-  ``min_samples`` counts the point itself and weights); the eps-pairs are computed once and
-  shared by every ``min_samples`` of a sweep.
+* ``dbscan`` / ``dbscan_sweep``: DBSCAN (Euclidean, ``<= eps``, ``min_samples`` counts the point
+  itself and weights) over cells whose points are all neighbours; one table of thresholds serves
+  every ``min_samples`` of a sweep.  ``eps_pairs`` gives the neighbour pairs themselves.
 * ``k_distance``: exact weighted k-th neighbour distance by growing the search radius only
   for points not yet resolved; the first radius comes from cell counts.
 * ``davies_bouldin``, ``silhouette`` (squared Euclidean): exact, from per-cluster sums that stay
@@ -117,35 +117,58 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
             return labels
 
 
-def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: str = "x", y: str = "y",
-                 pairs: DataFrame | None = None) -> DataFrame:
+def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: str = "x", y: str = "y") -> DataFrame:
     """DBSCAN for several ``min_samples`` at once over weighted distinct points.
 
     ``points``: (x, y, w, id).  Output per (min_samples, point): x, y, w, degree, is_core,
-    label (clusters numbered 0.. by their smallest member in (x, y) order; noise = -1).
+    label (clusters numbered 0.. by their smallest core member in (x, y) order; noise = -1).
     A border point joins the smallest-numbered cluster among its core neighbours.
+
+    Cells have the side eps / sqrt(2): points of one cell are neighbours of one another, without a
+    pair.  Pairs of neighbouring cells are compared, summed up and never stored: first to degrees,
+    then to the largest degree that a point reaches in a cell.  A setting m links two cells if some
+    pair in reach has both degrees at m or above, so one table of thresholds serves all settings,
+    and the components are those of cells, not of points.
     """
-    pairs = _checkpoint(pairs if pairs is not None else eps_pairs(points, eps, x, y))
-    degree = pairs.groupBy("id_a").agg(F.sum("w_b").alias("degree")).withColumnRenamed("id_a", "id")
-    ms_arr = F.array(*[F.lit(int(m)).cast("long") for m in min_samples])
-    nodes = points.join(degree, "id").withColumn("ms", F.explode(ms_arr))
-    nodes = nodes.withColumn("is_core", F.col("degree") >= F.col("ms"))
-    core = nodes.where("is_core").select("ms", "id")
-    deg_a = degree.withColumnRenamed("id", "id_a").withColumnRenamed("degree", "deg_a")
-    deg_b = degree.withColumnRenamed("id", "id_b").withColumnRenamed("degree", "deg_b")
-    pd_ = pairs.join(deg_a, "id_a").join(deg_b, "id_b").withColumn("ms", F.explode(ms_arr))
-    core_edges = pd_.where((F.col("deg_a") >= F.col("ms")) & (F.col("deg_b") >= F.col("ms"))
-                           & (F.col("id_a") != F.col("id_b"))).select(
-        "ms", F.col("id_a").alias("src"), F.col("id_b").alias("dst"))
-    comps = connected_components(core, core_edges, ["ms"])
-    # Border points: non-core with a core neighbour -> smallest neighbouring component.
-    border = (pd_.where((F.col("deg_a") < F.col("ms")) & (F.col("deg_b") >= F.col("ms")))
-              .join(comps.withColumnRenamed("id", "id_b"), ["ms", "id_b"])
-              .groupBy("ms", F.col("id_a").alias("id")).agg(F.min("comp").alias("comp")))
-    member = comps.unionByName(border)
-    # Number clusters 0.. per setting by their smallest member (a table of one row per cluster).
-    ranks = dense_rank_distributed(member, ["ms"], ["comp"], "label")
-    labelled = member.join(ranks, ["ms", "comp"]).select("ms", "id", "label")
+    side = eps / 2**0.5 * (1 - 1e-12)
+    cx, cy = _cells(F.col(x), F.col(y), side)
+    pts = points.select("id", F.col(x).alias("px"), F.col(y).alias("py"), "w", cx.alias("cx"), cy.alias("cy"))
+    cells = _checkpoint(pts.groupBy("cx", "cy").agg(F.sum("w").alias("cw")).withColumn("cell", F.monotonically_increasing_id()))
+    pts = pts.join(cells, ["cx", "cy"])
+    around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"))
+                       for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)])
+
+    def reach(t: DataFrame, *value: str) -> DataFrame:
+        """Pairs of points of different cells within eps: a's columns as ``*_a``, b's as ``*_b``."""
+        a = t.select("cx", "cy", *[F.col(c).alias(f"{c}_a") for c in ("id", "cell", "px", "py", *value)])
+        b = t.select("cell", "px", "py", *value, "cx", "cy", F.explode(around).alias("o"))
+        b = b.select(*[F.col(c).alias(f"{c}_b") for c in ("cell", "px", "py", *value)],
+                     (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
+        d = F.sqrt(F.pow(F.col("px_a") - F.col("px_b"), 2) + F.pow(F.col("py_a") - F.col("py_b"), 2))
+        return a.join(b, ["cx", "cy"]).where(d <= F.lit(eps))
+
+    other = reach(pts, "w").groupBy(F.col("id_a").alias("id")).agg(F.sum("w_b").alias("other"))
+    pts = pts.join(other, "id", "left").withColumn("degree", F.col("cw") + F.coalesce("other", F.lit(0)))
+    pts = _checkpoint(pts.select("id", "px", "py", "w", "cx", "cy", "cell", "degree"))
+    best = pts.groupBy("cell").agg(F.max("degree").alias("top"))
+    seen = reach(pts, "degree").groupBy("id_a", "cell_a", "degree_a", "cell_b").agg(F.max("degree_b").alias("top"))
+    seen = _checkpoint(seen.unionByName(pts.join(best, "cell").select(
+        F.col("id").alias("id_a"), F.col("cell").alias("cell_a"), F.col("degree").alias("degree_a"), F.col("cell").alias("cell_b"), "top")))
+    settings = F.explode(F.array(*[F.lit(int(m)).cast("long") for m in min_samples])).alias("ms")
+    core_cells = best.select("cell", "top", settings).where("top >= ms").select("ms", F.col("cell").alias("id"))
+    links = seen.where("cell_a <> cell_b").groupBy("cell_a", "cell_b").agg(F.max(F.least("degree_a", "top")).alias("top"))
+    links = links.select("cell_a", "cell_b", "top", settings).where("top >= ms").select("ms", F.col("cell_a").alias("src"), F.col("cell_b").alias("dst"))
+    comps = connected_components(core_cells, links, ["ms"]).withColumnRenamed("id", "cell")
+    nodes = pts.select("id", F.col("px").alias(x), F.col("py").alias(y), "w", "cell", "degree", settings).withColumn("is_core", F.col("degree") >= F.col("ms"))
+    core = nodes.where("is_core").select("ms", "id", "cell").join(comps, ["ms", "cell"])
+    low = _checkpoint(core.groupBy("ms", "comp").agg(F.min("id").alias("low")))
+    comps = comps.join(low, ["ms", "comp"]).select("ms", "cell", "low")
+    border = (seen.select("id_a", F.col("cell_b").alias("cell"), "degree_a", "top", settings).where("degree_a < ms AND ms <= top")
+              .join(comps, ["ms", "cell"]).groupBy("ms", F.col("id_a").alias("id")).agg(F.min("low").alias("low")))
+    member = nodes.where("is_core").select("ms", "id", "cell").join(comps, ["ms", "cell"]).select("ms", "id", "low").unionByName(border)
+    # Number clusters 0.. per setting by their smallest core member (a table of one row per cluster).
+    ranks = dense_rank_distributed(low.select("ms", "low"), ["ms"], ["low"], "label")
+    labelled = member.join(ranks, ["ms", "low"]).select("ms", "id", "label")
     out = nodes.join(labelled, ["ms", "id"], "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
     return out.select(F.col("ms").alias("min_samples"), "id", x, y, "w", "degree", "is_core", "label")
 

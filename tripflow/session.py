@@ -27,7 +27,7 @@ def build_local_session(cores: int | str = "*", app: str = "tripflow", shuffle_p
         builder = builder.config(k.replace("__", "."), v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, allow_local_default=True)
+    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -44,13 +44,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool = False) -> str:
-    """Return the checkpoint folder.  A machine-local one is made up only for a local master (tests,
-    bench); on a cluster ``spark.checkpoint.dir`` has to name a shared one."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the checkpoint folder.  Where none is set, a local master (tests, bench), whose tasks
+    all run on this machine, gets one of its own; a cluster has to name a shared one."""
     d = checkpoint_dir(spark)
     if d:
         return d
-    if not (allow_local_default and spark.sparkContext.master.startswith("local[")):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError(
             "spark.checkpoint.dir is not set; iterative operators cut lineage with checkpoint() "
             "and need a shared folder (HDFS/S3/ABFS) named there"
