@@ -66,15 +66,19 @@ def load(path: str) -> Vocabulary:
 
 
 class _Segments(dict):
-    """Segments' ids as bytes, kept up to a bound; a long segment is not kept."""
+    """Segments' ids as bytes, in two generations of bounded size: what is asked for again moves to
+    the young one, and when that is full the old one goes.  Long segments are not kept."""
 
     def __init__(self, codec: Codec) -> None:
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, segment: str) -> bytes:
-        ids = array("I", self.codec._segment(segment)).tobytes()
+        ids = self.old.get(segment)
+        if ids is None:
+            ids = array("I", self.codec._segment(segment)).tobytes()
         if len(segment) <= 64:
             if len(self) >= CACHE:
+                self.old = dict(self)
                 self.clear()
             self[segment] = ids
         return ids
@@ -160,22 +164,27 @@ class Codec:
             else:
                 limit, a = (oa, -1), self.parts[a][1]
 
-    def _known_ids(self, text: str) -> list[int]:
-        """The ids of a text all of whose characters have pieces, and whose only U+2581 is its first."""
-        last, sizes, fits, found = [0] * len(text), [0] * len(text), self.fits, -1
+    def _known_ids(self, text: str) -> list[int] | None:
+        """The ids of a text whose only U+2581 is its first; None if a character has no piece."""
+        last, sizes, fits, found, ends = [0] * len(text), [0] * len(text), self.fits, -1, 0
         for end, (n, piece) in self.auto.iter(text):  # of one end, the longest match first
             if end == found:
                 continue
             if n <= end:
-                pair = last[end - n] << 32 | piece
+                if not sizes[end - n]:  # an end without a piece: every known character is one
+                    return None
+                before = last[end - n]
+                pair = before << 32 | piece
                 fit = fits.get(pair)
                 if fit is None:
                     if len(fits) >= CACHE:
                         fits.clear()
-                    fit = fits[pair] = self.fit(last[end - n], piece)
+                    fit = fits[pair] = self.fit(before, piece)
                 if not fit:
                     continue
-            last[end], sizes[end], found = piece, n, end
+            last[end], sizes[end], found, ends = piece, n, end, ends + 1
+        if ends < len(text):
+            return None
         out, i = [], len(text) - 1
         while i >= 0:
             out.append(last[i])
@@ -195,8 +204,10 @@ class Codec:
 
     def _segment(self, seg: str) -> list[int]:
         """The ids of some U+2581 and what follows them up to the next."""
-        if seg[1:2] != SPACE and len(seg) > 1 and self.known.fullmatch(seg):
-            return self._known_ids(seg)
+        if seg[1:2] != SPACE and len(seg) > 1:
+            ids = self._known_ids(seg)
+            if ids is not None:
+                return ids
         body = seg.lstrip(SPACE)
         spaces = len(seg) - len(body)
         out: list[int] = []
