@@ -84,7 +84,7 @@ def fill(sizes, weights=(5, 2, 1), share=1.5):
     return out
 
 
-def test_mix(frame):
+def test_mix(spark, frame):
     rows = [*ODD, *[(100 + i, " ".join(f"{i}_{k}" for k in range(i % 40)), f"s{i % 7}") for i in range(200)]]
     mix = mixing.Mix(frame(rows), block_words=8, shard_slots=16)
     got = mix.taken().collect()
@@ -99,7 +99,10 @@ def test_mix(frame):
         assert 0 <= r.taken <= 2 * r.size
         taken[r.source] += r.taken
     assert all(abs(taken[s] - target[s]) <= 1 for s in sizes)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 3)
     again = mixing.Mix(frame(rows[::-1]), block_words=8, shard_slots=16)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
     assert Counter(tuple(r) for r in again.taken().collect()) == Counter(tuple(r) for r in got)
     counts = mixing.shard_counts(mix.draws).groupBy("shard").agg(F.sum("slots").alias("n")).collect()
     assert all(r.n == 16 for r in counts if r.shard < max(c.shard for c in counts))

@@ -32,6 +32,9 @@ from tripflow.llm.common import WORD, permuted, shuffle_partitions, stored, text
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS, SHARD_SLOTS = 256, 1024
+#: Salt groups of a source.  The order of its token stream depends on them, so they are fixed: reruns
+#: agree whatever the session's settings.
+SALTS = 4096
 
 
 def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -41,7 +44,7 @@ def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                      F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"))
 
 
-def placed(docs: DataFrame, salts: int) -> DataFrame:
+def placed(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """``docs`` (id, text_hash, source, size) with ``start``: the words of its source before it."""
     salt = F.pmod(F.xxhash64("id", "text_hash"), F.lit(salts)).cast("int")
     d = docs.withColumn("salt", salt)
@@ -134,9 +137,8 @@ class Mix:
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS,
                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> None:
         self.df, self.id_col, self.text_col, self.block_words = df, id_col, text_col, block_words
-        spark = df.sparkSession
         sizes, _ = stored(sized(df, id_col, text_col, source_col), "mix-sizes")
-        self.docs, _ = stored(placed(sizes, 4 * shuffle_partitions(spark)), "mix-docs")
+        self.docs, _ = stored(placed(sizes), "mix-docs")
         self.sources, _ = stored(targets(self.docs, weights, share, most, block_words), "mix-sources")
         self.draws, _ = stored(draws(self.sources, seed, block_words, shard_slots), "mix-draws")
         self.ranges = ranges(self.docs, self.sources, self.draws, block_words)
