@@ -1,6 +1,6 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query runs once to warm up, then three timed runs; each run executes the whole plan
+Each query runs once to warm up, then two timed runs; each run executes the whole plan
 into Spark's ``noop`` sink (no collection to the driver).  Prints one JSON line with the
 per-query warm medians and their sum.
 """
@@ -40,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
     sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
     from tripflow.queries import QUERIES
