@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import LONG, ODD
-from tripflow.llm import exact_dedup, line_dedup, mixing, sharding
+from tripflow.llm import exact_dedup, line_dedup, mixing, sharding, stages
 from tripflow.llm.common import bucket_number, bucket_of, permuted, permuted_back
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -148,3 +148,12 @@ def test_line_dedup_sites_by_the_hundred(frame):
     got = line_dedup.drop_spread_lines(frame(rows), min_sites=100)
     left = Counter(re.search(r"sites (\d+)", r.text)[1] for r in got.collect() if "sites" in r.text)
     assert left == {"90": 90, "98": 98, "99": 99, "100": 1, "101": 1, "102": 1, "110": 1, "140": 1}
+
+
+def test_line_dedup_stage_takes_lines_of_any_length(spark, frame):
+    """The pipeline's stage exempts no line for having few words, nor a script without spaces."""
+    rows = [(i, f"Les.\nRead more\n利用規約とプライバシーポリシーに同意します\nown{i}\n\nfew {i % 4}", f"s{i % 6}") for i in range(12)]
+    rows += [(100, "few 0", "s0"), (101, None, "s1")]
+    got = stages.drop_spread_lines(spark, frame(rows), "").collect()
+    assert Counter((r.doc_id, r.text) for r in got) == brute_lines(rows, line_dedup.MIN_SITES, 1)
+    assert sum("Les." in (r.text or "") for r in got) == 1

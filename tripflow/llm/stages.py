@@ -20,8 +20,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_spread_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sources share (each stays where it first occurs)."""
-    return line_dedup.drop_spread_lines(docs)
+    """All documents, without the lines that many sources share (each stays where it first occurs);
+    lines of one word count as well, so that no line of a script without spaces is exempt."""
+    return line_dedup.drop_spread_lines(docs, min_words=1)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
