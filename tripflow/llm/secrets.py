@@ -4,8 +4,10 @@ Every text is read whole, in two ways whose spans are put together:
 
 * the fixed patterns of assignments, access keys and hex runs (kinds ``assign``, ``access``, ``hex``);
 * a lexer for the assignments of source code and configuration: ``name = value``, ``name: value``,
-  ``name := value``, ``"name" => value``, with quoted or bare names.  A value is an expression of
-  string literals, bare configuration values and names, joined by ``+``.  Constants propagate: a name
+  ``name := value``, ``"name" => value``, with quoted or bare names, quoted subscripts
+  (``config["name"] = value``) and types (``name: str = value``, ``name string = value``).  A value is
+  an expression of string literals (triple-quoted ones as well), bare configuration values and names,
+  joined by ``+``.  Constants propagate: a name
   stands for the literals last assigned to it, through any number of further names.  A literal that
   ends up under a sensitive name is scored by that name and by its own make-up (length, mix of
   letters and digits, entropy; placeholders lose), and from ``THRESHOLD`` on its span is reported as
@@ -40,9 +42,24 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 
-#: A name, as it stands before an assignment, and the assignment sign.
-_NAME = re.compile(r"""(?<![\w$.-])["'`]?([A-Za-z_$][\w$.-]*+)["'`\]]?[ \t]*+(?::=|=>|=(?![=~])|:(?![:/]))[ \t]*+""")
-_TERM = re.compile(r"""(?:[rbuf]{0,2}"((?:[^"\\\n]|\\.)*+)"|[rbuf]{0,2}'((?:[^'\\\n]|\\.)*+)'|`((?:[^`\\\n]|\\.)*+)`|([A-Za-z_$][\w$]*+(?:\.[A-Za-z_$][\w$]*+)*+)(?![\w$/=~@%-])|([\w+/.~!@%^&*-]++={0,2}))""")
+_SUBSCRIPTS = r"""(?:\[[ \t]*+(?:"[A-Za-z_$][\w$.-]*+"|'[A-Za-z_$][\w$.-]*+')[ \t]*+\])"""
+#: Brackets in types, three deep, and a type: a name with such brackets, references and alternatives.
+_IN = _NESTED = r"[^][<>\n=;]"
+for _ in range(2):
+    _NESTED = rf"(?:{_IN}|\[{_NESTED}*+\]|<{_NESTED}*+>)"
+_ATOM = rf"""(?:[&*]++(?:'\w++[ \t]++)?+(?:(?:const|mut)[ \t]++)?+)?+[A-Za-z_$][\w$]*+(?:(?:\.|::)[A-Za-z_$][\w$]*+)*+(?:\[{_NESTED}*+\]|<{_NESTED}*+>)*+[?!]?+"""
+_TYPE = rf"""(?:{_ATOM}(?:[ \t]*+[|&][ \t]*+{_ATOM})*+|"[^"\n]*+"|'[^'\n]*+')"""
+#: A name, as it stands before an assignment (with its subscripts or its type), and the assignment sign.
+#: What follows a colon is a type if white space and ``=``, or ``=`` and a quote, come after it.
+_NAME = re.compile(rf"""(?<![\w$.-])["'`]?([A-Za-z_$][\w$.-]*+(?:{_SUBSCRIPTS}(?:\.[\w$.-]++)?+)*+)["'`]?+(?:[ \t]*+\])?+"""
+                   rf"""(?:(?:[ \t]*+[?!]?+:(?![:=/])[ \t]*+{_TYPE}(?:[ \t]++(?==)|(?==[ \t]*+(?:[rbuf]{{0,2}}["'`])))|[ \t]++(?:string|\[\]byte)[ \t]*+)=(?![=~>])"""
+                   r"""|[ \t]*+(?::=|=>|=(?![=~])|:(?![:/])))[ \t]*+""")
+_TERM = re.compile(rf"""(?:[rbuf]{{0,2}}\"{{3}}((?:[^"\\]|\\[\s\S]|"(?!""))*+)\"{{3}}|[rbuf]{{0,2}}'{{3}}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{{3}}"""
+                   rf"""|[rbuf]{{0,2}}"((?:[^"\\\n]|\\.)*+)"|[rbuf]{{0,2}}'((?:[^'\\\n]|\\.)*+)'|`((?:[^`\\\n]|\\.)*+)`"""
+                   rf"""|([A-Za-z_$][\w$]*+(?:\.[A-Za-z_$][\w$]*+)*+)(?![\w$/=~@%-])((?:{_SUBSCRIPTS}(?:\.[A-Za-z_$][\w$]*+)*+)*+)|([\w+/.~!@%^&*-]++={{0,2}}))""")
+#: The groups of a term: quoted literals, a name, its subscripts, a bare value.
+_QUOTED, _REF, _REF_SUBSCRIPTS, _BARE = (1, 2, 3, 4, 5), 6, 7, 8
+_KEY = re.compile(r"""\[[ \t]*+["']([^"']*+)["'][ \t]*+\]""")
 _PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(|^(?:true|false|none|null|nil|undefined|test|default)$")
@@ -77,21 +94,28 @@ def patterns(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def path(name: str) -> str:
+    """A name with subscripts as one with dots: ``config["db"]`` is ``config.db``."""
+    return _KEY.sub(r".\1", name) if "[" in name else name
+
+
 def literals(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the literals that reach a sensitive name."""
     known: dict[str, tuple[tuple[int, int], ...]] = {}
     found: set[tuple[int, int]] = set()
     for m in _NAME.finditer(text):
-        name, at = m[1], m.end()
+        name, at = path(m[1]), m.end()
         spans: list[tuple[int, int]] = []
         while (t := _TERM.match(text, at)) is not None:
-            quoted = next((g for g in (1, 2, 3) if t[g] is not None), None)
+            quoted = next((g for g in _QUOTED if t[g] is not None), None)
             if quoted:
                 spans.append(t.span(quoted))
-            elif t[4] is not None and t[4] in known:
-                spans += known[t[4]]
+            elif t[_REF] is not None and (ref := path(t[_REF] + t[_REF_SUBSCRIPTS])) in known:
+                spans += known[ref]
+            elif t[_REF] is not None and t[_REF] in known:
+                spans += known[t[_REF]]
             else:
-                spans.append(t.span(4 if t[4] is not None else 5))
+                spans.append(t.span(_REF if t[_REF] is not None else _BARE))
             at = t.end()
             plus = _PLUS.match(text, at)
             if plus is None:
