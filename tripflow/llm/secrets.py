@@ -24,6 +24,7 @@ import math
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -33,8 +34,10 @@ from tripflow.llm.common import map_texts, text_of
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.7
-#: A value made of more literals than this is no single secret, nor a constant to follow.
-PARTS = 64
+#: Values up to this length are scored as text; longer ones by what their parts add up to.
+SHORT = 256
+#: Lengths and counts beyond this are all alike to the score.
+MANY = 1 << 40
 
 # The patterns that the task names.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -62,7 +65,8 @@ _QUOTED, _REF, _REF_SUBSCRIPTS, _BARE = (1, 2, 3, 4, 5), 6, 7, 8
 _KEY = re.compile(r"""\[[ \t]*+["']([^"']*+)["'][ \t]*+\]""")
 _PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(|^(?:true|false|none|null|nil|undefined|test|default)$")
+_MARK = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(")
+_NOTHING = re.compile(r"(?i)(?:true|false|none|null|nil|undefined|test|default)$")
 
 #: How much a name says that its value is secret, by the parts of the name.
 SENSITIVE = {"password": 0.6, "passwd": 0.6, "passphrase": 0.6, "pwd": 0.5, "secret": 0.6, "token": 0.5, "apikey": 0.6,
@@ -77,13 +81,76 @@ def name_score(name: str) -> float:
     return max([best, *(SENSITIVE_PAIRS.get(p, 0.0) for p in zip(parts, parts[1:]))])
 
 
+def made_up(n: int, counts: Counter[str]) -> float:
+    """The score of a value's make-up: a mix of letters and digits, entropy, length."""
+    total = counts.total()
+    entropy = -sum(k / total * math.log2(k / total) for k in counts.values())
+    mixed = any(c.isdigit() for c in counts) and any(c.isalpha() for c in counts)
+    return 0.15 * mixed + 0.15 * (entropy >= 2.8) + 0.1 * (n >= 16)
+
+
 def literal_score(value: str) -> float:
-    if len(value) < 8 or _PLACEHOLDER.search(value) or any(c.isspace() for c in value):
+    counts = Counter(value)
+    if len(value) < 8 or _NOTHING.match(value) or _MARK.search(value) or any(c.isspace() for c in counts):
         return -1.0
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-    return 0.15 * mixed + 0.15 * (entropy >= 2.8) + 0.1 * (n >= 16)
+    return made_up(len(value), counts)
+
+
+class Value:
+    """What a name stands for: spans and other values in order, shared and never copied.  ``n`` is its
+    length; ``uses``, how many names and values hold it; ``made``, its characters' counts, once asked for, and
+    ``marked``, if one of its literals has a placeholder's mark."""
+
+    __slots__ = ("parts", "n", "uses", "made", "marked", "told")
+
+    def __init__(self, parts: list[tuple[int, int] | Value]) -> None:
+        self.parts, self.uses, self.made, self.marked, self.told = parts, 0, None, False, False
+        self.n = min(MANY, sum(p.n if isinstance(p, Value) else p[1] - p[0] for p in parts))
+        for p in parts:
+            if isinstance(p, Value):
+                p.uses += 1
+
+    def spans(self, again: bool) -> Iterator[tuple[int, int]]:
+        """The spans in order; without ``again`` none of a value that has told its spans before."""
+        stack: list[tuple[int, int] | Value] = [self]
+        while stack:
+            if not isinstance(p := stack.pop(), Value):
+                yield p
+            elif again or not p.told:
+                p.told |= not again
+                stack += reversed(p.parts)
+
+    def counts(self, text: str) -> Counter[str]:
+        """How often the value has each character; a value that only this one holds gives its own up."""
+        stack = [self]
+        while stack:
+            v = stack[-1]
+            if v.made is None and (open_ := [p for p in v.parts if isinstance(p, Value) and p.made is None]):
+                stack += open_
+                continue
+            stack.pop()
+            if v.made is not None:
+                continue
+            inner = [p for p in v.parts if isinstance(p, Value)]
+            own = next((p for p in inner if p.uses == 1), None)
+            made = own.made if own else Counter()
+            for p in v.parts:
+                if p is not own:
+                    made.update(p.made if isinstance(p, Value) else text[p[0]:p[1]])
+            if own:
+                own.made = None
+            if max(made.values(), default=0) > MANY:
+                top = max(made.values())
+                made = Counter({c: max(1, k * MANY // top) for c, k in made.items()})
+            v.made = made
+            v.marked = any(p.marked if isinstance(p, Value) else _MARK.search(text[p[0]:p[1]]) for p in v.parts)
+        return self.made
+
+    def score(self, text: str) -> float:
+        if self.n <= SHORT:
+            return literal_score("".join(text[a:b] for a, b in self.spans(again=True)))
+        counts = self.counts(text)
+        return -1.0 if self.marked or any(c.isspace() for c in counts) else made_up(self.n, counts)
 
 
 def patterns(text: str) -> list[tuple[int, int, int]]:
@@ -101,36 +168,39 @@ def path(name: str) -> str:
 
 def literals(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the literals that reach a sensitive name."""
-    known: dict[str, tuple[tuple[int, int], ...]] = {}
+    known: dict[str, Value] = {}
     found: set[tuple[int, int]] = set()
     for m in _NAME.finditer(text):
         name, at = path(m[1]), m.end()
-        spans: list[tuple[int, int]] = []
+        parts: list[tuple[int, int] | Value] = []
         while (t := _TERM.match(text, at)) is not None:
             quoted = next((g for g in _QUOTED if t[g] is not None), None)
             if quoted:
-                spans.append(t.span(quoted))
+                parts.append(t.span(quoted))
             elif t[_REF] is not None and (ref := path(t[_REF] + t[_REF_SUBSCRIPTS])) in known:
-                spans += known[ref]
+                parts.append(known[ref])
             elif t[_REF] is not None and t[_REF] in known:
-                spans += known[t[_REF]]
+                parts.append(known[t[_REF]])
             else:
-                spans.append(t.span(_REF if t[_REF] is not None else _BARE))
+                parts.append(t.span(_REF if t[_REF] is not None else _BARE))
             at = t.end()
             plus = _PLUS.match(text, at)
             if plus is None:
                 break
             at = plus.end()
-        spans = list(dict.fromkeys(spans))
-        if not 0 < len(spans) <= PARTS:
-            known.pop(name, None)
+        old = known.pop(name, None)
+        if old is not None:
+            old.uses -= 1
+        if not parts:
             continue
-        known[name] = tuple(spans)
+        # Without empty parts, a value has no more parts than characters.
+        parts = [p for p in parts if (p.n if isinstance(p, Value) else p[1] > p[0])]
+        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(parts)
+        known[name] = value
+        value.uses += 1
         weight = name_score(name)
-        if weight:
-            whole = "".join(text[a:b] for a, b in spans)
-            if weight + literal_score(whole) >= THRESHOLD:
-                found.update(s for s in spans if s[1] > s[0])
+        if weight and weight + value.score(text) >= THRESHOLD:
+            found.update(value.spans(again=False))
     return [(a, 3, b) for a, b in sorted(found)]
 
 
