@@ -10,7 +10,8 @@ Every text is read whole, in two ways whose spans are put together:
   joined by ``+``.  Constants propagate: a name
   stands for the literals last assigned to it, through any number of further names.  A literal that
   ends up under a sensitive name is scored by that name and by its own make-up (length, mix of
-  letters and digits, entropy; placeholders lose), and from ``THRESHOLD`` on its span is reported as
+  letters and digits, entropy; white space and placeholder words in it lower the score, a value that
+  is a placeholder as a whole has none), and from ``THRESHOLD`` on its span is reported as
   kind ``literal``, unless a pattern's span holds it already.
 
 Offsets are code points, ends exclusive.  Names and literals of any length are read in linear time
@@ -34,6 +35,7 @@ from tripflow.llm.common import map_texts, text_of
 
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.7
+DOUBT = 0.1
 #: Values up to this length are scored as text; longer ones by what their parts add up to.
 SHORT = 256
 #: Lengths and counts beyond this are all alike to the score.
@@ -66,6 +68,11 @@ _KEY = re.compile(r"""\[[ \t]*+["']([^"']*+)["'][ \t]*+\]""")
 _PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _MARK = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(")
+#: What a value that is a placeholder as a whole is made of, if it has such a mark; longer words first.
+_FILLER = re.compile(r"""(?i)(?:<[^<>]*+>|\$\{[^{}]*+\}|\{\{[^{}]*+\}\}|%\([^()]*+\)[sd]?|placeholder|credentials?|passphrase|connection|passwords?|redacted
+    |example|changed|change|replace|private|secrets?|string|sample|access|client|insert|passwd|tokens?|values?|please|dummy|enter|login|admin|users?|names?|email|https?
+    |keys?|your|with|here|this|that|test|auth|pass|todo|must|data|code|text|foo|bar|baz|app|api|pwd|set|not|put|the|for|and|org|com|net|xyz|123|abc
+    |x{3,}|my|me|id|db|an?|is|be|to|of|in|it|on|[\W_]|\d{1,4}(?!\d))++""", re.VERBOSE)
 _NOTHING = re.compile(r"(?i)(?:true|false|none|null|nil|undefined|test|default)$")
 
 #: How much a name says that its value is secret, by the parts of the name.
@@ -89,22 +96,28 @@ def made_up(n: int, counts: Counter[str]) -> float:
     return 0.15 * mixed + 0.15 * (entropy >= 2.8) + 0.1 * (n >= 16)
 
 
+def judged(n: int, counts: Counter[str], marked: bool, filler: bool) -> float:
+    """The score of a make-up, less ``DOUBT`` for white space or a placeholder's mark inside; a value
+    with these and nothing but a placeholder's words is one."""
+    doubtful = marked or any(c.isspace() for c in counts)
+    return -1.0 if doubtful and filler else made_up(n, counts) - DOUBT * doubtful
+
+
 def literal_score(value: str) -> float:
-    counts = Counter(value)
-    if len(value) < 8 or _NOTHING.match(value) or _MARK.search(value) or any(c.isspace() for c in counts):
+    if len(value) < 8 or _NOTHING.match(value):
         return -1.0
-    return made_up(len(value), counts)
+    return judged(len(value), Counter(value), bool(_MARK.search(value)), bool(_FILLER.fullmatch(value)))
 
 
 class Value:
     """What a name stands for: spans and other values in order, shared and never copied.  ``n`` is its
     length; ``uses``, how many names and values hold it; ``made``, its characters' counts, once asked for, and
-    ``marked``, if one of its literals has a placeholder's mark."""
+    ``marked``, if one of its literals has a placeholder's mark, ``filler``, if all are made of such words."""
 
-    __slots__ = ("parts", "n", "uses", "made", "marked", "told")
+    __slots__ = ("parts", "n", "uses", "made", "marked", "filler", "told")
 
     def __init__(self, parts: list[tuple[int, int] | Value]) -> None:
-        self.parts, self.uses, self.made, self.marked, self.told = parts, 0, None, False, False
+        self.parts, self.uses, self.made, self.marked, self.filler, self.told = parts, 0, None, False, False, False
         self.n = min(MANY, sum(p.n if isinstance(p, Value) else p[1] - p[0] for p in parts))
         for p in parts:
             if isinstance(p, Value):
@@ -143,14 +156,15 @@ class Value:
                 top = max(made.values())
                 made = Counter({c: max(1, k * MANY // top) for c, k in made.items()})
             v.made = made
-            v.marked = any(p.marked if isinstance(p, Value) else _MARK.search(text[p[0]:p[1]]) for p in v.parts)
+            v.marked = any(p.marked if isinstance(p, Value) else _MARK.search(text, *p) for p in v.parts)
+            v.filler = all(p.filler if isinstance(p, Value) else _FILLER.fullmatch(text, *p) for p in v.parts)
         return self.made
 
     def score(self, text: str) -> float:
         if self.n <= SHORT:
             return literal_score("".join(text[a:b] for a, b in self.spans(again=True)))
         counts = self.counts(text)
-        return -1.0 if self.marked or any(c.isspace() for c in counts) else made_up(self.n, counts)
+        return judged(self.n, counts, self.marked, self.filler)
 
 
 def patterns(text: str) -> list[tuple[int, int, int]]:
@@ -199,7 +213,7 @@ def literals(text: str) -> list[tuple[int, int, int]]:
         known[name] = value
         value.uses += 1
         weight = name_score(name)
-        if weight and weight + value.score(text) >= THRESHOLD:
+        if weight and round(weight + value.score(text), 6) >= THRESHOLD:
             found.update(value.spans(again=False))
     return [(a, 3, b) for a, b in sorted(found)]
 
