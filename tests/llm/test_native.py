@@ -115,6 +115,37 @@ def test_mix(spark, frame):
     assert mixing.Mix(frame([])).taken().count() == 0 and mixing.Mix(frame([(1, None), (2, " ")])).taken().count() == 2
 
 
+def test_mix_keeps_the_layout(spark, frame):
+    rows = [(i, f"  def f{i}(x):\n\tif x:\n" + "".join(f"\t\ta{i}_{k} = {k}  # n\r\n" for k in range(i % 23)) + "\n", f"s{i % 3}") for i in range(60)]
+    rows += [(100, "a\n b", "s1"), (101, "\tc d", "s1"), (101, "\tc d", "s1")]
+    mix = mixing.Mix(frame(rows), block_words=8, shard_slots=16)
+    taken = Counter()
+    for r in mix.taken().collect():
+        taken[r.doc_id] += r.taken
+    parts = defaultdict(list)
+    for r in mix.ranges.collect():
+        parts[r.id].append((r["pass"], r.start, r.skip, r.n))
+    got, kinds = {r.doc_id: r for r in mix.documents(layout=True).collect()}, Counter()
+    assert set(got) == {i for i in taken if taken[i]}
+    for i, t, _ in rows:
+        if i not in got:
+            continue
+        ends = [m.span() for m in WORDS.finditer(t)]
+        want, last = "", None
+        for at, (_, _, skip, n) in enumerate(sorted(parts[i])):
+            a = 0 if skip == 0 else ends[skip - 1][1]
+            piece = t[a:len(t) if skip + n == len(ends) else ends[skip + n - 1][1]]
+            piece = piece.lstrip() if at == 0 and skip else piece
+            want += (" " if want and not want[-1].isspace() and not piece[0].isspace() else "") + piece
+        assert got[i].text == want and got[i].n_chars == len(want)
+        if taken[i] == len(ends) and len({p[0] for p in parts[i]}) == 1:
+            kinds["whole"] += 1
+            assert want == t
+        kinds["twice"] += want == t + t
+    assert kinds["whole"] and kinds["twice"]
+    assert any("\n\t" in r.text for r in stages.mix_sources(spark, frame(rows), "").collect())
+
+
 def brute_lines(rows, min_sites, min_words):
     sites, first = defaultdict(set), {}
     key = lambda i, t, p: (i is None, i or 0, t, p)

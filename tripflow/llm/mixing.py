@@ -36,6 +36,10 @@ BLOCK_WORDS, SHARD_SLOTS = 256, 1024
 #: agree whatever the session's settings.
 SALTS = 4096
 
+#: A word with the white space before it and, for the last word, behind it.
+SPACED_WORD = r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++(?:[\x20\x09-\x0D]++\z)?+"
+SPACE_FIRST, SPACE_LAST = r"\A[\x20\x09-\x0D]+", r"[\x20\x09-\x0D]\z"
+
 
 def sized(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, text_hash, source, size): size is the number of words."""
@@ -154,9 +158,10 @@ class Mix:
         d = d.join(per, (F.col("rank") == F.col("t_rank")) & (F.col("at") == F.col("t_start")), "left")
         return d.select(F.col("id").alias(self.id_col), "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
-    def _picked(self, *keys: str) -> DataFrame:
+    def _picked(self, *keys: str, layout: bool = False) -> DataFrame:
         """Texts joined with the ranges ``keys`` names (one array a text), as the pieces they take:
-        structs of ``keys`` and words.  Repeated rows (same id and text) are one document here."""
+        structs of ``keys`` and words, or with ``layout`` the pieces as text, with their white space.
+        Repeated rows (same id and text) are one document here."""
         parts = self.ranges.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct(*keys, "skip", "n"))).alias("parts"))
         parts = parts.select(F.col("id").alias("p_id"), F.col("text_hash").alias("p_hash"), "parts")
         text = text_of(self.text_col)
@@ -165,18 +170,40 @@ class Mix:
             d = d.groupBy("k_id", "k_hash").agg(F.first("row").alias("row"))
         d = d.join(parts, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")))
 
+        def cut(w: Column, p: Column) -> Column:
+            return F.slice(w, (p["skip"] + 1).cast("int"), p["n"].cast("int"))
+
         def taken(w: Column) -> Column:
-            return F.transform("parts", lambda p: F.struct(*[p[k].alias(k) for k in keys], F.slice(w, (p["skip"] + 1).cast("int"), p["n"].cast("int")).alias("words")))
+            return F.transform("parts", lambda p: F.struct(*[p[k].alias(k) for k in keys], cut(w, p).alias("words")))
+
+        def written(w: Column) -> Column:
+            def one(p: Column, i: Column) -> Column:
+                before = F.get("parts", i - 1)
+                start, end = F.get(w, p["skip"].cast("int")), F.get(w, (before["skip"] + before["n"] - 1).cast("int"))
+                parted = start.rlike(SPACE_FIRST) | end.rlike(SPACE_LAST)
+                made = F.array_join(cut(w, p), "")
+                return (F.when((i == 0) & (p["skip"] > 0), F.regexp_replace(made, SPACE_FIRST, ""))
+                        .when((i > 0) & ~parted, F.concat(F.lit(" "), made)).otherwise(made))
+            return F.transform("parts", one)
 
         # The words are bound once for all parts: as a lambda's variable they are not computed again.
-        pieces = F.transform(F.array(words(text_of(F.col("row")[self.text_col]))), taken)[0]
+        whole = text_of(F.col("row")[self.text_col])
+        pieces = F.transform(F.array(F.regexp_extract_all(whole, F.lit(SPACED_WORD), F.lit(0))), written)[0] if layout else F.transform(F.array(words(whole)), taken)[0]
         return d.select("row", F.col("k_id").alias("doc_id"), pieces.alias("pieces"))
 
-    def documents(self) -> DataFrame:
+    def documents(self, layout: bool = False) -> DataFrame:
         """The input's columns, one row per document that the mix takes words of: its text is those
         words in the mix's order (pass by pass), joined by spaces; n_chars follows, if there is one.
-        Repeated rows (same id and text) become one document with all that they give."""
-        d = self._picked("pass", "start").withColumn("new", F.array_join(F.flatten(F.col("pieces.words")), " "))
+        Repeated rows (same id and text) become one document with all that they give.
+
+        With ``layout`` the text is cut from the original instead: white space stays in and between
+        ranges, and at the text's two ends where the mix takes them, so a document taken whole once
+        keeps its text.  A range begins with the white space before its first word (not so the row's
+        first, if it begins inside the document).  Passes follow one another in one row: a document
+        taken in two passes has its text twice, parted by a space where no white space parts it."""
+        d = self._picked("pass", "start", layout=layout)
+        new_text = F.array_join("pieces", "") if layout else F.array_join(F.flatten(F.col("pieces.words")), " ")
+        d = d.withColumn("new", new_text)
         new = {self.text_col: F.col("new"), "n_chars": F.length("new").cast("long")}
         return d.select(*[new.get(c, F.col("row")[c]).alias(c) for c in self.df.columns])
 

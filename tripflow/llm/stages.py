@@ -31,8 +31,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes words of, with those words as text."""
-    return mixing.Mix(docs).documents()
+    """The documents that the mix takes words of; their text is the original's at those words, with its
+    white space."""
+    return mixing.Mix(docs).documents(layout=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
