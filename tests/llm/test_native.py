@@ -146,6 +146,29 @@ def test_mix_keeps_the_layout(spark, frame):
     assert any("\n\t" in r.text for r in stages.mix_sources(spark, frame(rows), "").collect())
 
 
+def test_targets_of_a_source_per_document(spark, frame):
+    """As many sources as documents: right targets, and no task that ranks or sums them all."""
+    rows = [(i, " ".join("w" * (1 + i % 3) for _ in range(i * 37 % 101)), f"u{i * 7919 % 1009}") for i in range(600)] + [(700, "a b", None)]
+    conf = {"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        t = mixing.targets(mixing.sized(frame(rows)), block_words=8)
+        got = sorted(t.withColumn("task", F.spark_partition_id()).collect(), key=lambda r: r.rank)
+        empty = mixing.targets(mixing.sized(frame([]))).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(Counter(r.task for r in got).values()) <= len(got) / 2 and empty == 0
+    sizes = {s: len(WORDS.findall(t)) for _, t, s in rows}
+    assert [r.source for r in got] == sorted(sizes, key=lambda s: (s is None, s or "")) and [r["rank"] for r in got] == list(range(len(got)))
+    target, first = fill(sizes), 0
+    for r in got:
+        assert r.source_size == sizes[r.source] and abs(r.target - target[r.source]) < 1e-6 and r.first_slot == first
+        first += r.slots
+
+
 def brute_lines(rows, min_sites, min_words):
     sites, first = defaultdict(set), {}
     key = lambda i, t, p: (i is None, i or 0, t, p)

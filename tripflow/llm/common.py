@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
 from tripflow.sources.sinks import scratch_path
 
@@ -89,7 +90,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def global_rank(df: DataFrame, order: Sequence[str], out: str, name: str) -> tuple[DataFrame, int]:
+def global_rank(df: DataFrame, order: Sequence[str | Column], out: str, name: str) -> tuple[DataFrame, int]:
     """Rows with their 0-based place in the order of the ``order`` columns, and how many they are.
 
     A range shuffle sorts the rows over all tasks; a row's place is its place in its task plus the
@@ -111,6 +112,30 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str, name: str) -> tup
     return ranked.select(*df.columns, (F.col("rank_start") + F.col("rank_at")).alias(out)), total
 
 
+def running_sums(df: DataFrame, order: Sequence[str | Column], name: str, **sums: str) -> DataFrame:
+    """Rows with, for each of ``sums`` (out=column), the column's sum over the rows before them in the
+    order of the ``order`` columns.  As in ``global_rank``, no task sees more than its range: sums
+    inside the ranges, and one sum per range joined back."""
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(shuffle_partitions(spark), *order).withColumn("sum_task", F.spark_partition_id())
+    kept, _ = stored(ranged, name)
+    inside = Window.partitionBy("sum_task").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    names = list(sums)
+    # At most one row per shuffle partition: bounded by a setting, not by the data.
+    per_task = sorted(tuple(r) for r in kept.groupBy("sum_task").agg(*[F.sum(sums[k]).alias(k) for k in names]).collect())
+    starts, total = [], [0] * len(names)
+    for task, *part in per_task:
+        starts.append((task, *total))
+        total = [t + p for t, p in zip(total, part)]
+    kinds = [kept.select(F.sum(sums[k])).schema[0].dataType for k in names]
+    schema = T.StructType([T.StructField("sum_at", T.IntegerType()), *(T.StructField(f"{k}_start", kind) for k, kind in zip(names, kinds))])
+    rows = [(task, *(float(v) if isinstance(kind, T.DoubleType) else v for v, kind in zip(part, kinds))) for task, *part in starts]
+    before = spark.createDataFrame(rows, schema)
+    d = kept.select("*", *[F.sum(sums[k]).over(inside).alias(f"{k}_inside") for k in names])
+    d = d.join(F.broadcast(before), F.col("sum_task") == F.col("sum_at"))
+    return d.select(*df.columns, *[(F.col(f"{k}_start") + F.coalesce(F.col(f"{k}_inside"), F.lit(0))).alias(k) for k in names])
+
+
 def bucket_of(col: Column, bounds: Sequence[int]) -> Column:
     """How many of the sorted ``bounds`` lie below ``col`` (two short searches instead of one long)."""
     if not bounds:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripflow.llm.common import WORD, permuted, shuffle_partitions, stored, text_of, words
+from tripflow.llm.common import WORD, global_rank, permuted, running_sums, shuffle_partitions, stored, text_of, words
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS, SHARD_SLOTS = 256, 1024
@@ -63,21 +63,18 @@ def placed(docs: DataFrame, salts: int = SALTS) -> DataFrame:
 
 def targets(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: float = 2.0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per source: source, rank, source_size, target, words (the target, whole), and its
-    blocks: full (of ``block_words``), blocks, slots, first_slot.  The table has one row per source
-    and is ranked in one task; it never holds documents."""
+    blocks: full (of ``block_words``), blocks, slots, first_slot.  Ranks and running sums come from
+    ranges of the sources and one sum per range, so no task holds the whole table."""
     s = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
-    everything = Window.partitionBy(F.lit(0))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    s = s.withColumn("rank", F.row_number().over(order) - 1)
-    s = s.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod("rank", F.lit(len(weights)))))
+    s, _ = global_rank(s, [F.col("source").asc_nulls_last()], "rank", "mix-ranks")
+    s = s.withColumn("weight", F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod("rank", F.lit(len(weights))).cast("int")))
     s = s.withColumn("cap", F.lit(most) * F.col("source_size")).withColumn("ratio", F.col("cap") / F.col("weight"))
-    up = Window.partitionBy(F.lit(0)).orderBy("ratio", "rank")
-    s = s.withColumn("total", F.lit(share) * F.sum("source_size").over(everything))
-    s = s.withColumn("capped", F.coalesce(F.sum("cap").over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-    s = s.withColumn("open_weight", F.sum("weight").over(up.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    s = running_sums(s, ["ratio", "rank"], "mix-ratios", capped="cap", weight_before="weight")
+    size, weight = s.agg(F.sum("source_size"), F.sum("weight")).first()
     # The level at which this source and those of a higher ratio are open; the first that holds is it.
-    s = s.withColumn("level", (F.col("total") - F.col("capped")) / F.col("open_weight"))
-    s = s.withColumn("level", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+    level = (F.lit(share) * F.lit(size).cast("long") - F.col("capped")) / (F.lit(weight).cast("double") - F.col("weight_before"))
+    level = s.agg(F.max(F.when(level <= F.col("ratio"), level))).first()[0]
+    s = s.withColumn("level", F.lit(level).cast("double"))
     s = s.withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))))
     s = s.withColumn("words", F.least(F.round("target").cast("long"), F.floor("cap").cast("long")))
     size, long = F.col("source_size"), F.lit(block_words).cast("long")
@@ -85,7 +82,7 @@ def targets(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.
     passes = F.when(size > 0, F.floor(F.col("words") / size)).otherwise(0).cast("long")
     s = s.withColumn("passes", passes)
     s = s.withColumn("slots", F.col("passes") * F.col("blocks") + F.ceil((F.col("words") - F.col("passes") * size) / long).cast("long"))
-    s = s.withColumn("first_slot", F.coalesce(F.sum("slots").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    s = running_sums(s, ["rank"], "mix-slots", first_slot="slots")
     return s.select("source", "rank", "weight", "source_size", "target", "words", "full", "blocks", "slots", "first_slot")
 
 
@@ -106,7 +103,8 @@ def draws(sources: DataFrame, seed: int, block_words: int = BLOCK_WORDS, shard_s
     g = g.withColumn("pass", F.floor(k / F.col("blocks")).cast("long")).withColumn("at", F.pmod(k, F.col("blocks")))
     # The short last block, if any, stays last in every pass; the full ones are permuted.
     n = F.greatest(F.col("full"), F.lit(1).cast("long"))
-    block = F.when(F.col("at") < F.col("full"), permuted(F.least(F.col("at"), n - 1), n, F.col("rank"), F.col("pass"), F.lit(seed))).otherwise(F.col("at"))
+    key = F.pmod("rank", F.lit(2**31)).cast("int")  # the draws depend on its type
+    block = F.when(F.col("at") < F.col("full"), permuted(F.least(F.col("at"), n - 1), n, key, F.col("pass"), F.lit(seed))).otherwise(F.col("at"))
     size = F.when(F.col("at") < F.col("full"), F.lit(block_words)).otherwise(F.pmod("source_size", F.lit(block_words)))
     left = F.col("words") - F.col("pass") * F.col("source_size") - F.col("at") * F.lit(block_words)
     return g.select(F.floor(F.col("out") / shard_slots).cast("long").alias("shard"), F.pmod("out", F.lit(shard_slots)).cast("int").alias("slot"),
