@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripflow.operators.components import components
 from tripflow.plans.ranking import dense_rank_distributed
 from tripflow.session import ensure_checkpoint_dir
 
@@ -93,28 +94,11 @@ def eps_pairs(points: DataFrame, eps: float, x: str = "x", y: str = "y") -> Data
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Connected components by min-label propagation with pointer jumping.
-
-    ``nodes``: (keys..., id); ``edges``: (keys..., src, dst), both directions present.
-    Returns (keys..., id, comp) with comp = smallest id in the component.  Each round is
-    checkpointed; the loop stops when no label changes (one count per round).
-    """
+    """(keys..., id, comp) of every node (keys..., id): comp is the smallest id that it reaches over
+    the ``edges`` (keys..., src, dst); a node without an edge is its own."""
     k = list(keys)
-    labels = _checkpoint(nodes.select(*k, "id", F.col("id").alias("comp")))
-    edges = _checkpoint(edges.select(*k, "src", "dst"))
-    while True:  # labels only ever fall, so the rounds end
-        via = edges.join(labels.withColumnRenamed("id", "src"), k + ["src"]).select(
-            *k, F.col("dst").alias("id"), "comp")
-        best = via.unionByName(labels).groupBy(*k, "id").agg(F.min("comp").alias("comp"))
-        # Pointer jumping: adopt the label of the current label's own node.
-        hop = best.join(best.select(*k, F.col("id").alias("comp"), F.col("comp").alias("comp2")), k + ["comp"], "left")
-        jumped = hop.select(*k, "id", F.least(F.col("comp"), F.coalesce(F.col("comp2"), F.col("comp"))).alias("comp"))
-        jumped = _checkpoint(jumped)
-        changed = jumped.join(labels.withColumnRenamed("comp", "old"), k + ["id"]).where(
-            F.col("comp") != F.col("old")).limit(1).count()
-        labels = jumped
-        if changed == 0:
-            return labels
+    linked = components(edges, "src", "dst", k).withColumnsRenamed({"node": "id", "root": "comp"})
+    return nodes.select(*k, "id").join(linked, [*k, "id"], "left").select(*k, "id", F.coalesce("comp", "id").alias("comp"))
 
 
 def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: str = "x", y: str = "y") -> DataFrame:
