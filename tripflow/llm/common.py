@@ -11,6 +11,7 @@ import bisect
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,27 @@ def map_texts(df: DataFrame, keep: Sequence[str], make: Callable[[], Callable[[s
     return df.select(*keep, text).mapInArrow(run, schema)
 
 
+def map_runs(of: Callable[[pa.Table], Iterator[pa.RecordBatch]], keys: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow``: ``of`` applied to each run of rows that are equal in their first ``keys``
+    columns (numbers, not null).  The rows come sorted by these; a task holds a run at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if rest is None else pa.concat_tables([rest, t])
+            cols = [t.column(i).to_numpy() for i in range(keys)]
+            at = 0
+            for cut in (np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1).tolist():
+                yield from of(t.slice(at, cut - at))
+                at = cut
+            rest = t.slice(at)
+        if rest is not None and rest.num_rows:
+            yield from of(rest)
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -136,6 +158,22 @@ def running_sums(df: DataFrame, order: Sequence[str | Column], name: str, **sums
     return d.select(*df.columns, *[(F.col(f"{k}_start") + F.coalesce(F.col(f"{k}_inside"), F.lit(0))).alias(k) for k in names])
 
 
+#: A key is hot if its rows are more than one in so many of all rows.
+HOT_KEYS = 1000
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], n: str) -> DataFrame:
+    """``rows`` joined (inner) with ``table`` on ``keys``; ``table`` has one row per key, and in
+    column ``n`` how many of ``rows`` have it.  Keys that hold more than one in ``HOT_KEYS`` of them
+    are at most ``HOT_KEYS`` rows, whatever the data: those are broadcast, so the rows of a hot key stay
+    where they are.  All other rows meet in a shuffle.  Both inputs should be stored: they are read twice."""
+    total = table.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) > max(64, total // HOT_KEYS)
+    top = F.broadcast(table.filter(hot))
+    return rows.join(top, list(keys)).unionByName(
+        rows.join(F.broadcast(table.filter(hot).select(*keys)), list(keys), "left_anti").join(table.filter(~hot), list(keys)))
+
+
 def bucket_of(col: Column, bounds: Sequence[int]) -> Column:
     """How many of the sorted ``bounds`` lie below ``col`` (two short searches instead of one long)."""
     if not bounds:

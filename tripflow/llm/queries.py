@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import exact_dedup, fingerprints, line_dedup, mixing, secrets, sentencepiece_bpe, sharding, simhash, token_counts, toxicity
+from tripflow.llm import exact_dedup, fingerprints, line_dedup, minhash, mixing, secrets, sentencepiece_bpe, sharding, simhash, spelling, token_counts, toxicity, whitening
 from tripflow.llm.common import read_table
 from tripflow.llm.sql import ORACLE_SQL
 
@@ -90,6 +90,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their component over links of 85 % of their 3-word shingles."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their 32 first principal components, whitened."""
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of the documents with the forms that they are variants of."""
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_fingerprints, op2_mix_sources, op3_token_counts, op4_simhash_near_dedup, op5_secret_scan, op6_line_dedup,
-    op7_exact_dedup, op8_sentencepiece, op9_shards, op10_toxicity)}
+    op7_exact_dedup, op8_sentencepiece, op9_shards, op10_toxicity, op11_minhash_near_dedup, op12_whitening, op13_spelling_variants)}
