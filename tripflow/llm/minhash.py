@@ -158,15 +158,16 @@ def _sigs(t: pa.Table) -> np.ndarray:
     return np.stack([np.frombuffer(x, dtype=np.uint16) for x in t.column("sig").to_pylist()])
 
 
-def _edges(ids: list, pairs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+def _edges(ids: np.ndarray, pairs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
     if pairs:
-        yield pa.RecordBatch.from_arrays([pa.array([ids[i] for p in pairs for i in (p[side],)], type=pa.binary()) for side in (0, 1)], ["a", "b"])
+        at = np.array(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(ids[at[:, side]]) for side in (0, 1)], ["a", "b"])
 
 
 def _bucket(percent: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
     def of(t: pa.Table) -> Iterator[pa.RecordBatch]:
         if t.num_rows > 1:
-            yield from _edges(t.column("digest").to_pylist(), bucket_forest(t.column("n").to_numpy(), _sigs(t), percent))
+            yield from _edges(t.column("sid").to_numpy(), bucket_forest(t.column("n").to_numpy(), _sigs(t), percent))
 
     return of
 
@@ -176,9 +177,9 @@ def _cell(percent: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
         if t.num_rows < 2:
             return
         sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()]
-        comp = np.unique(np.array(t.column("comp").to_pylist(), dtype=object), return_inverse=True)[1]
+        comp = t.column("comp").to_numpy()
         pairs = cell_links(sets, _sigs(t), comp, t.column("ask").to_numpy(zero_copy_only=False), percent)
-        yield from _edges(t.column("digest").to_pylist(), pairs)
+        yield from _edges(t.column("sid").to_numpy(), pairs)
 
     return of
 
@@ -186,7 +187,7 @@ def _cell(percent: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
 def _grouped(rows: DataFrame, keys: list[str], of: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> DataFrame:
     first = [*keys, *[c for c in rows.columns if c not in keys]]
     dealt = rows.select(*first).repartition(shuffle_partitions(rows.sparkSession), *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(map_runs(of, len(keys)), "a binary, b binary")
+    return dealt.mapInArrow(map_runs(of, len(keys)), "a long, b long")
 
 
 def sketches(df: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
@@ -204,24 +205,24 @@ def sketches(df: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFra
 
 
 def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) of digests that connect the distinct ``sets`` (digest, n, sig) as all their
-    candidate pairs would that the sequential test lets pass."""
+    """Edges (a, b) that connect the distinct ``sets`` (sid, n, sig) as all their candidate pairs
+    would that the sequential test lets pass."""
     width = 2 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))
-    rows = sets.select("digest", F.posexplode(bands).alias("band", "key"))
-    shared, path = stored(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m"), F.min("digest").alias("first")).filter("m > 1"), "bands")
-    rows = sets.select("digest", "n", "sig", F.posexplode(bands).alias("band", "key"))
+    rows = sets.select("sid", F.explode(bands).alias("band"))
+    shared, path = stored(rows.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("sid").alias("first")).filter("m > 1"), "bands")
     big = F.col("m") > BUCKET  # at most one in BUCKET of all band rows
-    small = rows.join(shared.filter(~big).select("band", "key").hint("merge"), ["band", "key"], "left_semi")
-    out = _grouped(small, ["band", "key"], _bucket(percent)).distinct()
-    large = join_hot(rows.select("band", "key", "digest"), shared.filter(big).select("band", "key", "first", "m"), ["band", "key"], "m")
-    out, _ = stored(out.unionByName(large.filter("digest <> first").select(F.col("first").alias("a"), F.col("digest").alias("b")).distinct()), "candidates")
-    forget(sets.sparkSession, path)
+    # Signatures travel only with what shares a band.
+    some, some_path = stored(rows.join(shared.filter(~big).select("band").hint("merge"), "band", "left_semi"), "shared")
+    out = _grouped(some.join(sets.hint("merge"), "sid").select("band", "sid", "n", "sig"), ["band"], _bucket(percent)).distinct()
+    large = join_hot(rows, shared.filter(big).select("band", "first", "m"), ["band"], "m")
+    out, _ = stored(out.unionByName(large.filter("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b")).distinct()), "candidates")
+    forget(sets.sparkSession, path, some_path)
     return out
 
 
 def family_links(rows: DataFrame, percent: int) -> DataFrame:
-    """True links (a, b) that connect the rows (family, digest, n, sig, shingles) as all links would."""
+    """True links (a, b) that connect the rows (family, sid, n, sig, shingles) as all links would."""
     spark = rows.sparkSession
     size = rows.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes"), F.max("n").alias("most"))
     # A cell holds CELL rows or CELL_HASHES hashes on average, whichever is less.
@@ -229,17 +230,17 @@ def family_links(rows: DataFrame, percent: int) -> DataFrame:
     large, path = stored(size.withColumn("pieces", pieces).filter("pieces > 1"), "families")
     cell = F.xxhash64("family", F.lit(0))
     alone = rows.join(large.select("family").hint("merge"), "family", "left_anti")
-    alone = alone.select(cell.alias("cell"), "digest", "sig", "shingles", F.col("digest").alias("comp"), F.lit(True).alias("ask"))
+    alone = alone.select(cell.alias("cell"), "sid", "sig", "shingles", F.col("sid").alias("comp"), F.lit(True).alias("ask"))
     found, _ = stored(_grouped(alone, ["cell"], _cell(percent)), "links")
     if large.limit(1).count() == 0:
         return found
-    hot, _ = stored(join_hot(rows, large.select("family", "m", "hashes", "pieces"), ["family"], "m"), "family-rows")
+    hot, _ = stored(join_hot(rows, large.select("family", "m", "hashes", "pieces"), ["family"], "m").drop("m", "hashes"), "family-rows")
     links = None
     # By size (texts of like sizes link) in steps of a tenth, then by hash alone.
-    by_size = F.struct(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.1))).alias("step"), F.pmod(F.xxhash64("digest", F.lit(1)), F.col("pieces")).alias("piece"))
-    by_hash = F.struct(F.lit(-1).cast("long").alias("step"), F.pmod(F.xxhash64("digest", F.lit(2)), F.col("pieces")).alias("piece"))
+    by_size = F.struct(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.1))).alias("step"), F.pmod(F.xxhash64("sid", F.lit(1)), F.col("pieces")).alias("piece"))
+    by_hash = F.struct(F.lit(-1).cast("long").alias("step"), F.pmod(F.xxhash64("sid", F.lit(2)), F.col("pieces")).alias("piece"))
     for way in (by_size, by_hash):
-        d = _with_comp(hot, links).select(F.xxhash64("family", way).alias("cell"), "digest", "sig", "shingles", "comp", F.lit(True).alias("ask"))
+        d = _with_comp(hot, links).select(F.xxhash64("family", way).alias("cell"), "sid", "sig", "shingles", "comp", F.lit(True).alias("ask"))
         new, _ = stored(_grouped(d, ["cell"], _cell(percent)), "links")
         links = new if links is None else links.unionByName(new)
     # The closing: whatever is not in its family's largest component, against all of the family.
@@ -253,10 +254,10 @@ def family_links(rows: DataFrame, percent: int) -> DataFrame:
     few, few_path = stored(few, "family-rest")
     last = join_hot(d, few.select("family", "main", "m", "d_pieces", "q_pieces"), ["family"], "m")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    mine = lambda c, k: F.pmod(F.xxhash64("digest", F.lit(k)), F.col(c)).cast("int")
+    mine = lambda c, k: F.pmod(F.xxhash64("sid", F.lit(k)), F.col(c)).cast("int")
     asking = last.filter("comp <> main").withColumn("q", mine("q_pieces", 3)).withColumn("d", every("d_pieces")).withColumn("ask", F.lit(True))
     asked = last.withColumn("d", mine("d_pieces", 4)).withColumn("q", every("q_pieces")).withColumn("ask", F.lit(False))
-    both = asking.unionByName(asked).select(F.xxhash64("family", "d", "q").alias("cell"), "digest", "sig", "shingles", "comp", "ask")
+    both = asking.unionByName(asked).select(F.xxhash64("family", "d", "q").alias("cell"), "sid", "sig", "shingles", "comp", "ask")
     closing, _ = stored(_grouped(both, ["cell"], _cell(percent)), "links")
     forget(spark, path, d_path, few_path)
     return found.unionByName(links).unionByName(closing)
@@ -264,9 +265,9 @@ def family_links(rows: DataFrame, percent: int) -> DataFrame:
 
 def _with_comp(rows: DataFrame, links: DataFrame | None) -> DataFrame:
     if links is None:
-        return rows.withColumn("comp", F.col("digest"))
-    linked = components(links).select(F.col("node").alias("digest"), F.col("root").alias("comp"))
-    return rows.join(linked.hint("merge"), "digest", "left").withColumn("comp", F.coalesce("comp", "digest"))
+        return rows.withColumn("comp", F.col("sid"))
+    linked = components(links).select(F.col("node").alias("sid"), F.col("root").alias("comp"))
+    return rows.join(linked.hint("merge"), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
 
 
 def near_duplicates(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,23 +277,23 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
         raise ValueError("the bands are made for similarities of 75 % and more")
     spark = df.sparkSession
     docs, _ = stored(sketches(df, shingle, id_col, text_col), "sketches")
-    sets, sets_path = stored(docs.filter("n > 0").groupBy("digest").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("id").alias("low"), F.min(F.struct("k1", "k2")).alias("k"), F.min("n").alias("n"), F.min("sig").alias("sig")), "sets")
-    candidates = candidate_edges(sets.select("digest", "n", "sig"), percent)
-    families, families_path = stored(components(candidates).select(F.col("node").alias("digest"), F.col("root").alias("family")), "families")
-    members, members_path = stored(sets.join(families.hint("merge"), "digest").select("family", "digest", "n", "sig", "k.k1", "k.k2"), "members")
-    # Texts again, of families only and one of each set.
+    sets = docs.filter("n > 0").groupBy("digest").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("id").alias("low"), F.min(F.struct("k1", "k2")).alias("k"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    sets, sets_path = stored(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
+    candidates = candidate_edges(sets.select("sid", "n", "sig"), percent)
+    families, families_path = stored(components(candidates).select(F.col("node").alias("sid"), F.col("root").alias("family")), "families")
+    members, members_path = stored(sets.join(families.hint("merge"), "sid").select("family", "sid", "n", "sig", "k.k1", "k.k2"), "members")
+    # Texts again, of families only and one of each set; copies of a text are one row before they are shuffled.
     text = text_of(text_col)
-    texts = df.select(F.xxhash64(text).alias("k1"), F.crc32(text.cast("binary")).alias("k2"), text.alias("text"))
-    texts = texts.groupBy("k1", "k2").agg(F.min("text").alias("text")).join(members.select("k1", "k2").distinct().hint("merge"), ["k1", "k2"], "left_semi")
+    texts = df.select(F.xxhash64(text).alias("k1"), F.crc32(text.cast("binary")).alias("k2"), text.alias("text")).groupBy("k1", "k2").agg(F.min("text").alias("text"))
 
     def of(t: str) -> tuple[bytes]:
         return (shingle_set(t, shingle).tobytes(),)
 
-    full = map_texts(texts, ["k1", "k2"], lambda: of, "shingles binary")
-    rows, rows_path = stored(members.join(full.hint("merge"), ["k1", "k2"]).drop("k1", "k2"), "full-sets")
-    linked = components(family_links(rows, percent)).select(F.col("node").alias("digest"), "root")
-    both = sets.join(linked, "digest", "left").select("digest", "copies", "low", F.coalesce("root", "digest").alias("root"))
+    again = texts.join(members.hint("merge"), ["k1", "k2"])
+    rows, rows_path = stored(map_texts(again, ["family", "sid", "n", "sig"], lambda: of, "shingles binary"), "full-sets")
+    linked = components(family_links(rows, percent)).select(F.col("node").alias("sid"), "root")
+    both = sets.join(linked, "sid", "left").select("digest", "copies", "low", F.coalesce("root", "sid").alias("root"))
     lows = both.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("m"))
     ids, _ = stored(join_hot(both, lows, ["root"], "m").select("digest", "copies", "component_id"), "component-ids")
     forget(spark, sets_path, families_path, members_path, rows_path)
