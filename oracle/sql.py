@@ -546,11 +546,11 @@ info AS (SELECT c.label, c.cx, c.cy, s.s FROM cent c JOIN sc s USING (label))"""
     return _with(body, tail)
 
 
-def q_silhouette() -> str:
+def q_silhouette(distance: str = "(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))") -> str:
     body = _labelled_sp() + """,
 lpts AS (SELECT x, y, label, count(*) AS w FROM lp GROUP BY x, y, label),
 csz AS (SELECT label, sum(w) AS W FROM lpts GROUP BY label),
-dist AS (SELECT a.x, a.y, a.label, a.w, b.label AS lb, sum(b.w * (pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) AS ssum
+dist AS (SELECT a.x, a.y, a.label, a.w, b.label AS lb, sum(b.w * """ + distance + """) AS ssum
          FROM lpts a CROSS JOIN lpts b GROUP BY a.x, a.y, a.label, a.w, b.label),
 per AS (SELECT d.x, d.y, d.label, d.w,
           max(CASE WHEN d.lb = d.label THEN d.ssum / nullif(c.W - 1, 0) END) AS a,
@@ -562,6 +562,10 @@ FROM per"""
     return _with(body, tail)
 
 
+def q_silhouette_euclidean() -> str:
+    return q_silhouette("sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))")
+
+
 def q_csv_roundtrip() -> str:
     st = parse_time("start_time")
     cols = ", ".join(RAW_COLUMNS[:-1])
@@ -750,6 +754,7 @@ ORACLE = {
     "dbscan_sweep": q_dbscan_sweep,
     "davies_bouldin": q_davies_bouldin,
     "silhouette": q_silhouette,
+    "silhouette_euclidean": q_silhouette_euclidean,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
     "top_od_pairs": q_top_od_pairs,

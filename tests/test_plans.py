@@ -44,8 +44,9 @@ def test_dbscan_has_no_cartesian_product(spark):
     from tripflow.operators import cluster
     pts = cluster.with_point_ids(spark.createDataFrame([(0.0, 0.0, 1), (1.0, 1.0, 2)], "x double, y double, w long"),
                                  ["x", "y"])
-    p = plan_text(cluster.eps_pairs(pts, 0.5))
-    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+    near = cluster._Neighbours(pts, 0.5)
+    for p in (plan_text(near.start), plan_text(near.degrees())):
+        assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
 
 
 def test_region_tag_has_no_cartesian_product(spark):

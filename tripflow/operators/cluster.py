@@ -8,8 +8,8 @@ steps (connected components, searches with a growing radius) cut lineage with re
 
 * ``standard_scale``: (x - mean) / population sd, all statistics from one aggregation.
 * ``dbscan`` / ``dbscan_sweep``: DBSCAN (Euclidean, ``<= eps``, ``min_samples`` counts the point
-  itself and weights) over cells whose points are all neighbours; one table of thresholds serves
-  every ``min_samples`` of a sweep.  ``eps_pairs`` gives the neighbour pairs themselves.
+  itself and weights) over cells whose points are all neighbours, cut into quadtrees; one table of
+  thresholds serves every ``min_samples`` of a sweep.
 * ``k_distance``: exact weighted k-th neighbour distance by growing the search radius only
   for points not yet resolved; the first radius comes from cell counts.
 * ``davies_bouldin``, ``silhouette`` (squared Euclidean): exact, from per-cluster sums that stay
@@ -27,9 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tripflow.operators import quadtree
 from tripflow.operators.components import components
 from tripflow.plans.ranking import dense_rank_distributed
+from tripflow.plans.sizing import stored
 from tripflow.session import ensure_checkpoint_dir
+from tripflow.sources.sinks import remove_path
 
 #: A search grid is made finer until a point shares its cell with so many others on average.
 CELL_SHARE = 16.0
@@ -77,22 +80,6 @@ def _cells(x: Column, y: Column, size: float):
     return F.floor(x / F.lit(size)).cast("long"), F.floor(y / F.lit(size)).cast("long")
 
 
-def eps_pairs(points: DataFrame, eps: float, x: str = "x", y: str = "y") -> DataFrame:
-    """All ordered pairs (a, b) of points with Euclidean distance <= eps, self pairs
-    included: (id_a, id_b, w_b, d).  Points need ``id`` and ``w``."""
-    cx, cy = _cells(F.col(x), F.col(y), eps)
-    a = points.select(F.col("id").alias("id_a"), F.col(x).alias("xa"), F.col(y).alias("ya"),
-                      cx.alias("cx"), cy.alias("cy"))
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    b = points.select(F.col("id").alias("id_b"), F.col(x).alias("xb"), F.col(y).alias("yb"), F.col("w").alias("w_b"),
-                      cx.alias("bx"), cy.alias("by"), F.explode(offsets).alias("o"))
-    b = b.select("id_b", "xb", "yb", "w_b", (F.col("bx") + F.col("o.dx")).alias("cx"),
-                 (F.col("by") + F.col("o.dy")).alias("cy"))
-    d = F.sqrt(F.pow(F.col("xa") - F.col("xb"), 2) + F.pow(F.col("ya") - F.col("yb"), 2))
-    return a.join(b, ["cx", "cy"]).select("id_a", "id_b", "w_b", d.alias("d")).where(F.col("d") <= F.lit(eps))
-
-
 def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys..., id, comp) of every node (keys..., id): comp is the smallest id that it reaches over
     the ``edges`` (keys..., src, dst); a node without an edge is its own."""
@@ -109,52 +96,124 @@ def dbscan_sweep(points: DataFrame, eps: float, min_samples: Sequence[int], x: s
     A border point joins the smallest-numbered cluster among its core neighbours.
 
     Cells have the side eps / sqrt(2): points of one cell are neighbours of one another, without a
-    pair.  Pairs of neighbouring cells are compared, summed up and never stored: first to degrees,
-    then to the largest degree that a point reaches in a cell.  A setting m links two cells if some
-    pair in reach has both degrees at m or above, so one table of thresholds serves all settings,
-    and the components are those of cells, not of points.
+    pair.  Cells are cut into a quadtree, and the trees of neighbouring cells are walked twice.  A pair
+    of subcells wholly within eps counts whole, one wholly beyond is dropped, and only leaves at the rim
+    are compared point by point: first for degrees, then for the largest degree that a cell's points
+    reach in another cell.  A setting m links two cells if some pair in reach has both degrees at m or
+    above; so one table of thresholds serves all settings, and the components are those of cells, not of
+    points.  A pair of cells linked for every setting is not opened further where all points are core.
     """
-    side = eps / 2**0.5 * (1 - 1e-12)
-    cx, cy = _cells(F.col(x), F.col(y), side)
-    pts = points.select("id", F.col(x).alias("px"), F.col(y).alias("py"), "w", cx.alias("cx"), cy.alias("cy"))
-    cells = _checkpoint(pts.groupBy("cx", "cy").agg(F.sum("w").alias("cw")).withColumn("cell", F.monotonically_increasing_id()))
-    pts = pts.join(cells, ["cx", "cy"])
-    around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"))
-                       for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)])
-
-    def reach(t: DataFrame, *value: str) -> DataFrame:
-        """Pairs of points of different cells within eps: a's columns as ``*_a``, b's as ``*_b``."""
-        a = t.select("cx", "cy", *[F.col(c).alias(f"{c}_a") for c in ("id", "cell", "px", "py", *value)])
-        b = t.select("cell", "px", "py", *value, "cx", "cy", F.explode(around).alias("o"))
-        b = b.select(*[F.col(c).alias(f"{c}_b") for c in ("cell", "px", "py", *value)],
-                     (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
-        d = F.sqrt(F.pow(F.col("px_a") - F.col("px_b"), 2) + F.pow(F.col("py_a") - F.col("py_b"), 2))
-        return a.join(b, ["cx", "cy"]).where(d <= F.lit(eps))
-
-    other = reach(pts, "w").groupBy(F.col("id_a").alias("id")).agg(F.sum("w_b").alias("other"))
-    pts = pts.join(other, "id", "left").withColumn("degree", F.col("cw") + F.coalesce("other", F.lit(0)))
-    pts = _checkpoint(pts.select("id", "px", "py", "w", "cx", "cy", "cell", "degree"))
-    best = pts.groupBy("cell").agg(F.max("degree").alias("top"))
-    seen = reach(pts, "degree").groupBy("id_a", "cell_a", "degree_a", "cell_b").agg(F.max("degree_b").alias("top"))
-    seen = _checkpoint(seen.unionByName(pts.join(best, "cell").select(
-        F.col("id").alias("id_a"), F.col("cell").alias("cell_a"), F.col("degree").alias("degree_a"), F.col("cell").alias("cell_b"), "top")))
+    pts, pts_path = stored(points.select("id", F.col(x).alias("x"), F.col(y).alias("y"), "w"), "dbscan-points")
+    near = _Neighbours(pts, eps)
+    pts, degree_path = stored(near.degrees(), "dbscan-degrees")
+    low, high = int(min(min_samples)), int(max(min_samples))
+    links, seen, paths = near.thresholds(pts, low, high)
     settings = F.explode(F.array(*[F.lit(int(m)).cast("long") for m in min_samples])).alias("ms")
+    best = pts.groupBy("cell").agg(F.max("degree").alias("top"))
     core_cells = best.select("cell", "top", settings).where("top >= ms").select("ms", F.col("cell").alias("id"))
-    links = seen.where("cell_a <> cell_b").groupBy("cell_a", "cell_b").agg(F.max(F.least("degree_a", "top")).alias("top"))
-    links = links.select("cell_a", "cell_b", "top", settings).where("top >= ms").select("ms", F.col("cell_a").alias("src"), F.col("cell_b").alias("dst"))
-    comps = connected_components(core_cells, links, ["ms"]).withColumnRenamed("id", "cell")
-    nodes = pts.select("id", F.col("px").alias(x), F.col("py").alias(y), "w", "cell", "degree", settings).withColumn("is_core", F.col("degree") >= F.col("ms"))
+    edges = links.select("cell_a", "cell_b", "top", settings).where("top >= ms").select("ms", F.col("cell_a").alias("src"), F.col("cell_b").alias("dst"))
+    comps = connected_components(core_cells, edges, ["ms"]).withColumnRenamed("id", "cell")
+    nodes = pts.select("id", F.col("x").alias(x), F.col("y").alias(y), "w", "cell", "degree", settings).withColumn("is_core", F.col("degree") >= F.col("ms"))
     core = nodes.where("is_core").select("ms", "id", "cell").join(comps, ["ms", "cell"])
-    low = _checkpoint(core.groupBy("ms", "comp").agg(F.min("id").alias("low")))
-    comps = comps.join(low, ["ms", "comp"]).select("ms", "cell", "low")
-    border = (seen.select("id_a", F.col("cell_b").alias("cell"), "degree_a", "top", settings).where("degree_a < ms AND ms <= top")
-              .join(comps, ["ms", "cell"]).groupBy("ms", F.col("id_a").alias("id")).agg(F.min("low").alias("low")))
+    low_id, low_path = stored(core.groupBy("ms", "comp").agg(F.min("id").alias("low")), "dbscan-lows")
+    comps, comps_path = stored(comps.join(low_id, ["ms", "comp"]).select("ms", "cell", "low"), "dbscan-cells")
+    border = (seen.select("id", F.col("cell_b").alias("cell"), "degree", "top", settings).where("degree < ms AND ms <= top")
+              .join(comps, ["ms", "cell"]).groupBy("ms", "id").agg(F.min("low").alias("low")))
     member = nodes.where("is_core").select("ms", "id", "cell").join(comps, ["ms", "cell"]).select("ms", "id", "low").unionByName(border)
     # Number clusters 0.. per setting by their smallest core member (a table of one row per cluster).
-    ranks = dense_rank_distributed(low.select("ms", "low"), ["ms"], ["low"], "label")
+    ranks = dense_rank_distributed(low_id.select("ms", "low"), ["ms"], ["low"], "label")
     labelled = member.join(ranks, ["ms", "low"]).select("ms", "id", "label")
     out = nodes.join(labelled, ["ms", "id"], "left").withColumn("label", F.coalesce("label", F.lit(-1).cast("long")))
-    return out.select(F.col("ms").alias("min_samples"), "id", x, y, "w", "degree", "is_core", "label")
+    out, _ = stored(out.select(F.col("ms").alias("min_samples"), "id", x, y, "w", "degree", "is_core", "label"), "dbscan")
+    near.forget()
+    for p in (pts_path, degree_path, low_path, comps_path, *paths):
+        remove_path(points.sparkSession, p)
+    return out
+
+
+class _Neighbours:
+    """Points (id, x, y, w) and who of them is within ``eps``, by cells of side eps / sqrt(2) and their
+    quadtrees."""
+
+    def __init__(self, pts: DataFrame, eps: float, leaf: int = quadtree.LEAF) -> None:
+        self.pts, self.eps = pts, eps
+        self.tree = quadtree.build(pts.select("id", "x", "y"), side=eps / 2**0.5 * (1 - 1e-12), leaf=leaf)
+        self.boxes, path = stored(self.tree.cells.select("cell", "top", *[f"{c}{i}" for c in "xy" for i in (0, 1)]), "boxes")
+        self.paths = [path]
+        tops = self.tree.cells.filter("cell.level = 0").select(F.col("cell").alias("b"))
+        around = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in range(-2, 3) for j in range(-2, 3) if (i, j) != (0, 0)]))
+        a = tops.select(F.col("b").alias("a"), around.alias("o"))
+        a = a.select("a", F.struct(F.col("a.level").alias("level"), (F.col("a.cx") + F.col("o.dx")).alias("cx"), (F.col("a.cy") + F.col("o.dy")).alias("cy")).alias("b"))
+        self.start = a.join(tops, "b")
+
+    def forget(self) -> None:
+        for p in self.paths:
+            remove_path(self.pts.sparkSession, p)
+        self.tree.forget()
+
+    def _side(self, name: str, values: DataFrame) -> DataFrame:
+        """The cells with their boxes and ``values`` (cell, ...), all named for one side of a pair."""
+        d = self.boxes.join(values, "cell")
+        return d.select(F.col("cell").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in d.columns if c != "cell"])
+
+    def _verdict(self, also_drop=None):
+        drop = quadtree.box_gap("a_", "b_") > F.lit(self.eps)
+        drop = drop if also_drop is None else drop | also_drop
+        return F.when(drop, "drop").when(quadtree.box_span("a_", "b_") <= F.lit(self.eps), "whole").otherwise("open")
+
+    def _rim(self, leaves: DataFrame, held: DataFrame, *value: str) -> DataFrame:
+        """Pairs of the leaves' points within eps; the columns of ``held`` (cell, id, x, y, value...)
+        as ``*_a`` and ``*_b``."""
+        a, b = [held.select(*[F.col(c).alias(n if c == "cell" else f"{c}_{n}") for c in ("cell", "id", "x", "y", *value)]) for n in "ab"]
+        d = F.sqrt(F.pow(F.col("x_a") - F.col("x_b"), 2) + F.pow(F.col("y_a") - F.col("y_b"), 2))
+        return leaves.join(a, "a").join(b, "b").where(d <= F.lit(self.eps))
+
+    def degrees(self) -> DataFrame:
+        """(id, x, y, w, cell, degree): the weight within eps of every point, itself included; cell is its
+        cell of level 0."""
+        held = self.tree.places.join(self.pts, "id")
+        weight = held.groupBy("cell").agg(F.sum("w").alias("w"))
+        weight, path = stored(weight, "cell-weights")
+        whole, leaves, paths = quadtree.walk(self.tree, self.start, self._side("a", weight), self._side("b", weight), self._verdict(),
+                                             lambda m: m.select("a", F.col("b_w").alias("w")))
+        self.paths += [path, *paths]
+        whole = whole.groupBy(F.col("a").alias("cell")).agg(F.sum("w").alias("n"))
+        far = self.tree.places.select("id", "cell").join(whole, "cell").select("id", "n")
+        rim = self._rim(leaves, held.filter("leaf"), "w").select(F.col("id_a").alias("id"), F.col("w_b").alias("n"))
+        other = far.unionByName(rim).groupBy("id").agg(F.sum("n").alias("n"))
+        own = self.tree.places.filter("cell.level = 0").select("id", "cell").join(weight.select("cell", F.col("w").alias("own")), "cell")
+        d = self.pts.join(own, "id").join(other, "id", "left")
+        return d.select("id", "x", "y", "w", "cell", (F.col("own") + F.coalesce("n", F.lit(0))).alias("degree"))
+
+    def thresholds(self, pts: DataFrame, low: int, high: int) -> tuple[DataFrame, DataFrame, list[str]]:
+        """(cell_a, cell_b, top): up to which degree two cells are linked; (id, degree, cell_b, top): up to
+        which degree a point of a degree below ``high`` sees core points in a cell, its own included; and
+        the tables that these read.  Cells without a degree of ``low`` are not looked at."""
+        held = self.tree.places.join(pts.select("id", "x", "y", "degree", F.col("cell").alias("top")), "id")
+        tops, path = stored(held.groupBy("cell").agg(F.max("degree").alias("most"), F.min("degree").alias("least")), "cell-degrees")
+        both = lambda m: m.select("a", F.col("a_top").alias("cell_a"), F.col("b_top").alias("cell_b"), F.col("a_most").alias("most_a"), F.col("b_most").alias("most_b"))
+        name = self.boxes.select("cell", "top")
+
+        def prune(still: DataFrame, whole: DataFrame) -> DataFrame:
+            linked = whole.filter(F.least("most_a", "most_b") >= high).select(F.col("cell_a").alias("a_top"), F.col("cell_b").alias("b_top")).distinct().withColumn("linked", F.lit(True))
+            sure = tops.select(F.col("cell").alias("a"), (F.col("least") >= high).alias("sure"))
+            d = still.join(name.withColumnsRenamed({"cell": "a", "top": "a_top"}), "a").join(name.withColumnsRenamed({"cell": "b", "top": "b_top"}), "b")
+            d = d.join(sure, "a").join(linked, ["a_top", "b_top"], "left")
+            return d.filter("NOT (sure AND coalesce(linked, false))").select(*still.columns)
+
+        whole, leaves, paths = quadtree.walk(self.tree, self.start, self._side("a", tops), self._side("b", tops), self._verdict(F.col("b_most") < low), both, prune=prune)
+        rim, rim_path = stored(self._rim(leaves, held.filter("leaf"), "degree", "top").groupBy("id_a", "degree_a", "top_a", "top_b").agg(F.max("degree_b").alias("top")), "rim")
+        links = whole.select("cell_a", "cell_b", F.least("most_a", "most_b").alias("top")).unionByName(
+            rim.select(F.col("top_a").alias("cell_a"), F.col("top_b").alias("cell_b"), F.least("degree_a", "top").alias("top")))
+        links, links_path = stored(links.groupBy("cell_a", "cell_b").agg(F.max("top").alias("top")), "cell-links")
+        weak = held.filter(F.col("degree") < high).select("id", "degree", "cell", F.col("top").alias("own"))
+        seen = weak.join(whole.select(F.col("a").alias("cell"), "cell_b", F.col("most_b").alias("top")), "cell").select("id", "degree", "cell_b", "top")
+        seen = seen.unionByName(rim.filter(F.col("degree_a") < high).select(F.col("id_a").alias("id"), F.col("degree_a").alias("degree"), F.col("top_b").alias("cell_b"), "top"))
+        own = weak.filter("cell.level = 0").join(tops, "cell").select("id", "degree", F.col("cell").alias("cell_b"), F.col("most").alias("top"))
+        seen, seen_path = stored(seen.unionByName(own).groupBy("id", "degree", "cell_b").agg(F.max("top").alias("top")), "seen")
+        for p in (path, rim_path, *paths):
+            remove_path(pts.sparkSession, p)
+        return links, seen, [links_path, seen_path]
 
 
 def dbscan(points: DataFrame, eps: float, min_samples: int, x: str = "x", y: str = "y") -> DataFrame:

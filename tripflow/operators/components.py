@@ -59,7 +59,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", keys: Sequence[str]
     # Done when every vertex points at one root that points nowhere: a star forest is a fixed point.
     while old["n"]:
         mid, mid_path = stored(_star(e, k, True, old["n"]).distinct(), "edges")
-        nxt, nxt_path = stored(_star(mid, k, False, mid.count()).distinct(), "edges")
+        # A large star has no more edges than there were: the bound on hot vertices holds.
+        nxt, nxt_path = stored(_star(mid, k, False, old["n"]).distinct(), "edges")
         new = state(nxt)
         remove_path(spark, path)
         remove_path(spark, mid_path)

@@ -14,6 +14,7 @@ from tripflow.operators import cluster, profile, stations
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.region import tag_points
 from tripflow.operators.rollup import HOURLY_COLUMNS, count_by_partition, fill_hour_gaps, hourly_usage
+from tripflow.operators.silhouette import silhouette_euclidean_df
 from tripflow.schema import DESCRIBE_COLUMNS, STATS_COLUMNS
 from tripflow.sources.adapter import load_raw_trips
 from tripflow.sources.regions import regions_from_rows
@@ -324,6 +325,11 @@ def q_silhouette(spark, sf_dir):
     return s.select(_round(F.col("silhouette"), 6).alias("silhouette"))
 
 
+def q_silhouette_euclidean(spark, sf_dir):
+    s = silhouette_euclidean_df(_labelled_points(spark, sf_dir), "x", "y", "label", tolerance=1e-6)
+    return s.select(_round(F.col("silhouette"), 6).alias("silhouette"))
+
+
 def _chain(spark, sf_dir):
     """One year's start points, scaled, and their DBSCAN labels: (x, y raw), (sx, sy scaled), label."""
     raw = load_raw_trips(spark, sf_dir).where(F.col("ptd") == CHAIN_YEAR)
@@ -530,6 +536,7 @@ QUERIES: dict[str, QueryFn] = {
     "dbscan_sweep": q_dbscan_sweep,
     "davies_bouldin": q_davies_bouldin,
     "silhouette": q_silhouette,
+    "silhouette_euclidean": q_silhouette_euclidean,
     "kmeans_sizes": q_kmeans_sizes,
     "kmeans_centers": q_kmeans_centers,
     "kmeans_labels": q_kmeans_labels,
