@@ -64,7 +64,7 @@ def test_mean_ci(spark):
     a = got[("k", "a")]
     half = 1.959963984540054 * np.std([1, 2, 3, 4], ddof=1) / 2
     assert a["mean"] == 2.5 and abs(a["ci_low"] - (2.5 - half)) < 1e-12
-    boot = {r["level"]: r for r in profile.mean_ci_bootstrap(spark.createDataFrame(pdf), "v", "k", key="v", replicates=50).collect()}
+    boot = {r["level"]: r for r in profile.mean_ci_bootstrap(spark.createDataFrame(pdf), "v", "k", replicates=50).collect()}
     assert boot["a"]["ci_low"] <= 2.5 <= boot["a"]["ci_high"]
 
 
@@ -72,7 +72,7 @@ def test_bootstrap_does_not_depend_on_partitions(spark):
     rng = np.random.default_rng(3)
     rows = [(i, str(i % 3), float(v)) for i, v in enumerate(rng.normal(10, 3, 300))] + [(300, None, 5.0), (301, "0", None)]
     df = spark.createDataFrame(rows, "id int, k string, v double")
-    one, two = ({r["level"]: tuple(r) for r in profile.mean_ci_bootstrap(df.repartition(n), "v", "k", key="id", replicates=40).collect()} for n in (2, 7))
+    one, two = ({r["level"]: tuple(r) for r in profile.mean_ci_bootstrap(df.repartition(n), "v", "k", replicates=40).collect()} for n in (2, 7))
     assert one.keys() == two.keys() == {"0", "1", "2", None}
     for k in one:
         assert np.allclose(one[k][1:], two[k][1:]) and one[k][2] <= one[k][1] <= one[k][3]
@@ -157,3 +157,47 @@ def test_corr_plan_has_no_expansion(spark):
     df = spark.range(9).selectExpr("id AS a", "id * 2 AS b", "id % 3 AS c")
     text = plan_text(profile.corr_long(df, ["a", "b", "c"]))
     assert "RoundRobin" not in text and "hashpartitioning" not in text and text.count("Exchange SinglePartition") <= 2
+
+
+def test_corr_of_a_hundred_columns(spark):
+    """Pairwise-complete over columns with gaps, far from zero, in many tasks; NaN spoils its own pairs only."""
+    rng = np.random.default_rng(6)
+    data = rng.normal(1e6, 1.0, (700, 100)) + rng.normal(size=(700, 1))
+    data[rng.random(data.shape) < 0.2] = np.nan
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in data]
+    cols = [f"c{i}" for i in range(100)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(9)
+    for method, want in (("corr", pd.DataFrame(data).corr()), ("covar_samp", pd.DataFrame(data).cov())):
+        got = profile.corr_long(df, cols, method=method).toPandas()
+        assert len(got) == 4950
+        assert np.allclose(got.value, [want.iloc[int(a[1:]), int(b[1:])] for a, b in zip(got.col_a, got.col_b)], rtol=1e-6, atol=1e-9)
+    odd = spark.createDataFrame([(1.0, 5.0, None, 2.0), (2.0, 5.0, 1.0, float("nan")), (3.0, 5.0, None, 4.0), (4.0, None, 2.0, 6.0)], "a double, b double, c double, d double")
+    got = {(r.col_a, r.col_b): r.value for r in profile.corr_long(odd, ["a", "b", "c", "d"]).collect()}
+    assert got[("a", "b")] is None and got[("b", "c")] is None and abs(got[("a", "c")] - 1) < 1e-12 and np.isnan(got[("a", "d")])
+    assert {r.value for r in profile.corr_long(odd.limit(0), ["a", "b"]).collect()} == {None}
+
+
+def test_moments_merge_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(profile, "FAN", 2)
+    df = spark.range(1000, numPartitions=13).selectExpr("id AS a", "id * id AS b", "IF(id % 3 = 0, NULL, id % 7) AS c")
+    pdf = df.toPandas().astype(float)
+    for r in profile.corr_long(df, ["a", "b", "c"]).collect():
+        assert abs(r.value - pdf.corr().loc[r.col_a, r.col_b]) < 1e-9
+
+
+def test_bootstrap_weights_are_poisson(spark):
+    """Counts in the table and beyond it: weights of the stated mean and variance, and quantiles that rise."""
+    from statistics import NormalDist
+    import pyspark.sql.functions as F
+    us = [1e-9, 1e-4, 0.02, 0.03, 0.3, 0.5, 0.77, 0.98, 1 - 1e-6]
+    got = spark.createDataFrame([(u,) for u in us], "u double").select(profile.normal_quantile(F.col("u"))).collect()
+    assert all(abs(r[0] - NormalDist().inv_cdf(u)) < 1e-7 for r, u in zip(got, us))
+    for c in (1, 7, 63):
+        cuts = np.array(profile.poisson_cuts(c)) / 2**32
+        tail = 1 - np.concatenate([[0.0], cuts])[1:]
+        assert abs(tail.sum() - c) < 1e-5 * c and (np.diff(cuts) >= 0).all()
+    # One value seen 10,000 times and one seen once: the mean's spread is that of the rows' bootstrap.
+    df = spark.createDataFrame([("a", 0.0)] * 10_000 + [("a", 1.0)] * 10_000, "k string, v double")
+    r = profile.mean_ci_bootstrap(df, "v", "k", replicates=400).first()
+    half = 1.96 * 0.5 / np.sqrt(20_000)
+    assert r["mean"] == 0.5 and abs((r["ci_high"] - r["ci_low"]) / (2 * half) - 1) < 0.15

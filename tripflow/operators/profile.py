@@ -9,9 +9,11 @@ distributed sort, in which a hot group spans many tasks.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Observation
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -172,21 +174,106 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), F.asc(col))
 
 
+#: Buffers that one task merges; where more tasks may send one, they are merged in a tree.
+FAN = 64
+
+
+class _Moments:
+    """Co-moments of every pair of columns over the rows that have both: count ``n``, the mean of each
+    column ``m`` (row i, column j: of i where j is there too), the sums of squares ``q`` and of products
+    ``c`` of deviations from these.  A buffer of arrays, updated by blocks of rows and mergeable."""
+
+    def __init__(self, n: np.ndarray, m: np.ndarray, q: np.ndarray, c: np.ndarray) -> None:
+        self.n, self.m, self.q, self.c = n, m, q, c
+
+    @classmethod
+    def of(cls, values: np.ndarray, there: np.ndarray) -> _Moments:
+        mask = there.astype(np.float64)
+        n = mask.T @ mask
+        # About the columns' own means first: what is left to subtract is small.
+        own = np.where(there, values, 0.0).sum(axis=0) / np.maximum(mask.sum(axis=0), 1)
+        x = np.where(there, values - own, 0.0)
+        lost = ~np.isfinite(x)
+        bad = lost.astype(np.float64).T @ mask > 0
+        x = np.where(lost, 0.0, x)
+        m = (x.T @ mask) / np.maximum(n, 1)
+        q = (x * x).T @ mask - n * m * m
+        c = x.T @ x - n * m * m.T
+        q[bad], c[bad | bad.T] = np.nan, np.nan
+        return cls(n, m + own[:, None], q, c)
+
+    def add(self, o: _Moments) -> _Moments:
+        n = self.n + o.n
+        step, part = o.m - self.m, o.n / np.maximum(n, 1)
+        both = self.n * part
+        return _Moments(n, self.m + step * part, self.q + o.q + step * step * both, self.c + o.c + step * step.T * both)
+
+    @classmethod
+    def read(cls, row: bytes, k: int) -> _Moments:
+        return cls(*np.frombuffer(row, dtype=np.float64).reshape(4, k, k))
+
+    def written(self) -> bytes:
+        return np.stack([self.n, self.m, self.q, self.c]).tobytes()
+
+
+def _merged(parts: Iterator[_Moments]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for m in parts:
+        total = m if total is None else total.add(m)
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([total.written()], pa.binary())], ["m"])
+
+
+def co_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row (m) with the ``_Moments`` of the columns, or none for no rows: a task sends one buffer."""
+    k = len(cols)
+
+    def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[_Moments]:
+            for b in batches:
+                if b.num_rows:
+                    there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
+                    yield _Moments.of(np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in b.columns], axis=1), there)
+
+        return _merged(parts())
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _merged(_Moments.read(row, k) for b in batches for row in b.column(0).to_pylist())
+
+    spark = df.sparkSession
+    made = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(update, "m binary")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    if tasks > FAN:
+        made = made.repartition(math.isqrt(tasks)).mapInArrow(merge, "m binary")
+    return made.repartition(1).mapInArrow(merge, "m binary")
+
+
 def corr_long(df: DataFrame, cols: Sequence[str], lower: bool = False, method: str = "corr") -> DataFrame:
     """Pearson correlation (pairwise-complete rows) of every column pair i < j; long output
-    (col_a, col_b, value).  One aggregation with one function per pair: rows are read once, each
-    task sends one row of partial moments, and the one-row result is turned to long form.
-    ``lower=True`` adds the mirrored half."""
-    fn = {"corr": F.corr, "covar_samp": F.covar_samp, "covar_pop": F.covar_pop}[method]
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    wide = doubles.agg(F.array(*[fn(F.col(a), F.col(b)) for a, b in pairs]).alias("values"))
-    names = F.array(*[F.lit(a) for a, _ in pairs]), F.array(*[F.lit(b) for _, b in pairs])
-    out = wide.select(F.explode(F.arrays_zip(names[0].alias("col_a"), names[1].alias("col_b"), F.col("values").alias("value"))).alias("p")).select("p.*")
-    if lower:
-        out = out.select(F.explode(F.array(
-            F.struct("col_a", "col_b", "value"), F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "value"))).alias("p")).select("p.*")
-    return out
+    (col_a, col_b, value).  One mergeable buffer of arrays for all pairs: rows are read once, each task
+    sends one row of partial moments, and the last one is turned to long form.  NULL where fewer than
+    two rows have both columns or one of them does not vary.  ``lower=True`` adds the mirrored half."""
+    if method not in ("corr", "covar_samp", "covar_pop"):
+        raise ValueError("method must be 'corr', 'covar_samp' or 'covar_pop'")
+    names, k = list(cols), len(cols)
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for b in batches for row in b.column(0).to_pylist()]
+        m = _Moments.read(rows[0], k) if rows else _Moments.of(np.zeros((1, k)), np.zeros((1, k), dtype=bool))
+        if method == "corr":
+            under, few = np.sqrt(m.q * m.q.T), m.n < 2
+        else:
+            less = 1 if method == "covar_samp" else 0
+            under, few = np.maximum(m.n - less, 1), m.n <= less
+        none = few | (under == 0)
+        value = np.where(none, 0.0, m.c / np.where(none, 1.0, under))
+        a, b = np.triu_indices(k, 1)
+        if lower:
+            a, b = np.concatenate([a, b]), np.concatenate([b, a])
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in a], pa.string()), pa.array([names[i] for i in b], pa.string()),
+                                          pa.array(value[a, b], pa.float64(), mask=none[a, b])], ["col_a", "col_b", "value"])
+
+    return co_moments(df, cols).coalesce(1).mapInArrow(out, "col_a string, col_b string, value double")
 
 
 def cov_long(df: DataFrame, cols: Sequence[str], lower: bool = False) -> DataFrame:
@@ -206,31 +293,72 @@ def mean_ci(df: DataFrame, value: str, by: Sequence[str] | str, z: float = 1.959
     return g.withColumns({"ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
 
 
-def poisson_cuts() -> list[int]:
-    """The Poisson(1) distribution function as thresholds of a 32-bit draw (up to 7 events)."""
-    return [int(2**32 * sum(math.exp(-1) / math.factorial(k) for k in range(i + 1))) for i in range(8)]
-
-
-def mean_ci_bootstrap(df: DataFrame, value: str, by: str, key: Sequence[str] | str, replicates: int = 200,
-                      alpha: float = 0.05, seed: int = 7) -> DataFrame:
-    """Poisson-bootstrap percentile CI of the mean per category.
-
-    Each row gets a Poisson(1) weight per replicate from the first 32 bits of an md5 over (``key``
-    columns, replicate, seed), so the result depends on the rows alone, not on their partitions.
-    ``key`` names the rows; rows that share a key share their draws.  All replicates run in one
-    aggregation.  Output: (level, mean, ci_low, ci_high)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    name = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
-    base = df.select(F.col(by).cast("string").alias("level"), F.col(value).cast("double").alias("v"), name.alias("name"))
-    long = base.select("level", "v", "name", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.col("rep").cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
-    long = long.select("level", "v", "rep", draw.alias("draw"))
-    weight = F.size(F.filter(F.array(*[F.lit(c) for c in poisson_cuts()]), lambda c: F.col("draw") >= c)).cast("double")
-    per_rep = long.withColumn("w", weight).groupBy("level", "rep").agg(
-        (F.sum(F.col("v") * F.col("w")) / F.nullif(F.sum(F.when(F.col("v").isNotNull(), F.col("w"))), F.lit(0.0))).alias("m"))
-    ci = per_rep.groupBy("level").agg(
-        F.percentile("m", alpha / 2).alias("ci_low"), F.percentile("m", 1 - alpha / 2).alias("ci_high"))
-    return _same(base.groupBy("level").agg(F.avg("v").alias("mean")), ci, ["level"])
+#: Counts below this have their Poisson distribution as a table; above, its quantiles come from the
+#: normal ones, with the first correction for skewness.
+POISSON_TABLE = 64
+#: The normal quantile by rational functions (Acklam), centre and tails.
+NORMAL_A = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.357751867269, -30.66479806614716, 2.506628277459239)
+NORMAL_B = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)
+NORMAL_C = (-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783)
+NORMAL_D = (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0)
+NORMAL_TAIL = 0.02425
+
+
+def poisson_cuts(c: int) -> list[int]:
+    """The Poisson(c) distribution function as thresholds of a 32-bit draw, as far as these tell apart."""
+    out, p, total, k = [], math.exp(-c), 0.0, 0
+    while not out or out[-1] < 2**32 - 1:
+        total += p
+        out.append(min(int(2**32 * total), 2**32 - 1))
+        k += 1
+        p *= c / k
+        if k > 4 * c + 40:
+            break
+    return out
+
+
+def horner(x: Column, coefficients: Sequence[float]) -> Column:
+    out = F.lit(coefficients[0])
+    for v in coefficients[1:]:
+        out = out * x + F.lit(v)
+    return out
+
+
+def normal_quantile(u: Column) -> Column:
+    """The standard normal quantile of 0 < u < 1, to 1e-8."""
+    q = u - 0.5
+    r = q * q
+    tail = F.sqrt(-2 * F.ln(F.least(u, 1 - u)))
+    outer = horner(tail, NORMAL_C) / horner(tail, NORMAL_D)
+    return (F.when(F.least(u, 1 - u) >= NORMAL_TAIL, q * horner(r, NORMAL_A) / horner(r, NORMAL_B))
+            .when(q < 0, outer).otherwise(-outer))
+
+
+def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200, alpha: float = 0.05, seed: int = 7) -> DataFrame:
+    """Poisson-bootstrap percentile CI of the mean per category, over collapsed values.
+
+    Rows collapse to (level, value, c) first: the Poisson(1) weights of c equal rows add up to one
+    Poisson(c) weight.  That is drawn once per replicate, by inversion of the first 32 bits of an md5 over
+    (level, value, replicate, seed); so the work follows distinct values, not rows, and the result depends
+    on the rows alone.  A level's distinct values spread over all tasks.  NULL values have no weight; a
+    value of -0.0 is 0.0.  Output: (level, mean, ci_low, ci_high)."""
+    base = df.select(F.col(by).cast("string").alias("level"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"))
+    counts = base.groupBy("level", "v").agg(F.count(F.lit(1)).cast("double").alias("c")).withColumnRenamed("level", "l")
+    # Named by millionths, so that no engine's way to print a double matters; values closer than that share draws.
+    name = F.concat_ws("|", F.coalesce(F.col("l"), F.lit("")), F.round(F.col("v") * 1e6).cast("long").cast("string"))
+    drawn = counts.where("v IS NOT NULL").select("l", "v", "c", name.alias("name"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.col("rep").cast("string"), F.lit(str(seed))).cast("binary")), 1, 8), 16, 10).cast("long")
+    drawn = drawn.select("l", "v", "c", "rep", draw.alias("draw"))
+    spark = df.sparkSession
+    tables = spark.createDataFrame([(float(c), poisson_cuts(c)) for c in range(1, POISSON_TABLE)], "tc double, cuts array<bigint>")
+    drawn = drawn.join(F.broadcast(tables), F.col("c") == F.col("tc"), "left")  # POISSON_TABLE rows
+    z = normal_quantile((F.col("draw") + 0.5) / F.lit(2.0**32))
+    many = F.greatest(F.lit(0.0), F.floor(F.col("c") + F.sqrt("c") * z + (z * z - 1) / 6 + 0.5).cast("double"))
+    weight = F.when(F.col("cuts").isNull(), many).otherwise(F.size(F.filter("cuts", lambda t: t <= F.col("draw"))).cast("double"))
+    per_rep = drawn.withColumn("w", weight).groupBy("l", "rep").agg((F.sum(F.col("v") * F.col("w")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("m"))
+    ci = per_rep.groupBy("l").agg(F.percentile("m", alpha / 2).alias("ci_low"), F.percentile("m", 1 - alpha / 2).alias("ci_high"))
+    mean = counts.groupBy(F.col("l").alias("level")).agg((F.sum(F.col("v") * F.col("c")) / F.sum(F.when(F.col("v").isNotNull(), F.col("c")))).alias("mean"))
+    return _same(mean, ci.withColumnRenamed("l", "level"), ["level"], "left")
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
