@@ -14,7 +14,7 @@ POINTS = {
 def tags(spark, boundary):
     regions = regions_from_rows(spark, REGIONS)
     pts = spark.createDataFrame([(k, float(x), float(y)) for k, (x, y) in POINTS.items()], "k string, x double, y double")
-    out = region_of(pts, "x", "y", regions, "region", boundary=boundary, default=None, band=0.5)
+    out = region_of(pts, "x", "y", regions, "region", boundary=boundary, default=None)
     return {r["k"]: r["region"] for r in out.collect()}
 
 
@@ -29,12 +29,64 @@ def test_boundary_counts_inside(spark):
     assert got["vertex"] == "A" and got["edge"] == "A" and got["hole_edge"] == "A" and got["hole"] is None
 
 
-def test_band_size_does_not_change_result(spark):
+def test_cell_size_does_not_change_result(spark):
     regions = regions_from_rows(spark, REGIONS)
     pts = spark.createDataFrame([(float(x), float(y)) for x, y in POINTS.values()], "x double, y double")
-    a = sorted(tuple(r) for r in tag_points(pts, regions, band=0.01).collect())
-    b = sorted(tuple(r) for r in tag_points(pts, regions, band=7.0).collect())
-    assert a == b
+    for boundary in (False, True):
+        a, b = (sorted(tuple(r) for r in tag_points(pts, regions, boundary=boundary, edges=n).collect()) for n in (16, 3))
+        assert a == b
+
+
+def plain(x, y, rings):
+    """Even-odd over all rings, by ray casting in whole numbers; None on an edge."""
+    odd = False
+    for ring in rings:
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:]):
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return None
+            if (y1 > y) != (y2 > y) and (x2 - x1) * (y - y1) * (1 if y2 > y1 else -1) > (x - x1) * abs(y2 - y1):
+                odd = not odd
+    return odd
+
+
+def test_rings_on_a_lattice_against_plain_ray_casting(spark):
+    """Jagged rings of lattice points, tested at lattice points: ties with vertices and edges everywhere."""
+    import math
+    import random
+    rnd = random.Random(4)
+    for n, edges in ((40, 4), (300, 8)):
+        ring = [(round(60 + 55 * rnd.uniform(0.3, 1) * math.cos(2 * math.pi * i / n)), round(60 + 55 * rnd.uniform(0.3, 1) * math.sin(2 * math.pi * i / n))) for i in range(n)]
+        hole = [(50, 50), (70, 50), (70, 70), (60, 60), (50, 70), (50, 50)]
+        rings = [[*ring, ring[0]], hole]
+        regions = regions_from_rows(spark, [("R", [[[list(p) for p in r] for r in rings]])])
+        pts = [(x, y) for x in range(0, 121, 2) for y in range(0, 121, 2)]
+        df = spark.createDataFrame([(float(x), float(y)) for x, y in pts], "x double, y double")
+        for boundary in (False, True):
+            got = {(r["x"], r["y"]) for r in tag_points(df, regions, boundary=boundary, edges=edges).collect()}
+            want = {(x, y): plain(x, y, rings) for x, y in pts}
+            assert got == {p for p, v in want.items() if (boundary if v is None else v)}
+
+
+def test_a_thousand_regions_and_a_dense_city(spark):
+    """A grid of 1,000 squares, one cut finely, and nine points in ten in that one: a point meets the edges of
+    its own cell alone, in an inner cell none."""
+    from tripflow.operators.region import region_index
+    square = lambda i, j: [[i, j], [i + 1, j], [i + 1, j + 1], [i, j + 1], [i, j]]
+    rows = [(f"r{i:02d}_{j:02d}", [[square(i, j)]]) for i in range(40) for j in range(25)]
+    sides = 2000
+    wavy = [[20 + k / sides, 10 + (k % 2) * 1e-3] for k in range(sides)] + [[21, 10], [21, 11], [20, 11], [20, 10]]
+    rows = [(n, [[wavy]]) if n == "r20_10" else (n, c) for n, c in rows]
+    regions = regions_from_rows(spark, rows)
+    index, _ = region_index(regions)
+    assert index.selectExpr("max(size(edges))").first()[0] <= 16
+    assert index.filter("name = 'r20_10' AND edges IS NULL").count() > 10
+    n = 20_000
+    pts = spark.createDataFrame(
+        [((i * 7919 % n) / n * 40, (i * 104729 % n) / n * 25) if i % 10 == 0 else (20 + (i * 7919 % n) / n, 10.01 + (i * 104729 % n) / n * 0.98) for i in range(n)], "x double, y double")
+    out = tag_points(pts, regions).collect()
+    import math
+    assert all(r["region"] == f"r{math.floor(r['x']):02d}_{math.floor(r['y']):02d}" for r in out if r["y"] > 10.002 or not 20 <= r["x"] < 21)
+    assert len(out) > 0.95 * n
 
 
 def test_region_documents(spark, tmp_dir):

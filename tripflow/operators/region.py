@@ -1,12 +1,22 @@
-"""Point-in-region tagging.
-
-Work is done on *distinct* points only: trips collapse to their coordinates (partial
-aggregation before the shuffle), points meet polygon edges through an equi-join on latitude
-bands (never a cartesian product), crossings are counted per (point, region) with even-odd
-parity over all rings.  The edges are the broadcast side as long as their counted number allows
-(only the regions are read for that, never the points), so points stay where they are; beyond
-that the join shuffles.  The tags go back to the trips by a join on the coordinates, whose
-smaller side Spark broadcasts by its measured size.
+"""Point-in-region tagging by a covering of the regions with quadtree cells.
+
+**Index.** Cells are squares whose side is a power of two, in a grid through the origin, so a point's cell
+at any level is exact.  A region starts from the few cells that its box touches.  A cell that more than
+``EDGES`` edges touch is cut into four; one that none touches lies inside the region, and is held without
+edges, or outside, and is dropped; any other is held with just its own edges and whether its reference
+point is inside.  A child's reference follows from its parent's: it flips with every edge of the parent
+that the way between the two crosses.  So no cell ever looks at the whole region but the first few.
+
+**Points.** Trips collapse to distinct points.  A point meets the index by equality of its cell, at the
+levels that the index has.  In an inside cell it is tagged; in an edge cell it is inside as the reference
+is, flipped by each edge that the way from the point to the reference crosses.  The way goes along x first,
+then along y; both legs read a point as moved by a vanishing bit to the right and up (more to the right),
+which is what the half-open comparisons of ray casting amount to, so vertices and edges in line with it
+count once.  A point on an edge is found first: its edge is in its cell.
+
+No point meets an edge that is not in its own cell, whatever the number of regions or edges, and Spark
+picks the join by the measured size of the index.  The tags go back to the trips by a join on the
+coordinates, whose smaller side Spark broadcasts by its measured size.
 """
 
 from __future__ import annotations
@@ -14,8 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Region edges (times the bands they cross) that may be broadcast; about 100 bytes each.
-MAX_BROADCAST_EDGES = 200_000
+from tripflow.plans.sizing import stored
+
+#: Edges that a cell may hold, and the smallest side (2 to this power) down to which fuller ones are cut.
+EDGES, SMALLEST = 16, -40
+#: Where a cell's reference point lies, in sides: on no line that data are likely to share.
+REFERENCE = 0.4142135623730951
 
 
 def region_edges(regions: DataFrame, name_col: str = "name", coords_col: str = "coordinates") -> DataFrame:
@@ -35,47 +49,108 @@ def region_edges(regions: DataFrame, name_col: str = "name", coords_col: str = "
     return edges.select("name", "part", "ring", "e.x1", "e.y1", "e.x2", "e.y2")
 
 
-def _band(v: Column, band: float) -> Column:
-    return F.floor(v / F.lit(band)).cast("long")
+def _right(x: Column, y: Column, e: Column) -> Column:
+    """Whether the ray from (x, y) to the right crosses the edge."""
+    at = (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]
+    return F.when((e["y1"] > y) != (e["y2"] > y), x < at).otherwise(F.lit(False))
+
+
+def _up(x: Column, y: Column, e: Column) -> Column:
+    """Whether the ray from (x, y) upwards crosses the edge; in a tie, as right of x: if the edge rises."""
+    at = (e["y2"] - e["y1"]) * (x - e["x1"]) / (e["x2"] - e["x1"]) + e["y1"]
+    rises = (e["y2"] != e["y1"]) & ((e["y2"] > e["y1"]) == (e["x2"] > e["x1"]))
+    return F.when((e["x1"] > x) != (e["x2"] > x), (at > y) | ((at == y) & rises)).otherwise(F.lit(False))
+
+
+def _crossed(x: Column, y: Column, rx: Column, ry: Column, e: Column) -> Column:
+    """How often the way from (x, y) along x to rx, then along y to ry, crosses the edge."""
+    return (_right(x, y, e) != _right(rx, y, e)).cast("int") + (_up(rx, y, e) != _up(rx, ry, e)).cast("int")
+
+
+def _touches(e: Column, x0: Column, y0: Column, side: Column) -> Column:
+    """Whether the edge meets the square (a little enlarged, so that none is missed)."""
+    more = side * 1e-9
+    x0, x1, y0, y1 = x0 - more, x0 + side + more, y0 - more, y0 + side + more
+    near = ((F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1)
+            & (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1))
+    turns = [(e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"]) for x in (x0, x1) for y in (y0, y1)]
+    return near & (F.least(*turns) <= 0) & (F.greatest(*turns) >= 0)
+
+
+def _side(k: str | Column) -> Column:
+    return F.pow(F.lit(2.0), k)
+
+
+def region_index(regions: DataFrame, name_col: str = "name", coords_col: str = "coordinates", edges: int = EDGES) -> tuple[DataFrame, list[int]]:
+    """(k, cx, cy, name, inside, edges): the cells of side 2**k that a region covers in whole (edges null)
+    or in part (``inside``: whether the reference point is); and which k there are, a few dozen at most."""
+    key = ["name", "k", "cx", "cy"]
+    e = region_edges(regions, name_col, coords_col).filter("x1 <> x2 OR y1 <> y2").select("name", F.struct("x1", "y1", "x2", "y2").alias("e"))
+    ends = {c: (F.least(F.col(f"e.{c}1"), F.col(f"e.{c}2")), F.greatest(F.col(f"e.{c}1"), F.col(f"e.{c}2"))) for c in "xy"}
+    box = e.groupBy("name").agg(*[f(v).alias(f"{c}_{i}") for c in "xy" for i, (f, v) in enumerate(zip((F.min, F.max), ends[c]))])
+    extent = F.greatest(F.col("x_1") - F.col("x_0"), F.col("y_1") - F.col("y_0"), F.lit(2.0**SMALLEST))
+    box = box.withColumn("k", F.ceil(F.log2(extent)).cast("int"))
+    cells = [F.explode(F.sequence(*[F.floor(F.col(f"{c}_{i}") / _side("k")).cast("long") for i in (0, 1)])).alias(f"c{c}") for c in "xy"]
+    start = box.select("name", "k", "y_0", "y_1", cells[0]).select("name", "k", "cx", cells[1])
+    rx, ry = ((F.col(c) + REFERENCE) * _side("k") for c in ("cx", "cy"))
+    rows = start.join(e, "name").withColumn("flips", _right(rx, ry, F.col("e")).cast("int")).withColumn("was", F.lit(0))
+    out, levels = None, set()
+    while True:
+        here = _touches(F.col("e"), F.col("cx") * _side("k"), F.col("cy") * _side("k"), _side("k"))
+        rows = rows.withColumn("here", here)
+        full = rows.groupBy(*key).agg(F.pmod(F.any_value("was") + F.sum("flips"), F.lit(2)).cast("int").alias("inside"), F.count_if("here").alias("n"))
+        full, _ = stored(full.withColumn("open", (F.col("n") > edges) & (F.col("k") > SMALLEST)).filter("n > 0 OR inside = 1"), "region-cells")
+        mine = rows.filter("here").select(*key, "e").join(full.select(*key, "inside", "open"), key)
+        found = full.groupBy("k").agg(F.max("open").alias("open")).collect()
+        levels |= {r["k"] for r in found}
+        more = any(r["open"] for r in found)
+        if more:
+            mine, _ = stored(mine, "region-edges")
+        made = full.filter("n = 0 AND inside = 1").select(*key, "inside", F.lit(None).cast("array<struct<x1:double,y1:double,x2:double,y2:double>>").alias("edges"))
+        made = made.unionByName(mine.filter("NOT open").groupBy(*key, "inside").agg(F.collect_list("e").alias("edges")))
+        out = made if out is None else out.unionByName(made)
+        if not more:
+            return out, sorted(levels)
+        # Children: the parent's edges say which way their references differ from its own.
+        quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (0, 1) for j in (0, 1)])).alias("q")
+        d = mine.filter("open").select(*key, "inside", "e", quarter)
+        prx, pry = ((F.col(c) + REFERENCE) * _side("k") for c in ("cx", "cy"))
+        ccx, ccy = F.col("cx") * 2 + F.col("q.dx"), F.col("cy") * 2 + F.col("q.dy")
+        crx, cry = ((c + REFERENCE) * _side(F.col("k") - 1) for c in (ccx, ccy))
+        rows = d.select("name", (F.col("k") - 1).cast("int").alias("k"), ccx.alias("cx"), ccy.alias("cy"), "e",
+                        F.col("inside").alias("was"), _crossed(crx, cry, prx, pry, F.col("e")).alias("flips"))
 
 
 def tag_points(points: DataFrame, regions: DataFrame, x: str = "x", y: str = "y", *,
-               boundary: bool = False, band: float = 0.01, name_col: str = "name",
-               coords_col: str = "coordinates") -> DataFrame:
+               boundary: bool = False, name_col: str = "name", coords_col: str = "coordinates", edges: int = EDGES) -> DataFrame:
     """(x, y, region) for distinct points inside a region (smallest name when several).
 
     ``boundary=False`` is the strict-interior test (points on an edge or vertex are outside);
     ``boundary=True`` counts the boundary as inside.  Holes and multi-part regions follow the
     even-odd rule over all rings.
     """
-    e = region_edges(regions, name_col, coords_col)
-    e = e.select("name", "x1", "y1", "x2", "y2",
-                 F.least("y1", "y2").alias("ylo"), F.greatest("y1", "y2").alias("yhi"),
-                 F.least("x1", "x2").alias("xlo"), F.greatest("x1", "x2").alias("xhi"))
-    e = e.withColumn("band", F.explode(F.sequence(_band(F.col("ylo"), band), _band(F.col("yhi"), band))))
-    pts = (points.select(F.col(x).alias("px"), F.col(y).alias("py"))
-           .where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
-           .withColumn("band", _band(F.col("py"), band)))
-    if e.limit(MAX_BROADCAST_EDGES + 1).count() <= MAX_BROADCAST_EDGES:
-        e = F.broadcast(e)
-    j = pts.join(e, "band").where(F.col("py").between(F.col("ylo"), F.col("yhi")))
+    index, levels = region_index(regions, name_col, coords_col, edges)
+    pts = points.select(F.col(x).alias("px"), F.col(y).alias("py")).where(F.col("px").isNotNull() & F.col("py").isNotNull()).distinct()
+    at = pts.select("px", "py", F.explode(F.array(*[F.lit(k) for k in levels or [0]])).alias("k"))
+    at = at.select("px", "py", "k", *[F.floor(F.col(f"p{c}") / _side("k")).cast("long").alias(f"c{c}") for c in "xy"])
+    j = at.join(index, ["k", "cx", "cy"])
     px, py = F.col("px"), F.col("py")
-    x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    on_edge = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) & px.between(F.col("xlo"), F.col("xhi"))
-    # Evaluated only for edges that straddle the point's latitude (so y2 != y1).
-    crosses = F.when((y1 > py) != (y2 > py), px < (x2 - x1) * (py - y1) / (y2 - y1) + x1).otherwise(F.lit(False))
-    per = j.groupBy("px", "py", "name").agg(
-        F.max(on_edge.cast("int")).alias("on_edge"),
-        F.sum(crosses.cast("int")).alias("crossings"))
-    inside = F.when(F.col("on_edge") == 1, F.lit(boundary)).otherwise(F.col("crossings") % 2 == 1)
-    hits = per.where(inside)
-    return hits.groupBy("px", "py").agg(F.min("name").alias("region")).withColumnsRenamed({"px": x, "py": y})
+    rx, ry = ((F.col(c) + REFERENCE) * _side("k") for c in ("cx", "cy"))
+
+    def on(e: Column) -> Column:
+        return ((((e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])) == 0)
+                & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+                & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])))
+
+    flips = F.aggregate("edges", F.col("inside"), lambda n, e: n + _crossed(px, py, rx, ry, e))
+    inside = F.when(F.col("edges").isNull(), F.lit(True)).when(F.exists("edges", on), F.lit(boundary)).otherwise(F.pmod(flips, F.lit(2)) == 1)
+    return j.where(inside).groupBy("px", "py").agg(F.min("name").alias("region")).withColumnsRenamed({"px": x, "py": y})
 
 
 def region_of(df: DataFrame, lon: str, lat: str, regions: DataFrame, out: str = "city_name", *,
-              boundary: bool = False, default: str | None = "UNKNOWN", band: float = 0.01) -> DataFrame:
+              boundary: bool = False, default: str | None = "UNKNOWN") -> DataFrame:
     """Add ``out`` = name of the region containing (lon, lat), else ``default``."""
-    tags = tag_points(df.select(lon, lat), regions, lon, lat, boundary=boundary, band=band)
+    tags = tag_points(df.select(lon, lat), regions, lon, lat, boundary=boundary)
     tags = tags.withColumnsRenamed({lon: "__tag_x", lat: "__tag_y"})
     joined = df.join(tags, (df[lon] == tags["__tag_x"]) & (df[lat] == tags["__tag_y"]), "left")
     name = F.coalesce(F.col("region"), F.lit(default)) if default is not None else F.col("region")
