@@ -169,13 +169,13 @@ def test_targets_of_a_source_per_document(spark, frame):
         first += r.slots
 
 
-def brute_lines(rows, min_sites, min_words):
+def brute_lines(rows, min_sites):
     sites, first = defaultdict(set), {}
     key = lambda i, t, p: (i is None, i or 0, t, p)
     for i, t, s in rows:
         for p, line in enumerate((t or "").split("\n")):
             line = line.strip(" \t\x0b\x0c\r\n")
-            if len(WORDS.findall(line)) >= min_words:
+            if line:
                 sites[line].add(s)
                 first[line] = min(first.get(line, key(i, t, p)), key(i, t, p))
     out = []
@@ -189,13 +189,29 @@ def test_line_dedup(frame):
     rows = list(ODD)
     for i in range(60):
         rows.append((50 + i, f"own line number {i}\n  the shared footer here \nshort\nseen on few {i % 30}\nthe shared footer here", f"s{i % 9}" if i % 10 else None))
+    # One id, eight texts on eight sites, none first by hash alone; and the same without an id.
+    rows += [(i, f"{c} comes first\nfooter of one id {i}\nx", f"t{k}") for i in (900, None) for k, c in enumerate("hbgadcfe")]
     for sites in (2, 3, 5):
         got = line_dedup.drop_spread_lines(frame(rows), min_sites=sites)
         assert got.columns == frame([]).columns
-        assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_lines(rows, sites, 3)
+        assert Counter((r.doc_id, r.text) for r in got.collect()) == brute_lines(rows, sites)
     assert line_dedup.drop_spread_lines(frame([])).count() == 0
 
 
+def test_mix_keeps_the_sources_of_one_text_apart(frame):
+    """One id and text on six sources: each row gives what its own source is to give."""
+    rows = [(1, " ".join(f"w{i}" for i in range(24)), f"s{k}") for k in range(6)] + [(1, " ".join(f"w{i}" for i in range(24)), "s0")]
+    mix = mixing.Mix(frame(rows), block_words=4)
+    want = {r.source: round(r.target) for r in mix.sources.collect()}
+    got = {r.source: len(WORDS.findall(r.text)) for r in mix.documents().collect()}
+    assert len(want) == 6 and got == {s: n for s, n in want.items() if n}
+
+
+def test_names_with_a_backtick(spark):
+    d = spark.createDataFrame([(i, "a b c\nshared line here", f"s{i}", i) for i in range(8)], "doc_id long, text string, source string, `od``d name` int")
+    assert line_dedup.drop_spread_lines(d).columns == d.columns and mixing.Mix(d).documents().columns == d.columns
+
+
 def test_line_dedup_sites_by_the_hundred(frame):
     """Estimates far from and near the threshold agree with exact counts."""
     rows = [(n * 1000 + k, f"line on sites {n}\nmine {n} {k} x", f"s{k}") for n in (90, 98, 99, 100, 101, 102, 110, 140) for k in range(n)]
@@ -209,5 +225,5 @@ def test_line_dedup_stage_takes_lines_of_any_length(spark, frame):
     rows = [(i, f"Les.\nRead more\n利用規約とプライバシーポリシーに同意します\nown{i}\n\nfew {i % 4}", f"s{i % 6}") for i in range(12)]
     rows += [(100, "few 0", "s0"), (101, None, "s1")]
     got = stages.drop_spread_lines(spark, frame(rows), "").collect()
-    assert Counter((r.doc_id, r.text) for r in got) == brute_lines(rows, line_dedup.MIN_SITES, 1)
+    assert Counter((r.doc_id, r.text) for r in got) == brute_lines(rows, line_dedup.MIN_SITES)
     assert sum("Les." in (r.text or "") for r in got) == 1

@@ -39,9 +39,14 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever their names hold."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+
+
 def packed(df: DataFrame, *more: Column) -> DataFrame:
     """``ROW`` holds the whole input row; ``more`` are the operator's own columns."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *more)
+    return df.select(whole_row(df).alias(ROW), *more)
 
 
 def unpacked(df: DataFrame, columns: Sequence[str], **replaced: Column) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripflow.llm.common import WORD, global_rank, permuted, running_sums, shuffle_partitions, stored, text_of, words
+from tripflow.llm.common import WORD, global_rank, packed, permuted, running_sums, shuffle_partitions, stored, text_of, words
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS, SHARD_SLOTS = 256, 1024
@@ -138,7 +138,7 @@ class Mix:
     def __init__(self, df: DataFrame, seed: int = 11, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: float = 2.0,
                  block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS,
                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> None:
-        self.df, self.id_col, self.text_col, self.block_words = df, id_col, text_col, block_words
+        self.df, self.id_col, self.text_col, self.source_col, self.block_words = df, id_col, text_col, source_col, block_words
         sizes, _ = stored(sized(df, id_col, text_col, source_col), "mix-sizes")
         self.docs, _ = stored(placed(sizes), "mix-docs")
         self.sources, _ = stored(targets(self.docs, weights, share, most, block_words), "mix-sources")
@@ -159,14 +159,15 @@ class Mix:
     def _picked(self, *keys: str, layout: bool = False) -> DataFrame:
         """Texts joined with the ranges ``keys`` names (one array a text), as the pieces they take:
         structs of ``keys`` and words, or with ``layout`` the pieces as text, with their white space.
-        Repeated rows (same id and text) are one document here."""
-        parts = self.ranges.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list(F.struct(*keys, "skip", "n"))).alias("parts"))
-        parts = parts.select(F.col("id").alias("p_id"), F.col("text_hash").alias("p_hash"), "parts")
+        Repeated rows (same id, text and source) are one document here, with the other columns of one of them."""
+        parts = self.ranges.groupBy("id", "text_hash", "source").agg(F.sort_array(F.collect_list(F.struct(*keys, "skip", "n"))).alias("parts"))
+        parts = parts.select(F.col("id").alias("p_id"), F.col("text_hash").alias("p_hash"), F.col("source").alias("p_source"), "parts")
         text = text_of(self.text_col)
-        d = self.df.select(F.struct(*[F.col(f"`{c}`") for c in self.df.columns]).alias("row"), F.col(self.id_col).alias("k_id"), F.xxhash64(text).alias("k_hash"))
-        if self.docs.groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
-            d = d.groupBy("k_id", "k_hash").agg(F.first("row").alias("row"))
-        d = d.join(parts, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")))
+        d = packed(self.df, F.col(self.id_col).alias("k_id"), F.xxhash64(text).alias("k_hash"), F.col(self.source_col).alias("k_source"))
+        if self.docs.groupBy("id", "text_hash", "source").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+            plain = [F.col("row")[f.name] for f in self.df.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+            d = d.groupBy("k_id", "k_hash", "k_source").agg(F.min_by("row", F.xxhash64(*plain)).alias("row"))
+        d = d.join(parts, F.col("k_id").eqNullSafe(F.col("p_id")) & (F.col("k_hash") == F.col("p_hash")) & F.col("k_source").eqNullSafe(F.col("p_source")))
 
         def cut(w: Column, p: Column) -> Column:
             return F.slice(w, (p["skip"] + 1).cast("int"), p["n"].cast("int"))
@@ -192,7 +193,8 @@ class Mix:
     def documents(self, layout: bool = False) -> DataFrame:
         """The input's columns, one row per document that the mix takes words of: its text is those
         words in the mix's order (pass by pass), joined by spaces; n_chars follows, if there is one.
-        Repeated rows (same id and text) become one document with all that they give.
+        Repeated rows (same id, text and source) become one document with all that they give; rows of one id
+        and text from several sources stay apart.
 
         With ``layout`` the text is cut from the original instead: white space stays in and between
         ranges, and at the text's two ends where the mix takes them, so a document taken whole once

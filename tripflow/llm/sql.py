@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm.line_dedup import MIN_SITES, MIN_WORDS
+from tripflow.llm.line_dedup import MIN_SITES
 from tripflow.llm.spelling import MIN_COUNT, MIN_LENGTH, NOISE, RATIO
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -15,7 +15,7 @@ lines AS (
 cut AS (SELECT *, regexp_replace(line, '^{_SPACE}+|{_SPACE}+$', '', 'g') AS c FROM lines),
 spread AS (
   SELECT c, min({{'no_id': doc_id IS NULL, 'id': doc_id, 't': t, 'pos': pos}}) AS first FROM cut
-  WHERE len(regexp_extract_all(c, '{_WORD}')) >= {MIN_WORDS}
+  WHERE c <> ''
   GROUP BY c HAVING count(DISTINCT coalesce('=' || source, '')) >= {MIN_SITES}),
 judged AS (
   SELECT cut.*, spread.c IS NOT NULL AND {{'no_id': doc_id IS NULL, 'id': doc_id, 't': t, 'pos': pos}} <> first AS gone
