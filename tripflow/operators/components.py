@@ -22,6 +22,8 @@ from tripflow.sources.sinks import remove_path
 
 #: A vertex is hot beyond one in so many edge ends; no fewer than ``COLD`` of them.
 HOT, COLD = 500, 64
+#: Edges that one file of a round's table holds, so that a small graph does not cost a file per task.
+FILE_ROWS = 50_000
 
 
 def with_low(rows: DataFrame, low: DataFrame, keys: Sequence[str], ends: int) -> DataFrame:
@@ -58,9 +60,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", keys: Sequence[str]
     old = state(e)
     # Done when every vertex points at one root that points nowhere: a star forest is a fixed point.
     while old["n"]:
-        mid, mid_path = stored(_star(e, k, True, old["n"]).distinct(), "edges")
+        files = 1 + old["n"] // FILE_ROWS
+        mid, mid_path = stored(_star(e, k, True, old["n"]).distinct().coalesce(files), "edges")
         # A large star has no more edges than there were: the bound on hot vertices holds.
-        nxt, nxt_path = stored(_star(mid, k, False, old["n"]).distinct(), "edges")
+        nxt, nxt_path = stored(_star(mid, k, False, old["n"]).distinct().coalesce(files), "edges")
         new = state(nxt)
         remove_path(spark, path)
         remove_path(spark, mid_path)
