@@ -172,14 +172,30 @@ def _bucket(percent: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
     return of
 
 
-def _cell(percent: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
+def _cell(percent: int, whole: bool = False) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
+    """Links of a cell; if it holds a ``whole`` family, each row linked to the smallest of its component."""
+
     def of(t: pa.Table) -> Iterator[pa.RecordBatch]:
         if t.num_rows < 2:
             return
         sets = [np.frombuffer(x, dtype=np.uint64) for x in t.column("shingles").to_pylist()]
         comp = t.column("comp").to_numpy()
         pairs = cell_links(sets, _sigs(t), comp, t.column("ask").to_numpy(zero_copy_only=False), percent)
-        yield from _edges(t.column("sid").to_numpy(), pairs)
+        ids = t.column("sid").to_numpy()
+        if whole and pairs:
+            up = {i: i for p in pairs for i in p}
+
+            def find(i: int) -> int:
+                while up[i] != i:
+                    up[i] = up[up[i]]
+                    i = up[i]
+                return i
+
+            for a, b in pairs:
+                x, y = sorted((find(a), find(b)), key=lambda i: ids[i])
+                up[y] = x
+            pairs = [(i, find(i)) for i in up]
+        yield from _edges(ids, pairs)
 
     return of
 
@@ -221,8 +237,9 @@ def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def family_links(rows: DataFrame, percent: int) -> DataFrame:
-    """True links (a, b) that connect the rows (family, sid, n, sig, shingles) as all links would."""
+def family_components(rows: DataFrame, percent: int) -> DataFrame:
+    """(sid, root) of the rows (family, sid, n, sig, shingles) that have links; root is the smallest sid
+    that a row reaches over them."""
     spark = rows.sparkSession
     size = rows.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("hashes"), F.max("n").alias("most"))
     # A cell holds CELL rows or CELL_HASHES hashes on average, whichever is less.
@@ -231,7 +248,8 @@ def family_links(rows: DataFrame, percent: int) -> DataFrame:
     cell = F.xxhash64("family", F.lit(0))
     alone = rows.join(large.select("family").hint("merge"), "family", "left_anti")
     alone = alone.select(cell.alias("cell"), "sid", "sig", "shingles", F.col("sid").alias("comp"), F.lit(True).alias("ask"))
-    found, _ = stored(_grouped(alone, ["cell"], _cell(percent)), "links")
+    found, _ = stored(_grouped(alone, ["cell"], _cell(percent, whole=True)), "links")
+    found = found.select(F.col("a").alias("sid"), F.col("b").alias("root"))
     if large.limit(1).count() == 0:
         return found
     hot, _ = stored(join_hot(rows, large.select("family", "m", "hashes", "pieces"), ["family"], "m").drop("m", "hashes"), "family-rows")
@@ -260,7 +278,7 @@ def family_links(rows: DataFrame, percent: int) -> DataFrame:
     both = asking.unionByName(asked).select(F.xxhash64("family", "d", "q").alias("cell"), "sid", "sig", "shingles", "comp", "ask")
     closing, _ = stored(_grouped(both, ["cell"], _cell(percent)), "links")
     forget(spark, path, d_path, few_path)
-    return found.unionByName(links).unionByName(closing)
+    return found.unionByName(components(links.unionByName(closing)).select(F.col("node").alias("sid"), "root"))
 
 
 def _with_comp(rows: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -292,7 +310,7 @@ def near_duplicates(df: DataFrame, shingle: int = SHINGLE, percent: int = PERCEN
 
     again = texts.join(members.hint("merge"), ["k1", "k2"])
     rows, rows_path = stored(map_texts(again, ["family", "sid", "n", "sig"], lambda: of, "shingles binary"), "full-sets")
-    linked = components(family_links(rows, percent)).select(F.col("node").alias("sid"), "root")
+    linked = family_components(rows, percent)
     both = sets.join(linked, "sid", "left").select("digest", "copies", "low", F.coalesce("root", "sid").alias("root"))
     lows = both.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("m"))
     ids, _ = stored(join_hot(both, lows, ["root"], "m").select("digest", "copies", "component_id"), "component-ids")
