@@ -19,7 +19,7 @@ def drop_missing_coordinates(raw: DataFrame, cols=COORDS) -> DataFrame:
 
 
 def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_name_default: str = "UNKNOWN",
-                 region_lon: str = "start_lon", region_lat: str = "start_lat",
+                 region_lon: str = "start_lon", region_lat: str = "start_lat", region_band: float = 0.01,
                  strict_time: bool = False, period_col: str = "ptd", distance_mode: str = "pairs",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw trips -> enriched trips (``ENRICHED_COLUMNS`` order).
@@ -39,7 +39,8 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     """
     df = drop_missing_coordinates(raw)
     if regions is not None:
-        df = region_of(df, region_lon, region_lat, regions, "city_name", default=region_name_default)
+        df = region_of(df, region_lon, region_lat, regions, "city_name", default=region_name_default,
+                       band=region_band)
     else:
         df = df.withColumn("city_name", F.lit(region_name_default))
 
