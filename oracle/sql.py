@@ -578,6 +578,17 @@ def q_partition_reload() -> str:
     return q_trip_enrich()
 
 
+def q_trip_job() -> str:
+    st = parse_time("start_time")
+    period = f"CAST(year({st}) AS VARCHAR) || '-q' || CAST(quarter({st}) AS VARCHAR)"
+    missing = "(start_lat IS NULL OR start_lon IS NULL OR end_lat IS NULL OR end_lon IS NULL)"
+    parts = f"""SELECT 'trips' AS part, {period} AS key, CAST(count(*) AS DOUBLE) AS value FROM raw WHERE NOT {missing} GROUP BY 2
+UNION ALL SELECT 'hour', start_hour, CAST(count(*) AS DOUBLE) FROM trips WHERE city_name = 'LA' GROUP BY 2
+UNION ALL SELECT 'bike', CAST(bike_id AS VARCHAR), round(sum(distance), 1) FROM trips WHERE trip_route_type = 1 GROUP BY 2
+UNION ALL SELECT 'rejected', 'metro-trips-' || {period} || '.csv no coordinates', CAST(count(*) AS DOUBLE) FROM raw WHERE {missing} GROUP BY 2"""
+    return _with(_enriched_ctes(), parts)
+
+
 def q_top_od_pairs() -> str:
     return _with(_enriched_ctes(), """SELECT start_station, end_station, count(*) AS trips FROM trips
 GROUP BY start_station, end_station ORDER BY trips DESC, start_station, end_station LIMIT 10""")
@@ -771,6 +782,7 @@ ORACLE = {
     "silhouette_euclidean": q_silhouette_euclidean,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
+    "trip_job": q_trip_job,
     "top_od_pairs": q_top_od_pairs,
     "unmapped_categories": q_unmapped_categories,
     "complete_rows": q_complete_rows,

@@ -1,7 +1,7 @@
 """The trip batch job: period CSVs -> enriched partitioned table -> app tables -> stats.
 
 The caller owns the session.  Each stage is a DataFrame; the only actions are the table
-write and the optional exports.
+load (a new version, shown once it is complete and counted) and the optional exports.
 """
 
 from __future__ import annotations
@@ -10,42 +10,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tripflow.operators.enrich import enrich_trips
+from tripflow.operators.enrich import drop_missing_coordinates, enrich_trips
 from tripflow.operators.profile import describe_by
 from tripflow.operators.rollup import hourly_usage, sum_by
+from tripflow.plans import versions
 from tripflow.plans.catalog import create_database
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA, STATS_COLUMNS
-from tripflow.sources.sinks import export_csv, write_partitioned, write_table
+from tripflow.sources.sinks import export_csv
 from tripflow.sources.trips_csv import read_period_csv, rejected_rows, trips_with_period
 
 #: The stored table: the enriched columns and the period, which is a partition beside the year.
 TABLE_SCHEMA = StructType([*ENRICHED_TRIP_SCHEMA.fields, StructField("period", StringType(), True)])
 
 
-def load_trip_table(spark: SparkSession, path: str) -> DataFrame:
-    """The enriched table with its declared schema (``ptd`` and ``period`` stay strings)."""
+def load_trip_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The enriched table with its declared schema (``ptd`` and ``period`` stay strings): the latest version or
+    a given one; a folder without versions is read as it is."""
+    if versions.versions(spark, path):
+        return versions.read_version(spark, path, TABLE_SCHEMA, version)
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
-def load_trips(trips: DataFrame, regions: DataFrame | None, path: str | None = None, table: str | None = None,
-               rebuild: bool = False) -> None:
-    """Enrich raw trips (with ``ptd`` and ``period``) and load them into the table at ``path`` and / or
-    the catalog table ``table`` (``db.name``, the database is created).
+def load_trips(trips: DataFrame, regions: DataFrame | None, path: str, table: str | None = None,
+               rebuild: bool = False, check: bool = True) -> int:
+    """Enrich raw trips (with ``ptd`` and ``period``) and load them as the next version of the table at ``path``,
+    which ``table`` (``db.name``, the database is created) then shows; returns the version.
 
     Partitions are (year, period): loading a period again replaces that period alone.
-    ``rebuild=True`` replaces the whole table."""
+    ``rebuild=True`` replaces the whole table.  Until the new version is complete, and has the rows of
+    every period (``check``: one more read of the source's coordinates), readers see the one before."""
     enriched = enrich_trips(trips, regions, keep=("period",))
-    if path:
-        if rebuild:
-            enriched.write.mode("overwrite").partitionBy("ptd", "period").parquet(path)
-        else:
-            write_partitioned(enriched, path)
+    by = ("ptd", "period")
+    expected = drop_missing_coordinates(trips).groupBy(*by).agg(F.count(F.lit(1)).alias("rows")) if check else None
+    version = versions.commit_load(enriched, path, by, replace=rebuild, expected=expected)
     if table:
         if "." in table:
             create_database(trips.sparkSession, table.split(".")[0])
-        if rebuild:
-            trips.sparkSession.sql("DROP TABLE IF EXISTS " + table)
-        write_table(enriched, table)
+        versions.publish(trips.sparkSession, path, table, TABLE_SCHEMA, by)
+    return version
 
 
 def build_trip_table(spark: SparkSession, src_dir: str, dw_path: str, regions: DataFrame | None = None,

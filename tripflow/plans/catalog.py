@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +45,10 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
 
 
 def partition_values(spark: SparkSession, table: str, col: str = "ptd") -> DataFrame:
-    """Distinct values of a partition column (answered from partition metadata)."""
-    return spark.table(table).select(col).distinct()
+    """Distinct values of a partition column, from the catalog's partition list: no file is opened."""
+    value = F.regexp_extract("partition", rf"(?:^|/){re.escape(col)}=([^/]*)", 1)
+    plain = F.when(value != "__HIVE_DEFAULT_PARTITION__", F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))))
+    return list_partitions(spark, table).select(plain.cast(spark.table(table).schema[col].dataType).alias(col)).distinct()
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
@@ -66,7 +69,7 @@ def drop_partitions_where(spark: SparkSession, table: str, col: str, op: str, va
     parts = list_partitions(spark, table).select(
         F.regexp_extract("partition", rf"(?:^|/){col}=([^/]*)", 1).alias("v"))
     cond = F.expr(f"v {op} {_lit(value)}")
-    vals = [r["v"] for r in parts.where(cond).collect()]
+    vals = [r["v"] for r in parts.where(cond).distinct().orderBy("v").collect()]
     for v in vals:
         drop_partition(spark, table, {col: v})
     return vals

@@ -423,6 +423,26 @@ def q_partition_reload(spark, sf_dir):
     return load_trip_table(spark, path).drop("period")
 
 
+def q_trip_job(spark, sf_dir):
+    """The whole job over period files: first the odd trips, then a rebuild with all of them; its loaded rows by
+    period, hourly usage, distance by bike and rejects as (part, key, value)."""
+    from tripflow.plans.batch_job import run_trip_job
+    from tripflow.sources.sinks import scratch_path, write_period_csv
+    raw, regions, dw = _with_period(spark, sf_dir).drop("ptd"), regions_from_rows(spark, TRIP_REGIONS), scratch_path(spark, "dw")
+    for rows in (raw.where(F.col("trip_id") % 2 == 1), raw):
+        src = scratch_path(spark, "csv")
+        write_period_csv(rows, src)
+        out = run_trip_job(spark, src, dw, regions)
+    parts = {
+        "trips": out["trip_details"].groupBy("period").agg(F.count(F.lit(1)).alias("v")).withColumnRenamed("period", "k"),
+        "hour": out["app_trip_cnt_by_hour"].select(F.col("start_hour").alias("k"), F.col("used_count").alias("v")),
+        "bike": out["bike_distance"].select(F.col("bike_id").cast("string").alias("k"), F.col("sum_distance").alias("v")),
+        "rejected": out["rejected"].select(F.concat_ws(" ", "source_file", "reason").alias("k"), F.col("rows").alias("v")),
+    }
+    rows = [df.select(F.lit(n).alias("part"), F.col("k").alias("key"), _round(F.col("v").cast("double"), 1).alias("value")) for n, df in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
 def q_export_roundtrip(spark, sf_dir):
     """The hourly table written as sorted CSV and as JSON lines, both read back and compared by hour."""
     from tripflow.sources.sinks import export_csv, export_json, scratch_path
@@ -545,6 +565,7 @@ QUERIES: dict[str, QueryFn] = {
     "dbscan_cluster_sizes": q_dbscan_cluster_sizes,
     "csv_roundtrip": q_csv_roundtrip,
     "partition_reload": q_partition_reload,
+    "trip_job": q_trip_job,
     "rejected_rows": q_rejected_rows,
     "export_roundtrip": q_export_roundtrip,
     "region_document": q_region_document,
