@@ -13,7 +13,7 @@ from tripflow.functions.timefn import DETECT_FORMATS
 from tripflow.operators.profile import NORMAL_A, NORMAL_B, NORMAL_C, NORMAL_D, NORMAL_TAIL, POISSON_TABLE, poisson_cuts
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
 from tripflow.queries import (BOOTSTRAP_REPLICATES, CHAIN_EPS, CHAIN_MIN_SAMPLES, CHAIN_YEAR, DBSCAN_EPS, DBSCAN_MIN_SAMPLES,
-                              DBSCAN_SWEEP, EVENT_DOC, K_DISTANCE_K, KMEANS_ROUNDS, KMEANS_START, PASADENA_REGION,
+                              DBSCAN_SWEEP, EVENT_DOC, K_DISTANCE_K, KMEANS_ROUNDS, KMEANS_START, NESTED_DOC, NESTED_SCHEMA, PASADENA_REGION,
                               QUALITY_LABEL_MOD, CATEGORY_COLUMNS, CI_CATEGORIES, HOURLY_NUMERIC,
                               TAG_REGIONS, TRIP_REGIONS)
 from tripflow.schema import DESCRIBE_COLUMNS, STATS_COLUMNS, TRIP_CATEGORY_DECODINGS, TRIP_CATEGORY_ENCODINGS
@@ -415,6 +415,39 @@ SELECT count(*) AS rows, count(*) - count(doc) AS nulls,
 FROM docs"""
 
 
+def q_json_validation() -> str:
+    number = "('UBIGINT', 'BIGINT', 'DOUBLE')"
+
+    def kind(path: str) -> str:
+        return f"json_type(j, '{path}')"
+
+    def integer(path: str) -> str:
+        return f"({kind(path)} IN {number} AND {value(path)} = floor({value(path)}))"
+
+    def value(path: str) -> str:
+        return f"TRY_CAST(json_extract_string(j, '{path}') AS DOUBLE)"
+
+    props = NESTED_SCHEMA["properties"]
+    when = [("doc IS NULL", "$: no document"), ("j IS NULL", "$: not JSON"), ("json_type(j) <> 'OBJECT'", "$: type")]
+    when += [(f"{kind(f'$.{p}')} IS NULL", f"$.{p}: required") for p in NESTED_SCHEMA["required"]]
+    when += [("json_exists(j, '$.extra')", "$.extra: not allowed"), (f"NOT {integer('$.id')}", "$.id: type"),
+             (f"{value('$.id')} < 0", "$.id: minimum"), (f"{kind('$.kind')} <> 'VARCHAR'", "$.kind: type"),
+             (f"json_extract_string(j, '$.kind') NOT IN ({', '.join(repr(e) for e in props['kind']['enum'])})", "$.kind: enum"),
+             (f"{kind('$.props')} <> 'OBJECT'", "$.props: type"), (f"{kind('$.props.k')} IS NULL", "$.props.k: required"),
+             (f"NOT {integer('$.props.k')}", "$.props.k: type"), (f"{value('$.props.k')} < 0", "$.props.k: minimum"),
+             (f"{value('$.props.k')} > {props['props']['properties']['k']['maximum']}", "$.props.k: maximum"),
+             (f"{kind('$.tags')} <> 'ARRAY'", "$.tags: type"), ("json_array_length(j, '$.tags') > 3", "$.tags: maxItems")]
+    for i in range(3):
+        tag = f"json_extract_string(j, '$.tags[{i}]')"
+        when += [(f"{kind(f'$.tags[{i}]')} <> 'VARCHAR'", f"$.tags[{i}]: type"), (f"length({tag}) > 3", f"$.tags[{i}]: maxLength"),
+                 (f"NOT regexp_matches({tag}, '^t[0-9]+$')", f"$.tags[{i}]: pattern")]
+    when.append((f"{kind('$.note')} NOT IN ('VARCHAR', 'NULL')", "$.note: type"))
+    cases = " ".join(f"WHEN {c} THEN '{m}'" for c, m in when)
+    return f"""WITH docs AS (SELECT event_id, {NESTED_DOC} AS doc FROM events),
+parsed AS MATERIALIZED (SELECT event_id, doc, CASE WHEN json_valid(doc) THEN doc END AS j FROM docs)
+SELECT event_id, CASE {cases} ELSE 'Success' END AS verdict FROM parsed"""
+
+
 def q_time_functions() -> str:
     st, et = parse_time("start_time"), parse_time("end_time")
     fmts = DETECT_FORMATS
@@ -770,6 +803,7 @@ ORACLE = {
     "station_share": q_station_share,
     "station_set_diff": q_station_set_diff,
     "json_conformance": q_json_conformance,
+    "json_validation": q_json_validation,
     "time_functions": q_time_functions,
     "date_spine": q_date_spine,
     "month_shift": q_month_shift,

@@ -120,7 +120,8 @@ def commit_load(df: DataFrame, path: str, by: Sequence[str] = ("ptd", "period"),
     spark, load = df.sparkSession, uuid.uuid4().hex
     folder = f"{path.rstrip('/')}/load={load}"
     try:
-        df.write.partitionBy(*by).parquet(folder)
+        # One shuffle gives a partition few files; adaptive execution cuts a large one over several tasks.
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(folder)
         if expected is not None:
             _check(spark.read.schema(df.schema).parquet(folder), expected, by)
     except BaseException:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions import calendar, geo, timefn
 from tripflow.functions.categories import decode
-from tripflow.operators import cluster, profile, stations
+from tripflow.operators import cluster, json_schema, profile, stations
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.region import tag_points
 from tripflow.operators.rollup import HOURLY_COLUMNS, count_by_partition, fill_hour_gaps, hourly_usage
@@ -227,6 +227,32 @@ def q_json_conformance(spark, sf_dir):
     return profile.json_conformance(ev.selectExpr(f"{EVENT_DOC} AS doc"), "doc", "k INT, ref STRING", required=["k"])
 
 
+#: Nested documents over the events, one kind of broken ones for most remainders (both engines).
+NESTED_DOC = """CASE event_id % 17 WHEN 1 THEN NULL WHEN 2 THEN 'bad' WHEN 3 THEN '[1]' ELSE concat('{"id":',
+  CASE event_id % 17 WHEN 14 THEN '1.5' WHEN 15 THEN '-1' ELSE CAST(event_id AS STRING) END, ',"kind":"', event_type, '"',
+  CASE event_id % 17 WHEN 5 THEN '' WHEN 6 THEN ',"props":{"ref":"r"}' WHEN 7 THEN ',"props":{"k":"x"}' ELSE concat(',"props":', props) END,
+  CASE event_id % 17 WHEN 8 THEN ',"tags":["t1","x2"]' WHEN 9 THEN ',"tags":["t1","t2",3]' WHEN 10 THEN ',"tags":["t1","t2","t3","t4"]'
+    WHEN 16 THEN ',"tags":["t1234"]' WHEN 0 THEN '' ELSE ',"tags":["t1","t22"]' END,
+  CASE event_id % 17 WHEN 11 THEN ',"extra":1' WHEN 12 THEN ',"note":null' WHEN 13 THEN ',"note":3' ELSE ',"note":"n"' END,
+  '}', CASE event_id % 17 WHEN 4 THEN '}' ELSE '' END) END"""
+NESTED_SCHEMA = {
+    "type": "object", "required": ["id", "kind", "props"], "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 0},
+        "kind": {"type": "string", "enum": ["click", "view", "purchase", "signup"]},
+        "props": {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 0, "maximum": 89}}},
+        "tags": {"type": "array", "maxItems": 3, "items": {"type": "string", "maxLength": 3, "pattern": "^t[0-9]+$"}},
+        "note": {"type": ["string", "null"]},
+    },
+}
+
+
+def q_json_validation(spark, sf_dir):
+    """Every event's document against a nested schema: ``Success`` or the first broken path."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("event_id", f"{NESTED_DOC} AS doc")
+    return ev.select("event_id", json_schema.validate("doc", NESTED_SCHEMA).alias("verdict"))
+
+
 def q_time_functions(spark, sf_dir):
     """Every per-row date/time helper over the whole raw trip feed."""
     raw = load_raw_trips(spark, sf_dir)
@@ -547,6 +573,7 @@ QUERIES: dict[str, QueryFn] = {
     "station_share": q_station_share,
     "station_set_diff": q_station_set_diff,
     "json_conformance": q_json_conformance,
+    "json_validation": q_json_validation,
     "time_functions": q_time_functions,
     "date_spine": q_date_spine,
     "month_shift": q_month_shift,
