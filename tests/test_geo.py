@@ -66,3 +66,12 @@ def test_null_safe(spark):
     got = [tuple(r) for r in df.select(geo.null_safe(F.lit(5.0), "a", "b"),
                                          geo.null_safe(F.lit(5.0), "a", "b", zero_is_missing=True)).collect()]
     assert got == [(0.0, 0.0), (5.0, 0.0)]
+
+
+def test_haversine_of_opposite_points_and_nulls(spark):
+    """Half the circumference, also where the root of the sum rounds above 1; NULL for a missing coordinate."""
+    df = spark.createDataFrame([(a / 7, b / 3, -a / 7, b / 3 + 180) for a in range(0, 600, 7) for b in (0, 1, 50)] + [(None, 0.0, 1.0, 1.0)],
+                               "a double, b double, c double, d double")
+    got = [r["km"] for r in df.select(geo.haversine_km("a", "b", "c", "d").alias("km")).collect()]
+    assert got.pop() is None
+    assert all(abs(km - 20015.087) < 0.001 for km in got)

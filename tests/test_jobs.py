@@ -1,14 +1,15 @@
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
 from tripflow.plans import catalog
 from tripflow.plans.batch_job import build_trip_table, run_trip_job
-from tripflow.queries import TRIP_REGIONS
+from tripflow.queries import QUERIES, TRIP_REGIONS
 from tripflow.sources.adapter import load_raw_trips
 from tripflow.sources.regions import regions_from_rows
 from tripflow.sources.sinks import write_period_csv
-from tripflow.streaming.ingest import enriched_table_stream, hourly_usage_stream, start_trip_ingest
+from tripflow.streaming.ingest import enriched_table_stream, hourly_usage_stream, rejects_path, start_trip_ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,14 +85,37 @@ def test_catalog_helpers(spark):
     assert catalog.quote("a.b`c") == "`a`.`b``c`"
 
 
+def test_recover_sql_schema_and_order(spark, tmp_dir):
+    df = spark.range(4).select(F.col("id").alias("v"), (F.col("id") % 2 + 2019).cast("string").alias("ptd"))
+    catalog.create_database(spark, "tf_rec_db", use=False)
+    spark.sql(f"CREATE TABLE tf_rec_db.t (v BIGINT, ptd STRING) USING parquet PARTITIONED BY (ptd) LOCATION '{tmp_dir}/t'")
+    df.write.mode("append").partitionBy("ptd").parquet(f"{tmp_dir}/t")
+    assert spark.table("tf_rec_db.t").count() == 0  # the catalog does not know the folders yet
+    catalog.recover_partitions(spark, "tf_rec_db.t")
+    assert spark.table("tf_rec_db.t").count() == 4
+    assert sorted(r["ptd"] for r in catalog.partition_values(spark, "tf_rec_db.t").collect()) == ["2019", "2020"]
+    catalog.drop_database(spark, "tf_rec_db", cascade=True)
+    top = catalog.run_sql(spark, "SELECT ptd, sum(v) AS s FROM {trips} GROUP BY ptd", trips=df)
+    assert {(r["ptd"], r["s"]) for r in top.collect()} == {("2019", 2), ("2020", 4)}
+    assert "|-- v: long" in catalog.schema_text(df) and "|-- ptd: string" in catalog.schema_text(df)
+    hours = [r["start_hour"] for r in QUERIES["hour_rollup"](spark, SF).collect()]
+    assert len(hours) > 1 and hours == sorted(hours)
+
+
 def test_streaming_ingest_and_hourly(spark, tmp_dir):
     raw = trip_csvs(spark, f"{tmp_dir}/src")
+    write_period_csv(raw.where("trip_id % 100 = 3").withColumn("period", F.lit("latest")), f"{tmp_dir}/late")
+    shutil.copytree(f"{tmp_dir}/late/file=metro-trips-latest.csv", f"{tmp_dir}/src/file=metro-trips-latest.csv")
     q = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", f"{tmp_dir}/ck",
                           regions_from_rows(spark, TRIP_REGIONS), max_files_per_trigger=2)
     q.awaitTermination(300)
     kept = raw.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"]).count()
     table = spark.read.parquet(f"{tmp_dir}/dw")
     assert table.count() == kept
+    why = spark.read.parquet(rejects_path(f"{tmp_dir}/dw")).groupBy("reason").agg(F.sum("rows").alias("n")).collect()
+    late = raw.where("trip_id % 100 = 3")
+    none = raw.count() - kept + late.count() - late.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"]).count()
+    assert {r["reason"]: r["n"] for r in why} == {"no coordinates": none, "no period": late.count()}
     assert table.select("batch").distinct().count() >= 2
     # The same checkpoint adds nothing; a new one is a run of its own beside the first.
     again = start_trip_ingest(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", f"{tmp_dir}/ck", regions_from_rows(spark, TRIP_REGIONS))

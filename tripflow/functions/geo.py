@@ -35,7 +35,9 @@ def haversine_km(lat1, lon1, lat2, lon2, ndigits: int | None = 3) -> Column:
     """Great-circle distance in km on a 6371 km sphere, rounded to ``ndigits`` decimals."""
     p1, l1, p2, l2 = (F.radians(_col(c)) for c in (lat1, lon1, lat2, lon2))
     a = F.pow(F.sin((p2 - p1) / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin((l2 - l1) / 2), 2)
-    d = 2 * F.asin(F.sqrt(a)) * F.lit(EARTH_RADIUS_KM)
+    # Opposite points may round above 1; NULL stays NULL, which least() alone would skip.
+    s = F.when(a > 1, F.lit(1.0)).otherwise(F.sqrt(a))
+    d = 2 * F.asin(s) * F.lit(EARTH_RADIUS_KM)
     return F.round(d, ndigits) if ndigits is not None else d
 
 

@@ -3,7 +3,8 @@
 New ``metro-trips-*.csv`` files are picked up by a file stream; each micro-batch is enriched
 with the batch operator (``foreachBatch``) and written into its own ``run=<query>/batch=<id>``
 folder.  A new checkpoint is a new run and never touches an older run's folders; a batch that is
-retried after its commit is not written again, so a reader of the folders sees it once.
+retried after its commit is not written again, so a reader of the folders sees it once.  What a batch leaves
+out, or reads in part, is reported by file under ``<dw_path>_rejects``, in the batch load's form.
 A second query rolls the enriched stream up per clock hour with a watermark for late trips.
 """
 
@@ -20,18 +21,25 @@ from tripflow.functions.timefn import epoch_seconds, from_epoch_seconds, hour_la
 from tripflow.operators.enrich import enrich_trips
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA
-from tripflow.sources.trips_csv import with_file_period
+from tripflow.sources.trips_csv import CORRUPT_COL, rejected_rows, with_file_period
 
 
 def trip_file_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming raw trips (+ ``period`` and ``ptd`` from the file name)."""
-    r = (spark.readStream.schema(RAW_TRIP_SCHEMA).option("header", True)
+    """Streaming raw trips (+ ``period``, ``ptd`` and ``source_file`` from the file name, and a line that does
+    not fit the schema as it is)."""
+    schema = StructType([*RAW_TRIP_SCHEMA.fields, StructField(CORRUPT_COL, StringType(), True)])
+    r = (spark.readStream.schema(schema).option("header", True).option("columnNameOfCorruptRecord", CORRUPT_COL)
          .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return with_file_period(r.csv(src_dir))
 
 
+def rejects_path(dw_path: str) -> str:
+    """The folder with the reports of rejects (source_file, reason, rows, sample; run and batch)."""
+    return f"{dw_path.rstrip('/')}_rejects"
+
+
 def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoint_location: str,
                       regions: DataFrame | None = None, available_now: bool = True,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -45,6 +53,8 @@ def start_trip_ingest(spark: SparkSession, src_dir: str, dw_path: str, checkpoin
         done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder + "/_SUCCESS")
         if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
             return
+        # Written before the batch itself, whose end marks both as done.
+        rejected_rows(batch).write.mode("overwrite").parquet(f"{rejects_path(dw_path)}/run={run}/batch={batch_id}")
         rows = batch.where(F.col("period").isNotNull()).select(*raw_cols, "ptd")
         enrich_trips(rows, regions).write.mode("overwrite").partitionBy("ptd").parquet(folder)
 
