@@ -4,14 +4,17 @@ Every text is read whole, in two ways whose spans are put together:
 
 * the fixed patterns of assignments, access keys and hex runs (kinds ``assign``, ``access``, ``hex``);
 * a lexer for the assignments of source code and configuration: ``name = value``, ``name: value``,
-  ``name := value``, ``"name" => value``, with quoted or bare names, quoted subscripts
-  (``config["name"] = value``) and types (``name: str = value``, ``name string = value``).  A value is
-  an expression of string literals (triple-quoted ones as well), bare configuration values and names,
-  joined by ``+``.  Constants propagate: a name
+  ``name := value``, ``name += value``, ``"name" => value``, with quoted or bare names, quoted subscripts
+  (``config["name"] = value``), types of any depth (``name: A[B[str]] = value``, ``name string = value``) and several
+  targets; YAML blocks, XML elements and attribute pairs, ``#define``, ``define('NAME', '...')``, setters.  A value is
+  an expression of string literals (adjacent, triple-quoted, in brackets), names and calls, joined by ``+`` or ``or``.
+  Of a call, its arguments count, of one that looks something up (``getenv``) only a default; a name that is
+  called is no value, and a bare word is one only as a whole setting of a configuration line.  Constants
+  propagate: a name
   stands for the literals last assigned to it, through any number of further names.  A literal that
   ends up under a sensitive name is scored by that name and by its own make-up (length, mix of
-  letters and digits, entropy; white space and placeholder words in it lower the score, a value that
-  is a placeholder as a whole has none), and from ``THRESHOLD`` on its span is reported as
+  letters and digits, entropy; white space and placeholder words in it lower the score, a value whose literals
+  are all placeholders has none; one rule for all lengths), and from ``THRESHOLD`` on its span is reported as
   kind ``literal``, unless a pattern's span holds it already.
 
 Offsets are code points, ends exclusive.  Names and literals of any length are read in linear time
@@ -36,8 +39,8 @@ from tripflow.llm.common import map_texts, text_of
 KINDS = ("assign", "access", "hex", "literal")
 THRESHOLD = 0.7
 DOUBT = 0.1
-#: Values up to this length are scored as text; longer ones by what their parts add up to.
-SHORT = 256
+#: Shorter values are no secrets.
+SHORTEST = 8
 #: Lengths and counts beyond this are all alike to the score.
 MANY = 1 << 40
 
@@ -48,32 +51,55 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_MIN, ACCESS_MIN = 8, 16
 
 _SUBSCRIPTS = r"""(?:\[[ \t]*+(?:"[A-Za-z_$][\w$.-]*+"|'[A-Za-z_$][\w$.-]*+')[ \t]*+\])"""
-#: Brackets in types, three deep, and a type: a name with such brackets, references and alternatives.
-_IN = _NESTED = r"[^][<>\n=;]"
-for _ in range(2):
-    _NESTED = rf"(?:{_IN}|\[{_NESTED}*+\]|<{_NESTED}*+>)"
-_ATOM = rf"""(?:[&*]++(?:'\w++[ \t]++)?+(?:(?:const|mut)[ \t]++)?+)?+[A-Za-z_$][\w$]*+(?:(?:\.|::)[A-Za-z_$][\w$]*+)*+(?:\[{_NESTED}*+\]|<{_NESTED}*+>)*+[?!]?+"""
-_TYPE = rf"""(?:{_ATOM}(?:[ \t]*+[|&][ \t]*+{_ATOM})*+|"[^"\n]*+"|'[^'\n]*+')"""
-#: A name, as it stands before an assignment (with its subscripts or its type), and the assignment sign.
-#: What follows a colon is a type if white space and ``=``, or ``=`` and a quote, come after it.
+#: A name, as it stands before an assignment (with its subscripts), and the assignment sign.
 _NAME = re.compile(rf"""(?<![\w$.-])["'`]?([A-Za-z_$][\w$.-]*+(?:{_SUBSCRIPTS}(?:\.[\w$.-]++)?+)*+)["'`]?+(?:[ \t]*+\])?+"""
-                   rf"""(?:(?:[ \t]*+[?!]?+:(?![:=/])[ \t]*+{_TYPE}(?:[ \t]++(?==)|(?==[ \t]*+(?:[rbuf]{{0,2}}["'`])))|[ \t]++(?:string|\[\]byte)[ \t]*+)=(?![=~>])"""
-                   r"""|[ \t]*+(?::=|=>|=(?![=~])|:(?![:/])))[ \t]*+""")
+                   r"""(?:[ \t]++(?:string|\[\]byte)[ \t]*+=(?![=~>])|[ \t]*+(:=|=>|(?:\|\||\?\?|[?+|])?+=(?![=~])|[?!]?+:(?![:/])))[ \t]*+""")
+#: A type after a colon: names with brackets of any depth (``Brackets`` skips them), references, alternatives.  It is
+#: one if white space and ``=``, or ``=`` and a quote, come after it.
+_ATOM = re.compile(r"""(?:[&*]++(?:'\w++[ \t]++)?+(?:(?:const|mut)[ \t]++)?+)?+[A-Za-z_$][\w$]*+(?:(?:\.|::)[A-Za-z_$][\w$]*+)*+""")
+_QUOTED_TYPE = re.compile(r""""[^"\n]*+"|'[^'\n]*+'""")
+_OR_TYPE = re.compile(r"[ \t]*+[|&][ \t]*+")
+_TYPED = re.compile(r"""(?:[ \t]++(?==)|(?==[ \t]*+(?:[rbuf]{0,2}["'`])))=(?![=~>])[ \t]*+""")
+_BRACKET = re.compile(r"[][<>\n=;]")
 _TERM = re.compile(rf"""(?:[rbuf]{{0,2}}\"{{3}}((?:[^"\\]|\\[\s\S]|"(?!""))*+)\"{{3}}|[rbuf]{{0,2}}'{{3}}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{{3}}"""
                    rf"""|[rbuf]{{0,2}}"((?:[^"\\\n]|\\.)*+)"|[rbuf]{{0,2}}'((?:[^'\\\n]|\\.)*+)'|`((?:[^`\\\n]|\\.)*+)`"""
                    rf"""|([A-Za-z_$][\w$]*+(?:\.[A-Za-z_$][\w$]*+)*+)(?![\w$/=~@%-])((?:{_SUBSCRIPTS}(?:\.[A-Za-z_$][\w$]*+)*+)*+)|([\w+/.~!@%^&*-]++={{0,2}}))""")
 #: The groups of a term: quoted literals, a name, its subscripts, a bare value.
 _QUOTED, _REF, _REF_SUBSCRIPTS, _BARE = (1, 2, 3, 4, 5), 6, 7, 8
 _KEY = re.compile(r"""\[[ \t]*+["']([^"']*+)["'][ \t]*+\]""")
-_PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
+#: What joins two terms of a value: concatenation and "this or else that".
+_JOIN = re.compile(r"\s*+(?:\+(?![+=])|\|\||\?\?|\?:|or\b)\s*+|[ \t]++\.[ \t]++")
+#: What may stand between two literals that are one: white space, inside brackets also across lines.
+_BESIDE = re.compile(r"""(?:[ \t]|\\\n)*+(?=[rbuf]{0,2}["'])""")
+_BESIDE_INSIDE = re.compile(r"""(?:\s|\\\n)*+(?=[rbuf]{0,2}["'])""")
+_CALL = re.compile(r"[ \t]*+\(")
+_SPACE = re.compile(r"\s*+")
+#: Calls on a value that leave it the same secret: ``"...".encode("utf-8")``.
+_METHOD = re.compile(r"""(?:\.[A-Za-z_]\w*+\([^()\n]*+\))++""")
+#: Calls whose first argument says where the value is, not what it is; only a default after it may be a value.
+_LOOKUP = re.compile(r"(?i)_*+(?:get|load|read|open|fetch|find|look|env|require|import|prompt|input|ask|param|arg|resolve|parse|query|select|compile|match|search|test|print|log|warn|info|debug|error)")
+#: What may stand on a line before a setting of a configuration file, and after its bare value.
+_BEFORE_SETTING = re.compile(r"""[ \t]*+(?:(?:export|set|ENV|ARG)[ \t]++|-[ \t]++)?+["'`]?""")
+_AFTER_SETTING = re.compile(r"[ \t]*+(?:(?<=[ \t])#[^\n]*+)?+\r?(?:\n|\Z)")
+_BLOCK = re.compile(r"[|>][-+0-9]{0,2}[ \t]*+\n")
+_BLOCK_LINE = re.compile(r"([ \t]*+)([^\n]*+)(?:\n|\Z)")
+_TEXT = r"""(?:"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)')"""
+#: Other forms that pair a name with a literal: XML elements and ``key``/``value`` attributes, ``#define``,
+#: ``define('NAME', '...')`` and other calls of a name and a value, setters.
+_FORMS = re.compile(rf"""<([A-Za-z_][\w.:-]*+)(?:[ \t\n][^<>]*+)?+>([^<>]++)</|\b(?:key|name)[ \t]*+=[ \t]*+["']([A-Za-z_][\w.:-]*+)["']\s++value[ \t]*+=[ \t]*+{_TEXT}"""
+                    rf"""|\#[ \t]*+define[ \t]++(\w++)[ \t]++{_TEXT}|\b(?:define|putenv|set\w*+|put\w*+|add\w*+|insert|append)\([ \t]*+["']([A-Za-z_][\w.-]*+)["'][ \t]*+,[ \t]*+{_TEXT}"""
+                    rf"""|\b(?:set|with)_?([A-Za-z]\w*+)\([ \t]*+{_TEXT}[ \t]*+\)""")
+#: Several targets of one assignment, at a line's start.
+_TARGETS = re.compile(r"(?m)^[ \t]*+(\(?[ \t]*+[A-Za-z_$][\w$.]*+(?:[ \t]*+,[ \t]*+[A-Za-z_$][\w$.]*+)++)[ \t]*+\)?[ \t]*+=(?![=~>])[ \t]*+\(?[ \t]*+")
+_TARGET = re.compile(r"[A-Za-z_$][\w$.]*+")
+_COMMA = re.compile(r"[ \t]*+,[ \t]*+")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_MARK = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(")
+_MARK = re.compile(r"(?i)undefined|change.?me|example|placeholder|your[_-]|dummy|sample|redacted|not.?set|x{4,}|\*{3,}|<|>|\$\{|\{\{|%\(")
 #: What a value that is a placeholder as a whole is made of, if it has such a mark; longer words first.
-_FILLER = re.compile(r"""(?i)(?:<[^<>]*+>|\$\{[^{}]*+\}|\{\{[^{}]*+\}\}|%\([^()]*+\)[sd]?|placeholder|credentials?|passphrase|connection|passwords?|redacted
+_FILLER = re.compile(r"""(?i)(?:<[^<>]*+>|\$\{[^{}]*+\}|\{\{[^{}]*+\}\}|%\([^()]*+\)[sd]?|placeholder|undefined|credentials?|passphrase|connection|passwords?|redacted
     |example|changed|change|replace|private|secrets?|string|sample|access|client|insert|passwd|tokens?|values?|please|dummy|enter|login|admin|users?|names?|email|https?
     |keys?|your|with|here|this|that|test|auth|pass|todo|must|data|code|text|foo|bar|baz|app|api|pwd|set|not|put|the|for|and|org|com|net|xyz|123|abc
     |x{3,}|my|me|id|db|an?|is|be|to|of|in|it|on|[\W_]|\d{1,4}(?!\d))++""", re.VERBOSE)
-_NOTHING = re.compile(r"(?i)(?:true|false|none|null|nil|undefined|test|default)$")
 
 #: How much a name says that its value is secret, by the parts of the name.
 SENSITIVE = {"password": 0.6, "passwd": 0.6, "passphrase": 0.6, "pwd": 0.5, "secret": 0.6, "token": 0.5, "apikey": 0.6,
@@ -103,12 +129,6 @@ def judged(n: int, counts: Counter[str], marked: bool, filler: bool) -> float:
     return -1.0 if doubtful and filler else made_up(n, counts) - DOUBT * doubtful
 
 
-def literal_score(value: str) -> float:
-    if len(value) < 8 or _NOTHING.match(value):
-        return -1.0
-    return judged(len(value), Counter(value), bool(_MARK.search(value)), bool(_FILLER.fullmatch(value)))
-
-
 class Value:
     """What a name stands for: spans and other values in order, shared and never copied.  ``n`` is its
     length; ``uses``, how many names and values hold it; ``made``, its characters' counts, once asked for, and
@@ -161,8 +181,8 @@ class Value:
         return self.made
 
     def score(self, text: str) -> float:
-        if self.n <= SHORT:
-            return literal_score("".join(text[a:b] for a, b in self.spans(again=True)))
+        if self.n < SHORTEST:
+            return -1.0
         counts = self.counts(text)
         return judged(self.n, counts, self.marked, self.filler)
 
@@ -180,48 +200,213 @@ def path(name: str) -> str:
     return _KEY.sub(r".\1", name) if "[" in name else name
 
 
-def literals(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind number, end) of the literals that reach a sensitive name."""
-    known: dict[str, Value] = {}
-    found: set[tuple[int, int]] = set()
-    for m in _NAME.finditer(text):
-        name, at = path(m[1]), m.end()
-        parts: list[tuple[int, int] | Value] = []
-        while (t := _TERM.match(text, at)) is not None:
+class Brackets:
+    """Where each bracket of a text closes; types hold neither line breaks nor ``=`` and ``;``.  Found in one go over
+    the text, once a type asks."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.ends = text, None
+
+    def end(self, at: int) -> int | None:
+        if self.ends is None:
+            self.ends, open_ = {}, []
+            for m in _BRACKET.finditer(self.text):
+                c = m[0]
+                if c in "[<":
+                    open_.append((c, m.start()))
+                elif c in "]>" and open_ and open_[-1][0] == ("[" if c == "]" else "<"):
+                    self.ends[open_.pop()[1]] = m.end()
+                else:
+                    open_.clear()
+        return self.ends.get(at)
+
+    def after_type(self, at: int) -> int | None:
+        """Where the value starts, if a type and an assignment sign stand at ``at``."""
+        text = self.text
+        while True:
+            if quoted := _QUOTED_TYPE.match(text, at):
+                at = quoted.end()
+                break
+            if (atom := _ATOM.match(text, at)) is None:
+                return None
+            at = atom.end()
+            while text[at:at + 1] in ("[", "<"):
+                if (end := self.end(at)) is None:
+                    return None
+                at = end
+            at += text[at:at + 1] in ("?", "!")
+            if (more := _OR_TYPE.match(text, at)) is None:
+                break
+            at = more.end()
+        m = _TYPED.match(text, at)
+        return m.end() if m else None
+
+
+Parts = list["tuple[int, int] | Value"]
+
+
+def expression(text: str, at: int, known: dict[str, Value]) -> tuple[Parts, tuple[int, int] | None, int]:
+    """What the expression at ``at`` is made of, and where it ends: literals and known names that ``+``, ``or`` or
+    nothing joins, in brackets, and in calls (their arguments; of a call that looks something up, only a
+    default).  A name that is called is no value.  A bare word that stands alone comes apart."""
+    parts: Parts = []
+    frames: list[tuple[str, int, int]] = []  # of each open bracket: kind, first part, first part of the last argument
+    bare, terms = None, 0
+    while True:
+        if frames:
+            at = _SPACE.match(text, at).end()
+        quoted = None
+        if text.startswith("(", at):
+            frames.append(("group", len(parts), len(parts)))
+            at += 1
+            continue
+        closing = bool(frames) and text.startswith(")", at)
+        if not closing:
+            if (t := _TERM.match(text, at)) is None:
+                break
+            terms += 1
+            at = t.end()
             quoted = next((g for g in _QUOTED if t[g] is not None), None)
             if quoted:
                 parts.append(t.span(quoted))
-            elif t[_REF] is not None and (ref := path(t[_REF] + t[_REF_SUBSCRIPTS])) in known:
-                parts.append(known[ref])
-            elif t[_REF] is not None and t[_REF] in known:
-                parts.append(known[t[_REF]])
-            else:
-                parts.append(t.span(_REF if t[_REF] is not None else _BARE))
-            at = t.end()
-            plus = _PLUS.match(text, at)
-            if plus is None:
+            elif t[_REF] is not None:
+                ref = path(t[_REF] + t[_REF_SUBSCRIPTS])
+                if call := _CALL.match(text, at):
+                    owner, _, last = ref.rpartition(".")
+                    kind = "lookup" if _LOOKUP.match(last) else "call"
+                    if owner in known:
+                        parts.append(known[owner])
+                        kind = "method"
+                    frames.append((kind, len(parts), len(parts)))
+                    at = call.end()
+                    continue
+                if (value := known.get(ref) or known.get(t[_REF])) is not None:
+                    parts.append(value)
+                elif terms == 1 and not frames:
+                    bare = t.span(_REF)
+            elif terms == 1 and not frames and not text.startswith(("(", "["), at):
+                parts.append(t.span(_BARE))
+        while True:  # after a term: closing brackets, then what joins it to a next one
+            if m := _METHOD.match(text, at):
+                at = m.end()
+            end = _SPACE.match(text, at).end()
+            if frames and text.startswith(")", end):
+                kind, first, last = frames.pop()
+                if kind == "lookup":
+                    del parts[first:last if last > first or text[end - 1] == "," else len(parts)]
+                elif kind == "method":
+                    del parts[first:]
+                at, quoted = end + 1, None
+                continue
+            break
+        if frames and text.startswith(",", end):
+            kind, first, _ = frames[-1]
+            if kind == "lookup":  # what comes before a default is no value
+                del parts[first:]
+                frames[-1] = ("default", first, first)
+            at = end + 1
+            continue
+        joined = _JOIN.match(text, at) or (quoted and (_BESIDE_INSIDE if frames else _BESIDE).match(text, at))
+        if not joined:
+            break
+        bare, at = None, joined.end()
+    for kind, first, _ in reversed(frames):  # cut short
+        if kind in ("lookup", "method"):
+            del parts[first:]
+    return parts, bare, at
+
+
+def block(text: str, at: int, indent: int) -> tuple[Parts, int]:
+    """The lines of a YAML block, without their indentation, and its end."""
+    parts: Parts = []
+    while at < len(text):
+        m = _BLOCK_LINE.match(text, at)
+        if m[2].strip():
+            if len(m[1]) <= indent:
                 break
-            at = plus.end()
+            parts.append((m.start(2), m.start(2) + len(m[2].rstrip())))
+        at = m.end()
+    return parts, at
+
+
+def literals(text: str) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the literals that reach a sensitive name."""
+    known: dict[str, Value] = {}
+    found: set[tuple[int, int]] = set()
+    brackets = Brackets(text)
+
+    def assign(name: str, parts: Parts, more: bool = False) -> None:
         old = known.pop(name, None)
+        # Without empty parts, a value has no more parts than characters.
+        parts = [p for p in parts if (p.n if isinstance(p, Value) else p[1] > p[0])]
+        if more and old is not None:
+            parts = [old, *parts]
+        if parts:
+            value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(parts)
+            known[name] = value
+            value.uses += 1
+            weight = name_score(name)
+            if weight and round(weight + value.score(text), 6) >= THRESHOLD:
+                found.update(value.spans(again=False))
         if old is not None:
             old.uses -= 1
-        if not parts:
+
+    forms = [(m.start(), m) for m in _FORMS.finditer(text)] + [(m.start(1), m) for m in _TARGETS.finditer(text)]
+    forms.sort(key=lambda f: f[0], reverse=True)
+    done: set[int] = set()  # the names before a sign that a form has read already
+
+    def read_forms(upto: int) -> None:
+        while forms and forms[-1][0] <= upto:
+            m = forms.pop()[1]
+            if m.re is _TARGETS:
+                names, at, values = list(_TARGET.finditer(text, *m.span(1))), m.end(), []
+                while True:
+                    parts, bare, at = expression(text, at, known)
+                    values.append(parts)
+                    if (comma := _COMMA.match(text, at)) is None:
+                        break
+                    at = comma.end()
+                if len(names) == len(values):
+                    done.add(names[-1].start())
+                    for name, parts in zip(names, values):
+                        assign(name[0], parts)
+                continue
+            name, *_, value = (g for g in range(1, len(m.groups()) + 1) if m[g] is not None)
+            assign(m[name], [m.span(value)])
+
+    at, line = 0, 0
+    while m := _NAME.search(text, at):
+        start = m.start(1)
+        line = text.rfind("\n", line, start) + 1 or line
+        read_forms(start)
+        name, sign, at = path(m[1]), m[2] or "", m.end()
+        if sign.endswith(":"):
+            typed = brackets.after_type(at)
+            if typed is not None:
+                sign, at = "typed", typed
+            elif sign != ":":
+                continue
+        if start in done:
             continue
-        # Without empty parts, a value has no more parts than characters.
-        parts = [p for p in parts if (p.n if isinstance(p, Value) else p[1] > p[0])]
-        value = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(parts)
-        known[name] = value
-        value.uses += 1
-        weight = name_score(name)
-        if weight and round(weight + value.score(text), 6) >= THRESHOLD:
-            found.update(value.spans(again=False))
+        setting = start - line <= 64 and _BEFORE_SETTING.fullmatch(text, line, start)
+        if sign == ":" and setting and (m2 := _BLOCK.match(text, at)) and name_score(name):
+            parts, at = block(text, m2.end(), len(text[line:start]) - len(text[line:start].lstrip(" \t")))
+            assign(name, parts)
+            continue
+        parts, bare, end = expression(text, at, known)
+        if bare and setting and _AFTER_SETTING.match(text, end):
+            tight = sign == "=" and text[at - 1] == "=" and text[m.start(2) - 1] not in " \t"
+            if tight or any(c.isdigit() for c in text[bare[0]:bare[1]]):
+                parts = [bare]
+        assign(name, parts, more=sign == "+=")
+    read_forms(len(text))
     return [(a, 3, b) for a, b in sorted(found)]
 
 
 def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(the patterns' spans, those and the lexer's), each by start, then kind."""
     base = patterns(text)
-    more = literals(text) if "=" in text or ":" in text else []
+    more = literals(text) if any(c in text for c in "=:<(#") else []
     starts = [a for a, _, _ in base]
     ends = list(accumulate((b for _, _, b in base), max))  # the furthest end so far
     free = [s for s in more if not (k := bisect_right(starts, s[0])) or ends[k - 1] < s[2]]
