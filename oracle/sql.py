@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from tripflow.functions.geo import WGS84_A, WGS84_B, WGS84_F
 from tripflow.functions.timefn import DETECT_FORMATS
-from tripflow.operators.profile import NORMAL_A, NORMAL_B, NORMAL_C, NORMAL_D, NORMAL_TAIL, POISSON_TABLE, poisson_cuts
+from tripflow.operators.profile import poisson_cuts
 from tripflow.operators.rollup import HOURLY_CONDITIONAL_COUNTS
 from tripflow.queries import (BOOTSTRAP_REPLICATES, CHAIN_EPS, CHAIN_MIN_SAMPLES, CHAIN_YEAR, DBSCAN_EPS, DBSCAN_MIN_SAMPLES,
                               DBSCAN_SWEEP, EVENT_DOC, K_DISTANCE_K, KMEANS_ROUNDS, KMEANS_START, NESTED_DOC, NESTED_SCHEMA, PASADENA_REGION,
@@ -646,30 +646,16 @@ def q_k_distance_curve() -> str:
     return f"SELECT kdist, CAST(sum(w) AS BIGINT) AS weight FROM ({inner}) k GROUP BY kdist"
 
 
-def _horner(x: str, coefficients) -> str:
-    out = repr(coefficients[0])
-    for v in coefficients[1:]:
-        out = f"({out} * {x} + {v!r})"
-    return f"CAST({out} AS DOUBLE)"
-
-
 def q_mean_ci_bootstrap() -> str:
-    draw = "CAST('0x' || substr(md5(concat_ws('|', coalesce(level, ''), CAST(CAST(round(v * 1e6) AS BIGINT) AS VARCHAR), CAST(rep AS VARCHAR), '7')), 1, 8) AS BIGINT)"
-    tables = ", ".join(f"({c}, {poisson_cuts(c)}::BIGINT[])" for c in range(1, POISSON_TABLE))
-    inner = f"(u - 0.5) * {_horner('r', NORMAL_A)} / {_horner('r', NORMAL_B)}"
-    outer = f"({_horner('t', NORMAL_C)} / {_horner('t', NORMAL_D)})"
+    draw = "CAST('0x' || substr(md5(concat_ws('|', start_hour, '7', CAST(rep AS VARCHAR))), 1, 8) AS BIGINT)"
+    weight = " + ".join(f"CASE WHEN draw >= {c} THEN 1.0 ELSE 0.0 END" for c in poisson_cuts(1))
     body = _hourly_ctes() + f""",
-counts AS MATERIALIZED (SELECT CAST(workingday AS VARCHAR) AS level, CAST(used_count AS DOUBLE) AS v, CAST(count(*) AS DOUBLE) AS c FROM h GROUP BY 1, 2),
-tables AS (SELECT * FROM (VALUES {tables}) q(tc, cuts)),
-drawn AS (SELECT level, v, c, rep, {draw} AS draw FROM counts, range(1, {BOOTSTRAP_REPLICATES + 1}) r(rep)),
-scaled AS (SELECT *, (draw + 0.5::DOUBLE) / 4294967296.0::DOUBLE AS u FROM drawn LEFT JOIN tables ON c = tc),
-turned AS (SELECT *, (u - 0.5::DOUBLE) * (u - 0.5::DOUBLE) AS r, sqrt(-2 * ln(least(u, 1 - u))) AS t FROM scaled),
-normal AS (SELECT *, CASE WHEN least(u, 1 - u) >= {NORMAL_TAIL} THEN {inner} WHEN u < 0.5 THEN {outer} ELSE -{outer} END AS z FROM turned),
-weighed AS (SELECT level, v, rep, CASE WHEN cuts IS NULL THEN greatest(0.0::DOUBLE, floor(c + sqrt(c) * z + (z * z - 1) / 6 + 0.5::DOUBLE))
-  ELSE CAST(len(list_filter(cuts, lambda k: k <= draw)) AS DOUBLE) END AS w FROM normal),
-reps AS (SELECT level, rep, sum(v * w) / nullif(sum(w), 0) AS m FROM weighed GROUP BY level, rep)"""
+drawn AS (SELECT CAST(workingday AS VARCHAR) AS level, CAST(used_count AS DOUBLE) AS v, rep, {draw} AS draw
+          FROM h, range(1, {BOOTSTRAP_REPLICATES + 1}) r(rep)),
+weighed AS (SELECT level, v, rep, {weight} AS w FROM drawn),
+reps AS (SELECT level, rep, sum(v * w) / nullif(sum(CASE WHEN v IS NOT NULL THEN w END), 0) AS m FROM weighed GROUP BY level, rep)"""
     tail = """SELECT a.level, round(a.mean, 6) AS mean, round(b.lo, 6) AS ci_low, round(b.hi, 6) AS ci_high
-FROM (SELECT level, sum(v * c) / sum(c) AS mean FROM counts GROUP BY 1) a
+FROM (SELECT CAST(workingday AS VARCHAR) AS level, avg(CAST(used_count AS DOUBLE)) AS mean FROM h GROUP BY 1) a
 JOIN (SELECT level, quantile_cont(m, 0.025) AS lo, quantile_cont(m, 0.975) AS hi FROM reps GROUP BY level) b
   ON a.level IS NOT DISTINCT FROM b.level"""
     return _with(body, tail)

@@ -201,3 +201,36 @@ def test_bootstrap_weights_are_poisson(spark):
     r = profile.mean_ci_bootstrap(df, "v", "k", replicates=400).first()
     half = 1.96 * 0.5 / np.sqrt(20_000)
     assert r["mean"] == 0.5 and abs((r["ci_high"] - r["ci_low"]) / (2 * half) - 1) < 0.15
+
+
+def test_bootstrap_draws_every_row(spark, monkeypatch):
+    """Each row has Poisson(1) weights of its own: by its key, or by its number among equal rows."""
+    import hashlib
+    monkeypatch.setattr(profile, "BLOCK", 4)
+    rows = [(f"h{i}", "a" if i % 3 else "b", float(i % 4)) for i in range(120)] + [("h7", "a", 3.0)] * 10 + [(None, "c", 5.0), ("n", "a", None)]
+    cuts, reps = profile.poisson_cuts(1), 60
+
+    def want(name_of):
+        seen, total, weight = {}, {}, {}
+        for r in rows:
+            if r[2] is None:
+                continue
+            i = seen[r] = seen.get(r, 0) + 1
+            parts = [p for p in (name_of(r), str(i) if i > 1 else None, "7") if p is not None]
+            for rep in range(1, reps + 1):
+                draw = int(hashlib.md5("|".join([*parts, str(rep)]).encode()).hexdigest()[:8], 16)
+                w = sum(draw >= c for c in cuts)
+                total[r[1], rep] = total.get((r[1], rep), 0.0) + w * r[2]
+                weight[r[1], rep] = weight.get((r[1], rep), 0) + w
+        means = {k: [total[k, rep] / weight[k, rep] for rep in range(1, reps + 1) if weight[k, rep]] for k in "abc"}
+        return {k: (np.quantile(m, 0.025), np.quantile(m, 0.975)) for k, m in means.items()}
+
+    df = spark.createDataFrame(rows, "id string, k string, v double").repartition(5)
+    got = {r["level"]: (r["ci_low"], r["ci_high"]) for r in profile.mean_ci_bootstrap(df, "v", "k", replicates=reps, key="id").collect()}
+    expected = want(lambda r: r[0])
+    assert got.keys() == expected.keys() and all(np.allclose(got[k], expected[k]) for k in got)
+    plain = df.drop("id")
+    rows = [(None, r[1], r[2]) for r in rows]
+    got = {r["level"]: (r["ci_low"], r["ci_high"]) for r in profile.mean_ci_bootstrap(plain, "v", "k", replicates=reps).collect()}
+    expected = want(lambda r: f"{r[1]}|{int(r[2] * 1e6)}")
+    assert got.keys() == expected.keys() and all(np.allclose(got[k], expected[k]) for k in got)

@@ -293,9 +293,8 @@ def mean_ci(df: DataFrame, value: str, by: Sequence[str] | str, z: float = 1.959
     return g.withColumns({"ci_low": F.col("mean") - half, "ci_high": F.col("mean") + half})
 
 
-#: Counts below this have their Poisson distribution as a table; above, its quantiles come from the
-#: normal ones, with the first correction for skewness.
-POISSON_TABLE = 64
+#: Rows that are equal are numbered in blocks of this many.
+BLOCK = 4096
 #: The normal quantile by rational functions (Acklam), centre and tails.
 NORMAL_A = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.357751867269, -30.66479806614716, 2.506628277459239)
 NORMAL_B = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)
@@ -334,30 +333,39 @@ def normal_quantile(u: Column) -> Column:
             .when(q < 0, outer).otherwise(-outer))
 
 
-def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200, alpha: float = 0.05, seed: int = 7) -> DataFrame:
-    """Poisson-bootstrap percentile CI of the mean per category, over collapsed values.
-
-    Rows collapse to (level, value, c) first: the Poisson(1) weights of c equal rows add up to one
-    Poisson(c) weight.  That is drawn once per replicate, by inversion of the first 32 bits of an md5 over
-    (level, value, replicate, seed); so the work follows distinct values, not rows, and the result depends
-    on the rows alone.  A level's distinct values spread over all tasks.  NULL values have no weight; a
-    value of -0.0 is 0.0.  Output: (level, mean, ci_low, ci_high)."""
-    base = df.select(F.col(by).cast("string").alias("level"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"))
-    counts = base.groupBy("level", "v").agg(F.count(F.lit(1)).cast("double").alias("c")).withColumnRenamed("level", "l")
-    # Named by millionths, so that no engine's way to print a double matters; values closer than that share draws.
-    name = F.concat_ws("|", F.coalesce(F.col("l"), F.lit("")), F.round(F.col("v") * 1e6).cast("long").cast("string"))
-    drawn = counts.where("v IS NOT NULL").select("l", "v", "c", name.alias("name"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.col("rep").cast("string"), F.lit(str(seed))).cast("binary")), 1, 8), 16, 10).cast("long")
-    drawn = drawn.select("l", "v", "c", "rep", draw.alias("draw"))
-    spark = df.sparkSession
-    tables = spark.createDataFrame([(float(c), poisson_cuts(c)) for c in range(1, POISSON_TABLE)], "tc double, cuts array<bigint>")
-    drawn = drawn.join(F.broadcast(tables), F.col("c") == F.col("tc"), "left")  # POISSON_TABLE rows
-    z = normal_quantile((F.col("draw") + 0.5) / F.lit(2.0**32))
-    many = F.greatest(F.lit(0.0), F.floor(F.col("c") + F.sqrt("c") * z + (z * z - 1) / 6 + 0.5).cast("double"))
-    weight = F.when(F.col("cuts").isNull(), many).otherwise(F.size(F.filter("cuts", lambda t: t <= F.col("draw"))).cast("double"))
-    per_rep = drawn.withColumn("w", weight).groupBy("l", "rep").agg((F.sum(F.col("v") * F.col("w")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("m"))
+def mean_ci_bootstrap(df: DataFrame, value: str, by: str, replicates: int = 200, alpha: float = 0.05, seed: int = 7,
+                      key: Sequence[str] | str = ()) -> DataFrame:
+    """Poisson-bootstrap percentile CI of the mean per category.
+
+    Every row gets a Poisson(1) weight of its own in every replicate, by inversion of the first 32 bits of an
+    md5 over (row's name, seed, replicate): all rows are resampled.  ``key`` names the rows; without it they are
+    named by level and value.  Rows that agree in name, level and value are numbered, so each has its own draws
+    and the result depends on the rows alone, not on their partitions.  NULL values have no weight; a value of
+    -0.0 is 0.0.  Output: (level, mean, ci_low, ci_high)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [f"k{i}" for i in range(len(keys))]
+    base = df.select(F.col(by).cast("string").alias("l"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"),
+                     *[F.coalesce(F.col(k).cast("string"), F.lit("")).alias(n) for k, n in zip(keys, names)])
+    # Without a key by millionths, so that no engine's way to print a double matters.
+    own = names or [F.coalesce(F.col("l"), F.lit("")), F.round(F.col("v") * 1e6).cast("long").cast("string")]
+    alike = base.where("v IS NOT NULL").groupBy("l", "v", *names).agg(F.count(F.lit(1)).alias("c"))
+    blocks = alike.select("l", "v", "c", F.nullif(F.concat_ws("|", *own), F.lit("")).alias("name"), F.explode(F.sequence(F.lit(0), F.floor((F.col("c") - 1) / BLOCK))).alias("b"))
+    # Every row counts `replicates` times from here on: they are dealt out to all tasks first.
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    blocks = blocks.repartition(tasks, "name", "b")
+    first = F.col("b") * BLOCK + 1
+    rows = blocks.select("l", "v", "name", F.explode(F.sequence(first, F.least("c", first + (BLOCK - 1)))).alias("i"))
+    named = rows.select("l", "v", F.concat_ws("|", "name", F.when(F.col("i") > 1, F.col("i").cast("string")), F.lit(str(seed))).alias("name"),
+                        F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", "name", F.col("rep").cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    drawn = named.select("l", "v", "rep", draw.alias("draw"))
+    weight = F.lit(0)
+    for cut in poisson_cuts(1):
+        weight = weight + (F.col("draw") >= cut).cast("int")
+    per_rep = drawn.withColumn("w", weight.cast("double")).groupBy("l", "rep").agg(
+        (F.sum(F.col("v") * F.col("w")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("m"))
     ci = per_rep.groupBy("l").agg(F.percentile("m", alpha / 2).alias("ci_low"), F.percentile("m", 1 - alpha / 2).alias("ci_high"))
-    mean = counts.groupBy(F.col("l").alias("level")).agg((F.sum(F.col("v") * F.col("c")) / F.sum(F.when(F.col("v").isNotNull(), F.col("c")))).alias("mean"))
+    mean = base.groupBy(F.col("l").alias("level")).agg(F.avg("v").alias("mean"))
     return _same(mean, ci.withColumnRenamed("l", "level"), ["level"], "left")
 
 

@@ -542,8 +542,8 @@ def q_k_distance_curve(spark, sf_dir):
 
 
 def q_mean_ci_bootstrap(spark, sf_dir):
-    """Poisson-bootstrap CI of hourly usage per working-day flag (weights drawn from md5)."""
-    m = profile.mean_ci_bootstrap(_hourly(spark, sf_dir), "used_count", "workingday", replicates=BOOTSTRAP_REPLICATES)
+    """Poisson-bootstrap CI of hourly usage per working-day flag: every hour drawn in every replicate (from md5)."""
+    m = profile.mean_ci_bootstrap(_hourly(spark, sf_dir), "used_count", "workingday", replicates=BOOTSTRAP_REPLICATES, key="start_hour")
     return m.select("level", *[_round(F.col(c)).alias(c) for c in ("mean", "ci_low", "ci_high")])
 
 
