@@ -138,3 +138,34 @@ def test_streaming_ingest_and_hourly(spark, tmp_dir):
     batch = {r["start_hour"]: (r["used_count"], r["total_duration"]) for r in hourly_usage(table).collect()}
     for r in spark.sql("SELECT start_hour, used_count, total_duration FROM tf_hourly").collect():
         assert batch[r["start_hour"]] == (r["used_count"], r["total_duration"])
+
+
+def counted(df, seen):
+    """``df``, adding the rows that are read from it to an accumulator."""
+    def add(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    return df.mapInArrow(add, df.schema)
+
+
+def test_partition_reload_makes_its_rows_once(spark, monkeypatch):
+    """Three loads and their checks read stored rows; the feed is made and its times are parsed once."""
+    from tripflow import queries
+    seen, sound = spark.sparkContext.accumulator(0), queries.load_raw_trips
+    monkeypatch.setattr(queries, "load_raw_trips", lambda *a: counted(sound(*a), seen))
+    table = QUERIES["partition_reload"](spark, SF)
+    raw = sound(spark, SF)
+    assert seen.value == raw.count()
+    kept = raw.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"])
+    assert table.count() == kept.count() == table.select("trip_id").distinct().count()
+
+
+def test_a_load_parses_its_files_once(spark, tmp_dir, monkeypatch):
+    from tripflow.plans import batch_job
+    raw = trip_csvs(spark, f"{tmp_dir}/src")
+    seen, sound = spark.sparkContext.accumulator(0), batch_job.read_period_csv
+    monkeypatch.setattr(batch_job, "read_period_csv", lambda *a: counted(sound(*a), seen))
+    table = build_trip_table(spark, f"{tmp_dir}/src", f"{tmp_dir}/dw", regions_from_rows(spark, TRIP_REGIONS))
+    assert seen.value == raw.count()
+    assert table.count() == raw.dropna(subset=["start_lat", "start_lon", "end_lat", "end_lon"]).count()

@@ -61,3 +61,32 @@ def test_distance_modes_agree(spark):
     a = {r["trip_id"]: r["distance"] for r in enrich_trips(raw, distance_mode="rows").select("trip_id", "distance").collect()}
     b = {r["trip_id"]: r["distance"] for r in enrich_trips(raw, distance_mode="pairs").select("trip_id", "distance").collect()}
     assert a == b and len(a) > 0
+
+
+def _largest_method(df):
+    """Bytes of the largest method that is generated for a plan (as it is before execution)."""
+    import contextlib
+    import io
+    import re
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("codegen")
+    return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue()))
+
+
+def test_enrichment_is_compiled(spark, tmp_dir):
+    """The JVM interprets methods of more than 8000 bytes: each stage between the joins' shuffles stays below."""
+    from tripflow.operators.enrich import enrich_trips
+    from tripflow.queries import TRIP_REGIONS, _with_period
+    from tripflow.sources.regions import regions_from_rows
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        _with_period(spark, "/root/testdata/sf0.001").write.parquet(f"{tmp_dir}/trips")
+        raw = spark.read.parquet(f"{tmp_dir}/trips")
+        assert _largest_method(enrich_trips(raw, None, keep=("period",))) < 8000
+        assert _largest_method(enrich_trips(raw, regions_from_rows(spark, TRIP_REGIONS), keep=("period",))) < 8000
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

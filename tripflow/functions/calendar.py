@@ -60,9 +60,9 @@ def is_us_holiday(d: Column | str) -> Column:
     for m, wd, n in FLOATING_HOLIDAYS:
         if n < 0:  # last <weekday> of the month: within the month's final seven days
             floating = floating | ((F.month(dt) == m) & (iso == wd) & (dd > _DAYS_IN_MONTH[m] - 7))
-    nxt, prv = F.date_add(dt, 1), F.date_add(dt, -1)
-    observed = (((iso == 5) & fixed_hit(_md(nxt), F.year(nxt)))
-                | ((iso == 1) & fixed_hit(_md(prv), F.year(prv))))
+    # The day after a Friday, the day before a Monday, else the day itself.
+    off = F.date_add(dt, F.when(iso == 5, 1).when(iso == 1, -1).otherwise(0))
+    observed = fixed_hit(_md(off), F.year(off))
     return F.when(dt.isNotNull(), fixed_hit(md, y) | floating | observed)
 
 

@@ -103,10 +103,11 @@ def date_label(ts: Column | str) -> Column:
     return F.concat(_pad(F.year(d), 4), F.lit("-"), _pad(F.month(d), 2), F.lit("-"), _pad(F.dayofmonth(d), 2))
 
 
-def hour_label(ts: Column | str) -> Column:
-    """Hour bucket label ``yyyy-MM-dd HH:00:00`` (pure truncation, no zone conversion)."""
+def hour_label(ts: Column | str, day: Column | str | None = None) -> Column:
+    """Hour bucket label ``yyyy-MM-dd HH:00:00`` (pure truncation, no zone conversion); ``day`` is the
+    ``date_label`` of ``ts`` where there is one already."""
     t = _col(ts)
-    return F.concat(date_label(t), F.lit(" "), _pad(F.hour(t), 2), F.lit(":00:00"))
+    return F.concat(date_label(t) if day is None else _col(day), F.lit(" "), _pad(F.hour(t), 2), F.lit(":00:00"))
 
 
 def datetime_label(ts: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from tripflow.functions.categories import encode
 from tripflow.operators.region import region_of
 from tripflow.schema import ENRICHED_COLUMNS, TRIP_CATEGORY_ENCODINGS
 
+#: Stands for the day of a row without a start time; nothing of it is shown.
+NO_DAY = date(1970, 1, 1)
 COORDS = ["start_lat", "start_lon", "end_lat", "end_lon"]
 
 
@@ -38,18 +42,21 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
       columns to carry along.
     """
     df = drop_missing_coordinates(raw)
+    # One step builds on the one before, so no expression is generated twice, and the steps stand between the
+    # joins, whose shuffles part the generated code: the JVM interprets a method of more than 8000 bytes.
+    st = timefn.parse_trip_time("start_time", strict=strict_time)
+    et = timefn.parse_trip_time("end_time", strict=False)
+    df = df.withColumns({"start_datetime": st, "end_datetime": et})
     if regions is not None:
         df = region_of(df, region_lon, region_lat, regions, "city_name", default=region_name_default,
                        band=region_band)
     else:
         df = df.withColumn("city_name", F.lit(region_name_default))
-
-    st = timefn.parse_trip_time("start_time", strict=strict_time)
-    et = timefn.parse_trip_time("end_time", strict=False)
-    df = df.withColumns({"start_datetime": st, "end_datetime": et})
-    # Holiday once per row from the parsed column (working day reuses it).  A separate
-    # projection: written against the parse expression, the parse would run twice.
-    df = df.withColumn("holiday", calendar.holiday_flag("start_datetime"))
+    # The day without NULLs spares all that follows the checks for them; a row without a start has none of it.
+    started = F.col("start_datetime").isNotNull()
+    df = df.withColumn("__day", F.coalesce(F.to_date("start_datetime"), F.lit(NO_DAY)))
+    # Holiday and label once per row: the working day and the hour's label reuse them.
+    df = df.withColumns({"holiday": F.when(started, calendar.holiday_flag("__day")), "used_date": F.when(started, timefn.date_label("__day"))})
     if distance_mode == "pairs":
         df = geo.with_geodesic(df, *COORDS, out="__geodesic_m", unit="m")
         geodesic_m = F.col("__geodesic_m")
@@ -62,11 +69,10 @@ def enrich_trips(raw: DataFrame, regions: DataFrame | None = None, *, region_nam
     derived = {
         "distance": geo.null_safe(geodesic_m, *coords).cast("float"),
         "distance_cal": geo.null_safe(geo.haversine_km(*coords), *coords).cast("float"),
-        "used_date": timefn.date_label(s),
         "used_hour": F.hour(s).cast("int"),
-        "season": timefn.season(s),
-        "workingday": F.when(s.isNotNull(), ((F.weekday(s) < 5) & (F.col("holiday") == 0)).cast("int")),
-        "start_hour": timefn.hour_label(s),
+        "season": F.when(started, timefn.season("__day")),
+        "workingday": F.when(started, ((F.weekday("__day") < 5) & (F.col("holiday") == 0)).cast("int")),
+        "start_hour": timefn.hour_label(s, "used_date"),
     }
     for src, (dst, mapping) in TRIP_CATEGORY_ENCODINGS.items():
         derived[dst] = encode(src, mapping)

@@ -15,8 +15,9 @@ from tripflow.operators.profile import describe_by
 from tripflow.operators.rollup import hourly_usage, sum_by
 from tripflow.plans import versions
 from tripflow.plans.catalog import create_database
+from tripflow.plans.sizing import stored
 from tripflow.schema import ENRICHED_TRIP_SCHEMA, RAW_TRIP_SCHEMA, STATS_COLUMNS
-from tripflow.sources.sinks import export_csv
+from tripflow.sources.sinks import export_csv, remove_path
 from tripflow.sources.trips_csv import read_period_csv, rejected_rows, trips_with_period
 
 #: The stored table: the enriched columns and the period, which is a partition beside the year.
@@ -38,7 +39,8 @@ def load_trips(trips: DataFrame, regions: DataFrame | None, path: str, table: st
 
     Partitions are (year, period): loading a period again replaces that period alone.
     ``rebuild=True`` replaces the whole table.  Until the new version is complete, and has the rows of
-    every period (``check``: one more read of the source's coordinates), readers see the one before."""
+    every period (``check``: one more read of the source's coordinates), readers see the one before.
+    ``trips`` is read several times: rows that are costly to make are better ``stored`` first."""
     enriched = enrich_trips(trips, regions, keep=("period",))
     by = ("ptd", "period")
     expected = drop_missing_coordinates(trips).groupBy(*by).agg(F.count(F.lit(1)).alias("rows")) if check else None
@@ -52,9 +54,14 @@ def load_trips(trips: DataFrame, regions: DataFrame | None, path: str, table: st
 
 def build_trip_table(spark: SparkSession, src_dir: str, dw_path: str, regions: DataFrame | None = None,
                      rebuild: bool = False, table: str | None = None) -> DataFrame:
-    """Read every period file, enrich, and load by year and period (see ``load_trips``)."""
+    """Read every period file once, enrich, and load by year and period (see ``load_trips``)."""
     raw = trips_with_period(read_period_csv(spark, src_dir))
-    load_trips(raw.select(*[f.name for f in RAW_TRIP_SCHEMA.fields], "ptd", "period"), regions, dw_path, table, rebuild)
+    # A load reads its rows several times (points, pairs, counts, the rows): the text is parsed once.
+    rows, copy = stored(raw.select(*[f.name for f in RAW_TRIP_SCHEMA.fields], "ptd", "period"), "period-rows")
+    try:
+        load_trips(rows, regions, dw_path, table, rebuild)
+    finally:
+        remove_path(spark, copy)
     return load_trip_table(spark, dw_path)
 
 
