@@ -66,10 +66,14 @@ def rejected_rows(df: DataFrame) -> DataFrame:
     parsed = [f.name for f in RAW_TRIP_SCHEMA.fields if f.name in df.columns]
     whole = F.length(F.concat_ws("", *parsed)) >= 0
     missing = F.col("start_lat").isNull() | F.col("start_lon").isNull() | F.col("end_lat").isNull() | F.col("end_lon").isNull()
+    # Tests come as columns of their own: inside the generator they would be interpreted.
+    tested = df.select(
+        "source_file", F.coalesce(CORRUPT_COL, F.col("trip_id").cast("string")).alias("sample"), F.col("period").isNull().alias("no_period"),
+        (F.col(CORRUPT_COL).isNotNull() & whole).alias("bad_row"), start.isNull().alias("no_start"), missing.alias("no_coordinates"))
     reasons = F.array_compact(F.array(
-        F.when(F.col("period").isNull(), F.lit("no period")), F.when(F.col(CORRUPT_COL).isNotNull() & whole, F.lit("bad row")),
-        F.when(start.isNull(), F.lit("no start time")), F.when(missing, F.lit("no coordinates"))))
-    bad = df.select("source_file", F.explode(reasons).alias("reason"), F.coalesce(CORRUPT_COL, F.col("trip_id").cast("string")).alias("sample"))
+        F.when(F.col("no_period"), F.lit("no period")), F.when(F.col("bad_row"), F.lit("bad row")),
+        F.when(F.col("no_start"), F.lit("no start time")), F.when(F.col("no_coordinates"), F.lit("no coordinates"))))
+    bad = tested.select("source_file", F.explode(reasons).alias("reason"), "sample")
     return bad.groupBy("source_file", "reason").agg(F.count(F.lit(1)).alias("rows"), F.min("sample").alias("sample"))
 
 
