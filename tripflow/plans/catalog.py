@@ -31,7 +31,8 @@ def list_databases(spark: SparkSession) -> list[str]:
 
 
 def list_tables(spark: SparkSession, db: str | None = None) -> list[str]:
-    return [t.name for t in spark.catalog.listTables(db)]
+    """Tables and views; with ``db`` only its own, without the session's temporary views."""
+    return [t.name for t in spark.catalog.listTables(db) if db is None or not t.isTemporary]
 
 
 def table_info(spark: SparkSession, table: str) -> DataFrame:
